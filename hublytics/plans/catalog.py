@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from hublytics.operators import reports
 from hublytics.plans.warehouse import Warehouse
 from hublytics.sources.fixtures import Fixture
 
@@ -39,3 +40,15 @@ def _model(name: str) -> Callable[[SparkSession, str], DataFrame]:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: _model(name) for name in Warehouse.MODELS
 }
+
+
+def _report(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    mart, fn = reports.REPORTS[name]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(warehouse_for(spark, sf_dir)[1][mart])
+    run.__name__ = name
+    return run
+
+
+QUERIES.update({name: _report(name) for name in reports.REPORTS})

@@ -660,3 +660,41 @@ def with_ctes(body: str) -> str:
 
 def model(name: str) -> str:
     return with_ctes(f"select * from {name}")
+
+# ------------------------------------------------------------------ reports
+
+_WEEKLY = """(select week_start, sum(total_orders) as total_orders, sum(delivered_orders) as delivered_orders,
+  sum(sla_breach_orders) as sla_breach_orders, sum(cod_amount_vnd) as cod_amount_vnd
+  from mart_daily_kpi group by week_start)"""
+
+REPORT_SQL = {
+    "rpt_kpi_weekly_summary": f"""
+select week_start, cast(total_orders as bigint) as total_orders,
+  round(delivered_orders * 100.0 / nullif(total_orders, 0), 2) as success_rate_pct,
+  round(sla_breach_orders * 100.0 / nullif(total_orders, 0), 2) as sla_breach_rate_pct,
+  cast(cod_amount_vnd as bigint) as cod_amount_vnd
+from {_WEEKLY} order by week_start desc limit 52""",
+    "rpt_weekly_volume": f"""
+select week_start, cast(total_orders as bigint) as total_orders from {_WEEKLY} order by week_start""",
+    "rpt_success_trend": f"""
+select week_start, round(delivered_orders * 100.0 / nullif(total_orders, 0), 2) as success_rate_pct
+from {_WEEKLY} order by week_start""",
+    "rpt_hub_throughput": """
+select warehouse_id, total_orders, success_rate_pct, avg_delivery_hours from mart_hub_performance
+order by total_orders desc, warehouse_id limit 20""",
+    "rpt_top_hubs": """
+select warehouse_id, total_orders from mart_hub_performance order by total_orders desc, warehouse_id limit 10""",
+    "rpt_sla_week_region": """
+select week_start, year, quarter, region, service_code, sla_breach_rate_pct, delivered_orders
+from mart_sla_breakdown
+order by week_start desc, sla_breach_rate_pct desc nulls last, year, quarter, region, service_code limit 100""",
+    "rpt_sla_by_region": """
+select region, round(avg(sla_breach_rate_pct), 6) as avg_breach_rate, cast(sum(delivered_orders) as bigint) as total
+from mart_sla_breakdown group by region order by avg_breach_rate desc nulls last, region""",
+    "rpt_failure_distribution": """
+select region, failure_reason, failed_attempts from mart_failure_reasons
+order by failed_attempts desc, region, failure_reason limit 10""",
+    "rpt_cod_by_region": """
+select week_start, region, year, discrepancy_records, gross_discrepancy_vnd, net_discrepancy_vnd
+from mart_cod_reconciliation order by year desc, abs(net_discrepancy_vnd) desc, week_start, region""",
+}
