@@ -52,3 +52,190 @@ def _report(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 QUERIES.update({name: _report(name) for name in reports.REPORTS})
+
+
+# ---------------------------------------------------------------- operators
+
+import uuid  # noqa: E402
+
+from pyspark.sql import Window  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from hublytics.functions.semantics import action_name, lower_trim, round_like, volumetric_weight  # noqa: E402
+from hublytics.operators import core, derive, history, staging  # noqa: E402
+from hublytics.operators.joins import bounded_broadcast  # noqa: E402
+from hublytics.session import checkpoint_dir  # noqa: E402
+from hublytics.sources.raw import read_seed  # noqa: E402
+
+SCD_KEY = "client_id"
+SCD_CHECK = ["tier", "client_channel", "is_b2b"]
+SCD_PAYLOAD = ["client_id", "shop_id", "client_type", "client_channel", "tier", "is_b2b", "region",
+               "province_name"]
+SCD_RUNS = ["2000-01-01 06:00:00", "2000-07-01 06:00:00"]
+TRIP_CAPACITY = 5
+SAMPLE_N, SAMPLE_SEED = 100, 42
+
+
+def _wh(spark, sf_dir) -> Warehouse:
+    return warehouse_for(spark, sf_dir)[1]
+
+
+def _fx(spark, sf_dir) -> Fixture:
+    return warehouse_for(spark, sf_dir)[0]
+
+
+def q_scd2_two_runs(spark, sf_dir):
+    fx, wh = warehouse_for(spark, sf_dir)
+    day1 = wh["dim_client"].select(*SCD_PAYLOAD)
+    day2 = core.dim_client(staging.stg_client(fx.dim_client_changed()), wh["stg_province"], wh.hint) \
+        .select(*SCD_PAYLOAD)
+    snap1 = history.snapshot(day1, SCD_KEY, SCD_CHECK, SCD_RUNS[0])
+    return history.snapshot(day2, SCD_KEY, SCD_CHECK, SCD_RUNS[1], prev=snap1)
+
+
+def q_asof_tier(spark, sf_dir):
+    facts = _wh(spark, sf_dir)["fct_shipping_order"].select("order_code", "client_id", "created_at")
+    return history.as_of_join(facts, q_scd2_two_runs(spark, sf_dir), SCD_KEY, "created_at",
+                              ["tier", "client_channel"])
+
+
+def q_quarantine_only(spark, sf_dir):
+    raw = _wh(spark, sf_dir).raw["data_shippingorder_now"]
+    return staging.only_quarantine(raw).select("order_code", "status", "_data_quality")
+
+
+def q_order_dedup(spark, sf_dir):
+    raw = staging.keep_non_quarantine(_wh(spark, sf_dir).raw["data_shippingorder_now"])
+    return staging.dedup_latest(raw, "order_code", staging.dedup_order()) \
+        .select("order_code", "created_date", "status")
+
+
+def q_trip_rollup(spark, sf_dir):
+    return derive.trip_rollup(_wh(spark, sf_dir).raw["data_inside_history"])
+
+
+def q_trip_batches(spark, sf_dir):
+    return derive.trip_batches(_wh(spark, sf_dir).raw["data_inside_history"], TRIP_CAPACITY)
+
+
+def q_cod_adjustments(spark, sf_dir):
+    return (_wh(spark, sf_dir).raw["data_cod"].filter(F.col("cod_status") == "adjustment")
+            .select("cod_id", "order_code", "collected_amount", "discrepancy_amount", "reconcile_status",
+                    "collect_time"))
+
+
+def q_running_minutes(spark, sf_dir):
+    return derive.running_minutes(_wh(spark, sf_dir).raw["data_inside_history"])
+
+
+def q_volumetric_weight(spark, sf_dir):
+    o = _wh(spark, sf_dir)["stg_shippingorder"]
+    return o.select("order_code", "weight_gram", "length_cm", "width_cm", "height_cm",
+                    volumetric_weight("weight_gram", "length_cm", "width_cm", "height_cm")
+                    .alias("chargeable_weight_gram"))
+
+
+def q_action_name(spark, sf_dir):
+    h = _wh(spark, sf_dir)["stg_inside_history"]
+    return (h.groupBy("action_category", "action_name")
+            .agg(F.count(F.lit(1)).alias("n"))
+            .withColumn("derived_name", action_name("action_category")))
+
+
+def q_backfill_region(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    raw = wh.raw["dim_warehouse"].select("warehouse_id", "province_id", "province_name", "region_fullname")
+    p = wh["stg_province"].select("province_id", "province_name", F.col("region").alias("region_fullname"))
+    return derive.backfill_from_lookup(raw, bounded_broadcast(p), "province_id",
+                                       {"province_name": "province_name", "region_fullname": "region_fullname"})
+
+
+def q_collected_amount(spark, sf_dir):
+    c = _wh(spark, sf_dir).raw["data_cod"]
+    st = lower_trim("cod_status")
+    c = c.filter(st != "adjustment").withColumn("st", st)
+    expected = derive.collected_amount(F.col("st"), F.col("cod_amount"), F.col("collected_amount"))
+    return c.groupBy("st").agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count_if(F.col("collected_amount") == expected).alias("rule_holds"),
+        F.count_if(F.col("collected_amount") < 0).alias("negative_collected")).withColumnRenamed("st", "cod_status")
+
+
+def share(df: DataFrame, col: str, by: list[str] | None = None, digits: int = 4) -> DataFrame:
+    """Count per category (NULL kept) and its percentage of the total of its
+    partition. The window runs over the aggregated counts only."""
+    by = by or []
+    counts = df.groupBy(*by, col).agg(F.count(F.lit(1)).alias("n"))
+    total = F.sum("n").over(Window.partitionBy(*by)) if by else F.sum("n").over(Window.partitionBy())
+    return counts.withColumn("pct", round_like(F.col("n") * 100.0 / total, digits))
+
+
+def q_category_share(spark, sf_dir):
+    raw = _wh(spark, sf_dir).raw
+    parts = [raw[t].select(F.lit(t).alias("table_name"), "_data_quality")
+             for t in ["data_shippingorder_now", "data_inside_history", "data_transportation", "data_shipment",
+                       "data_cod"]]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return share(u, "_data_quality", ["table_name"])
+
+
+def q_status_share(spark, sf_dir):
+    return share(_wh(spark, sf_dir).raw["data_shippingorder_now"], "status")
+
+
+def q_shipper_pool(spark, sf_dir):
+    s = _wh(spark, sf_dir)["dim_shipper"]
+    return s.groupBy("warehouse_id").agg(
+        F.count(F.lit(1)).alias("n_shippers"),
+        F.array_join(F.sort_array(F.collect_list("shipper_id")).cast("array<string>"), ",").alias("shipper_ids"))
+
+
+def q_sample_k(spark, sf_dir):
+    """Seeded sample of exactly SAMPLE_N clients: the SAMPLE_N smallest
+    values of a seeded hash (a per-partition top-k, then a merge)."""
+    c = _wh(spark, sf_dir)["dim_client"]
+    return c.orderBy(F.xxhash64(F.col("client_id"), F.lit(SAMPLE_SEED)), "client_id").limit(SAMPLE_N)
+
+
+def q_seed_lookup(spark, sf_dir):
+    fct = _wh(spark, sf_dir)["fct_shipping_order"]
+    counts = fct.groupBy("status", "outcome_group").agg(F.count(F.lit(1)).alias("n_orders"))
+    seed = bounded_broadcast(read_seed(spark, "seed_status_mapping")
+                             .select("status", "status_label_vn", F.col("outcome_group").alias("seed_outcome"),
+                                     "is_terminal"))
+    j = counts.join(seed, "status", "left")
+    return j.select("status", "outcome_group", "n_orders", "status_label_vn", "is_terminal",
+                    (F.col("seed_outcome") == F.col("outcome_group")).alias("outcome_agrees"))
+
+
+def q_roundtrip_parquet(spark, sf_dir):
+    """Materialize the KPI mart as snappy parquet in the shared checkpoint
+    folder and read it back."""
+    from hublytics.sources.sinks import write_table
+    path = f"{checkpoint_dir(spark).rstrip('/')}/roundtrip-{uuid.uuid4().hex}"
+    write_table(_wh(spark, sf_dir)["mart_daily_kpi"], path)
+    return spark.read.parquet(path)
+
+
+QUERIES.update({
+    "scd2_two_runs": q_scd2_two_runs,
+    "asof_tier": q_asof_tier,
+    "quarantine_only": q_quarantine_only,
+    "order_dedup": q_order_dedup,
+    "trip_rollup": q_trip_rollup,
+    "trip_batches": q_trip_batches,
+    "cod_adjustments": q_cod_adjustments,
+    "running_minutes": q_running_minutes,
+    "volumetric_weight": q_volumetric_weight,
+    "action_name": q_action_name,
+    "backfill_region": q_backfill_region,
+    "collected_amount": q_collected_amount,
+    "category_share": q_category_share,
+    "status_share": q_status_share,
+    "shipper_pool": q_shipper_pool,
+    "sample_k": q_sample_k,
+    "seed_lookup": q_seed_lookup,
+    "roundtrip_parquet": q_roundtrip_parquet,
+})

@@ -698,3 +698,118 @@ order by failed_attempts desc, region, failure_reason limit 10""",
 select week_start, region, year, discrepancy_records, gross_discrepancy_vnd, net_discrepancy_vnd
 from mart_cod_reconciliation order by year desc, abs(net_discrepancy_vnd) desc, week_start, region""",
 }
+
+# ------------------------------------------------------------------ operators
+
+CTES["stg_client_changed"] = CTES["stg_client"].replace("raw_dim_client", "raw_dim_client_changed")
+CTES["dim_client_changed"] = CTES["dim_client"].replace("stg_client", "stg_client_changed")
+
+_PAY = "client_id, shop_id, client_type, client_channel, tier, is_b2b, region, province_name"
+_T1, _T2 = "2000-01-01 06:00:00", "2000-07-01 06:00:00"
+_SAME = ("(o.tier is not distinct from s.tier and o.client_channel is not distinct from s.client_channel "
+         "and o.is_b2b is not distinct from s.is_b2b)")
+
+
+def _open(src: str, ts: str) -> str:
+    return (f"select {_PAY}, sha256(cast(client_id as varchar) || '|' || '{ts}') as scd_id, "
+            f"timestamp '{ts}' as updated_at, timestamp '{ts}' as valid_from, "
+            f"cast(null as timestamp) as valid_to from {src}")
+
+
+CTES["scd_snap1"] = _open("dim_client", _T1)
+CTES["scd_new2"] = f"""
+select s.* from (select {_PAY} from dim_client_changed) s
+left join (select * from scd_snap1 where valid_to is null) o on o.client_id = s.client_id
+where o.client_id is null or not {_SAME}"""
+CTES["scd_snap2"] = f"""
+select * from scd_snap1 where valid_to is not null
+union all
+select o.* replace (case when s.client_id is not null and not {_SAME} then timestamp '{_T2}'
+                         else o.valid_to end as valid_to)
+from (select * from scd_snap1 where valid_to is null) o
+left join (select {_PAY} from dim_client_changed) s on o.client_id = s.client_id
+union all
+{_open('scd_new2', _T2)}"""
+
+CTES["trip_batch_rows"] = """
+select from_warehouse_id, to_warehouse_id, cast(action_time as date) as route_day, action_time,
+  (row_number() over (partition by from_warehouse_id, to_warehouse_id, cast(action_time as date)
+                      order by action_time, package_code) - 1) // 5 as batch_no
+from raw_data_inside_history where action_category = 'export'"""
+
+OPS_SQL = {
+    "scd2_two_runs": "select * from scd_snap2",
+    "asof_tier": """
+select f.order_code, f.client_id, f.created_at, h.tier, h.client_channel
+from (select order_code, client_id, created_at from fct_shipping_order) f
+left join scd_snap2 h on f.client_id = h.client_id and h.valid_from <= f.created_at
+  and (h.valid_to is null or f.created_at < h.valid_to)""",
+    "quarantine_only": """
+select order_code, status, _data_quality from raw_data_shippingorder_now where _data_quality = 'heavy_issue'""",
+    "order_dedup": """
+select order_code, created_date, status from (
+  select *, row_number() over (partition by order_code order by created_date desc nulls last, status asc nulls last,
+                               deliver_warehouse_id asc nulls last, cod_amount asc nulls last) as _rn
+  from raw_data_shippingorder_now where _data_quality is null or _data_quality <> 'heavy_issue')
+where _rn = 1""",
+    "trip_rollup": "select * from raw_trips",
+    "trip_batches": """
+select from_warehouse_id, to_warehouse_id, route_day, cast(batch_no as bigint) as batch_no,
+  count(*) as n_packages, min(action_time) as first_export_at, max(action_time) as last_export_at
+from trip_batch_rows group by 1, 2, 3, 4""",
+    "cod_adjustments": """
+select cod_id, order_code, collected_amount, discrepancy_amount, reconcile_status, collect_time
+from raw_data_cod where cod_status = 'adjustment'""",
+    "running_minutes": """
+select package_code, action_time, action_category, cast(minute(action_time) as bigint) as handling_min,
+  count(*) over w as seq_no, sum(cast(minute(action_time) as bigint)) over w as cum_minutes
+from raw_data_inside_history
+window w as (partition by package_code order by action_time, action_category asc nulls first
+             rows between unbounded preceding and current row)""",
+    "volumetric_weight": """
+select order_code, weight_gram, length_cm, width_cm, height_cm,
+  greatest(weight_gram, (length_cm * width_cm * height_cm) // 6) as chargeable_weight_gram
+from stg_shippingorder""",
+    "action_name": """
+select action_category, action_name, count(*) as n,
+  case action_category when 'receive' then 'receive_package' when 'pack' then 'pack_to_bag'
+       when 'unpack' then 'unpack_bag' when 'export' then 'export_to_truck' when 'return_receive' then 'return_receive'
+       when 'return_export' then 'return_export' end as derived_name
+from stg_inside_history group by 1, 2""",
+    "backfill_region": """
+select w.warehouse_id, w.province_id, coalesce(w.province_name, p.province_name) as province_name,
+  coalesce(w.region_fullname, p.region) as region_fullname
+from raw_dim_warehouse w left join stg_province p on w.province_id = p.province_id""",
+    "collected_amount": """
+select st as cod_status, count(*) as records,
+  count(*) filter (where collected_amount = (case when st in ('collected', 'transferred') then cod_amount
+                                                  when st = 'failed' then 0.0::double
+                                                  when st = 'pending' then collected_amount end)) as rule_holds,
+  count(*) filter (where collected_amount < 0) as negative_collected
+from (select *, lower(trim(cod_status)) as st from raw_data_cod) where st <> 'adjustment' group by st""",
+    "category_share": """
+select table_name, _data_quality, n, round(n * 100.0 / sum(n) over (partition by table_name), 4) as pct
+from (select table_name, _data_quality, count(*) as n from (
+        select 'data_shippingorder_now' as table_name, _data_quality from raw_data_shippingorder_now
+        union all select 'data_inside_history', _data_quality from raw_data_inside_history
+        union all select 'data_transportation', _data_quality from raw_data_transportation
+        union all select 'data_shipment', _data_quality from raw_data_shipment
+        union all select 'data_cod', _data_quality from raw_data_cod) group by 1, 2)""",
+    "status_share": """
+select status, n, round(n * 100.0 / sum(n) over (), 4) as pct
+from (select status, count(*) as n from raw_data_shippingorder_now group by 1)""",
+    "shipper_pool": """
+select warehouse_id, count(*) as n_shippers, array_to_string(list_sort(list(shipper_id)), ',') as shipper_ids
+from dim_shipper group by 1""",
+    "seed_lookup": """
+select c.status, c.outcome_group, c.n_orders, s.status_label_vn, s.is_terminal,
+  (s.seed_outcome = c.outcome_group) as outcome_agrees
+from (select status, outcome_group, count(*) as n_orders from fct_shipping_order group by 1, 2) c
+left join (select * from (values ('delivered', 'Giao thành công', 'success', true),
+                                 ('return_to_sender', 'Hoàn người gửi', 'return', true),
+                                 ('cancelled', 'Đã huỷ', 'cancelled', true),
+                                 ('picking', 'Đang lấy hàng', 'in_progress', false),
+                                 ('delivering', 'Đang giao', 'in_progress', false))
+           as t(status, status_label_vn, seed_outcome, is_terminal)) s on c.status = s.status""",
+    "roundtrip_parquet": "select * from mart_daily_kpi",
+}

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from oracle.models import CTES, REPORT_SQL, model, with_ctes
+from oracle.models import CTES, OPS_SQL, REPORT_SQL, model, with_ctes
 
 MODEL_NAMES = [n for n in CTES if n.startswith(("stg_", "dim_", "fct_", "mart_"))]
 
 ORACLE: dict[str, str] = {name: model(name) for name in MODEL_NAMES}
 
 ORACLE.update({name: with_ctes(sql) for name, sql in REPORT_SQL.items()})
+ORACLE.update({name: with_ctes(sql) for name, sql in OPS_SQL.items()})
