@@ -239,3 +239,94 @@ QUERIES.update({
     "seed_lookup": q_seed_lookup,
     "roundtrip_parquet": q_roundtrip_parquet,
 })
+
+
+# ---------------------------------------------------------------- quality
+
+from hublytics.operators import quality  # noqa: E402
+
+# Region names present in the fixture data (from `region`).
+FIXTURE_REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
+FIXTURE_YEARS = list(range(1995, 2002))
+# Gate thresholds scaled to the fixture sizes (sf0.01 marts hold about
+# 8k / 100 / 7.5k / 26 / 1.8k rows).
+FIXTURE_GATE = [quality.GateRule("mart_daily_kpi", "week_start", 1000),
+                quality.GateRule("mart_hub_performance", "warehouse_id", 10),
+                quality.GateRule("mart_sla_breakdown", "week_start", 500),
+                quality.GateRule("mart_failure_reasons", "failure_reason", 5),
+                quality.GateRule("mart_cod_reconciliation", "region", 100)]
+DELIVERED_REASON_ERROR_AFTER = 50  # scaled from 5,000 on 5M orders
+
+
+def resolver(spark, wh: Warehouse):
+    def resolve(layer: str, model: str) -> DataFrame:
+        if layer == "source":
+            return wh.raw[model]
+        if layer == "seed":
+            return read_seed(spark, model)
+        return wh[model]
+    return resolve
+
+
+def fixture_checks(test: str | None = None) -> list[quality.Check]:
+    cat = quality.catalogue(FIXTURE_REGIONS)
+    return cat if test is None else [c for c in cat if c.test == test]
+
+
+def q_dq_checks(spark, sf_dir, test: str | None = None):
+    wh = _wh(spark, sf_dir)
+    res = quality.run_checks(spark, resolver(spark, wh), fixture_checks(test))
+    if test is not None:
+        return res
+    n = len(fixture_checks())
+    rules = quality.rule_results(spark, wh["fct_cod"], wh["fct_shipping_order"],
+                                 delivered_error_after=DELIVERED_REASON_ERROR_AFTER)
+    singular = rules.select(
+        F.when(F.col("rule") == "assert_cod_discrepancy_math", n).otherwise(n + 1).alias("check_id"),
+        F.lit("singular").alias("layer"),
+        F.when(F.col("rule") == "assert_cod_discrepancy_math", "fct_cod").otherwise("fct_shipping_order")
+         .alias("model"),
+        F.lit(None).cast("string").alias("column_name"), F.col("rule").alias("test"), "failures", "status")
+    return res.unionByName(singular)
+
+
+def _dq_subset(test: str):
+    def run(spark, sf_dir):
+        return q_dq_checks(spark, sf_dir, test)
+    run.__name__ = f"dq_{test}"
+    return run
+
+
+def q_dq_cod_math(spark, sf_dir):
+    return quality.cod_math_violations(_wh(spark, sf_dir)["fct_cod"])
+
+
+def q_dq_delivered_reason(spark, sf_dir):
+    return quality.delivered_with_reason(_wh(spark, sf_dir)["fct_shipping_order"])
+
+
+def q_dq_gate(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return quality.gate_report(lambda m: wh[m], FIXTURE_GATE)
+
+
+def q_dq_profile(spark, sf_dir):
+    return quality.profile(_wh(spark, sf_dir).raw, FIXTURE_YEARS)
+
+
+def q_quality_classify(spark, sf_dir):
+    return quality.classify_summary(_wh(spark, sf_dir).raw, F.lit(AS_OF).cast("date"))
+
+
+QUERIES.update({
+    "dq_checks": q_dq_checks,
+    "dq_not_null": _dq_subset("not_null"),
+    "dq_unique": _dq_subset("unique"),
+    "dq_accepted": _dq_subset("accepted_values"),
+    "dq_relationships": _dq_subset("relationships"),
+    "dq_cod_math": q_dq_cod_math,
+    "dq_delivered_reason": q_dq_delivered_reason,
+    "dq_gate": q_dq_gate,
+    "dq_profile": q_dq_profile,
+    "quality_classify": q_quality_classify,
+})
