@@ -31,7 +31,7 @@ def dim_province(stg_province: DataFrame) -> DataFrame:
 
 
 def dim_district(stg_district: DataFrame, stg_province: DataFrame, hint: Hint | None = None) -> DataFrame:
-    p = _hint(hint)("province", stg_province.select("province_id", "province_name", "region"))
+    p = _hint(hint)("stg_province", stg_province.select("province_id", "province_name", "region"))
     d = stg_district
     return (d.join(p, d.province_id == p.province_id, "left")
             .select(d.district_id, d.district_name, d.province_id, p.province_name, p.region))
@@ -44,7 +44,7 @@ def dim_date(stg_date: DataFrame) -> DataFrame:
 
 
 def dim_warehouse(stg_warehouse: DataFrame, stg_province: DataFrame, hint: Hint | None = None) -> DataFrame:
-    p = _hint(hint)("province", stg_province.select("province_id", "province_name", "region"))
+    p = _hint(hint)("stg_province", stg_province.select("province_id", "province_name", "region"))
     w = stg_warehouse
     return (w.join(p, w.province_id == p.province_id, "left")
             .select(w.warehouse_id, w.warehouse_name, w.warehouse_type, w.district_id, w.province_id,
@@ -53,7 +53,7 @@ def dim_warehouse(stg_warehouse: DataFrame, stg_province: DataFrame, hint: Hint
 
 
 def dim_client(stg_client: DataFrame, stg_province: DataFrame, hint: Hint | None = None) -> DataFrame:
-    p = _hint(hint)("province", stg_province.select("province_id", "province_name", "region"))
+    p = _hint(hint)("stg_province", stg_province.select("province_id", "province_name", "region"))
     c = stg_client
     return (c.join(p, c.province_id == p.province_id, "left")
             .select(c.client_id, c.shop_id, c.client_type, client_channel(c.client_type).alias("client_channel"),
@@ -65,8 +65,8 @@ def dim_shipper(stg_shipper: DataFrame, dim_wh: DataFrame, stg_province: DataFra
     """Shipper with its warehouse's name and region (region comes from the
     warehouse, province name from the shipper's own province)."""
     h = _hint(hint)
-    w = h("warehouse_names", dim_wh.select(F.col("warehouse_id").alias("w_id"), "warehouse_name", "region"))
-    p = h("province_names", stg_province.select(F.col("province_id").alias("p_id"),
+    w = h("dim_warehouse", dim_wh.select(F.col("warehouse_id").alias("w_id"), "warehouse_name", "region"))
+    p = h("stg_province", stg_province.select(F.col("province_id").alias("p_id"),
                                                 F.col("province_name").alias("p_name")))
     s = stg_shipper
     return (s.join(w, F.col("warehouse_id") == F.col("w_id"), "left")
@@ -80,8 +80,7 @@ def dim_shipper(stg_shipper: DataFrame, dim_wh: DataFrame, stg_province: DataFra
 # ---------------------------------------------------------------- facts
 
 def _wh_region(dim_wh: DataFrame, hint: Hint | None, *extra: str) -> DataFrame:
-    return _hint(hint)("warehouse_region" + "_".join(("",) + extra),
-                       dim_wh.select("warehouse_id", "region", *extra))
+    return _hint(hint)("dim_warehouse", dim_wh.select("warehouse_id", "region", *extra))
 
 
 def fct_shipping_order(stg_order: DataFrame, dim_wh: DataFrame, hint: Hint | None = None) -> DataFrame:

@@ -26,7 +26,8 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
 
 class BroadcastPolicy:
     """Caches the size check per named dimension, so a pipeline counts each
-    dimension once however many facts join it."""
+    dimension once however many facts join it. ``name`` identifies the
+    underlying table: any projection of it has the same row count."""
 
     def __init__(self, max_rows: int = MAX_BROADCAST_ROWS, enabled: bool = True):
         self.max_rows = max_rows

@@ -42,7 +42,7 @@ def mart_daily_kpi(fct_order: DataFrame, dim_date: DataFrame, hint: Hint | None
         F.sum(F.when(F.col("is_cod"), F.col("cod_amount_vnd"))).alias("cod_amount_vnd"),
         F.sum("weight_gram").alias("total_weight_gram"),
         F.avg(F.when(F.col("is_delivered"), F.col("delivery_hours"))).alias("avg_delivery_hours"))
-    d = _hint(hint)("calendar_kpi", dim_date.select(
+    d = _hint(hint)("dim_date", dim_date.select(
         "date_id", "date_day", "week_start", "year", "quarter", "month", "day_of_week_vn",
         "is_weekend", "is_holiday_vn"))
     return (agg.join(d, "date_id", "inner").select(
@@ -68,7 +68,7 @@ def mart_hub_performance(fct_order: DataFrame, dim_wh: DataFrame, hint: Hint | N
         F.count_distinct("deliver_user_id").alias("active_shippers"),
         F.avg(F.when(F.col("is_delivered"), F.col("delivery_hours"))).alias("avg_delivery_hours"),
         F.sum(F.when(F.col("is_cod"), F.col("cod_amount_vnd"))).alias("cod_amount_vnd"))
-    w = _hint(hint)("warehouse_hub", dim_wh.select(
+    w = _hint(hint)("dim_warehouse", dim_wh.select(
         "warehouse_id", "warehouse_name", "warehouse_type", "region", "region_shortname", "province_name"))
     return agg.join(w, "warehouse_id", "inner").select(
         "warehouse_id", "warehouse_name", "warehouse_type", "region", "region_shortname", "province_name",
@@ -87,7 +87,7 @@ def mart_sla_breakdown(fct_order: DataFrame, dim_date: DataFrame, hint: Hint | N
     leadtime (linear interpolation). ``approx_accuracy`` switches both
     quantiles to ``percentile_approx`` for very large groups."""
     o = fct_order.filter(F.col("is_delivered"))
-    d = _hint(hint)("calendar_week", dim_date.select("date_id", "week_start", "year", "quarter"))
+    d = _hint(hint)("dim_date", dim_date.select("date_id", "week_start", "year", "quarter"))
     h = F.col("delivery_hours")
     if approx_accuracy:
         p50 = F.percentile_approx(h, 0.5, approx_accuracy)
@@ -129,7 +129,7 @@ def mart_failure_reasons(fct_attempt: DataFrame) -> DataFrame:
 
 def mart_cod_reconciliation(fct_cod: DataFrame, dim_date: DataFrame, hint: Hint | None = None) -> DataFrame:
     """COD due vs collected per week x year x quarter x collecting region."""
-    d = _hint(hint)("calendar_week", dim_date.select("date_id", "week_start", "year", "quarter"))
+    d = _hint(hint)("dim_date", dim_date.select("date_id", "week_start", "year", "quarter"))
     c = fct_cod
     return (c.join(d, "date_id", "inner")
             .groupBy("week_start", "year", "quarter",

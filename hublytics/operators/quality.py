@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hublytics.functions.semantics import lower_trim, round_like
-from hublytics.operators.joins import bounded_broadcast
+from hublytics.operators.joins import BroadcastPolicy, bounded_broadcast
 
 
 @dataclass(frozen=True)
@@ -105,10 +105,32 @@ def catalogue(regions: tuple = REGIONS_VN) -> list[Check]:
 Resolver = Callable[[str, str], DataFrame]  # (layer, model) -> DataFrame
 
 
+def union_all(dfs: list[DataFrame]) -> DataFrame:
+    """Union by name as a balanced tree: each analysis step sees a plan of
+    depth log(n) instead of n, so building n parts stays near-linear."""
+    while len(dfs) > 1:
+        dfs = [dfs[i].unionByName(dfs[i + 1]) if i + 1 < len(dfs) else dfs[i] for i in range(0, len(dfs), 2)]
+    return dfs[0]
+
+
+def _sql_lit(v) -> str:
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _ident(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
+
 def run_checks(spark: SparkSession, resolve: Resolver, checks: list[Check],
-               parent_hint: Callable[[DataFrame], DataFrame] = bounded_broadcast) -> DataFrame:
+               parent_hint: Callable[[str, DataFrame], DataFrame] | None = None) -> DataFrame:
     """One row per check: check_id, layer, model, column_name, test,
-    failures, status (PASS, or ERROR/WARN by severity)."""
+    failures, status (PASS, or ERROR/WARN by severity).
+
+    Per-check expressions are written as SQL expression strings: one JVM
+    call per expression keeps driver-side plan construction cheap when a
+    catalogue has hundreds of checks.
+    """
+    hint = parent_hint or BroadcastPolicy()
     parts: list[DataFrame] = []
     by_model: dict[tuple[str, str], list[tuple[int, Check]]] = {}
     for i, ch in enumerate(checks):
@@ -120,42 +142,37 @@ def run_checks(spark: SparkSession, resolve: Resolver, checks: list[Check],
         if simple:
             aggs = []
             for i, ch in simple:
-                col = F.col(ch.column)
-                cond = col.isNull() if ch.test == "not_null" else (col.isNotNull() & ~col.isin(*ch.values))
-                aggs.append(F.count_if(cond).alias(f"c{i}"))
-            row = df.agg(*aggs)
-            parts.append(row.select(F.inline(F.array(*[
-                F.struct(F.lit(i).alias("check_id"), F.col(f"c{i}").cast("long").alias("failures"))
-                for i, _ in simple]))))
+                c = _ident(ch.column)
+                cond = (f"{c} is null" if ch.test == "not_null" else
+                        f"{c} is not null and not {c} in ({', '.join(_sql_lit(v) for v in ch.values)})")
+                aggs.append(F.expr(f"count_if({cond})").alias(f"c{i}"))
+            structs = ", ".join(f"struct({i} as check_id, cast(c{i} as bigint) as failures)" for i, _ in simple)
+            parts.append(df.agg(*aggs).selectExpr(f"inline(array({structs}))"))
         uniq = [(i, ch) for i, ch in items if ch.test == "unique"]
         if uniq:
-            pairs = df.select(F.inline(F.array(*[
-                F.struct(F.lit(i).alias("check_id"), F.col(ch.column).cast("string").alias("v"))
-                for i, ch in uniq]))).filter(F.col("v").isNotNull())
-            dup = (pairs.groupBy("check_id", "v").agg(F.count(F.lit(1)).alias("n"))
-                   .filter(F.col("n") > 1).groupBy("check_id").agg(F.count(F.lit(1)).alias("failures")))
-            zeros = spark.createDataFrame([(i, 0) for i, _ in uniq], "check_id int, failures long")
-            parts.append(dup.unionByName(zeros).groupBy("check_id").agg(F.sum("failures").alias("failures")))
+            # all unique tests of the model in one pass: (check, value) pairs
+            structs = ", ".join(f"struct({i} as check_id, cast({_ident(ch.column)} as string) as v)" for i, ch in uniq)
+            pairs = df.selectExpr(f"inline(array({structs}))").filter("v is not null")
+            parts.append(pairs.groupBy("check_id", "v").agg(F.expr("count(1) as n"))
+                         .filter("n > 1").groupBy("check_id").agg(F.expr("cast(count(1) as bigint) as failures")))
         for i, ch in items:
             if ch.test != "relationships":
                 continue
-            parent_layer = "source" if layer == "source" else layer
-            parent = resolve(parent_layer, ch.to).select(F.col(ch.field).alias("__p")).filter(
-                F.col("__p").isNotNull()).distinct()
-            child = df.select(F.col(ch.column).alias("__c")).filter(F.col("__c").isNotNull())
-            orphans = child.join(parent_hint(parent), child["__c"] == F.col("__p"), "left_anti")
-            parts.append(orphans.agg(F.count(F.lit(1)).alias("failures"))
-                         .select(F.lit(i).alias("check_id"), "failures"))
-
-    counts = reduce(lambda a, b: a.unionByName(b), parts)
+            keys = resolve(layer, ch.to).selectExpr(f"{_ident(ch.field)} as __p").filter("__p is not null")
+            parent = hint(ch.to, keys)
+            child = df.selectExpr(f"{_ident(ch.column)} as __c").filter("__c is not null")
+            orphans = child.join(parent, child["__c"] == parent["__p"], "left_anti")
+            parts.append(orphans.selectExpr(f"{i} as check_id", "cast(count(1) as bigint) as failures"))
+
+    # at most one row per check: a bounded result, safe to broadcast
+    counts = F.broadcast(union_all(parts))
     meta = spark.createDataFrame(
         [(i, ch.layer, ch.model, ch.column, ch.test, ch.severity) for i, ch in enumerate(checks)],
         "check_id int, layer string, model string, column_name string, test string, severity string")
-    out = F.broadcast(meta).join(counts, "check_id", "left")
-    fails = F.coalesce(F.col("failures"), F.lit(0)).cast("long")
-    return out.select("check_id", "layer", "model", "column_name", "test", fails.alias("failures"),
-                      F.when(fails == 0, "PASS").when(F.col("severity") == "warn", "WARN")
-                      .otherwise("ERROR").alias("status"))
+    return meta.join(counts, "check_id", "left").selectExpr(
+        "check_id", "layer", "model", "column_name", "test", "coalesce(failures, 0) as failures",
+        "case when coalesce(failures, 0) = 0 then 'PASS' when severity = 'warn' then 'WARN' "
+        "else 'ERROR' end as status")
 
 
 # ---------------------------------------------------------------- business rules
@@ -213,7 +230,7 @@ def gate_report(resolve: Callable[[str], DataFrame], rules: list[GateRule]) -> D
              .select(F.lit(r.mart).alias("mart"), F.lit(r.key).alias("key_column"), "rows", "null_keys",
                      F.lit(r.min_rows).cast("long").alias("min_rows"))
              for r in rules]
-    out = reduce(lambda a, b: a.unionByName(b), parts)
+    out = union_all(parts)
     return out.withColumn("passed", (F.col("rows") >= F.col("min_rows")) & (F.col("null_keys") == 0))
 
 
@@ -277,7 +294,7 @@ def profile(raw: dict[str, DataFrame], allowed_years: list[int]) -> DataFrame:
     for t, c in [("data_inside_history", "warehouse_id"), ("data_transportation", "vehicle_weight_kg")]:
         a = raw[t].agg((F.count_if(F.col(c).isNull()) * 100.0 / F.count(F.lit(1))).alias("r"))
         parts.append(a.select(*_row("null_rate", f"{t}.{c}", round_like("r", 6))))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return union_all(parts)
 
 
 # ---------------------------------------------------------------- classifier
@@ -338,4 +355,4 @@ def classify_summary(raw: dict[str, DataFrame], as_of: Column) -> DataFrame:
     parts = [df.groupBy("carried", "derived").agg(F.count(F.lit(1)).alias("n"))
              .select(F.lit(t).alias("table_name"), "carried", "derived", "n")
              for t, df in quality_rules(raw, as_of).items()]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return union_all(parts)

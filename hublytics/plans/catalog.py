@@ -22,11 +22,27 @@ AS_OF = "2001-06-30"
 _CACHE: dict[tuple[int, str], tuple[Fixture, Warehouse]] = {}
 
 
+def materialize_raw(spark: SparkSession, fx: Fixture) -> dict[str, DataFrame]:
+    """Write the derived raw tables once to the shared checkpoint folder and
+    read them back: later plans start at parquet scans (with pushdown and
+    pruning) instead of re-deriving the fixture, and a lost executor only
+    recomputes from the written files."""
+    import os
+    import uuid
+    from hublytics.session import checkpoint_dir
+    from hublytics.sources.raw import read_raw
+    from hublytics.sources.sinks import write_table
+    root = os.path.join(checkpoint_dir(spark), f"raw-{uuid.uuid4().hex}")
+    for name, df in fx.tables().items():
+        write_table(df, os.path.join(root, f"{name}.parquet"))
+    return {name: read_raw(spark, root, name) for name in fx.tables()}
+
+
 def warehouse_for(spark: SparkSession, sf_dir: str) -> tuple[Fixture, Warehouse]:
     key = (id(spark), sf_dir)
     if key not in _CACHE:
         fx = Fixture(spark, sf_dir)
-        _CACHE[key] = (fx, Warehouse(fx.tables(), as_of=AS_OF))
+        _CACHE[key] = (fx, Warehouse(materialize_raw(spark, fx), as_of=AS_OF))
     return _CACHE[key]
 
 
@@ -275,7 +291,7 @@ def fixture_checks(test: str | None = None) -> list[quality.Check]:
 
 def q_dq_checks(spark, sf_dir, test: str | None = None):
     wh = _wh(spark, sf_dir)
-    res = quality.run_checks(spark, resolver(spark, wh), fixture_checks(test))
+    res = quality.run_checks(spark, resolver(spark, wh), fixture_checks(test), wh.hint)
     if test is not None:
         return res
     n = len(fixture_checks())
