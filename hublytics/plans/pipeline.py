@@ -20,6 +20,7 @@ from __future__ import annotations
 import os
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,13 +47,36 @@ class Timer:
         return out
 
 
+# Build order: each level only reads models of earlier levels, so the
+# models of one level are written concurrently (Spark runs jobs submitted
+# from several driver threads side by side).
+LEVELS = [
+    ["dim_province", "dim_district", "dim_date", "dim_warehouse", "dim_client"],
+    ["dim_shipper", "fct_shipping_order", "fct_inside_history", "fct_transportation", "fct_shipment", "fct_cod"],
+    ["mart_daily_kpi", "mart_hub_performance", "mart_sla_breakdown", "mart_failure_reasons",
+     "mart_cod_reconciliation"],
+]
+
+
 def build(spark: SparkSession, wh: Warehouse, out_dir: str, timer: Timer | None = None,
-          models: list[str] | None = None) -> None:
+          models: list[str] | None = None, threads: int = 4) -> None:
+    """Write every core table and mart, level by level; within a level up to
+    ``threads`` models are written at once."""
     timer = timer or Timer()
-    for name in models or (Warehouse.CORE + Warehouse.MARTS):
-        path = os.path.join(out_dir, name)
-        timer(f"build.{name}", lambda n=name, p=path: write_table(wh[n], p))
-        wh.replace(name, spark.read.parquet(path))
+    wanted = set(models or (Warehouse.CORE + Warehouse.MARTS))
+    for level in LEVELS:
+        names = [n for n in level if n in wanted]
+        # plans are built on the calling thread; only the writes run in parallel
+        plans = {n: wh[n] for n in names}
+        paths = {n: os.path.join(out_dir, n) for n in names}
+
+        def write(n: str) -> None:
+            timer(f"build.{n}", lambda: write_table(plans[n], paths[n]))
+
+        with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+            list(pool.map(write, names))
+        for n in names:
+            wh.replace(n, spark.read.parquet(paths[n]))
 
 
 def test(spark: SparkSession, wh: Warehouse, out_dir: str, checks: list[quality.Check],
@@ -88,12 +112,12 @@ def snapshot(spark: SparkSession, wh: Warehouse, out_dir: str, run_at: str) -> s
 
 def run(spark: SparkSession, raw_dir: str, out_dir: str, as_of: str | None = None, run_at: str | None = None,
         checks: list[quality.Check] | None = None, gate_rules: list[quality.GateRule] | None = None,
-        delivered_error_after: int = 5000, raise_on_gate: bool = True) -> dict:
+        delivered_error_after: int = 5000, raise_on_gate: bool = True, threads: int = 4) -> dict:
     """Run the whole day; returns step timings and the test summary."""
     timer = Timer()
     raw = read_raw_tables(spark, raw_dir)
     wh = Warehouse(raw, as_of=as_of)
-    build(spark, wh, out_dir, timer)
+    timer("build", lambda: build(spark, wh, out_dir, timer, threads=threads))
     results = timer("test", lambda: test(spark, wh, out_dir, checks or quality.catalogue(), delivered_error_after))
     summary = {r["status"]: r["n"] for r in results.groupBy("status").agg(F.count(F.lit(1)).alias("n")).collect()}
     run_at = run_at or time.strftime("%Y-%m-%d %H:%M:%S")
