@@ -9,7 +9,7 @@ the k rows are deterministic; Spark plans them as TakeOrderedAndProject
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hublytics.functions.semantics import pct, round_like
@@ -80,6 +80,13 @@ def rpt_cod_by_region(cod: DataFrame) -> DataFrame:
             .orderBy(F.col("year").desc(), F.abs(F.col("net_discrepancy_vnd")).desc(), "week_start", "region"))
 
 
+def rpt_hub_rank(hub: DataFrame) -> DataFrame:
+    """Hubs ranked by volume inside their region (ties share a rank). The
+    window is partitioned by region over the small hub mart."""
+    w = Window.partitionBy("region").orderBy(F.col("total_orders").desc())
+    return hub.select("warehouse_id", "region", "total_orders", F.rank().over(w).alias("hub_rank"))
+
+
 REPORTS = {
     "rpt_kpi_weekly_summary": ("mart_daily_kpi", rpt_kpi_weekly_summary),
     "rpt_weekly_volume": ("mart_daily_kpi", rpt_weekly_volume),
@@ -90,4 +97,5 @@ REPORTS = {
     "rpt_sla_by_region": ("mart_sla_breakdown", rpt_sla_by_region),
     "rpt_failure_distribution": ("mart_failure_reasons", rpt_failure_distribution),
     "rpt_cod_by_region": ("mart_cod_reconciliation", rpt_cod_by_region),
+    "rpt_hub_rank": ("mart_hub_performance", rpt_hub_rank),
 }

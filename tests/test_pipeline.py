@@ -53,3 +53,15 @@ def test_gate_raises_listing_all_failures(spark, tmp_root, raw_dir):
         pipeline.run(spark, raw_dir, out, as_of=catalog.AS_OF, run_at="2001-07-01 06:00:00",
                      checks=catalog.fixture_checks("not_null"), gate_rules=rules)
     assert "mart_daily_kpi" in str(e.value) and "mart_failure_reasons" in str(e.value)
+
+
+def test_export_partitions_weekly_marts(spark, tmp_root):
+    from hublytics.plans.catalog import warehouse_for
+    from hublytics.plans.views import export_marts
+    wh = warehouse_for(spark, SF_SMALL)[1]
+    paths = export_marts(wh, os.path.join(tmp_root, "export"))
+    kpi_dirs = [d for d in os.listdir(paths["mart_daily_kpi"]) if d.startswith("week_start=")]
+    assert len(kpi_dirs) > 10
+    assert not any(d.startswith("week_start=") for d in os.listdir(paths["mart_hub_performance"]))
+    back = spark.read.parquet(paths["mart_daily_kpi"])
+    assert back.count() == wh["mart_daily_kpi"].count()
