@@ -1 +1,7 @@
+"""Streaming: intentionally empty.
 
+The warehouse this package rebuilds is a daily batch: it has no watermark,
+window-over-time, stateful or late-data operators, so there is nothing to
+express with Structured Streaming. A daily run is :func:`hublytics.plans.
+pipeline.run`; scheduling it is left to the platform's scheduler.
+"""
