@@ -205,7 +205,7 @@ def week_start(d: ColumnOrName) -> Column:
 
 def tenure_days(hire: ColumnOrName, as_of: ColumnOrName | None = None) -> Column:
     ref = F.current_date() if as_of is None else _c(as_of)
-    return F.when(_c(hire).isNotNull(), F.datediff(ref, _c(hire)))
+    return F.when(_c(hire).isNotNull(), F.datediff(ref, _c(hire)).cast("long"))
 
 
 def volumetric_weight(weight: ColumnOrName, length: ColumnOrName,

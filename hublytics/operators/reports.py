@@ -84,7 +84,7 @@ def rpt_hub_rank(hub: DataFrame) -> DataFrame:
     """Hubs ranked by volume inside their region (ties share a rank). The
     window is partitioned by region over the small hub mart."""
     w = Window.partitionBy("region").orderBy(F.col("total_orders").desc())
-    return hub.select("warehouse_id", "region", "total_orders", F.rank().over(w).alias("hub_rank"))
+    return hub.select("warehouse_id", "region", "total_orders", F.rank().over(w).cast("long").alias("hub_rank"))
 
 
 REPORTS = {

@@ -66,11 +66,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = spark.sparkContext.getCheckpointDir() if hasattr(
-            spark.sparkContext, "getCheckpointDir") else None
+        try:
+            current = spark.sparkContext.getCheckpointDir()
+        except Exception:  # no SparkContext (e.g. a remote session)
+            current = None
     if current:
         return current
     local = tempfile.mkdtemp(prefix="hublytics-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
+    try:
+        spark.sparkContext.setCheckpointDir(local)
+    except Exception:
+        pass
     return local

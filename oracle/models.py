@@ -768,7 +768,7 @@ select cod_id, order_code, collected_amount, discrepancy_amount, reconcile_statu
 from raw_data_cod where cod_status = 'adjustment'""",
     "running_minutes": """
 select package_code, action_time, action_category, cast(minute(action_time) as bigint) as handling_min,
-  count(*) over w as seq_no, sum(cast(minute(action_time) as bigint)) over w as cum_minutes
+  count(*) over w as seq_no, cast(sum(cast(minute(action_time) as bigint)) over w as bigint) as cum_minutes
 from raw_data_inside_history
 window w as (partition by package_code order by action_time, action_category asc nulls first
              rows between unbounded preceding and current row)""",
