@@ -58,13 +58,21 @@ def snapshot(src: DataFrame, key: str, check_cols: list[str], run_at: str | Colu
     same = reduce(lambda a, b: a & b, [F.col(f"o__{c}").eqNullSafe(F.col(f"s__{c}")) for c in check_cols])
     changed = in_o & in_s & ~same
 
-    # current versions: kept as they are, or closed at the run time
-    kept = j.filter(in_o).select(
-        *[F.col(f"o__{c}").alias(c) for c in payload + ["scd_id", "updated_at", "valid_from"]],
-        F.when(changed, ts).otherwise(F.col("o__valid_to")).alias("valid_to"))
-    # new versions: new keys and changed keys
-    new = j.filter(in_s & (~in_o | changed)).select(*[F.col(f"s__{c}").alias(c) for c in payload])
-    return history.unionByName(kept).unionByName(_open_version(new, key, ts))
+    # One pass over the joined rows emits up to two rows each: the current
+    # version (kept, or closed at the run time) and the new version (for a
+    # new or changed key). Emitting both from one join keeps a single
+    # shuffle of each side; separate filters would let the optimizer split
+    # the full outer join into two joins.
+    cols = payload + META
+    current_row = F.struct(*[F.col(f"o__{c}").alias(c) for c in payload + ["scd_id", "updated_at", "valid_from"]],
+                           F.when(changed, ts).otherwise(F.col("o__valid_to")).alias("valid_to"))
+    new_row = F.struct(*[F.col(f"s__{c}").alias(c) for c in payload],
+                       _scd_id(F.col(f"s__{key}"), ts).alias("scd_id"), ts.alias("updated_at"),
+                       ts.alias("valid_from"), F.lit(None).cast("timestamp_ntz").alias("valid_to"))
+    rows = j.select(F.explode(F.array(F.when(in_o, current_row),
+                                      F.when(in_s & (~in_o | changed), new_row))).alias("r"))
+    merged = rows.filter(F.col("r").isNotNull()).select(*[F.col(f"r.{c}").alias(c) for c in cols])
+    return history.unionByName(merged)
 
 
 def as_of_join(facts: DataFrame, history: DataFrame, key: str, at: str, attrs: list[str],
