@@ -22,27 +22,59 @@ AS_OF = "2001-06-30"
 _CACHE: dict[tuple[int, str], tuple[Fixture, Warehouse]] = {}
 
 
-def materialize_raw(spark: SparkSession, fx: Fixture) -> dict[str, DataFrame]:
-    """Write the derived raw tables once to the shared checkpoint folder and
-    read them back: later plans start at parquet scans (with pushdown and
-    pruning) instead of re-deriving the fixture, and a lost executor only
-    recomputes from the written files."""
-    import os
-    import uuid
-    from hublytics.session import checkpoint_dir
-    from hublytics.sources.raw import read_raw
-    from hublytics.sources.sinks import write_table
-    root = os.path.join(checkpoint_dir(spark), f"raw-{uuid.uuid4().hex}")
-    for name, df in fx.tables().items():
-        write_table(df, os.path.join(root, f"{name}.parquet"))
-    return {name: read_raw(spark, root, name) for name in fx.tables()}
+class MaterializedRaw(dict):
+    """Raw tables derived from the test tables, each written once (on first
+    use) to the shared checkpoint folder and read back: later plans start at
+    parquet scans (with pushdown and pruning) instead of re-deriving the
+    fixture, and a lost executor only recomputes from the written files.
+    Only the tables a query touches are ever derived."""
+
+    def __init__(self, spark: SparkSession, fx: Fixture):
+        super().__init__()
+        import os
+        import uuid
+        from hublytics.session import checkpoint_dir
+        self.spark, self.fx = spark, fx
+        self.root = os.path.join(checkpoint_dir(spark), f"raw-{uuid.uuid4().hex}")
+        self.builders = {
+            "dim_province": fx.dim_province, "dim_district": fx.dim_district, "dim_date": fx.dim_date,
+            "dim_warehouse": fx.dim_warehouse, "dim_client": fx.dim_client, "dim_shipper": fx.dim_shipper,
+            "data_shippingorder_now": fx.data_shippingorder_now, "data_inside_history": fx.data_inside_history,
+            "data_transportation": fx.data_transportation, "data_shipment": fx.data_shipment,
+            "data_cod": fx.data_cod,
+        }
+
+    def __missing__(self, name: str) -> DataFrame:
+        from hublytics.sources.raw import read_raw
+        from hublytics.sources.sinks import write_table
+        if name not in self.builders:
+            raise KeyError(name)
+        write_table(self.builders[name](), f"{self.root}/{name}.parquet")
+        df = read_raw(self.spark, self.root, name)
+        self[name] = df
+        return df
+
+    def __contains__(self, name) -> bool:
+        return name in self.builders
+
+    def keys(self):
+        return self.builders.keys()
+
+    def __iter__(self):
+        return iter(self.builders)
+
+    def __len__(self) -> int:
+        return len(self.builders)
+
+    def items(self):
+        return [(n, self[n]) for n in self.builders]
 
 
 def warehouse_for(spark: SparkSession, sf_dir: str) -> tuple[Fixture, Warehouse]:
     key = (id(spark), sf_dir)
     if key not in _CACHE:
         fx = Fixture(spark, sf_dir)
-        _CACHE[key] = (fx, Warehouse(materialize_raw(spark, fx), as_of=AS_OF))
+        _CACHE[key] = (fx, Warehouse(MaterializedRaw(spark, fx), as_of=AS_OF))
     return _CACHE[key]
 
 

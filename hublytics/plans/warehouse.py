@@ -22,7 +22,7 @@ class Warehouse:
     def __init__(self, raw: dict[str, DataFrame], as_of: Column | str | None = None,
                  quarantine_flag: str = staging.QUARANTINE_FLAG, hint: Callable | None = None,
                  sla_approx_accuracy: int | None = None):
-        self.raw = dict(raw)
+        self.raw = raw
         if isinstance(as_of, str):
             as_of = F.lit(as_of).cast("date")
         self.as_of = as_of
