@@ -34,12 +34,15 @@ class BroadcastPolicy:
         self.enabled = enabled
         self._ok: dict[str, bool] = {}
 
-    def __call__(self, name: str, df: DataFrame) -> DataFrame:
+    def is_small(self, name: str, df: DataFrame) -> bool:
         if not self.enabled:
-            return df
+            return False
         if name not in self._ok:
             self._ok[name] = row_count_at_most(df, self.max_rows)
-        return F.broadcast(df) if self._ok[name] else df
+        return self._ok[name]
+
+    def __call__(self, name: str, df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if self.is_small(name, df) else df
 
 
 def no_hint(name: str, df: DataFrame) -> DataFrame:

@@ -57,7 +57,15 @@ def mart_daily_kpi(fct_order: DataFrame, dim_date: DataFrame, hint: Hint | None
         round_like("avg_delivery_hours", 2).alias("avg_delivery_hours")))
 
 
-def mart_hub_performance(fct_order: DataFrame, dim_wh: DataFrame, hint: Hint | None = None) -> DataFrame:
+def _distinct(col: str, approx_rsd: float | None):
+    """Exact distinct count, or HyperLogLog++ with relative error
+    ``approx_rsd`` (one small sketch per group instead of a second
+    aggregation level keyed by the counted column)."""
+    return F.approx_count_distinct(col, approx_rsd) if approx_rsd else F.count_distinct(col)
+
+
+def mart_hub_performance(fct_order: DataFrame, dim_wh: DataFrame, hint: Hint | None = None,
+                         approx_rsd: float | None = None) -> DataFrame:
     """Per delivering warehouse: volume, rates, active shippers, leadtime."""
     o = fct_order.filter(F.col("deliver_warehouse_id").isNotNull())
     agg = o.groupBy(F.col("deliver_warehouse_id").alias("warehouse_id")).agg(
@@ -65,7 +73,7 @@ def mart_hub_performance(fct_order: DataFrame, dim_wh: DataFrame, hint: Hint | N
         _count_if(F.col("is_delivered")).alias("delivered_orders"),
         _count_if(F.col("is_returned")).alias("returned_orders"),
         _count_if(F.col("is_sla_breach")).alias("sla_breach_orders"),
-        F.count_distinct("deliver_user_id").alias("active_shippers"),
+        _distinct("deliver_user_id", approx_rsd).alias("active_shippers"),
         F.avg(F.when(F.col("is_delivered"), F.col("delivery_hours"))).alias("avg_delivery_hours"),
         F.sum(F.when(F.col("is_cod"), F.col("cod_amount_vnd"))).alias("cod_amount_vnd"))
     w = _hint(hint)("dim_warehouse", dim_wh.select(
@@ -109,14 +117,14 @@ def mart_sla_breakdown(fct_order: DataFrame, dim_date: DataFrame, hint: Hint | N
                     round_like("_p90", 2).alias("p90_delivery_hours")))
 
 
-def mart_failure_reasons(fct_attempt: DataFrame) -> DataFrame:
+def mart_failure_reasons(fct_attempt: DataFrame, approx_rsd: float | None = None) -> DataFrame:
     """Failed attempts per region x reason and the share of the region's
     failures. The share is taken against the region's own total with plain
     equality, so the 'unknown' (NULL) region gets a NULL share."""
     s = fct_attempt.filter(F.col("is_failed") & F.col("failure_reason").isNotNull())
     per = s.groupBy("deliver_region", "failure_reason").agg(
         F.count(F.lit(1)).alias("failed_attempts"),
-        F.count_distinct("order_code").alias("affected_orders"))
+        _distinct("order_code", approx_rsd).alias("affected_orders"))
     # region totals from the small aggregate (regions x reasons rows)
     region_total = F.sum("failed_attempts").over(Window.partitionBy("deliver_region"))
     return (per.select(

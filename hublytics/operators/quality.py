@@ -159,8 +159,16 @@ def run_checks(spark: SparkSession, resolve: Resolver, checks: list[Check],
             if ch.test != "relationships":
                 continue
             keys = resolve(layer, ch.to).selectExpr(f"{_ident(ch.field)} as __p").filter("__p is not null")
-            parent = hint(ch.to, keys)
             child = df.selectExpr(f"{_ident(ch.column)} as __c").filter("__c is not null")
+            if isinstance(hint, BroadcastPolicy) and not hint.is_small(ch.to, keys):
+                # big parent: shuffle distinct child keys with their row
+                # counts (map-side combine collapses a hot key), not rows
+                per_key = child.groupBy("__c").agg(F.expr("count(1) as __n"))
+                orphans = per_key.join(keys.distinct(), per_key["__c"] == keys["__p"], "left_anti")
+                parts.append(orphans.selectExpr(f"{i} as check_id",
+                                                "cast(coalesce(sum(__n), 0) as bigint) as failures"))
+                continue
+            parent = hint(ch.to, keys)
             orphans = child.join(parent, child["__c"] == parent["__p"], "left_anti")
             parts.append(orphans.selectExpr(f"{i} as check_id", "cast(count(1) as bigint) as failures"))
 

@@ -21,14 +21,16 @@ from hublytics.operators.joins import BroadcastPolicy
 class Warehouse:
     def __init__(self, raw: dict[str, DataFrame], as_of: Column | str | None = None,
                  quarantine_flag: str = staging.QUARANTINE_FLAG, hint: Callable | None = None,
-                 sla_approx_accuracy: int | None = None):
+                 sla_approx_accuracy: int | None = None, distinct_approx_rsd: float | None = None):
         self.raw = raw
         if isinstance(as_of, str):
             as_of = F.lit(as_of).cast("date")
         self.as_of = as_of
         self.flag = quarantine_flag
         self.hint = hint if hint is not None else BroadcastPolicy()
+        # opt-in approximate percentiles / distinct counts for very large groups
         self.sla_approx_accuracy = sla_approx_accuracy
+        self.distinct_approx_rsd = distinct_approx_rsd
         self._memo: dict[str, DataFrame] = {}
         self._overrides: dict[str, DataFrame] = {}
 
@@ -86,10 +88,11 @@ class Warehouse:
             "fct_cod": lambda: core.fct_cod(s["stg_cod"], s["dim_warehouse"], h),
             "mart_daily_kpi": lambda: marts.mart_daily_kpi(s["fct_shipping_order"], s["dim_date"], h),
             "mart_hub_performance": lambda: marts.mart_hub_performance(s["fct_shipping_order"],
-                                                                       s["dim_warehouse"], h),
+                                                                       s["dim_warehouse"], h,
+                                                                       self.distinct_approx_rsd),
             "mart_sla_breakdown": lambda: marts.mart_sla_breakdown(s["fct_shipping_order"], s["dim_date"], h,
                                                                    self.sla_approx_accuracy),
-            "mart_failure_reasons": lambda: marts.mart_failure_reasons(s["fct_shipment"]),
+            "mart_failure_reasons": lambda: marts.mart_failure_reasons(s["fct_shipment"], self.distinct_approx_rsd),
             "mart_cod_reconciliation": lambda: marts.mart_cod_reconciliation(s["fct_cod"], s["dim_date"], h),
         }
         if name not in builders:

@@ -139,3 +139,25 @@ def test_minute_level_leadtimes_agree_with_tolerance(spark):
     assert got.keys() == want.keys()
     for k in got:
         assert abs(got[k] - want[k]) < 1e-9
+
+
+def test_relationship_check_same_result_with_and_without_broadcast(spark):
+    from hublytics.operators import quality
+    from hublytics.operators.joins import BroadcastPolicy
+    from hublytics.plans.catalog import fixture_checks, resolver
+    w = wh(spark)
+    checks = fixture_checks("relationships")
+    small = quality.run_checks(spark, resolver(spark, w), checks, BroadcastPolicy())
+    big = quality.run_checks(spark, resolver(spark, w), checks, BroadcastPolicy(max_rows=0))
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
+    assert any(r["failures"] > 0 for r in small.collect())
+
+
+def test_approximate_distinct_counts_are_close(spark):
+    from hublytics.operators import marts
+    w = wh(spark)
+    exact = {r["warehouse_id"]: r["active_shippers"] for r in w["mart_hub_performance"].collect()}
+    approx = {r["warehouse_id"]: r["active_shippers"] for r in
+              marts.mart_hub_performance(w["fct_shipping_order"], w["dim_warehouse"], w.hint, 0.01).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[k] - exact[k]) <= max(2, 0.05 * exact[k]) for k in exact)
