@@ -121,6 +121,21 @@ def _ident(c: str) -> str:
     return "`" + c.replace("`", "``") + "`"
 
 
+def count_expr(ch: Check) -> str:
+    """SQL aggregate counting the failures of a not_null / accepted_values
+    check (usable in ``agg`` or in ``DataFrame.observe``)."""
+    c = _ident(ch.column)
+    if ch.test == "not_null":
+        return f"count_if({c} is null)"
+    if ch.test == "accepted_values":
+        return f"count_if({c} is not null and not {c} in ({', '.join(_sql_lit(v) for v in ch.values)}))"
+    raise ValueError(f"{ch.test} is not a row-local check")
+
+
+def status_of(failures: int, severity: str) -> str:
+    return "PASS" if failures == 0 else ("WARN" if severity == "warn" else "ERROR")
+
+
 def run_checks(spark: SparkSession, resolve: Resolver, checks: list[Check],
                parent_hint: Callable[[str, DataFrame], DataFrame] | None = None) -> DataFrame:
     """One row per check: check_id, layer, model, column_name, test,
@@ -140,12 +155,7 @@ def run_checks(spark: SparkSession, resolve: Resolver, checks: list[Check],
         df = resolve(layer, model)
         simple = [(i, ch) for i, ch in items if ch.test in ("not_null", "accepted_values")]
         if simple:
-            aggs = []
-            for i, ch in simple:
-                c = _ident(ch.column)
-                cond = (f"{c} is null" if ch.test == "not_null" else
-                        f"{c} is not null and not {c} in ({', '.join(_sql_lit(v) for v in ch.values)})")
-                aggs.append(F.expr(f"count_if({cond})").alias(f"c{i}"))
+            aggs = [F.expr(count_expr(ch)).alias(f"c{i}") for i, ch in simple]
             structs = ", ".join(f"struct({i} as check_id, cast(c{i} as bigint) as failures)" for i, _ in simple)
             parts.append(df.agg(*aggs).selectExpr(f"inline(array({structs}))"))
         uniq = [(i, ch) for i, ch in items if ch.test == "unique"]

@@ -19,10 +19,11 @@ from __future__ import annotations
 
 import os
 import time
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from hublytics.operators import history, quality
@@ -58,16 +59,35 @@ LEVELS = [
 ]
 
 
+ROW_LOCAL_TESTS = ("not_null", "accepted_values")
+
+
 def build(spark: SparkSession, wh: Warehouse, out_dir: str, timer: Timer | None = None,
-          models: list[str] | None = None, threads: int = 4) -> None:
+          models: list[str] | None = None, threads: int = 4,
+          observe: list[tuple[int, quality.Check]] | None = None) -> dict[int, int]:
     """Write every core table and mart, level by level; within a level up to
-    ``threads`` models are written at once."""
+    ``threads`` models are written at once.
+
+    ``observe`` lists (id, check) pairs of row-local checks (not_null,
+    accepted_values) on built models: their failure counts are computed by
+    the write job itself (``DataFrame.observe``), so those checks cost no
+    extra scan. Returns ``{check id: failures}``.
+    """
     timer = timer or Timer()
     wanted = set(models or (Warehouse.CORE + Warehouse.MARTS))
+    observed: dict[int, int] = {}
     for level in LEVELS:
         names = [n for n in level if n in wanted]
         # plans are built on the calling thread; only the writes run in parallel
-        plans = {n: wh[n] for n in names}
+        plans, observations = {}, {}
+        for n in names:
+            df = wh[n]
+            mine = [(i, c) for i, c in (observe or []) if c.model == n and c.test in ROW_LOCAL_TESTS]
+            if mine:
+                obs = Observation(f"dq_{n}_{uuid.uuid4().hex}")
+                df = df.observe(obs, *[F.expr(quality.count_expr(c)).alias(f"c{i}") for i, c in mine])
+                observations[n] = (obs, mine)
+            plans[n] = df
         paths = {n: os.path.join(out_dir, n) for n in names}
 
         def write(n: str) -> None:
@@ -75,20 +95,28 @@ def build(spark: SparkSession, wh: Warehouse, out_dir: str, timer: Timer | None
 
         with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
             list(pool.map(write, names))
+        for n, (obs, mine) in observations.items():
+            got = obs.get
+            observed.update({i: int(got[f"c{i}"]) for i, _ in mine})
         for n in names:
             wh.replace(n, spark.read.parquet(paths[n]))
+    return observed
 
 
 def test(spark: SparkSession, wh: Warehouse, out_dir: str, checks: list[quality.Check],
-         delivered_error_after: int = 5000, threads: int = 4) -> DataFrame:
+         delivered_error_after: int = 5000, threads: int = 4,
+         observed: dict[int, int] | None = None) -> DataFrame:
     """Run the check catalogue and the two business rules.
 
-    The catalogue is split into ``threads`` groups of whole models; each
+    Checks already measured during the build (``observed``) are not run
+    again. The rest is split into ``threads`` groups of whole models; each
     group's plan is built and run from its own driver thread, so plan
     construction and execution of different models overlap. Each group
     returns at most one row per check, so collecting the groups is bounded
     by the size of the catalogue, not by the data.
     """
+    observed = observed or {}
+
     def resolve(layer: str, model: str) -> DataFrame:
         if layer == "source":
             return wh.raw[model]
@@ -96,12 +124,12 @@ def test(spark: SparkSession, wh: Warehouse, out_dir: str, checks: list[quality.
             return read_seed(spark, model)
         return wh[model]
 
-    models = list(dict.fromkeys((c.layer, c.model) for c in checks))
+    indexed = [(i, c) for i, c in enumerate(checks) if i not in observed]
+    models = list(dict.fromkeys((c.layer, c.model) for _, c in indexed))
     for (layer, model) in models:  # build (memoise) every model once, on this thread
         resolve(layer, model)
     n_groups = max(1, min(threads, len(models)))
     groups = [set(models[i::n_groups]) for i in range(n_groups)]
-    indexed = list(enumerate(checks))
 
     def run_group(g: set) -> list:
         part = [(i, c) for i, c in indexed if (c.layer, c.model) in g]
@@ -109,8 +137,11 @@ def test(spark: SparkSession, wh: Warehouse, out_dir: str, checks: list[quality.
         ids = [i for i, _ in part]
         return [(ids[r["check_id"]],) + tuple(r)[1:] for r in res.collect()]
 
-    with ThreadPoolExecutor(max_workers=n_groups) as pool:
-        rows = [r for rs in pool.map(run_group, groups) for r in rs]
+    rows = [(i, c.layer, c.model, c.column, c.test, f, quality.status_of(f, c.severity))
+            for i, c in enumerate(checks) if i in observed for f in [observed[i]]]
+    if groups and indexed:
+        with ThreadPoolExecutor(max_workers=n_groups) as pool:
+            rows += [r for rs in pool.map(run_group, groups) for r in rs]
     res = spark.createDataFrame(rows, "check_id int, layer string, model string, column_name string, "
                                       "test string, failures long, status string")
     rules = quality.rule_results(spark, wh["fct_cod"], wh["fct_shipping_order"],
@@ -144,9 +175,12 @@ def run(spark: SparkSession, raw_dir: str, out_dir: str, as_of: str | None = Non
     timer = Timer()
     raw = read_raw_tables(spark, raw_dir)
     wh = Warehouse(raw, as_of=as_of)
-    timer("build", lambda: build(spark, wh, out_dir, timer, threads=threads))
-    results = timer("test", lambda: test(spark, wh, out_dir, checks or quality.catalogue(), delivered_error_after,
-                                         threads))
+    checks = checks or quality.catalogue()
+    built = set(Warehouse.CORE + Warehouse.MARTS)
+    row_local = [(i, c) for i, c in enumerate(checks)
+                 if c.layer in ("core", "mart") and c.model in built and c.test in ROW_LOCAL_TESTS]
+    observed = timer("build", lambda: build(spark, wh, out_dir, timer, threads=threads, observe=row_local))
+    results = timer("test", lambda: test(spark, wh, out_dir, checks, delivered_error_after, threads, observed))
     summary = {r["status"]: r["n"] for r in results.groupBy("status").agg(F.count(F.lit(1)).alias("n")).collect()}
     run_at = run_at or time.strftime("%Y-%m-%d %H:%M:%S")
     path = timer("snapshot", lambda: snapshot(spark, wh, out_dir, run_at))

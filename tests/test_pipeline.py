@@ -65,3 +65,18 @@ def test_export_partitions_weekly_marts(spark, tmp_root):
     assert not any(d.startswith("week_start=") for d in os.listdir(paths["mart_hub_performance"]))
     back = spark.read.parquet(paths["mart_daily_kpi"])
     assert back.count() == wh["mart_daily_kpi"].count()
+
+
+def test_observed_checks_equal_scanned_checks(spark, tmp_root, raw_dir):
+    from hublytics.plans.warehouse import Warehouse
+    out = os.path.join(tmp_root, "wh_obs")
+    checks = catalog.fixture_checks()
+    pipeline.run(spark, raw_dir, out, as_of=catalog.AS_OF, run_at="2001-07-01 06:00:00", checks=checks,
+                 gate_rules=[], raise_on_gate=False)
+    got = {r["check_id"]: (r["failures"], r["status"])
+           for r in spark.read.parquet(os.path.join(out, "_test_results")).collect()}
+    wh = Warehouse(pipeline.read_raw_tables(spark, raw_dir), as_of=catalog.AS_OF)
+    res = quality.run_checks(spark, catalog.resolver(spark, wh), checks, wh.hint)
+    want = {r["check_id"]: (r["failures"], r["status"]) for r in res.collect()}
+    assert {k: v for k, v in got.items() if k < len(checks)} == want
+    assert any(f > 0 for f, _ in want.values())
