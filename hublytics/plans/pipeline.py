@@ -23,6 +23,7 @@ import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -126,6 +127,21 @@ def test(spark: SparkSession, wh: Warehouse, out_dir: str, checks: list[quality.
 
     indexed = [(i, c) for i, c in enumerate(checks) if i not in observed]
     models = list(dict.fromkeys((c.layer, c.model) for _, c in indexed))
+    # A staging view scanned by more than one kind of check (aggregate,
+    # unique, relationship) is recomputed per scan; keep just its checked
+    # columns for the duration of the step instead.
+    narrow: dict[tuple[str, str], DataFrame] = {}
+    for key in models:
+        mine = [c for _, c in indexed if (c.layer, c.model) == key]
+        kinds = {"row" if c.test in ROW_LOCAL_TESTS else c.test for c in mine}
+        if key[0] == "staging" and len(kinds) > 1:
+            cols = list(dict.fromkeys(c.column for c in mine))
+            narrow[key] = wh[key[1]].select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    base_resolve = resolve
+
+    def resolve(layer: str, model: str) -> DataFrame:  # noqa: F811
+        return narrow[(layer, model)] if (layer, model) in narrow else base_resolve(layer, model)
+
     for (layer, model) in models:  # build (memoise) every model once, on this thread
         resolve(layer, model)
     n_groups = max(1, min(threads, len(models)))
@@ -139,9 +155,13 @@ def test(spark: SparkSession, wh: Warehouse, out_dir: str, checks: list[quality.
 
     rows = [(i, c.layer, c.model, c.column, c.test, f, quality.status_of(f, c.severity))
             for i, c in enumerate(checks) if i in observed for f in [observed[i]]]
-    if groups and indexed:
-        with ThreadPoolExecutor(max_workers=n_groups) as pool:
-            rows += [r for rs in pool.map(run_group, groups) for r in rs]
+    try:
+        if groups and indexed:
+            with ThreadPoolExecutor(max_workers=n_groups) as pool:
+                rows += [r for rs in pool.map(run_group, groups) for r in rs]
+    finally:
+        for df in narrow.values():
+            df.unpersist()
     res = spark.createDataFrame(rows, "check_id int, layer string, model string, column_name string, "
                                       "test string, failures long, status string")
     rules = quality.rule_results(spark, wh["fct_cod"], wh["fct_shipping_order"],
