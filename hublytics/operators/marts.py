@@ -117,22 +117,26 @@ def mart_sla_breakdown(fct_order: DataFrame, dim_date: DataFrame, hint: Hint | N
                     round_like("_p90", 2).alias("p90_delivery_hours")))
 
 
-def mart_failure_reasons(fct_attempt: DataFrame, approx_rsd: float | None = None) -> DataFrame:
+def mart_failure_reasons(fct_attempt: DataFrame, approx_rsd: float | None = None,
+                         ordered: bool = True) -> DataFrame:
     """Failed attempts per region x reason and the share of the region's
     failures. The share is taken against the region's own total with plain
-    equality, so the 'unknown' (NULL) region gets a NULL share."""
+    equality, so the 'unknown' (NULL) region gets a NULL share. ``ordered``
+    sorts by region, then attempts descending; a table write does not keep
+    row order, so writers pass ``ordered=False`` and skip the sort."""
     s = fct_attempt.filter(F.col("is_failed") & F.col("failure_reason").isNotNull())
     per = s.groupBy("deliver_region", "failure_reason").agg(
         F.count(F.lit(1)).alias("failed_attempts"),
         _distinct("order_code", approx_rsd).alias("affected_orders"))
     # region totals from the small aggregate (regions x reasons rows)
     region_total = F.sum("failed_attempts").over(Window.partitionBy("deliver_region"))
-    return (per.select(
+    out = per.select(
         F.coalesce(F.col("deliver_region"), F.lit("unknown")).alias("region"),
         "failure_reason", "failed_attempts", "affected_orders",
         F.when(F.col("deliver_region").isNotNull(), pct(F.col("failed_attempts"), region_total))
          .alias("pct_of_region_failures"))
-        .orderBy(F.col("region").asc_nulls_last(), F.col("failed_attempts").desc_nulls_last()))
+    return out.orderBy(F.col("region").asc_nulls_last(), F.col("failed_attempts").desc_nulls_last()) if ordered \
+        else out
 
 
 def mart_cod_reconciliation(fct_cod: DataFrame, dim_date: DataFrame, hint: Hint | None = None) -> DataFrame:

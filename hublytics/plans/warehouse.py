@@ -21,7 +21,8 @@ from hublytics.operators.joins import BroadcastPolicy
 class Warehouse:
     def __init__(self, raw: dict[str, DataFrame], as_of: Column | str | None = None,
                  quarantine_flag: str = staging.QUARANTINE_FLAG, hint: Callable | None = None,
-                 sla_approx_accuracy: int | None = None, distinct_approx_rsd: float | None = None):
+                 sla_approx_accuracy: int | None = None, distinct_approx_rsd: float | None = None,
+                 ordered_marts: bool = True):
         self.raw = raw
         if isinstance(as_of, str):
             as_of = F.lit(as_of).cast("date")
@@ -31,6 +32,7 @@ class Warehouse:
         # opt-in approximate percentiles / distinct counts for very large groups
         self.sla_approx_accuracy = sla_approx_accuracy
         self.distinct_approx_rsd = distinct_approx_rsd
+        self.ordered_marts = ordered_marts  # False when marts are only written (order is not kept)
         self._memo: dict[str, DataFrame] = {}
         self._overrides: dict[str, DataFrame] = {}
 
@@ -92,7 +94,8 @@ class Warehouse:
                                                                        self.distinct_approx_rsd),
             "mart_sla_breakdown": lambda: marts.mart_sla_breakdown(s["fct_shipping_order"], s["dim_date"], h,
                                                                    self.sla_approx_accuracy),
-            "mart_failure_reasons": lambda: marts.mart_failure_reasons(s["fct_shipment"], self.distinct_approx_rsd),
+            "mart_failure_reasons": lambda: marts.mart_failure_reasons(s["fct_shipment"], self.distinct_approx_rsd,
+                                                                       self.ordered_marts),
             "mart_cod_reconciliation": lambda: marts.mart_cod_reconciliation(s["fct_cod"], s["dim_date"], h),
         }
         if name not in builders:
