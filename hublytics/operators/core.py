@@ -113,16 +113,18 @@ def fct_inside_history(stg_history: DataFrame) -> DataFrame:
 
 
 def fct_transportation(stg_trip: DataFrame, dim_wh: DataFrame, hint: Hint | None = None) -> DataFrame:
+    """Trip with the region of both ends. The same broadcast lookup serves
+    both joins (two aliases of one plan, so the exchange is reused)."""
     wh = _wh_region(dim_wh, hint)
-    wf = wh.select(F.col("warehouse_id").alias("wf_id"), F.col("region").alias("from_region"))
-    wt = wh.select(F.col("warehouse_id").alias("wt_id"), F.col("region").alias("to_region"))
-    t = stg_trip
-    return (t.join(wf, t.from_warehouse_id == wf.wf_id, "left")
-            .join(wt, t.to_warehouse_id == wt.wt_id, "left")
-            .select(t.trip_code, t.dt, date_key(t.dt).alias("date_id"), t.from_warehouse_id, wf.from_region,
-                    t.to_warehouse_id, wt.to_region, (wf.from_region == wt.to_region).alias("is_intra_region"),
-                    t.driver_shipper_id, t.truck_plate_number, t.vehicle_weight_kg, t.n_packages,
-                    t.departure_at, t.arrival_at, t.transit_hours, t._data_quality))
+    wf, wt = wh.alias("wf"), wh.alias("wt")
+    t = stg_trip.alias("t")
+    return (t.join(wf, F.col("t.from_warehouse_id") == F.col("wf.warehouse_id"), "left")
+            .join(wt, F.col("t.to_warehouse_id") == F.col("wt.warehouse_id"), "left")
+            .select("t.trip_code", "t.dt", date_key(F.col("t.dt")).alias("date_id"), "t.from_warehouse_id",
+                    F.col("wf.region").alias("from_region"), "t.to_warehouse_id", F.col("wt.region").alias("to_region"),
+                    (F.col("wf.region") == F.col("wt.region")).alias("is_intra_region"),
+                    "t.driver_shipper_id", "t.truck_plate_number", "t.vehicle_weight_kg", "t.n_packages",
+                    "t.departure_at", "t.arrival_at", "t.transit_hours", "t._data_quality"))
 
 
 def fct_shipment(stg_attempt: DataFrame, dim_wh: DataFrame, hint: Hint | None = None) -> DataFrame:
