@@ -60,6 +60,7 @@ LEVELS = [
 ]
 
 
+LEVEL_NAMES = ["dims", "facts", "marts"]
 ROW_LOCAL_TESTS = ("not_null", "accepted_values")
 
 
@@ -77,7 +78,8 @@ def build(spark: SparkSession, wh: Warehouse, out_dir: str, timer: Timer | None
     timer = timer or Timer()
     wanted = set(models or (Warehouse.CORE + Warehouse.MARTS))
     observed: dict[int, int] = {}
-    for level in LEVELS:
+    for li, level in enumerate(LEVELS):
+        t_level = time.perf_counter()
         names = [n for n in level if n in wanted]
         # plans are built on the calling thread; only the writes run in parallel
         plans, observations = {}, {}
@@ -101,6 +103,7 @@ def build(spark: SparkSession, wh: Warehouse, out_dir: str, timer: Timer | None
             observed.update({i: int(got[f"c{i}"]) for i, _ in mine})
         for n in names:
             wh.replace(n, spark.read.parquet(paths[n]))
+        timer.steps[f"level.{LEVEL_NAMES[li]}"] = round(time.perf_counter() - t_level, 3)
     return observed
 
 
