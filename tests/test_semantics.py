@@ -7,7 +7,6 @@ import math
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 
 from hublytics.functions import semantics as S
 
