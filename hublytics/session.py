@@ -61,8 +61,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     On a cluster ``spark.checkpoint.dir`` names a folder every executor can
-    reach; it is read from the session and never overridden. Only when it is
-    unset (local tests) is a fresh scratch folder created and registered.
+    reach; it is read from the session and never overridden. Only a local
+    session (tests) without it gets a fresh scratch folder; a cluster session
+    without it is an error, since a machine-local folder is not shared.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
@@ -72,10 +73,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
             current = None
     if current:
         return current
-    local = tempfile.mkdtemp(prefix="hublytics-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", local)
     try:
-        spark.sparkContext.setCheckpointDir(local)
+        master = spark.sparkContext.master
     except Exception:
-        pass
+        master = ""
+    if not master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: set it to a folder shared by all executors")
+    local = tempfile.mkdtemp(prefix="hublytics-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    spark.conf.set("spark.checkpoint.dir", local)
+    spark.sparkContext.setCheckpointDir(local)
     return local
