@@ -80,3 +80,19 @@ def test_observed_checks_equal_scanned_checks(spark, tmp_root, raw_dir):
     want = {r["check_id"]: (r["failures"], r["status"]) for r in res.collect()}
     assert {k: v for k, v in got.items() if k < len(checks)} == want
     assert any(f > 0 for f, _ in want.values())
+
+
+def test_cli_daily_run(tmp_root, raw_dir):
+    import json
+    import subprocess
+    import sys
+    out = os.path.join(tmp_root, "wh_cli")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    p = subprocess.run([sys.executable, "-m", "hublytics", "run", "--raw", raw_dir, "--out", out,
+                        "--as-of", catalog.AS_OF, "--run-at", "2001-07-01 06:00:00", "--master", "local[4]"],
+                       cwd=root, capture_output=True, text=True, timeout=900)
+    report = json.loads(p.stdout.strip().splitlines()[-1])
+    assert sum(report["tests"].values()) == 89
+    assert report["snapshot"].endswith("v=000001")
+    # the default gate (full-size thresholds) fails on the tiny fixture -> exit code 1
+    assert report["gate_error"] and p.returncode == 1
