@@ -30,29 +30,31 @@ def running_total(df: DataFrame, group_cols: list[str], bucket: Column, order_co
     """Add running sums within ``group_cols`` in ``order_cols`` order (rows
     unbounded preceding to current row). ``values`` maps output column ->
     value (None = count rows); the ``value``/``out`` pair is the one-column
-    shorthand."""
+    shorthand.
+
+    Group and bucket are carried as structs: a struct is never NULL itself
+    and struct equality treats NULL fields as equal, so NULL groups behave
+    as in ``Window.partitionBy`` while the offsets join stays a plain
+    equi-join on exactly the window's partitioning keys (no re-shuffle of
+    the big side when the offsets are too large to broadcast).
+    """
     values = values or {out: value}
-    b = "__bucket"
-    data = df.withColumn(b, bucket)
+    g, b = "__g", "__b"
+    data = df.withColumn(g, F.struct(*group_cols)).withColumn(b, F.struct(bucket.alias("v")))
     vcols = {}
     for i, (name, v) in enumerate(values.items()):
         vcols[name] = f"__v{i}"
         data = data.withColumn(f"__v{i}", F.lit(1).cast("long") if v is None else v)
-    keys = group_cols + [b]
 
-    totals = data.groupBy(*keys).agg(*[F.sum(vc).alias(f"{vc}_t") for vc in vcols.values()])
-    earlier = (Window.partitionBy(*group_cols).orderBy(F.col(b).asc_nulls_first())
-               .rowsBetween(Window.unboundedPreceding, -1))
+    totals = data.groupBy(g, b).agg(*[F.sum(vc).alias(f"{vc}_t") for vc in vcols.values()])
+    earlier = Window.partitionBy(g).orderBy(F.col(b).asc()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *[F.col(k).alias(f"__o_{k}") for k in keys],
+        F.col(g).alias("__og"), F.col(b).alias("__ob"),
         *[F.coalesce(F.sum(f"{vc}_t").over(earlier), F.lit(0)).alias(f"{vc}_o") for vc in vcols.values()])
 
-    inside = Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(g, b).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
     local = data.withColumns({f"{vc}_l": F.sum(vc).over(inside) for vc in vcols.values()})
 
-    cond = [local[k].eqNullSafe(offsets[f"__o_{k}"]) for k in keys]
-    joined = local.join(offsets, on=cond, how="inner")
-    result = joined.select(*[local[c] for c in df.columns],
-                           *[(F.col(f"{vc}_o") + F.col(f"{vc}_l")).alias(name)
-                             for name, vc in vcols.items()])
-    return result
+    joined = local.join(offsets, (local[g] == offsets["__og"]) & (local[b] == offsets["__ob"]), "inner")
+    return joined.select(*[local[c] for c in df.columns],
+                         *[(F.col(f"{vc}_o") + F.col(f"{vc}_l")).alias(name) for name, vc in vcols.items()])
