@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from hublytics.functions.semantics import pct, ratio, round_like
 from hublytics.operators.joins import BroadcastPolicy
+from hublytics.operators.percentiles import quantile_aggs, rank_histogram
 
 Hint = Callable[[str, DataFrame], DataFrame]
 
@@ -90,31 +91,48 @@ def mart_hub_performance(fct_order: DataFrame, dim_wh: DataFrame, hint: Hint | N
 
 
 def mart_sla_breakdown(fct_order: DataFrame, dim_date: DataFrame, hint: Hint | None = None,
-                       approx_accuracy: int | None = None) -> DataFrame:
+                       approx_accuracy: int | None = None, builtin_percentile: bool = False) -> DataFrame:
     """SLA by week x year x quarter x region x service, with exact p50/p90
-    leadtime (linear interpolation). ``approx_accuracy`` switches both
-    quantiles to ``percentile_approx`` for very large groups."""
+    leadtime (linear interpolation).
+
+    Default: every measure comes from one histogram of leadtimes per group
+    (:mod:`hublytics.operators.percentiles`): counts and sums are sums over
+    the histogram and the quantiles are read off its cumulative counts, so
+    the work per group is bounded by its distinct leadtimes. Options: the
+    built-in exact ``percentile`` (value map per group in the aggregation
+    buffer) or ``percentile_approx`` with ``approx_accuracy``.
+    """
     o = fct_order.filter(F.col("is_delivered"))
     d = _hint(hint)("dim_date", dim_date.select("date_id", "week_start", "year", "quarter"))
+    keys = ["week_start", "year", "quarter", "region", "service_code"]
+    rows = o.join(d, "date_id", "inner").select(
+        "week_start", "year", "quarter",
+        F.coalesce(F.col("deliver_region"), F.lit("unknown")).alias("region"),
+        F.coalesce(F.col("type_order_code"), F.lit("unknown")).alias("service_code"),
+        "is_sla_breach", "delivery_hours")
     h = F.col("delivery_hours")
-    if approx_accuracy:
-        p50 = F.percentile_approx(h, 0.5, approx_accuracy)
-        p90 = F.percentile_approx(h, 0.9, approx_accuracy)
+    if approx_accuracy or builtin_percentile:
+        if approx_accuracy:
+            p50, p90 = F.percentile_approx(h, 0.5, approx_accuracy), F.percentile_approx(h, 0.9, approx_accuracy)
+        else:
+            p50, p90 = F.median(h), F.percentile(h, F.lit(0.9))
+        agg = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("delivered_orders"),
+                                      _count_if(F.col("is_sla_breach")).alias("sla_breach_orders"),
+                                      F.avg(h).alias("_avg"), p50.alias("_p50"), p90.alias("_p90"))
     else:
-        p50, p90 = F.median(h), F.percentile(h, F.lit(0.9))
-    return (o.join(d, "date_id", "inner")
-            .groupBy("week_start", "year", "quarter",
-                     F.coalesce(F.col("deliver_region"), F.lit("unknown")).alias("region"),
-                     F.coalesce(F.col("type_order_code"), F.lit("unknown")).alias("service_code"))
-            .agg(F.count(F.lit(1)).alias("delivered_orders"),
-                 _count_if(F.col("is_sla_breach")).alias("sla_breach_orders"),
-                 F.avg(h).alias("_avg"), p50.alias("_p50"), p90.alias("_p90"))
-            .select("week_start", "year", "quarter", "region", "service_code", "delivered_orders",
-                    "sla_breach_orders",
-                    pct("sla_breach_orders", "delivered_orders").alias("sla_breach_rate_pct"),
-                    round_like("_avg", 2).alias("avg_delivery_hours"),
-                    round_like("_p50", 2).alias("p50_delivery_hours"),
-                    round_like("_p90", 2).alias("p90_delivery_hours")))
+        hist = rows.groupBy(*keys, h.alias("__x")).agg(F.count(F.lit(1)).alias("__c"),
+                                                         _count_if(F.col("is_sla_breach")).alias("__cb"))
+        q_aggs, q_finals = quantile_aggs({"_p50": 0.5, "_p90": 0.9})
+        agg = (rank_histogram(hist, keys).groupBy(*keys)
+               .agg(F.sum("__c").alias("delivered_orders"), F.sum("__cb").alias("sla_breach_orders"),
+                    (F.sum(F.col("__x") * F.col("__c")) / F.nullif(F.max("__n"), F.lit(0))).alias("_avg"),
+                    *q_aggs)
+               .select(*keys, "delivered_orders", "sla_breach_orders", "_avg", *q_finals))
+    return agg.select(*keys, "delivered_orders", "sla_breach_orders",
+                      pct("sla_breach_orders", "delivered_orders").alias("sla_breach_rate_pct"),
+                      round_like("_avg", 2).alias("avg_delivery_hours"),
+                      round_like("_p50", 2).alias("p50_delivery_hours"),
+                      round_like("_p90", 2).alias("p90_delivery_hours"))
 
 
 def mart_failure_reasons(fct_attempt: DataFrame, approx_rsd: float | None = None,

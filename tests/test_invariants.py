@@ -161,3 +161,22 @@ def test_approximate_distinct_counts_are_close(spark):
               marts.mart_hub_performance(w["fct_shipping_order"], w["dim_warehouse"], w.hint, 0.01).collect()}
     assert exact.keys() == approx.keys()
     assert all(abs(approx[k] - exact[k]) <= max(2, 0.05 * exact[k]) for k in exact)
+
+
+def test_exact_percentiles_equal_builtin_with_hot_group_and_nulls(spark):
+    import random
+    from hublytics.operators.percentiles import exact_percentiles
+    rnd = random.Random(7)
+    rows = [("hot", float(rnd.randint(0, 50))) for _ in range(5000)]
+    rows += [(f"g{i % 20}", rnd.choice([None, rnd.random() * 100, float(rnd.randint(0, 9))])) for i in range(800)]
+    rows += [("single", 3.25), ("nulls", None), ("nulls", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    ps = {"p0": 0.0, "p10": 0.1, "p50": 0.5, "p90": 0.9, "p100": 1.0}
+    got = {r["g"]: r for r in exact_percentiles(df, ["g"], "v", ps).collect()}
+    want = {r["g"]: r for r in df.groupBy("g").agg(
+        *[F.percentile("v", F.lit(p)).alias(n) for n, p in ps.items()]).collect()}
+    assert got.keys() == want.keys()
+    for g in want:
+        for n in ps:
+            a, b = got[g][n], want[g][n]
+            assert (a is None and b is None) or abs(a - b) < 1e-9, (g, n, a, b)

@@ -14,7 +14,7 @@ SHUFFLE_BUDGET = {
     "fct_shipping_order": 1,     # dims are broadcast
     "fct_shipment": 0, "fct_cod": 0, "fct_transportation": 0, "fct_inside_history": 0,
     "mart_daily_kpi": 2,         # dedup + one aggregate; calendar broadcast after it
-    "mart_sla_breakdown": 2,
+    "mart_sla_breakdown": 3,     # dedup + leadtime histogram + window over the (small) histogram
     "mart_cod_reconciliation": 1,
     "mart_hub_performance": 3,   # dedup + two-level distinct aggregate
     "scd2_two_runs": 2,          # one full outer join: one exchange per side
