@@ -193,8 +193,14 @@ def snapshot(spark: SparkSession, wh: Warehouse, out_dir: str, run_at: str) -> s
 
 def run(spark: SparkSession, raw_dir: str, out_dir: str, as_of: str | None = None, run_at: str | None = None,
         checks: list[quality.Check] | None = None, gate_rules: list[quality.GateRule] | None = None,
-        delivered_error_after: int = 5000, raise_on_gate: bool = True, threads: int = 4) -> dict:
-    """Run the whole day; returns step timings and the test summary."""
+        delivered_error_after: int = 5000, raise_on_gate: bool = True, threads: int = 4,
+        fail_fast: bool = False) -> dict:
+    """Run the whole day; returns step timings and the test summary.
+
+    ``fail_fast`` stops after the check step when any check is at ERROR (the
+    snapshot and the gate do not run), like a scheduler chain whose test
+    task failed; by default every step runs and the report carries the
+    check outcomes."""
     timer = Timer()
     raw = read_raw_tables(spark, raw_dir)
     wh = Warehouse(raw, as_of=as_of, ordered_marts=False)
@@ -205,6 +211,10 @@ def run(spark: SparkSession, raw_dir: str, out_dir: str, as_of: str | None = Non
     observed = timer("build", lambda: build(spark, wh, out_dir, timer, threads=threads, observe=row_local))
     results = timer("test", lambda: test(spark, wh, out_dir, checks, delivered_error_after, threads, observed))
     summary = {r["status"]: r["n"] for r in results.groupBy("status").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if fail_fast and summary.get("ERROR"):
+        failed = [f"{r['model']}.{r['column_name']} {r['test']}: {r['failures']}"
+                  for r in results.filter(F.col("status") == "ERROR").collect()]  # at most one row per check
+        raise ValueError("checks at ERROR:\n" + "\n".join(failed))
     run_at = run_at or time.strftime("%Y-%m-%d %H:%M:%S")
     path = timer("snapshot", lambda: snapshot(spark, wh, out_dir, run_at))
     gate_error = None

@@ -96,3 +96,12 @@ def test_cli_daily_run(tmp_root, raw_dir):
     assert report["snapshot"].endswith("v=000001")
     # the default gate (full-size thresholds) fails on the tiny fixture -> exit code 1
     assert report["gate_error"] and p.returncode == 1
+
+
+def test_fail_fast_stops_before_snapshot(spark, tmp_root, raw_dir):
+    out = os.path.join(tmp_root, "wh_ff")
+    with pytest.raises(ValueError) as e:
+        pipeline.run(spark, raw_dir, out, as_of=catalog.AS_OF, run_at="2001-07-01 06:00:00",
+                     checks=quality.catalogue(), fail_fast=True)  # default regions: accepted-values ERROR
+    assert "accepted_values" in str(e.value)
+    assert not os.path.exists(os.path.join(out, "snap_client_tier"))
