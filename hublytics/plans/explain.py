@@ -64,8 +64,10 @@ def main(argv: list[str]) -> int:
     with open(out, "w") as f:
         f.write("# Physical plans of the registered queries\n\n")
         f.write(f"Counts from `explain('formatted')` on `{sf_dir}` (fixture tables already written, so "
-                "plans start at parquet scans). Shuffles = `Exchange` nodes; AQE may still coalesce them "
-                "or turn a sort-merge join into a broadcast at run time.\n\n")
+                "plans start at parquet scans). These are the initial (pre-execution) plans: shuffles = "
+                "`Exchange` nodes; at run time AQE may coalesce them, turn a sort-merge join into a "
+                "broadcast, and reuse identical exchanges (e.g. the one warehouse broadcast serving both "
+                "trip ends of `fct_transportation` shows as `ReusedExchange` in the final plan).\n\n")
         f.write("| query | " + " | ".join(keys) + " |\n|---|" + "---|" * len(keys) + "\n")
         for name, s in rows:
             f.write(f"| {name} | " + " | ".join(str(s[k]) for k in keys) + " |\n")
