@@ -13,9 +13,14 @@ MAX_BROADCAST_ROWS = 1_000_000
 
 
 def row_count_at_most(df: DataFrame, limit: int) -> bool:
-    """True when ``df`` has at most ``limit`` rows. Reads at most
-    ``limit + 1`` rows' worth of partitions (the limit stops the scan)."""
-    return df.limit(limit + 1).count() <= limit
+    """True when ``df`` has at most ``limit`` rows.
+
+    A plain ``count()``: a distributed partial aggregate over a scan that
+    needs no columns (Parquet answers it from file footers). Not
+    ``limit(n + 1).count()``, which funnels up to ``n + 1`` rows from every
+    partition through one task when the table turns out to be large.
+    """
+    return df.count() <= limit
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
