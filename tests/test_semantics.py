@@ -127,3 +127,37 @@ def test_nanosecond_parquet_is_read(spark, tmp_root):
 def test_round_like_extremes(spark, v):
     got = one(spark, S.round_like("x", 2), rows=[(v,)])[0]
     assert math.isclose(got, round(v, 2), rel_tol=1e-12, abs_tol=1e-12)
+
+
+def test_check_catalogue_shape():
+    from collections import Counter
+    from hublytics.operators import quality
+    cat = quality.catalogue()
+    assert len(cat) == 87
+    assert Counter(c.test for c in cat) == {"not_null": 40, "unique": 28, "relationships": 12, "accepted_values": 7}
+    assert Counter(c.layer for c in cat) == {"staging": 34, "core": 30, "source": 16, "seed": 4, "mart": 3}
+
+
+def test_future_hire_date_is_clamped_and_flagged(spark):
+    from pyspark.sql import functions as F
+    from hublytics.operators import core, staging
+    raw = spark.createDataFrame(
+        [(1, "U1", 2001, 1, dt.date(2000, 1, 1), True, " A ", " 29h - 01", 500.0, "clean"),
+         (2, "U2", 2001, 1, dt.date(2999, 1, 1), True, "B", None, None, "heavy_issue"),
+         (3, "U3", 2001, 1, None, False, "C", "51C12345", 1.0, "clean")],
+        "shipper_id long, user_id string, warehouse_id long, province_id long, hire_date date, "
+        "is_active boolean, performance_tier string, truck_plate_number string, vehicle_weight_kg double, "
+        "_data_quality string")
+    as_of = F.lit("2001-06-30").cast("date")
+    stg = staging.stg_shipper(raw, as_of)
+    rows = {r["shipper_id"]: r for r in stg.collect()}
+    assert rows[1]["hire_date"] == dt.date(2000, 1, 1) and rows[1]["has_future_hire_date"] is False
+    assert rows[2]["hire_date"] is None and rows[2]["has_future_hire_date"] is True
+    assert rows[3]["hire_date"] is None and rows[3]["has_future_hire_date"] is None
+    assert rows[1]["truck_plate_number"] == "29H-01" and rows[2]["truck_plate_number"] == ""
+    assert rows[1]["performance_tier"] == "A"
+    wh = spark.createDataFrame([(2001, "W", "R")], "warehouse_id long, warehouse_name string, region string")
+    prov = spark.createDataFrame([(1, "P", "R")], "province_id long, province_name string, region string")
+    dim = {r["shipper_id"]: r for r in core.dim_shipper(stg, wh, prov, as_of).collect()}
+    assert dim[1]["tenure_days"] == 546 and dim[2]["tenure_days"] is None
+    assert dim[1]["region"] == "R" and dim[1]["province_name"] == "P"
