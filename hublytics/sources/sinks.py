@@ -19,9 +19,11 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
 def write_version(spark: SparkSession, df: DataFrame, base: str, version: int) -> str:
     """Write ``df`` to ``{base}/v={version}`` (a folder never read by ``df``)
     and record it as current in ``{base}/_CURRENT``. Readers resolve the
-    pointer, so a half-written version is never visible."""
+    pointer, so a half-written version is never visible; the pointer moves
+    only after the write succeeded, so a retried run (after a lost executor
+    or driver) simply overwrites its own unfinished version folder."""
     path = os.path.join(base, f"v={version:06d}")
-    df.write.mode("errorifexists").option("compression", "snappy").parquet(path)
+    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
     pointer = os.path.join(base, "_CURRENT")
     # tiny one-line pointer file, written through Spark so it lands on the
     # same (shared) filesystem as the data
