@@ -51,15 +51,14 @@ class Timer:
 
 # Build order: each level only reads models of earlier levels, so the
 # models of one level are written concurrently (Spark runs jobs submitted
-# from several driver threads side by side).
+# from several driver threads side by side). Within a level the largest
+# models come first, so the longest jobs start without waiting for a thread.
 LEVELS = [
-    ["dim_province", "dim_district", "dim_date", "dim_warehouse", "dim_client"],
-    ["dim_shipper", "fct_shipping_order", "fct_inside_history", "fct_transportation", "fct_shipment", "fct_cod"],
-    ["mart_daily_kpi", "mart_hub_performance", "mart_sla_breakdown", "mart_failure_reasons",
+    ["dim_client", "dim_warehouse", "dim_date", "dim_district", "dim_province"],
+    ["fct_shipment", "fct_shipping_order", "fct_inside_history", "fct_cod", "fct_transportation", "dim_shipper"],
+    ["mart_sla_breakdown", "mart_failure_reasons", "mart_hub_performance", "mart_daily_kpi",
      "mart_cod_reconciliation"],
 ]
-
-
 LEVEL_NAMES = ["dims", "facts", "marts"]
 ROW_LOCAL_TESTS = ("not_null", "accepted_values")
 
