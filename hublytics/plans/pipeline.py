@@ -208,19 +208,41 @@ def run(spark: SparkSession, raw_dir: str, out_dir: str, as_of: str | None = Non
     row_local = [(i, c) for i, c in enumerate(checks)
                  if c.layer in ("core", "mart") and c.model in built and c.test in ROW_LOCAL_TESTS]
     observed = timer("build", lambda: build(spark, wh, out_dir, timer, threads=threads, observe=row_local))
-    results = timer("test", lambda: test(spark, wh, out_dir, checks, delivered_error_after, threads, observed))
-    summary = {r["status"]: r["n"] for r in results.groupBy("status").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if fail_fast and summary.get("ERROR"):
-        failed = [f"{r['model']}.{r['column_name']} {r['test']}: {r['failures']}"
-                  for r in results.filter(F.col("status") == "ERROR").collect()]  # at most one row per check
-        raise ValueError("checks at ERROR:\n" + "\n".join(failed))
     run_at = run_at or time.strftime("%Y-%m-%d %H:%M:%S")
-    path = timer("snapshot", lambda: snapshot(spark, wh, out_dir, run_at))
-    gate_error = None
-    try:
-        timer("gate", lambda: quality.gate(lambda m: wh[m], gate_rules or quality.GATE_RULES))
-    except ValueError as e:
-        gate_error = str(e)
-        if raise_on_gate:
-            raise
+    rules = gate_rules or quality.GATE_RULES
+
+    def run_tests() -> DataFrame:
+        return timer("test", lambda: test(spark, wh, out_dir, checks, delivered_error_after, threads, observed))
+
+    def run_gate() -> str | None:
+        try:
+            timer("gate", lambda: quality.gate(lambda m: wh[m], rules))
+            return None
+        except ValueError as e:
+            return str(e)
+
+    def summarize(results: DataFrame) -> dict:
+        return {r["status"]: r["n"] for r in
+                results.groupBy("status").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    for m in ["dim_client"] + Warehouse.MARTS:  # plans built on this thread before fanning out
+        wh[m]
+    if fail_fast:
+        results = run_tests()
+        summary = summarize(results)
+        if summary.get("ERROR"):
+            failed = [f"{r['model']}.{r['column_name']} {r['test']}: {r['failures']}"
+                      for r in results.filter(F.col("status") == "ERROR").collect()]  # one row per check
+            raise ValueError("checks at ERROR:\n" + "\n".join(failed))
+        path = timer("snapshot", lambda: snapshot(spark, wh, out_dir, run_at))
+        gate_error = run_gate()
+    else:
+        # snapshot and gate do not read the check results: run all three at once
+        with ThreadPoolExecutor(max_workers=3) as pool:
+            f_test = pool.submit(run_tests)
+            f_snap = pool.submit(lambda: timer("snapshot", lambda: snapshot(spark, wh, out_dir, run_at)))
+            f_gate = pool.submit(run_gate)
+            summary, path, gate_error = summarize(f_test.result()), f_snap.result(), f_gate.result()
+    if gate_error and raise_on_gate:
+        raise ValueError(gate_error)
     return {"steps": timer.steps, "tests": summary, "snapshot": path, "gate_error": gate_error}
