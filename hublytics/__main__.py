@@ -22,6 +22,8 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--as-of", default=None, help="reference date for tenure / future hire dates")
     run.add_argument("--run-at", default=None, help="snapshot timestamp (default: now)")
     run.add_argument("--threads", type=int, default=4, help="models written concurrently")
+    run.add_argument("--fail-fast", action="store_true",
+                     help="stop before the snapshot when a check is at ERROR")
     run.add_argument("--master", default=None, help="only for local runs, e.g. local[8]")
     args = p.parse_args(argv)
 
@@ -29,7 +31,10 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_session(args.master)
     try:
         report = pipeline.run(spark, args.raw, args.out, as_of=args.as_of, run_at=args.run_at,
-                              threads=args.threads, raise_on_gate=False)
+                              threads=args.threads, raise_on_gate=False, fail_fast=args.fail_fast)
+    except ValueError as e:  # fail-fast: checks at ERROR, listed in the message
+        print(str(e), file=sys.stderr)
+        return 1
     finally:
         spark.stop()
     print(json.dumps(report, default=str))
