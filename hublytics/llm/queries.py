@@ -6,10 +6,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hublytics.llm import exact_dedup, language_id, sharding
+from hublytics.llm import exact_dedup, language_id, pii, sharding
 from hublytics.llm.common import read
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(read(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
@@ -22,7 +26,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_exact_dedup, op7_sharding, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_pii, op4_exact_dedup, op7_sharding, op10_language_id)}
 
 ORACLE = {}
 
