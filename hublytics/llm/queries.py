@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hublytics.llm import exact_dedup, language_id, pii, sharding
+from hublytics.llm import exact_dedup, language_id, near_dedup, pii, sharding
 from hublytics.llm.common import read
 
 
@@ -22,11 +22,16 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read(spark, sf_dir, "documents"))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the contract of this query: two words, 80 percent
+    return near_dedup.near_dedup(read(spark, sf_dir, "documents"), size=2, percent=80)
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op4_exact_dedup, op7_sharding, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_pii, op4_exact_dedup, op7_sharding, op9_near_dedup, op10_language_id)}
 
 ORACLE = {}
 
@@ -83,3 +88,25 @@ select doc_id, source, size, text_crc32, 'rows' as law, shard::int as shard,
        (pos - (shard * total + 39) // 40)::bigint as slot, null::int as grown_shard
 from cut_
 """
+
+ORACLE["op9_near_dedup"] = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') as ws
+  from documents),
+shingles as (
+  select distinct doc_id, unnest(case when len(ws) >= 2 then list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])
+                                      else ws end) as s
+  from w),
+named as (select doc_id, min(doc_id) over (partition by s) as f, dense_rank() over (order by s) as s from shingles),
+sizes as (select w.doc_id, count(s) as n from w left join shingles using (doc_id) group by w.doc_id),
+common as (select a.doc_id as a, b.doc_id as b, count(*) as k
+           from named a join named b on a.s = b.s and a.doc_id < b.doc_id group by all),
+links as (select a, b from common join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+          where 100 * k >= 80 * (x.n + y.n - k)),
+edges as (select a, b from links union all select b, a from links),
+reach(a, b) as (select doc_id, doc_id from documents union select r.a, e.b from reach r join edges e on r.b = e.a),
+least as (select a, min(b) as component_id from reach group by a)
+select d.doc_id, n as n_shingles, component_id, d.doc_id = component_id as kept
+from documents d join sizes using (doc_id) join least on least.a = d.doc_id
+"""
