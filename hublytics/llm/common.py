@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hublytics.session import checkpoint_dir
@@ -37,3 +37,15 @@ def text_or_empty(col: str = "text") -> Column:
 
 def without_space(text: Column) -> Column:
     return F.regexp_replace(text, SPACE + "+", "")
+
+
+def positions(df: DataFrame, group: list[str], bucket: str, order: list[str], out: str) -> DataFrame:
+    """0-based position of each row inside ``group`` (all rows if empty) in
+    (bucket, order): position in the bucket plus rows of earlier buckets."""
+    counts = df.groupBy(*group, bucket).agg(F.count(F.lit(1)).alias("__n"))
+    earlier = Window.partitionBy(*(group or [F.lit(0)])).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*group, bucket, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    inside = Window.partitionBy(*group, bucket).orderBy(*order)
+    local = df.withColumn("__at", F.row_number().over(inside) - 1)
+    joined = local.join(offsets, [*group, bucket])
+    return joined.withColumn(out, F.col("__before") + F.col("__at")).drop("__before", "__at")

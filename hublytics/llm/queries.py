@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hublytics.llm import exact_dedup, language_id, near_dedup, pii, sharding
+from hublytics.llm import exact_dedup, language_id, line_dedup, mixing, near_dedup, packing, pii, sharding
 from hublytics.llm.common import read
 
 
@@ -14,14 +14,26 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(read(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(read(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read(spark, sf_dir, "documents"))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.decide(read(spark, sf_dir, "documents"))
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the contract of this query: two words, 80 percent
     return near_dedup.near_dedup(read(spark, sf_dir, "documents"), size=2, percent=80)
@@ -31,7 +43,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op4_exact_dedup, op7_sharding, op9_near_dedup, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_line_dedup, op4_exact_dedup, op6_packing, op7_sharding, op8_mixing,
+                                op9_near_dedup, op10_language_id)}
 
 ORACLE = {}
 

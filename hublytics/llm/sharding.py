@@ -22,15 +22,15 @@ gives no rows. Further columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hublytics.llm.common import cut, text_or_empty
+from hublytics.llm.common import cut, positions, text_or_empty
 
 SHARDS = 40
 SEED = "shard-1"
-#: hex digits of the shuffle key that make a bucket (16 ** 2 buckets a source)
-BUCKET_DIGITS = 2
+#: rows meant for a bucket: the plan gets more buckets with more rows, the result is the same
+BUCKET_ROWS = 200_000
 #: bytes counted for a row besides its text
 ROW_OVERHEAD = 16
 
@@ -39,40 +39,28 @@ def shuffle_key(doc_id: Column, seed: str) -> Column:
     return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit(""))).cast("binary"))
 
 
-def _ordered(df: DataFrame, group: list[str], bucket: str, order: list[str], out: str) -> DataFrame:
-    """0-based position of each row inside ``group`` (all rows if empty) in
-    (bucket, order): position in the bucket plus rows of earlier buckets."""
-    counts = df.groupBy(*group, bucket).agg(F.count(F.lit(1)).alias("__n"))
-    earlier = Window.partitionBy(*(group or [F.lit(0)])).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*group, bucket, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
-    inside = Window.partitionBy(*group, bucket).orderBy(*order)
-    local = df.withColumn("__at", F.row_number().over(inside) - 1)
-    joined = local.join(offsets, [*group, bucket])
-    return joined.withColumn(out, F.col("__before") + F.col("__at")).drop("__before", "__at")
-
-
-def shard(docs: DataFrame, shards: int = SHARDS, seed: str = SEED, bucket_digits: int = BUCKET_DIGITS) -> DataFrame:
+def shard(docs: DataFrame, shards: int = SHARDS, seed: str = SEED, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """doc_id, source, size, text_crc32, law, shard, slot, grown_shard."""
     body = text_or_empty().cast("binary")
     rows = docs.select(
         F.col("doc_id"), F.coalesce(F.col("source"), F.lit("")).alias("source"),
         (F.octet_length(body) + ROW_OVERHEAD).cast("long").alias("size"), F.crc32(body).alias("text_crc32"),
         shuffle_key(F.col("doc_id"), seed).alias("key"))
-    rows = cut(rows.withColumn("bucket", F.substring("key", 1, bucket_digits)), "shard-rows")
+    rows = cut(rows, "shard-rows")
+    total = rows.count()
+    slices = 16
+    while slices * bucket_rows < total:
+        slices *= 16
+    rows = rows.withColumn("bucket", F.substring("key", 1, len(f"{slices:x}") - 1))
 
-    ranked = _ordered(rows, ["source"], "bucket", ["key", "text_crc32", "size"], "rank")
+    ranked = positions(rows, ["source"], "bucket", ["key", "text_crc32", "size"], "rank")
     sizes = rows.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
-    slices = 16 ** bucket_digits
     ranked = ranked.join(sizes, "source").withColumn("fraction", (F.col("rank") + 0.5) / F.col("n"))
     ranked = cut(ranked.withColumn("slice", F.floor(F.col("fraction") * slices)), "shard-ranks")
 
-    placed = _ordered(ranked, [], "slice", ["fraction", "source", "rank"], "pos")
-    total = rows.agg(F.count(F.lit(1)).alias("total"))
-    # one row, broadcast: the number of rows
-    placed = placed.crossJoin(F.broadcast(total))
-    at = F.expr(f"(pos * {shards}) div total")
-    placed = placed.withColumn("shard", at.cast("int"))
-    first = F.expr(f"(shard * total + {shards - 1}) div {shards}")
+    placed = positions(ranked, [], "slice", ["fraction", "source", "rank"], "pos")
+    placed = placed.withColumn("shard", F.expr(f"(pos * {shards}) div {max(total, 1)}").cast("int"))
+    first = F.expr(f"(shard * {total}L + {shards - 1}) div {shards}")
     return placed.select(
         "doc_id", "source", "size", "text_crc32", F.lit("rows").alias("law"), "shard",
         (F.col("pos") - first).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
