@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hublytics.llm import exact_dedup, language_id, line_dedup, mixing, near_dedup, packing, pii, sharding
+from hublytics.llm import exact_dedup, language_id, line_dedup, mixing, near_dedup, packing, pii, sharding, topk_search
 from hublytics.llm.common import read
 
 
@@ -18,6 +18,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(read(spark, sf_dir, "documents"))
 
 
+def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(read(spark, sf_dir, "embeddings"), every=50)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
@@ -43,7 +47,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_line_dedup, op4_exact_dedup, op6_packing, op7_sharding, op8_mixing,
+QUERIES = {f.__name__: f for f in (op1_pii, op2_line_dedup, op3_topk_search, op4_exact_dedup, op6_packing, op7_sharding, op8_mixing,
                                 op9_near_dedup, op10_language_id)}
 
 ORACLE = {}
@@ -123,3 +127,16 @@ least as (select a, min(b) as component_id from reach group by a)
 select d.doc_id, n as n_shingles, component_id, d.doc_id = component_id as kept
 from documents d join sizes using (doc_id) join least on least.a = d.doc_id
 """
+
+ORACLE["op3_topk_search"] = r"""
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as q
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select a.vec_id as query_id, b.vec_id,
+         list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2]))::bigint as score
+  from v a join v b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+"""
