@@ -4,9 +4,10 @@ production parameters, to its whole table."""
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from hublytics.llm import exact_dedup, language_id, line_dedup, mixing, near_dedup, packing, pii, sharding, topk_search
+from hublytics.llm import exact_dedup, language_id, line_dedup, mixing, near_dedup, packing, pii, secret_scan, sharding, topk_search
 from hublytics.llm.common import read
 
 
@@ -26,6 +27,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(read(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
@@ -47,10 +52,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_line_dedup, op3_topk_search, op4_exact_dedup, op6_packing, op7_sharding, op8_mixing,
+QUERIES = {f.__name__: f for f in (op1_pii, op2_line_dedup, op3_topk_search, op4_exact_dedup, op5_secret_scan, op6_packing, op7_sharding, op8_mixing,
                                 op9_near_dedup, op10_language_id)}
 
-ORACLE = {}
+QUERIES["pipeline"] = corpus_pipeline.run
+
+ORACLE = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
 
 ORACLE["op4_exact_dedup"] = r"""
 with t as (
