@@ -17,7 +17,8 @@ Only results that beat the shared score come back, and a window with a partial
 group limit ranks them.
 
 Scores are exact integers: the products are summed in doubles while they
-cannot exceed 2^53, in 64-bit integers otherwise. Defined cases: vectors that
+cannot exceed 2^53, in 64-bit integers otherwise (a score beyond 64 bits has no defined value). Defined
+cases: vectors that
 are null or hold null or non-finite components, and rows without vec_id, take
 no part; vectors of different lengths are compared as if padded with zeros;
 rows that repeat a vec_id are rows of their own (a query's own row alone is
@@ -135,7 +136,7 @@ def _search(tree: dict, q: np.ndarray, own: np.ndarray, score: np.ndarray, held:
     x, q = _pad(tree["vecs"], dim), _pad(q, dim)
     q_float = q.astype(np.float64)
     length = np.sqrt((q_float ** 2).sum(axis=1))
-    size = np.abs(x).max(initial=0) * np.abs(q).max(initial=0) * float(max(dim, 1))
+    size = float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * max(dim, 1)
     as_float = size < EXACT
     xs, qs = (x.astype(np.float64), q_float) if as_float else (x, q)
     bound = q_float @ _pad(tree["centre"], dim).T + length[:, None] * tree["radius"]
