@@ -1,6 +1,6 @@
 """Command line: ``python -m hublytics run --raw DIR --out DIR [--as-of DATE]``.
 
-Runs the daily pipeline (build, checks, snapshot, gate) on the session the
+Runs the daily pipeline (seed, build, checks, snapshot, gate) on the session the
 launcher configures (``spark-submit`` on a cluster) and prints the report.
 """
 
@@ -16,14 +16,14 @@ from hublytics.session import get_session
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="hublytics")
     sub = p.add_subparsers(dest="cmd", required=True)
-    run = sub.add_parser("run", help="daily run: build -> test -> snapshot -> gate")
+    run = sub.add_parser("run", help="daily run: seed -> build -> test -> snapshot -> gate")
     run.add_argument("--raw", required=True, help="folder with the 11 raw parquet tables")
     run.add_argument("--out", required=True, help="warehouse output folder")
     run.add_argument("--as-of", default=None, help="reference date for tenure / future hire dates")
     run.add_argument("--run-at", default=None, help="snapshot timestamp (default: now)")
     run.add_argument("--threads", type=int, default=4, help="models written concurrently")
-    run.add_argument("--fail-fast", action="store_true",
-                     help="stop before the snapshot when a check is at ERROR")
+    run.add_argument("--keep-going", action="store_true",
+                     help="run the snapshot and the gate even when a check is at ERROR")
     run.add_argument("--master", default=None, help="only for local runs, e.g. local[8]")
     args = p.parse_args(argv)
 
@@ -31,8 +31,8 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_session(args.master)
     try:
         report = pipeline.run(spark, args.raw, args.out, as_of=args.as_of, run_at=args.run_at,
-                              threads=args.threads, raise_on_gate=False, fail_fast=args.fail_fast)
-    except ValueError as e:  # fail-fast: checks at ERROR, listed in the message
+                              threads=args.threads, raise_on_gate=False, fail_fast=not args.keep_going)
+    except ValueError as e:  # checks at ERROR, listed in the message
         print(str(e), file=sys.stderr)
         return 1
     finally:

@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from hublytics.operators import history, quality
 from hublytics.plans.warehouse import Warehouse
-from hublytics.sources.raw import read_raw_tables, read_seed
-from hublytics.sources.sinks import current_version, read_current, write_table, write_version
+from hublytics.sources.raw import SEED_SCHEMAS, read_raw_tables, read_seed
+from hublytics.sources.sinks import current_version, version_path, write_table, write_version
 
 SNAPSHOT_KEY = "client_id"
 SNAPSHOT_CHECK = ["tier", "client_channel", "is_b2b"]
@@ -107,7 +107,7 @@ def build(spark: SparkSession, wh: Warehouse, out_dir: str, timer: Timer | None
 
 
 def test(spark: SparkSession, wh: Warehouse, out_dir: str, checks: list[quality.Check],
-         delivered_error_after: int = 5000, threads: int = 4,
+         delivered_error_after: int | float = 5000, threads: int = 4,
          observed: dict[int, int] | None = None) -> DataFrame:
     """Run the check catalogue and the two business rules.
 
@@ -182,24 +182,28 @@ def test(spark: SparkSession, wh: Warehouse, out_dir: str, checks: list[quality.
 
 def snapshot(spark: SparkSession, wh: Warehouse, out_dir: str, run_at: str) -> str:
     base = os.path.join(out_dir, "snap_client_tier")
-    prev = read_current(spark, base)
-    cur = current_version(spark, base)
-    version = 1 if cur is None else int(cur.rstrip("/").rsplit("=", 1)[1]) + 1
+    version = current_version(spark, base) or 0
+    prev = spark.read.parquet(version_path(base, version)) if version else None
     src = wh["dim_client"].select(*SNAPSHOT_PAYLOAD)
     snap = history.snapshot(src, SNAPSHOT_KEY, SNAPSHOT_CHECK, run_at, prev=prev)
-    return write_version(spark, snap, base, version)
+    return write_version(spark, snap, base, version + 1)
+
+
+def seed(spark: SparkSession, out_dir: str) -> None:
+    """Write the seeds as tables, typed as declared."""
+    for name in SEED_SCHEMAS:
+        write_table(read_seed(spark, name).coalesce(1), os.path.join(out_dir, name))
 
 
 def run(spark: SparkSession, raw_dir: str, out_dir: str, as_of: str | None = None, run_at: str | None = None,
         checks: list[quality.Check] | None = None, gate_rules: list[quality.GateRule] | None = None,
-        delivered_error_after: int = 5000, raise_on_gate: bool = True, threads: int = 4,
-        fail_fast: bool = False) -> dict:
+        delivered_error_after: int | float = 5000, raise_on_gate: bool = True, threads: int = 4,
+        fail_fast: bool = True) -> dict:
     """Run the whole day; returns step timings and the test summary.
 
-    ``fail_fast`` stops after the check step when any check is at ERROR (the
-    snapshot and the gate do not run), like a scheduler chain whose test
-    task failed; by default every step runs and the report carries the
-    check outcomes."""
+    The chain is seed, build, test, snapshot, gate. A check at ERROR stops it
+    before the snapshot; with ``fail_fast=False`` every step runs and the
+    report carries the check outcomes."""
     timer = Timer()
     raw = read_raw_tables(spark, raw_dir)
     wh = Warehouse(raw, as_of=as_of, ordered_marts=False)
@@ -207,6 +211,7 @@ def run(spark: SparkSession, raw_dir: str, out_dir: str, as_of: str | None = Non
     built = set(Warehouse.CORE + Warehouse.MARTS)
     row_local = [(i, c) for i, c in enumerate(checks)
                  if c.layer in ("core", "mart") and c.model in built and c.test in ROW_LOCAL_TESTS]
+    timer("seed", lambda: seed(spark, out_dir))
     observed = timer("build", lambda: build(spark, wh, out_dir, timer, threads=threads, observe=row_local))
     run_at = run_at or time.strftime("%Y-%m-%d %H:%M:%S")
     rules = gate_rules or quality.GATE_RULES

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,30 +16,75 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     w.parquet(path)
 
 
+class SnapshotError(RuntimeError):
+    """A snapshot folder is not what a run expects to find."""
+
+
+def _folder(spark: SparkSession, path: str):
+    """(Hadoop file system, Hadoop path): the store that Spark itself writes to."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def complete_versions(spark: SparkSession, base: str) -> list[int]:
+    """Numbers of the finished versions under ``base``, oldest first. A folder
+    that is not there has none; every other failure to read it is raised."""
+    fs, root = _folder(spark, base)
+    if not fs.exists(root):
+        return []
+    out = []
+    for entry in fs.listStatus(root):
+        name = entry.getPath().getName()
+        if name.startswith("v=") and fs.exists(_folder(spark, f"{base}/{name}/_SUCCESS")[1]):
+            out.append(int(name[2:]))
+    return sorted(out)
+
+
+def version_path(base: str, version: int) -> str:
+    return f"{base.rstrip('/')}/v={version:06d}"
+
+
 def write_version(spark: SparkSession, df: DataFrame, base: str, version: int) -> str:
-    """Write ``df`` to ``{base}/v={version}`` (a folder never read by ``df``)
-    and record it as current in ``{base}/_CURRENT``. Readers resolve the
-    pointer, so a half-written version is never visible; the pointer moves
-    only after the write succeeded, so a retried run (after a lost executor
-    or driver) simply overwrites its own unfinished version folder."""
-    path = os.path.join(base, f"v={version:06d}")
-    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
-    pointer = os.path.join(base, "_CURRENT")
-    # tiny one-line pointer file, written through Spark so it lands on the
-    # same (shared) filesystem as the data
-    spark.createDataFrame([(path,)], "path string").coalesce(1).write.mode("overwrite").text(pointer)
-    return path
-
-
-def current_version(spark: SparkSession, base: str) -> str | None:
-    pointer = os.path.join(base, "_CURRENT")
+    """Publish ``df`` as version ``version`` of the snapshot in ``base``.
+
+    ``df`` was built on version ``version - 1``, which must still be the newest
+    one. The rows are written to a folder of their own and renamed into place
+    when they are complete, so a half-written version is never seen, no
+    version is ever overwritten, and there is no pointer to lose. A run that
+    another one has overtaken raises :class:`SnapshotError`."""
+    fs, target = _folder(spark, version_path(base, version))
+    tmp = f"{base.rstrip('/')}/_writing-{uuid.uuid4().hex}"
+    _, source = _folder(spark, tmp)
+
+    def check() -> None:
+        done = complete_versions(spark, base)
+        if (done[-1] if done else 0) != version - 1:
+            raise SnapshotError(f"{base}: version {version} follows {version - 1}, but the newest is {done[-1] if done else None}")
+
+    check()
+    df.write.option("compression", "snappy").parquet(tmp)
     try:
-        rows = spark.read.text(pointer).limit(1).collect()
-    except Exception:
-        return None
-    return rows[0][0] if rows else None
+        check()
+        if fs.exists(target):  # left over from a write that never finished
+            fs.delete(target, True)
+        if not fs.rename(source, target):
+            raise SnapshotError(f"{target} could not be put in place")
+        # where two runs rename at once, some stores put the later folder inside the first
+        nested = _folder(spark, f"{version_path(base, version)}/{tmp.rsplit('/', 1)[1]}")[1]
+        if fs.exists(nested):
+            fs.delete(nested, True)
+            raise SnapshotError(f"{base}: another run published version {version}")
+    finally:
+        if fs.exists(source):
+            fs.delete(source, True)
+    return version_path(base, version)
+
+
+def current_version(spark: SparkSession, base: str) -> int | None:
+    done = complete_versions(spark, base)
+    return done[-1] if done else None
 
 
 def read_current(spark: SparkSession, base: str) -> DataFrame | None:
-    path = current_version(spark, base)
-    return spark.read.parquet(path) if path else None
+    version = current_version(spark, base)
+    return spark.read.parquet(version_path(base, version)) if version else None

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from hublytics.operators import quality
 from hublytics.plans import catalog, pipeline
 from hublytics.sources.fixtures import fixture_tables
-from hublytics.sources.sinks import current_version, write_table
+from hublytics.sources.sinks import SnapshotError, current_version, read_current, version_path, write_table, write_version
 from tests.conftest import SF_SMALL
 
 
@@ -26,7 +26,9 @@ def test_daily_run(spark, tmp_root, raw_dir):
     rules = [quality.GateRule("mart_daily_kpi", "week_start", 1), quality.GateRule("mart_hub_performance",
                                                                                     "warehouse_id", 1)]
     rep = pipeline.run(spark, raw_dir, out, as_of=catalog.AS_OF, run_at="2001-07-01 06:00:00",
-                       checks=catalog.fixture_checks(), gate_rules=rules)
+                       checks=catalog.fixture_checks(), gate_rules=rules, fail_fast=False)
+    for s in ("seed_status_mapping", "seed_sla_threshold"):
+        assert spark.read.parquet(os.path.join(out, s)).count() > 0
     assert rep["gate_error"] is None
     assert sum(rep["tests"].values()) == 89
     for m in ["fct_shipping_order", "mart_daily_kpi", "mart_cod_reconciliation", "_test_results"]:
@@ -39,7 +41,7 @@ def test_daily_run(spark, tmp_root, raw_dir):
     raw = pipeline.read_raw_tables(spark, raw_dir)
     wh = pipeline.Warehouse(raw, as_of=catalog.AS_OF)
     path = pipeline.snapshot(spark, wh, out, "2001-07-02 06:00:00")
-    assert path.endswith("v=000002") and current_version(spark, base) == path
+    assert path.endswith("v=000002") and version_path(base, current_version(spark, base)) == path
     v2 = spark.read.parquet(path)
     assert v2.count() == v1.count()
     assert v2.filter(F.col("valid_to").isNull()).count() == v1.filter(F.col("valid_to").isNull()).count()
@@ -51,7 +53,7 @@ def test_gate_raises_listing_all_failures(spark, tmp_root, raw_dir):
              quality.GateRule("mart_failure_reasons", "failure_reason", 10**9)]
     with pytest.raises(ValueError) as e:
         pipeline.run(spark, raw_dir, out, as_of=catalog.AS_OF, run_at="2001-07-01 06:00:00",
-                     checks=catalog.fixture_checks("not_null"), gate_rules=rules)
+                     checks=catalog.fixture_checks("not_null"), gate_rules=rules, fail_fast=False)
     assert "mart_daily_kpi" in str(e.value) and "mart_failure_reasons" in str(e.value)
 
 
@@ -72,7 +74,7 @@ def test_observed_checks_equal_scanned_checks(spark, tmp_root, raw_dir):
     out = os.path.join(tmp_root, "wh_obs")
     checks = catalog.fixture_checks()
     pipeline.run(spark, raw_dir, out, as_of=catalog.AS_OF, run_at="2001-07-01 06:00:00", checks=checks,
-                 gate_rules=[], raise_on_gate=False)
+                 gate_rules=[], raise_on_gate=False, fail_fast=False)
     got = {r["check_id"]: (r["failures"], r["status"])
            for r in spark.read.parquet(os.path.join(out, "_test_results")).collect()}
     wh = Warehouse(pipeline.read_raw_tables(spark, raw_dir), as_of=catalog.AS_OF)
@@ -89,7 +91,7 @@ def test_cli_daily_run(tmp_root, raw_dir):
     out = os.path.join(tmp_root, "wh_cli")
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     p = subprocess.run([sys.executable, "-m", "hublytics", "run", "--raw", raw_dir, "--out", out,
-                        "--as-of", catalog.AS_OF, "--run-at", "2001-07-01 06:00:00", "--master", "local[4]"],
+                        "--as-of", catalog.AS_OF, "--run-at", "2001-07-01 06:00:00", "--master", "local[4]", "--keep-going"],
                        cwd=root, capture_output=True, text=True, timeout=900)
     report = json.loads(p.stdout.strip().splitlines()[-1])
     assert sum(report["tests"].values()) == 89
@@ -102,7 +104,7 @@ def test_fail_fast_stops_before_snapshot(spark, tmp_root, raw_dir):
     out = os.path.join(tmp_root, "wh_ff")
     with pytest.raises(ValueError) as e:
         pipeline.run(spark, raw_dir, out, as_of=catalog.AS_OF, run_at="2001-07-01 06:00:00",
-                     checks=quality.catalogue(), fail_fast=True)  # default regions: accepted-values ERROR
+                     checks=quality.catalogue())  # default regions: accepted-values ERROR
     assert "accepted_values" in str(e.value)
     assert not os.path.exists(os.path.join(out, "snap_client_tier"))
 
@@ -116,13 +118,41 @@ def test_fixture_tables_are_written_lazily(spark):
     assert sorted(os.listdir(raw.root)) == ["dim_date.parquet"]
 
 
-def test_snapshot_retry_overwrites_unfinished_version(spark, tmp_root):
-    from hublytics.sources.sinks import current_version, write_version
-    base = os.path.join(tmp_root, "snap_retry")
-    df = spark.createDataFrame([(1, "a")], "k long, v string")
-    write_version(spark, df, base, 1)
-    # an unfinished second version left by a failed run (pointer not moved)
-    df.write.parquet(os.path.join(base, "v=000002"))
-    assert current_version(spark, base).endswith("v=000001")
-    path = write_version(spark, df.union(df), base, 2)
-    assert current_version(spark, base) == path and spark.read.parquet(path).count() == 2
+def _snap(spark, prev, tiers, at):
+    from hublytics.operators import history
+    src = spark.createDataFrame(list(tiers.items()), "k long, tier string")
+    return history.snapshot(src, "k", ["tier"], at, prev=prev)
+
+
+def test_snapshot_versions_are_safe(spark, tmp_root):
+    base = os.path.join(tmp_root, "snap_safe")
+    write_version(spark, _snap(spark, None, {1: "a", 2: "b"}, "2000-01-01 00:00:00"), base, 1)
+    prev = read_current(spark, base)
+    write_version(spark, _snap(spark, prev, {1: "a", 2: "c"}, "2000-02-01 00:00:00"), base, 2)
+    closed = lambda: read_current(spark, base).filter("valid_to is not null").count()
+    assert closed() == 1
+    # a half-written third version is not seen, and is replaced
+    spark.range(3).write.parquet(os.path.join(base, "v=000003"))
+    os.remove(os.path.join(base, "v=000003", "_SUCCESS"))
+    assert current_version(spark, base) == 2
+    # version 1 or 2 cannot be written again
+    for v in (1, 2):
+        with pytest.raises(SnapshotError):
+            write_version(spark, spark.range(1), base, v)
+    # two runs built on version 2: the second to finish raises
+    one = _snap(spark, read_current(spark, base), {1: "z", 2: "c"}, "2000-03-01 00:00:00")
+    two = _snap(spark, read_current(spark, base), {1: "y", 2: "c"}, "2000-03-01 00:00:01")
+    write_version(spark, one, base, 3)
+    with pytest.raises(SnapshotError):
+        write_version(spark, two, base, 3)
+    assert current_version(spark, base) == 3 and closed() == 2
+    assert not [f for f in os.listdir(base) if f.startswith("_writing")]
+
+
+def test_unreadable_snapshot_folder_is_an_error(spark, tmp_root):
+    base = os.path.join(tmp_root, "snap_file")
+    assert current_version(spark, base) is None
+    os.makedirs(os.path.join(base, "v=broken"))
+    open(os.path.join(base, "v=broken", "_SUCCESS"), "w").close()
+    with pytest.raises(ValueError):
+        current_version(spark, base)
