@@ -55,19 +55,27 @@ def is_inf(x: ColumnOrName) -> Column:
     return F.abs(_c(x)) == F.lit(float("inf"))
 
 
+def _is_integer(c: Column) -> Column:
+    """Whether the column's type is an integer type: known when the plan is
+    made, so only the matching branch remains in it."""
+    return F.typeof(c).isin("tinyint", "smallint", "int", "bigint")
+
+
 def to_bigint(x: ColumnOrName) -> Column:
-    """DOUBLE that may hold NULL/NaN/+-Inf -> BIGINT, bad values -> NULL.
+    """Number that may hold NULL/NaN/+-Inf -> BIGINT, bad values -> NULL.
 
     A plain double->bigint cast in the warehouse rounds half to even
     (1.5->2, 2.5->2, 1.7->2); Spark truncates, so round with ``rint`` first.
+    Integers stay as they are: large ids do not fit a DOUBLE.
     """
     c = _c(x).cast("double")
-    return F.when(F.isnan(c) | is_inf(c), F.lit(None).cast("long")).otherwise(F.rint(c).cast("long"))
+    rounded = F.when(F.isnan(c) | is_inf(c), F.lit(None).cast("long")).otherwise(F.rint(c).cast("long"))
+    return F.when(_is_integer(_c(x)), _c(x).cast("long")).otherwise(rounded)
 
 
 def money(x: ColumnOrName) -> Column:
     """``cast(round(x) as bigint)``: amounts rounded half away from zero."""
-    return F.round(_c(x).cast("double"), 0).cast("long")
+    return F.when(_is_integer(_c(x)), _c(x).cast("long")).otherwise(F.round(_c(x).cast("double"), 0).cast("long"))
 
 
 # ---------------------------------------------------------------- text

@@ -29,12 +29,13 @@ TIMESTAMP_COLUMNS = {
 
 
 def nanos_to_timestamp(df: DataFrame, columns: list[str]) -> DataFrame:
-    """LONG epoch nanoseconds -> TIMESTAMP_NTZ (UTC session zone)."""
+    """LONG epoch nanoseconds -> TIMESTAMP_NTZ (UTC session zone), in whole
+    microseconds (rounded down), by integer division."""
     fixes = {}
     types = dict(df.dtypes)
     for c in columns:
         if types.get(c) in ("bigint", "int"):
-            fixes[c] = F.timestamp_micros(F.floor(F.col(c) / F.lit(1000)).cast("long")).cast("timestamp_ntz")
+            fixes[c] = F.timestamp_micros(F.expr(f"(`{c}` - pmod(`{c}`, 1000)) div 1000")).cast("timestamp_ntz")
         elif types.get(c) == "timestamp":
             fixes[c] = F.col(c).cast("timestamp_ntz")
     return df.withColumns(fixes) if fixes else df

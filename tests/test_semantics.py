@@ -7,6 +7,7 @@ import math
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from hublytics.functions import semantics as S
 
@@ -161,3 +162,18 @@ def test_future_hire_date_is_clamped_and_flagged(spark):
     dim = {r["shipper_id"]: r for r in core.dim_shipper(stg, wh, prov, as_of).collect()}
     assert dim[1]["tenure_days"] == 546 and dim[2]["tenure_days"] is None
     assert dim[1]["region"] == "R" and dim[1]["province_name"] == "P"
+
+
+def test_nanoseconds_divide_as_integers(spark):
+    from hublytics.sources.raw import nanos_to_timestamp
+    nanos = [1704067200_000000000 + m * 1000 + n for m in range(1, 999999, 1777) for n in (0, 1, 999)] + [-1, -1000, -1001]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(nanos)], "i long, at long")
+    got = nanos_to_timestamp(df, ["at"]).orderBy("i").select(F.unix_micros(F.col("at").cast("timestamp"))).collect()
+    assert [r[0] for r in got] == [v // 1000 for v in nanos]
+
+
+def test_large_integers_keep_every_digit(spark):
+    values = [9007199254740993, -9007199254740993, 2 ** 63 - 1, 0, None]
+    rows = [(v,) for v in values]
+    assert one(spark, S.to_bigint("x"), "x long", rows) == values
+    assert one(spark, S.money("x"), "x long", rows) == values
