@@ -26,7 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hublytics.operators.joins import bounded_broadcast
+from hublytics.operators.joins import MAX_BROADCAST_BYTES, bounded_broadcast
 
 META = ["scd_id", "updated_at", "valid_from", "valid_to"]
 
@@ -76,18 +76,18 @@ def snapshot(src: DataFrame, key: str, check_cols: list[str], run_at: str | Colu
 
 
 def as_of_join(facts: DataFrame, history: DataFrame, key: str, at: str, attrs: list[str],
-               max_broadcast_rows: int = 1_000_000) -> DataFrame:
+               max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Attach to each fact the version of ``attrs`` valid at ``facts[at]``:
     ``valid_from <= at < coalesce(valid_to, +inf)``. Left join: facts with no
     version valid at that time get NULLs.
 
-    The history side is broadcast when proven small, otherwise the equi-key
+    The history side is broadcast when its estimated size is small, otherwise the equi-key
     drives a shuffle join (AQE splits a skewed key) and the range is a
     residual condition on few versions per key.
     """
     h = history.select(F.col(key).alias("__k"), "valid_from", "valid_to",
                        *[F.col(a).alias(f"__{a}") for a in attrs])
-    h = bounded_broadcast(h, max_broadcast_rows)
+    h = bounded_broadcast(h, max_broadcast_bytes)
     cond = ((facts[key] == h["__k"]) & (h["valid_from"] <= facts[at])
             & (h["valid_to"].isNull() | (facts[at] < h["valid_to"])))
     j = facts.join(h, cond, "left")

@@ -1,50 +1,45 @@
-"""Join helpers: broadcast only what is proven small."""
+"""Join helpers: broadcast only what is small by Spark's own estimate."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension we are willing to ship to every executor. Dimensions of
-# a parcel network (warehouses, provinces, days, shippers, clients) stay far
-# below this; anything larger falls back to a shuffle join planned by
-# Catalyst/AQE.
-MAX_BROADCAST_ROWS = 1_000_000
+# Largest estimated size (bytes) of a dimension that is shipped to every
+# executor. The estimate comes from the files' sizes and is known when the plan
+# is made, without running anything. Beyond it the join is left to Spark: a
+# shuffle join that AQE turns into a broadcast when the side proves small at
+# run time, or splits when a key is hot.
+MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 
 
-def row_count_at_most(df: DataFrame, limit: int) -> bool:
-    """True when ``df`` has at most ``limit`` rows.
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's size estimate of ``df``'s optimized plan."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
-    A plain ``count()``: a distributed partial aggregate over a scan that
-    needs no columns (Parquet answers it from file footers). Not
-    ``limit(n + 1).count()``, which funnels up to ``n + 1`` rows from every
-    partition through one task when the table turns out to be large.
-    """
-    return df.count() <= limit
 
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if ``df`` is proven to hold at most ``max_rows``
-    rows, else ``df`` unchanged (shuffle join, AQE may still convert)."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+def bounded_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` if its estimated size is at most ``max_bytes``, else
+    ``df`` unchanged."""
+    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
 
 
 class BroadcastPolicy:
-    """Caches the size check per named dimension, so a pipeline counts each
-    dimension once however many facts join it. ``name`` identifies the
-    underlying table: any projection of it has the same row count."""
+    """Caches the size check per dimension and columns. ``name`` identifies
+    the underlying table."""
 
-    def __init__(self, max_rows: int = MAX_BROADCAST_ROWS, enabled: bool = True):
-        self.max_rows = max_rows
+    def __init__(self, max_bytes: int = MAX_BROADCAST_BYTES, enabled: bool = True):
+        self.max_bytes = max_bytes
         self.enabled = enabled
-        self._ok: dict[str, bool] = {}
+        self._ok: dict[tuple, bool] = {}
 
     def is_small(self, name: str, df: DataFrame) -> bool:
         if not self.enabled:
             return False
-        if name not in self._ok:
-            self._ok[name] = row_count_at_most(df, self.max_rows)
-        return self._ok[name]
+        key = (name, *df.columns)
+        if key not in self._ok:
+            self._ok[key] = estimated_bytes(df) <= self.max_bytes
+        return self._ok[key]
 
     def __call__(self, name: str, df: DataFrame) -> DataFrame:
         return F.broadcast(df) if self.is_small(name, df) else df
