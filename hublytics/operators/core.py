@@ -84,7 +84,7 @@ def _wh_region(dim_wh: DataFrame, hint: Hint | None, *extra: str) -> DataFrame:
 
 
 def fct_shipping_order(stg_order: DataFrame, dim_wh: DataFrame, hint: Hint | None = None) -> DataFrame:
-    wh = _wh_region(dim_wh, hint, "region_shortname", "warehouse_type")
+    wh = _wh_region(dim_wh, hint, "warehouse_type")
     o = stg_order
     return (o.join(wh, o.deliver_warehouse_id == wh.warehouse_id, "left")
             .select(

@@ -56,27 +56,30 @@ def collected_amount(status: Column, cod: Column, pending_amount: Column) -> Col
             .when(status == "pending", pending_amount))
 
 
-def cod_adjustments(cod: DataFrame, threshold: float = 1000.0) -> DataFrame:
+def cod_adjustments(cod: DataFrame, threshold: float = 1000.0, bucket_ids: int = 100_000) -> DataFrame:
     """Append one adjustment record per large unreconciled discrepancy.
 
     For ``reconcile_status='discrepancy' and abs(discrepancy)>threshold``:
-    a new record (id after the current maximum), status ``adjustment``,
-    reconcile ``pending``, collected = the discrepancy, discrepancy 0,
-    collected one day later. New ids are ``max(cod_id) + cod_id``: unique
-    and above every existing id without a global (single-task) numbering.
+    a new record, status ``adjustment``, reconcile ``pending``, collected =
+    the discrepancy, discrepancy 0, collected one day later. New ids follow
+    the largest id without gaps, in the order of the records they adjust;
+    the numbering is a running count over ranges of ``bucket_ids`` ids, so
+    it is not one task.
     """
     max_id = cod.select(F.max("cod_id")).scalar()
-    adj = (cod.filter((F.col("reconcile_status") == "discrepancy")
-                      & (F.abs(F.col("discrepancy_amount")) > F.lit(threshold)))
-           .withColumns({
-               "cod_id": F.col("cod_id") + max_id,
-               "cod_status": F.lit("adjustment"),
-               "reconcile_status": F.lit("pending"),
-               "collected_amount": F.col("discrepancy_amount"),
-               "discrepancy_amount": F.lit(0.0),
-               "collect_time": add_hours(F.col("collect_time"), 24),
-               "_data_quality": F.lit("clean"),
-           }))
+    large = (cod.filter((F.col("reconcile_status") == "discrepancy")
+                        & (F.abs(F.col("discrepancy_amount")) > F.lit(threshold))).withColumn("__all", F.lit(0)))
+    numbered = running_total(large, ["__all"], bucket=F.floor(F.col("cod_id") / F.lit(bucket_ids)),
+                             order_cols=[F.col("cod_id")], out="__n").drop("__all")
+    adj = numbered.withColumns({
+        "cod_id": (F.col("__n") + max_id).cast("long"),
+        "cod_status": F.lit("adjustment"),
+        "reconcile_status": F.lit("pending"),
+        "collected_amount": F.col("discrepancy_amount"),
+        "discrepancy_amount": F.lit(0.0),
+        "collect_time": add_hours(F.col("collect_time"), 24),
+        "_data_quality": F.lit("clean"),
+    }).drop("__n")
     return cod.unionByName(adj)
 
 
@@ -94,18 +97,23 @@ def trip_rollup(history: DataFrame, prefix: str = "T") -> DataFrame:
         F.count(F.lit(1)).alias("n_packages"))
 
 
-def trip_batches(history: DataFrame, capacity: int = 20) -> DataFrame:
-    """Consolidate exports into truck loads: per (origin, destination, day)
-    route, packages in time order fill trips of ``capacity``.
+def trip_batches(history: DataFrame, orders: DataFrame, capacity: int = 20) -> DataFrame:
+    """Consolidate exports into truck loads: per (origin, destination, day
+    on which the package's order was created) route, packages in time order
+    fill trips of ``capacity``.
 
+    ``orders``: order_code and created_date; of repeated codes the earliest
+    date counts, and exports of unknown orders share the route of day NULL.
     Returns one row per trip: route, batch number (0-based), packages,
     first and last export time. The position inside a route is a running
     count bucketed by second (see :func:`running_total`), so a hot route
     does not serialize on one task.
     """
-    ex = (history.filter(F.col("action_category") == "export")
+    created = orders.groupBy(F.col("order_code").alias("__oc")).agg(F.min("created_date").alias("__created"))
+    ex = history.filter(F.col("action_category") == "export")
+    ex = (ex.join(created, ex["order_code"] == created["__oc"], "left")
           .select("package_code", "action_time", "from_warehouse_id", "to_warehouse_id",
-                  F.to_date("action_time").alias("route_day")))
+                  F.to_date("__created").alias("route_day")))
     ranked = running_total(
         ex, ["from_warehouse_id", "to_warehouse_id", "route_day"],
         bucket=F.unix_seconds(F.col("action_time").cast("timestamp")),

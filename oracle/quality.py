@@ -59,6 +59,9 @@ def checks_sql(checks, with_singular: bool, delivered_error_after: int) -> str:
            f"from ({body})")
     if with_singular:
         n = len(checks)
+        limit = delivered_error_after
+        if isinstance(limit, float):
+            limit = f"{limit}::double * (select count(*) from fct_shipping_order)"
         sql += f"""
 union all
 select {n}, 'singular', 'fct_cod', cast(null as varchar), 'assert_cod_discrepancy_math', f,
@@ -67,14 +70,15 @@ from (select count(*) as f from fct_cod where cod_status <> 'adjustment'
       and abs(discrepancy_amount_vnd - (cod_amount_vnd - collected_amount_vnd)) > 1)
 union all
 select {n + 1}, 'singular', 'fct_shipping_order', cast(null as varchar), 'assert_delivered_no_failure_reason', f,
-  case when f <= 0 then 'PASS' when f <= {delivered_error_after} then 'WARN' else 'ERROR' end
+  case when f <= 0 then 'PASS' when f <= {limit} then 'WARN' else 'ERROR' end
 from (select count(*) as f from fct_shipping_order where outcome_group = 'success' and failure_reason is not null)"""
     return with_ctes(sql)
 
 
 def gate_sql(rules) -> str:
+    least = lambda r: str(r.min_rows) if r.share is None else f"ceil({r.share}::double * (select count(*) from {r.of}))"
     parts = [f"select {_q(r.mart)} as mart, {_q(r.key)} as key_column, count(*) as rows, "
-             f"count(*) filter (where {r.key} is null) as null_keys, cast({r.min_rows} as bigint) as min_rows "
+             f"count(*) filter (where {r.key} is null) as null_keys, cast({least(r)} as bigint) as min_rows "
              f"from {r.mart}" for r in rules]
     body = "\nunion all\n".join(parts)
     return with_ctes(f"select *, rows >= min_rows and null_keys = 0 as passed from ({body})")
@@ -125,10 +129,11 @@ def classify_sql(as_of: str) -> str:
     st = "lower(trim(o.status))"
     parts = {
         "data_shippingorder_now": (
-            "raw_data_shippingorder_now o left join (select order_code as oc, min(created_date) as first_at "
-            "from raw_data_shippingorder_now group by 1) f on o.order_code = f.oc",
+            "(select *, order_code is not null and row_number() over (partition by order_code order by created_date nulls last, "
+            "status nulls first, deliver_warehouse_id nulls first, cod_amount nulls first) > 1 as again "
+            "from raw_data_shippingorder_now) o",
             cls(f"(o.failure_reason is null and {st} = 'return_to_sender') or o.end_delivery_time < o.created_date "
-                f"or o.weight = 0 or o.cod_amount < 0 or o.created_date > f.first_at "
+                f"or o.weight = 0 or o.cod_amount < 0 or o.again "
                 f"or (o.deliver_warehouse_id is null and {st} = 'delivered')",
                 f"o.pick_user is null or (o.deliver_user is null and {st} = 'in_transit') or o.weight > 30000 "
                 f"or o.is_sla_breach is null or upper(trim(o.status)) in ('DONE', 'FINISH')"),

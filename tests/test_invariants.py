@@ -28,7 +28,8 @@ def test_dedup_leaves_one_row_per_key(spark):
     assert stg.count() == stg.select("order_code").distinct().count()
     # the duplicate copies are the newer rows, so they win
     raw = wh(spark).raw["data_shippingorder_now"]
-    dup_keys = raw.groupBy("order_code").count().filter("count > 1").select(F.trim("order_code").alias("order_code"))
+    dup_keys = (raw.groupBy("order_code").agg(F.count_distinct("created_date").alias("n")).filter("n > 1")
+                .select(F.trim("order_code").alias("order_code")))
     won = stg.join(dup_keys, "order_code").select("status").distinct().collect()
     assert [r[0] for r in won] == ["cancelled"]
 
@@ -105,7 +106,8 @@ def test_running_total_equals_plain_window_with_a_hot_group(spark):
 
 
 def test_trip_batches_respect_capacity(spark):
-    b = derive.trip_batches(wh(spark).raw["data_inside_history"], capacity=5)
+    raw = wh(spark).raw
+    b = derive.trip_batches(raw["data_inside_history"], raw["data_shippingorder_now"], capacity=5)
     assert b.filter(F.col("n_packages") > 5).count() == 0
     exports = wh(spark).raw["data_inside_history"].filter(F.col("action_category") == "export").count()
     assert b.agg(F.sum("n_packages")).first()[0] == exports
@@ -116,7 +118,8 @@ def test_cod_adjustment_ids_are_new_and_unique(spark):
     assert cod.count() == cod.select("cod_id").distinct().count()
     adj = cod.filter(F.col("cod_status") == "adjustment")
     base_max = cod.filter(F.col("cod_status") != "adjustment").agg(F.max("cod_id")).first()[0]
-    assert adj.count() > 0 and adj.agg(F.min("cod_id")).first()[0] > base_max
+    ids = sorted(r[0] for r in adj.select("cod_id").collect())
+    assert ids and ids == list(range(base_max + 1, base_max + 1 + len(ids)))
     assert adj.filter(F.col("discrepancy_amount") != 0).count() == 0
 
 
@@ -147,8 +150,13 @@ def test_relationship_check_same_result_with_and_without_broadcast(spark):
     from hublytics.plans.catalog import fixture_checks, resolver
     w = wh(spark)
     checks = fixture_checks("relationships")
-    small = quality.run_checks(spark, resolver(spark, w), checks, BroadcastPolicy())
-    big = quality.run_checks(spark, resolver(spark, w), checks, BroadcastPolicy(max_rows=0))
+    every = resolver(spark, w)
+
+    def resolve(layer, model):  # half of the hubs are unknown
+        df = every(layer, model)
+        return df.filter("warehouse_id % 2 = 0") if model == "dim_warehouse" else df
+    small = quality.run_checks(spark, resolve, checks, BroadcastPolicy())
+    big = quality.run_checks(spark, resolve, checks, BroadcastPolicy(max_bytes=0))
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
     assert any(r["failures"] > 0 for r in small.collect())
 
@@ -180,3 +188,50 @@ def test_exact_percentiles_equal_builtin_with_hot_group_and_nulls(spark):
         for n in ps:
             a, b = got[g][n], want[g][n]
             assert (a is None and b is None) or abs(a - b) < 1e-9, (g, n, a, b)
+
+
+def test_trip_batches_use_the_day_of_the_order(spark):
+    history = spark.createDataFrame(
+        [("export", f"p{i}", "o1" if i % 2 else "o2", f"2000-01-0{1 + i % 5} 10:00:00", 1.0, 2.0) for i in range(10)],
+        "action_category string, package_code string, order_code string, action_time string, from_warehouse_id double, "
+        "to_warehouse_id double").withColumn("action_time", F.col("action_time").cast("timestamp_ntz"))
+    orders = spark.createDataFrame([("o1", "1999-12-30 08:00:00"), ("o1", "1999-12-31 08:00:00")], "order_code string, t string") \
+        .select("order_code", F.col("t").cast("timestamp_ntz").alias("created_date"))
+    rows = derive.trip_batches(history, orders, capacity=3).collect()
+    got = sorted((str(r.route_day), r.batch_no, r.n_packages) for r in rows)
+    assert got == [("1999-12-30", 0, 3), ("1999-12-30", 1, 2), ("None", 0, 3), ("None", 1, 2)]
+
+
+def test_exact_copies_of_an_order_are_repeats(spark):
+    from hublytics.operators import quality
+    raw = dict(wh(spark).raw.items())
+    one = raw["data_shippingorder_now"].filter(F.col("_data_quality") == "clean").orderBy("order_code").limit(1)
+    raw["data_shippingorder_now"] = one.union(one).union(one)
+    rows = quality.quality_rules(raw, F.lit("2001-06-30").cast("date"))["data_shippingorder_now"].collect()
+    assert sorted(r.derived == "heavy_issue" for r in rows) == [False, True, True]
+
+
+def test_fixture_grows_with_its_tables(spark):
+    raw = wh(spark).raw
+    customers = spark.read.parquet(f"{SF_CHECK}/customer.parquet").count()
+    assert raw["dim_shipper"].count() == customers
+    hubs = raw["dim_warehouse"].count()
+    assert raw["data_transportation"].select("from_warehouse_id").distinct().count() > hubs // 2
+    last = spark.read.parquet(f"{SF_CHECK}/orders.parquet").agg(F.max(F.to_date("o_orderdate"))).first()[0]
+    assert raw["dim_date"].agg(F.max("date")).first()[0] == last
+    assert quality_violations(spark) > 0
+
+
+def quality_violations(spark):
+    from hublytics.operators import quality
+    return quality.cod_math_violations(wh(spark)["fct_cod"]).count()
+
+
+def test_kpi_drops_orders_without_a_calendar_day(spark):
+    """The inner join to the calendar (shown on a small frame)."""
+    from hublytics.operators import marts
+    w = wh(spark)
+    days = w["dim_date"].orderBy("date_id").limit(3)
+    ids = {r.date_id for r in days.collect()}
+    got = {r.date_id for r in marts.mart_daily_kpi(w["fct_shipping_order"], spark.createDataFrame(days.collect(), days.schema)).collect()}
+    assert got and got <= ids
