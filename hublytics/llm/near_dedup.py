@@ -54,6 +54,8 @@ ERRORS = 6.0
 #: nodes, and shingles, that one task compares at once
 CHUNK = 512
 CHUNK_SHINGLES = 4_000_000
+#: a bound of the filter that is broadcast before texts are shuffled
+SLOTS = 1 << 21
 #: bytes of text turned into words at once
 PIECE = 1 << 20
 #: chance that two unequal minima agree in zeros (1/3) and in all mantissa bits
@@ -214,8 +216,8 @@ def full_sets(size: int):
             for s in shingle_sets(b.column(b.schema.get_field_index("text")), size):
                 sets.append(s.tobytes())
                 bands.append(registers([s])[0].tobytes() if len(s) else b"")
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sets, pa.binary()),
-                                              pa.array(bands, pa.binary())], ["grp", "node", "shingles", "regs"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(sets, pa.binary()), pa.array(bands, pa.binary())],
+                                             ["grp", "node", "n", "chunks", "shingles", "regs"])
     return run
 
 
@@ -275,6 +277,10 @@ def _deal(node, chunks, salt: int) -> F.Column:
     return F.pmod(F.xxhash64(node, F.lit(salt)), chunks)
 
 
+def _slot(doc_id) -> F.Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(SLOTS))
+
+
 def _relabel(state: DataFrame, edges: DataFrame) -> DataFrame:
     """``state`` with comp replaced by the component of comp under ``edges``."""
     found = components(edges).select(F.col("node").alias("comp"), F.col("comp").alias("__to"))
@@ -282,25 +288,22 @@ def _relabel(state: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def _resolve_groups(sets: DataFrame, percent: int) -> DataFrame:
-    """(node, comp) of the nodes of ``sets`` (grp, node, n, shingles, regs)."""
+    """(node, comp) of the nodes of ``sets`` (grp, node, n, chunks, shingles, regs)."""
     links = lambda d: d.groupBy("grp", "chunk").applyInArrow(_links(percent), "a long, b long")
-    groups = cut(sets.groupBy("grp").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingle_sum"))
-                 .withColumn("chunks", _chunks()), "near-groups")
-    dealt = sets.join(groups.select("grp", "chunks"), "grp")
     state = sets.select("grp", "node", "n", F.col("node").alias("comp"))
-    first = dealt.withColumn("chunk", _deal(F.col("node"), F.col("chunks"), 0)).withColumn("comp", F.col("node"))
+    first = sets.withColumn("chunk", _deal(F.col("node"), F.col("chunks"), 0)).withColumn("comp", F.col("node"))
     found = cut(links(first), "near-links")
-    large = groups.where("chunks > 1")
+    large = sets.where("chunks > 1").select("grp").distinct()
     if not large.limit(1).count():
         return _relabel(state, found).select("node", "comp")
     state = cut(_relabel(state, found), "near-state")
     # a second deal of the large groups joins the chunks' components
-    again = dealt.where("chunks > 1").join(state.select("node", "comp"), "node")
+    again = sets.where("chunks > 1").join(state.select("node", "comp"), "node")
     again = again.withColumn("chunk", _deal(F.col("node"), F.col("chunks"), 1))
     state = cut(_relabel(state, links(again)), "near-state")
     # now every two components of a large group meet: a large component in
     # chunks of its own, small ones pooled
-    state_l = state.join(large.select("grp"), "grp", "left_semi")
+    state_l = state.join(large, "grp", "left_semi")
     sizes = (state_l.groupBy("grp", "comp").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingle_sum"))
              .withColumn("own", _chunks()))
     sizes = cut(sizes.withColumn("alone", (F.col("members") >= CHUNK) | (F.col("own") > 1)), "near-sizes")
@@ -346,13 +349,17 @@ def near_dedup(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     stars = keys.join(shared, ["band", "key"]).select(F.col("hub").alias("a"), F.col("node").alias("b"))
     groups = components(stars).select("node", F.col("comp").alias("grp"))
 
-    wanted = cut(groups.join(nodes.select("node", "n", "best"), "node")
-                 .select("grp", "node", "n", F.col("best.doc_id").alias("w_id"), F.col("best.text_key").alias("w_key")), "near-wanted")
-    same = texts["doc_id"].eqNullSafe(F.col("w_id")) & (texts["text_key"] == F.col("w_key"))
-    picked = (texts.join(wanted, same).groupBy("w_id", "w_key", "grp", "node").agg(F.first("text").alias("text"))
-              .select("grp", "node", "text"))
-    sets = cut(picked.mapInArrow(full_sets(size), "grp long, node long, shingles binary, regs binary")
-               .withColumn("n", (F.octet_length("shingles") / 8).cast("long")), "near-sets")
+    members = cut(groups.join(nodes.select("node", "n", "best"), "node"), "near-members")
+    chunks = members.groupBy("grp").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingle_sum"))
+    wanted = cut(members.join(chunks.select("grp", _chunks().alias("chunks")), "grp")
+                 .select("grp", "node", "n", "chunks", F.col("best.doc_id").alias("w_id"), F.col("best.text_key").alias("w_key"),
+                         _slot(F.col("best.doc_id")).alias("slot")), "near-wanted")
+    # texts that are surely not wanted stay where they are: at most SLOTS numbers are broadcast
+    near = texts.join(F.broadcast(wanted.select("slot").distinct()), _slot(texts["doc_id"]) == F.col("slot"), "left_semi")
+    same = near["doc_id"].eqNullSafe(F.col("w_id")) & (near["text_key"] == F.col("w_key"))
+    picked = (near.join(wanted.hint("merge"), same).groupBy("w_id", "w_key", "grp", "node", "n", "chunks")
+              .agg(F.first("text").alias("text")).select("grp", "node", "n", "chunks", "text"))
+    sets = cut(picked.mapInArrow(full_sets(size), "grp long, node long, n long, chunks long, shingles binary, regs binary"), "near-sets")
     comps = cut(_resolve_groups(sets, percent), "near-comps")
 
     own = nodes.join(comps, "node", "left").select("d1", "d2", F.coalesce("comp", "node").alias("comp"), "best.doc_id")
