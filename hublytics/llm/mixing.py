@@ -40,7 +40,7 @@ SMALL_CELLS = 50_000
 
 #: first rule that matches; both patterns mean the same in every engine used here
 TOPICS = [
-    ("code", r"[{};]\s*\n"),
+    ("code", r"[{};][\x20\x09-\x0D]*\n"),
     ("legal", r"[Ll]icen[sc]e|[Cc]opyright"),
     ("contact", r"@[A-Za-z0-9-]+\."),
 ]

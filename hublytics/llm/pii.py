@@ -73,10 +73,10 @@ KINDS = [
          "card|visa|master|credit|payment|account"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_digits()}) between 10 and 15", 0.5,
          "phone|\\\\btel|call|mobile|\\\\bfax", needs="+"),
-    Kind("iban", r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])",
-         f"not x.before rlike '[A-Za-z0-9]$' and {_MOD97}", 0.7, "iban|account|bank|\\\\bbic\\\\b|swift", base=False),
-    Kind("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-         "not x.before rlike '[0-9-]$' and not x.m rlike '^(000|666|9)|-00-|-0000$'", 0.3,
+    Kind("iban", r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)",
+         f"not x.before rlike '[A-Za-z0-9]$' and not coalesce(x.after, '') rlike '^[A-Za-z0-9]' and {_MOD97}", 0.7, "iban|account|bank|\\\\bbic\\\\b|swift", base=False),
+    Kind("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
+         "not x.before rlike '[0-9-]$' and not coalesce(x.after, '') rlike '^[0-9-]' and not x.m rlike '^(000|666|9)|-00-|-0000$'", 0.3,
          "\\\\bssn\\\\b|social security", base=False, needs="-"),
 ]
 

@@ -147,3 +147,74 @@ scored as (
 ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored)
 select query_id, rank, vec_id, score from ranked where rank <= 5
 """
+
+
+def _pii_sql() -> str:
+    octet = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
+    digits = "regexp_replace(m, '[^0-9]', '', 'g')"
+    luhn = (f"list_sum(list_transform(string_split(reverse({digits}), ''), lambda c, i: "
+            "case when i % 2 = 1 then c::int when c::int > 4 then 2 * c::int - 9 else 2 * c::int end)) % 10 = 0")
+    compact = "replace(m, ' ', '')"
+    mod97 = (f"list_reduce([0::bigint] || list_transform(string_split(substr({compact}, 5) || left({compact}, 4), ''), "
+             "lambda c: ord(c)::bigint), lambda a, c: if(c < 65, (a * 10 + c - 48) % 97, (a * 100 + c - 55) % 97)) = 1")
+    outside = "not regexp_matches(before, '[A-Za-z0-9]$') and not regexp_matches(after, '^[A-Za-z0-9]')"
+    kinds = [
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
+        ("ip", r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", rf"regexp_full_match(m, '{octet}(?:\.{octet}){{3}}')"),
+        ("card", r"[0-9](?:[\x20-]?[0-9])+", f"length({digits}) between 14 and 19 and {luhn}"),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({digits}) between 10 and 15"),
+        ("iban", "[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)", f"{outside} and {mod97}"),
+        ("ssn", "[0-9]{3}-[0-9]{2}-[0-9]{4}",
+         "not regexp_matches(before, '[0-9-]$') and not regexp_matches(after, '^[0-9-]') "
+         "and not regexp_matches(m, '^(?:000|666|9)|-00-|-0000$') "
+         "and regexp_matches(lower(before || ' ' || after), '\\bssn\\b|social security')"),
+    ]
+    found = "\nunion all\n".join(f"""
+  select rn, {k} as k, '{name}' as kind, start, start + length(m) as stop from (
+    select rn, m, right(p, 40) as before, left(coalesce(q, ''), 40) as after,
+      (sum(length(p)) over w + sum(length(m)) over w - length(m))::bigint as start
+    from (select rn, i, ms[i] as m, ps[i] as p, ps[i + 1] as q
+          from (select rn, ms, ps, unnest(range(1, len(ms) + 1)) as i
+                from (select rn, regexp_extract_all(t, '{pattern}') as ms, string_split_regex(t, '{pattern}') as ps from docs)))
+    window w as (partition by rn order by i))
+  where {confirm}""" for k, (name, pattern, confirm) in enumerate(kinds))
+    listed = "string_agg(kind || ':' || start || ':' || stop, ',' order by start, k)"
+    return f"""
+with docs as (select row_number() over () as rn, doc_id, coalesce(text, '') as t from documents),
+found as ({found}),
+listed as (
+  select rn, {", ".join(f"count(*) filter (where k = {k}) as n_{kinds[k][0]}" for k in range(4))},
+    {listed} filter (where k < 4) as base, {listed} as spans
+  from found group by rn)
+select doc_id, {", ".join(f"coalesce(n_{kinds[k][0]}, 0) as n_{kinds[k][0]}" for k in range(4))},
+  sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from docs left join listed using (rn)"""
+
+
+def _mixing_sql() -> str:
+    dims = mixing.DIMS
+    topic = " ".join(f"when regexp_matches(coalesce(text, ''), '{p}') then '{n}'" for n, p in mixing.TOPICS)
+    target = ", ".join(f"sqrt(sum(tokens) over (partition by {d})) / (select sum(r) from (select sqrt(sum(tokens)) as r from cells group by {d})) "
+                       f"* ({mixing.RATE}::double * (select sum(tokens) from cells)) as t_{d}" for d in dims)
+    steps, last = [], "start"
+    for i in range(mixing.ROUNDS):
+        for d in dims:
+            name = f"w_{i}_{d}"
+            steps.append(f"{name} as (select * replace (least(w * t_{d} / sum(w) over (partition by {d}), tokens) as w) from {last})")
+            last = name
+    raked = ",\n".join(steps)
+    return f"""
+with facts as (
+  select doc_id, coalesce(source, '') as source, coalesce(lang, '') as lang, case {topic} else 'prose' end as topic,
+    len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::bigint + 1 as n_tokens
+  from documents),
+cells as (select source, lang, topic, sum(n_tokens)::double as tokens from facts group by all),
+start as (select *, tokens as w, {target} from cells),
+{raked}
+select doc_id, f.source, f.lang, f.topic, n_tokens, round(w / tokens, 9) as probability,
+  ('0x' || left(md5('{mixing.SEED}:' || coalesce(doc_id::varchar, '')), 13))::bigint / 4503599627370496::double < round(w / tokens, 9) as selected
+from facts f join {last} using (source, lang, topic)"""
+
+
+ORACLE["op1_pii"] = _pii_sql()
+ORACLE["op8_mixing"] = _mixing_sql()
