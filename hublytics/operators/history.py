@@ -14,9 +14,10 @@ compares the current versions with the source on the check columns
 
 One full outer join on the key does the comparison; both sides are keyed
 by a unique id, so the shuffle is even. Parquet has no MERGE, so a run
-writes the complete new table to a fresh version folder
-(:func:`hublytics.sources.sinks.write_version`) and never overwrites the
-folder it reads.
+writes a fresh version folder (:func:`hublytics.sources.sinks.write_version`)
+and never overwrites the folder it reads; given the open versions only, the
+result holds what is open after the run and what the run closed, and
+:func:`hublytics.sources.sinks.read_history` puts the runs together.
 """
 
 from __future__ import annotations

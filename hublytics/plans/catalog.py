@@ -22,7 +22,7 @@ from hublytics.plans.warehouse import Warehouse
 from hublytics.session import checkpoint_dir
 from hublytics.sources.fixtures import Fixture
 from hublytics.sources.raw import nanos_to_timestamp, read_raw, read_seed
-from hublytics.sources.sinks import read_current, write_table, write_version
+from hublytics.sources.sinks import read_history, read_open, write_table, write_version
 
 # Fixed "today" for models that depend on the run date (tenure, future
 # hire dates), so results are repeatable: the last calendar day.
@@ -83,6 +83,7 @@ def warehouse_for(spark: SparkSession, sf_dir: str) -> tuple[Fixture, Warehouse]
 
 
 _BUILT: dict[tuple[str, str], Warehouse] = {}
+_BUILT_AT: dict[tuple[str, str], str] = {}
 
 
 def built_for(spark: SparkSession, sf_dir: str) -> Warehouse:
@@ -96,7 +97,7 @@ def built_for(spark: SparkSession, sf_dir: str) -> Warehouse:
         write_table(wh["stg_shippingorder"], f"{out}/stg_shippingorder")
         wh.replace("stg_shippingorder", spark.read.parquet(f"{out}/stg_shippingorder"))
         pipeline.build(spark, wh, out)
-        _BUILT[key] = wh
+        _BUILT[key], _BUILT_AT[key] = wh, out
     return _BUILT[key]
 
 
@@ -285,16 +286,16 @@ def q_roundtrip_parquet(spark, sf_dir):
 
 
 def q_snapshot_on_disk(spark, sf_dir):
-    """Two snapshot runs written as versions, the newest read back."""
+    """Two snapshot runs written as versions, the whole snapshot read back."""
     fx, wh = warehouse_for(spark, sf_dir)
     base = f"{checkpoint_dir(spark).rstrip('/')}/snap-{uuid.uuid4().hex}"
     day1 = wh["dim_client"].select(*SCD_PAYLOAD)
     day2 = core.dim_client(staging.stg_client(fx.dim_client_changed()), wh["stg_province"], wh.hint) \
         .select(*SCD_PAYLOAD)
     for version, (day, at) in enumerate(zip([day1, day2], SCD_RUNS, strict=True), start=1):
-        snap = history.snapshot(day, SCD_KEY, SCD_CHECK, at, prev=read_current(spark, base))
+        snap = history.snapshot(day, SCD_KEY, SCD_CHECK, at, prev=read_open(spark, base))
         write_version(spark, snap, base, version)
-    return read_current(spark, base)
+    return read_history(spark, base)
 
 
 def q_pruned_scan(spark, sf_dir):
@@ -463,7 +464,9 @@ order by gross_vnd desc, year, region"""
 
 
 def q_card_sql_cod(spark, sf_dir):
-    return views.run_sql(spark, _wh(spark, sf_dir), COD_CARD_SQL)
+    built_for(spark, sf_dir)
+    out = _BUILT_AT[(spark.sparkContext.applicationId, sf_dir)]
+    return views.run_sql(spark, {m: f"{out}/{m}" for m in Warehouse.MARTS}, COD_CARD_SQL)
 
 
 QUERIES["card_sql_cod"] = q_card_sql_cod

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from hublytics.operators import history, quality
 from hublytics.plans.warehouse import Warehouse
 from hublytics.sources.raw import SEED_SCHEMAS, read_raw_tables, read_seed
-from hublytics.sources.sinks import current_version, version_path, write_table, write_version
+from hublytics.sources.sinks import current_version, read_open, write_table, write_version
 
 SNAPSHOT_KEY = "client_id"
 SNAPSHOT_CHECK = ["tier", "client_channel", "is_b2b"]
@@ -183,9 +183,8 @@ def test(spark: SparkSession, wh: Warehouse, out_dir: str, checks: list[quality.
 def snapshot(spark: SparkSession, wh: Warehouse, out_dir: str, run_at: str) -> str:
     base = os.path.join(out_dir, "snap_client_tier")
     version = current_version(spark, base) or 0
-    prev = spark.read.parquet(version_path(base, version)) if version else None
     src = wh["dim_client"].select(*SNAPSHOT_PAYLOAD)
-    snap = history.snapshot(src, SNAPSHOT_KEY, SNAPSHOT_CHECK, run_at, prev=prev)
+    snap = history.snapshot(src, SNAPSHOT_KEY, SNAPSHOT_CHECK, run_at, prev=read_open(spark, base))
     return write_version(spark, snap, base, version + 1)
 
 

@@ -20,11 +20,21 @@ def register_views(wh: Warehouse, models: list[str] | None = None) -> list[str]:
     return names
 
 
-def run_sql(spark: SparkSession, wh: Warehouse, sql: str, schema_prefix: str = "main_mart.") -> DataFrame:
-    """Run SQL written against the warehouse's schema-qualified mart names
-    (e.g. ``main_mart.mart_daily_kpi``) on the registered views."""
-    register_views(wh, Warehouse.MARTS)
-    return spark.sql(sql.replace(schema_prefix, ""))
+def register_tables(spark: SparkSession, paths: dict[str, str], schema: str = "main_mart") -> list[str]:
+    """Make written tables known to SQL as tables of ``schema``; the files stay
+    where they are."""
+    spark.sql(f"create schema if not exists {schema}")
+    for name, path in paths.items():
+        spark.sql(f"drop table if exists {schema}.{name}")
+        spark.sql(f"create table {schema}.{name} using parquet location '{path}'")
+    return [f"{schema}.{n}" for n in paths]
+
+
+def run_sql(spark: SparkSession, paths: dict[str, str], sql: str, schema: str = "main_mart") -> DataFrame:
+    """Run SQL written against schema-qualified mart names (for example
+    ``main_mart.mart_daily_kpi``) on the written marts in ``paths``."""
+    register_tables(spark, paths, schema)
+    return spark.sql(sql)
 
 
 def export_marts(wh: Warehouse, root: str, partition_by_week: bool = True) -> dict[str, str]:

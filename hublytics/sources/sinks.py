@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
@@ -85,6 +86,18 @@ def current_version(spark: SparkSession, base: str) -> int | None:
     return done[-1] if done else None
 
 
-def read_current(spark: SparkSession, base: str) -> DataFrame | None:
+def read_open(spark: SparkSession, base: str, closed_at: str = "valid_to") -> DataFrame | None:
+    """The open rows of the newest version, None if there is no version."""
     version = current_version(spark, base)
-    return spark.read.parquet(version_path(base, version)) if version else None
+    return spark.read.parquet(version_path(base, version)).filter(F.col(closed_at).isNull()) if version else None
+
+
+def read_history(spark: SparkSession, base: str, closed_at: str = "valid_to") -> DataFrame | None:
+    """The whole snapshot: a version holds the rows open after its run and the
+    rows closed by it, so closed rows are written once and a run costs what is
+    open, not what has ever been."""
+    done = complete_versions(spark, base)
+    if not done:
+        return None
+    rows = spark.read.option("basePath", base).parquet(*[version_path(base, v) for v in done])
+    return rows.filter(F.col(closed_at).isNotNull() | (F.col("v").cast("int") == done[-1])).drop("v")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from hublytics.operators import quality
 from hublytics.plans import catalog, pipeline
 from hublytics.sources.fixtures import fixture_tables
-from hublytics.sources.sinks import SnapshotError, current_version, read_current, version_path, write_table, write_version
+from hublytics.sources.sinks import SnapshotError, current_version, read_history, read_open, version_path, write_table, write_version
 from tests.conftest import SF_SMALL
 
 
@@ -127,9 +127,8 @@ def _snap(spark, prev, tiers, at):
 def test_snapshot_versions_are_safe(spark, tmp_root):
     base = os.path.join(tmp_root, "snap_safe")
     write_version(spark, _snap(spark, None, {1: "a", 2: "b"}, "2000-01-01 00:00:00"), base, 1)
-    prev = read_current(spark, base)
-    write_version(spark, _snap(spark, prev, {1: "a", 2: "c"}, "2000-02-01 00:00:00"), base, 2)
-    closed = lambda: read_current(spark, base).filter("valid_to is not null").count()
+    write_version(spark, _snap(spark, read_open(spark, base), {1: "a", 2: "c"}, "2000-02-01 00:00:00"), base, 2)
+    closed = lambda: read_history(spark, base).filter("valid_to is not null").count()
     assert closed() == 1
     # a half-written third version is not seen, and is replaced
     spark.range(3).write.parquet(os.path.join(base, "v=000003"))
@@ -140,12 +139,15 @@ def test_snapshot_versions_are_safe(spark, tmp_root):
         with pytest.raises(SnapshotError):
             write_version(spark, spark.range(1), base, v)
     # two runs built on version 2: the second to finish raises
-    one = _snap(spark, read_current(spark, base), {1: "z", 2: "c"}, "2000-03-01 00:00:00")
-    two = _snap(spark, read_current(spark, base), {1: "y", 2: "c"}, "2000-03-01 00:00:01")
+    one = _snap(spark, read_open(spark, base), {1: "z", 2: "c"}, "2000-03-01 00:00:00")
+    two = _snap(spark, read_open(spark, base), {1: "y", 2: "c"}, "2000-03-01 00:00:01")
     write_version(spark, one, base, 3)
     with pytest.raises(SnapshotError):
         write_version(spark, two, base, 3)
     assert current_version(spark, base) == 3 and closed() == 2
+    assert read_history(spark, base).count() == 4
+    # a version holds no row that an earlier one closed
+    assert spark.read.parquet(version_path(base, 3)).filter("valid_to is not null").count() == 1
     assert not [f for f in os.listdir(base) if f.startswith("_writing")]
 
 
