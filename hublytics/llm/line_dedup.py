@@ -2,7 +2,9 @@
 
 A text's units are its lines, cut further after sentence and clause marks, so
 that a passage pasted into the middle of a line still consists of whole units
-but for its two ends. Units are normalised (lower case, single spaces) and
+but for its two ends; a clause of more than LONG words is cut after words that
+their own letters and the word before select, about one in STEP, wherever the
+passage stands. Units are normalised (lower case, single spaces) and
 hashed to 128 bits; of each digest the occurrence in the smallest doc_id (then
 the first in that document) is kept. Consecutive repeated units make a run;
 runs of at least MIN_WORDS words are removed, shorter ones (common phrases)
@@ -36,20 +38,40 @@ from pyspark.sql import functions as F
 from hublytics.llm.common import cut
 
 MIN_WORDS = 16
+LONG = 24
+STEP = 8
 _END = re.compile(r"[.!?,;:]+(?=\s)|\n")
+_WORD = re.compile(r"\S+")
+
+
+def _cuts(clause: str) -> Iterator[int]:
+    """Where a long clause is cut: a function of two neighbouring words."""
+    before = ""
+    for m in _WORD.finditer(clause):
+        word = m[0].lower()
+        if word != before and before and (ord(word[0]) * 7 + len(word) * 5 + ord(before[0]) * 3 + len(before)) % STEP == 0:
+            yield m.end()
+        before = word
 
 
 def units(text: str) -> Iterator[tuple[int, int, list[str]]]:
     """(start, end, words) of the units of ``text`` that have words."""
     at = 0
-    for m in _END.finditer(text):
-        words = text[at: m.end()].lower().split()
+    for stop in (*(m.end() for m in _END.finditer(text)), len(text)):
+        words = text[at:stop].lower().split()
+        if not words:
+            continue
+        if len(words) > LONG:
+            clause, done = text[at:stop], 0
+            for cut_at in _cuts(clause):
+                part = clause[done:cut_at].lower().split()
+                if part:
+                    yield at + done, at + cut_at, part
+                    done = cut_at
+            at, words = at + done, clause[done:].lower().split()
         if words:
-            yield at, m.end(), words
-            at = m.end()
-    words = text[at:].lower().split()
-    if words:
-        yield at, len(text), words
+            yield at, stop, words
+        at = stop
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
