@@ -31,6 +31,14 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def slices(batches, rows: int = 512):
+    """Arrow batches in pieces of at most ``rows`` rows, so that what a task
+    makes of a batch stays small."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 

@@ -15,8 +15,8 @@ windows per Arrow batch, summed by Spark) and gathers no text, only counts of
 distinct windows, of which there are at most MAX_SYMBOLS ** (ORDER + 1) a
 language. Scoring is one more pass without a shuffle: the table (at most
 MAX_SYMBOLS ** (ORDER + 1) floats a language, MAX_LANGUAGES languages) is
-broadcast, and texts are coded in pieces of bounded size, so neither a long
-text nor a large batch needs memory of its own size times the table.
+broadcast, and texts are counted and coded in pieces of bounded size, so
+neither a long text nor a large batch needs many times its own size.
 
 The bytes are first folded: A-Z to a-z, digits and white space to one symbol
 each, and the bytes beyond the MAX_SYMBOLS - 1 most frequent ones of the
@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hublytics.llm.common import cut
+from hublytics.llm.common import cut, slices
 
 ORDER = 2
 MAX_SYMBOLS = 64
@@ -55,6 +55,9 @@ FOLD[65:91] += 32
 FOLD[48:58] = 48
 FOLD[9:14] = 32
 
+LETTER = np.zeros(256, bool)
+LETTER[65:91] = LETTER[97:123] = True
+
 
 def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == HELD_OUT, F.lit(False))
@@ -106,26 +109,30 @@ def _windows(symbols: np.ndarray, starts: np.ndarray, lead: int, base: int) -> n
 
 def _byte_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(256, np.int64)
-    for b in batches:
+    for b in slices(batches):
         body, _ = _bytes(b.column("text"))
-        total += np.bincount(FOLD[body], minlength=256)
+        for s in range(0, len(body), PIECE):
+            total += np.bincount(FOLD[body[s: s + PIECE]], minlength=256)
     seen = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(total[seen], pa.int64())], ["byte", "n"])
 
 
 def _window_counts(symbol_of: np.ndarray, base: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = base ** (ORDER + 1)
         total: dict[str, np.ndarray] = {}
-        for b in batches:
-            table = pa.Table.from_batches([b]).sort_by("lang").combine_chunks()
-            langs = table.column("lang").to_pylist()
-            edges = [k for k in range(len(langs)) if k == 0 or langs[k] != langs[k - 1]] + [len(langs)]
-            for lo, hi in zip(edges, edges[1:], strict=False):
-                column = table.column("text").slice(lo, hi - lo).combine_chunks()
-                body, at = _bytes(column.chunk(0) if isinstance(column, pa.ChunkedArray) else column)
-                into = total.setdefault(langs[lo], np.zeros(base ** (ORDER + 1), np.int64))
-                for run, starts, _, lead in _pieces(body, at):
-                    into += np.bincount(_windows(symbol_of[run], starts, lead, base), minlength=len(into))
+        for b in slices(batches):
+            langs = b.column("lang").dictionary_encode()
+            names, lang_of = langs.dictionary.to_pylist(), langs.indices.to_numpy(zero_copy_only=False)
+            body, at = _bytes(b.column("text"))
+            for run, starts, i, lead in _pieces(body, at):
+                w = _windows(symbol_of[run], starts, lead, base)
+                lengths = np.diff(np.append(starts, len(run)))
+                lengths[0] -= lead
+                own = np.repeat(lang_of[i: i + len(starts)], lengths)
+                for k in np.unique(own):
+                    total.setdefault(names[k], np.zeros(size, np.int64))
+                    total[names[k]] += np.bincount(w[own == k], minlength=size)
         for lang, n in total.items():
             seen = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays(
@@ -183,28 +190,21 @@ def train(docs: DataFrame) -> dict:
 
 # -- scoring -----------------------------------------------------------------
 
-def _code(model: dict, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Total bits of each text under each language, and bytes."""
+def _code(model: dict, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Total bits of each text under each language, its bytes, and whether it
+    has an ASCII letter."""
     body, at = _bytes(column)
     out = np.zeros((len(at) - 1, len(model["langs"])))
+    letter = np.zeros(len(at) - 1, bool)
     for run, starts, i, lead in _pieces(body, at):
         if not len(run):
             continue
         w = _windows(model["symbol_of"][run], starts, lead, model["base"])
         full = np.flatnonzero(np.diff(np.append(starts, len(run))))  # texts that have bytes
+        letter[i + full] |= np.logical_or.reduceat(LETTER[run], starts[full])
         for k in range(len(model["langs"])):
             out[i + full, k] += np.add.reduceat(np.take(model["bits"][k], w), starts[full] if lead == 0 else [0], dtype=np.float64)
-    return out, np.diff(at)
-
-
-def _letters(column: pa.Array) -> np.ndarray:
-    """Whether each text has a letter (of any script)."""
-    body, at = _bytes(column)
-    ascii_letter = np.concatenate([[0], np.cumsum(((body | 32) >= 97) & ((body | 32) <= 122), dtype=np.int64)])
-    has = ascii_letter[at[1:]] > ascii_letter[at[:-1]]
-    for i in np.flatnonzero(~has & (np.diff(at) > 0)):
-        has[i] = any(c.isalpha() for c in column[int(i)].as_py() or "")
-    return has
+    return out, np.diff(at), letter
 
 
 def _judge(model: dict, column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -212,11 +212,12 @@ def _judge(model: dict, column: pa.Array) -> tuple[list[str], np.ndarray, np.nda
     n = len(column)
     if not model["langs"]:
         return [UNKNOWN] * n, np.zeros(n), np.zeros(n)
-    bits, size = _code(model, column)
+    bits, size, has = _code(model, column)
+    for i in np.flatnonzero(~has & (size > 0)):  # letters of other scripts
+        has[i] = any(c.isalpha() for c in column[int(i)].as_py())
     best = bits.argmin(axis=1)
     least = bits[np.arange(n), best]
     score = 1 / np.exp2(np.maximum(least[:, None] - bits, -1000)).sum(axis=1)
-    has = _letters(column)
     pred = [model["langs"][b] if h else UNKNOWN for b, h in zip(best, has, strict=True)]
     return pred, np.where(has, score, 0.0), least / np.maximum(size, 1)
 
@@ -230,7 +231,7 @@ def annotate(docs: DataFrame, model: dict, prefix: str = "") -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             found = _judge(shared.value, b.column(at))
             arrays = [*b.columns, *(pa.array(x, t) for x, t in zip(found, types, strict=True))]
             yield pa.RecordBatch.from_arrays(arrays, [*b.schema.names, *names])
