@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hublytics.llm.common import cut, positions
+from hublytics.llm.common import cut, positions, slices
 
 CAPACITY = 2048
 MIN_PIECE = 32
@@ -92,7 +92,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, min_piece
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import tiktoken
         encode = tiktoken.Encoding("bpe", pat_str=PATTERN, mergeable_ranks=shared.value, special_tokens={}).encode_ordinary
-        for b in batches:
+        for b in slices(batches):
             source, rows = [], []
             for i, text in enumerate(b.column(1)):
                 ids = array("I", encode(text.as_py() or ""))

@@ -35,6 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hublytics.llm.common import slices
+
 MIN_SCORE = 0.6
 MIN_LENGTH = 6
 KINDS = ("assign", "access", "hex", "literal")
@@ -220,7 +222,7 @@ _SPAN = "array<struct<start:int,end:int,kind:string,name:string,score:double>>"
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()),
                                ("name", pa.string()), ("score", pa.float64())]))
-    for b in batches:
+    for b in slices(batches):
         found = [[dict(zip(("start", "end", "kind", "name", "score"), s, strict=True)) for s in spans(t.as_py() or "")]
                  for t in b.column(1)]
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, kind)], ["doc_id", "secrets"])
