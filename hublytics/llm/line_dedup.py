@@ -1,14 +1,16 @@
-"""Substring dedup by hashing units of lines.
-
-A text's units are its lines, cut further after sentence and clause marks, so
-that a passage pasted into the middle of a line still consists of whole units
-but for its two ends; a clause of more than LONG words is cut after words that
-their own letters and the word before select, about one in STEP, wherever the
-passage stands. Units are normalised (lower case, single spaces) and
-hashed to 128 bits; of each digest the occurrence in the smallest doc_id (then
-the first in that document) is kept. Consecutive repeated units make a run;
-runs of at least MIN_WORDS words are removed, shorter ones (common phrases)
-stay. What is removed is given by its positions in the original text.
+"""Substring dedup by hashing lines and units of lines.
+
+A line that is the same as an earlier whole line is removed whatever its
+length. A text's units are its lines, cut further after sentence and clause
+marks, so that a passage pasted into the middle of a line still consists of
+whole units but for its two ends; a clause of more than LONG words is cut after
+words that their own letters and the word before select, about one in STEP,
+wherever the passage stands. Lines and units are normalised (lower case, single
+spaces) and hashed to 128 bits; of each digest the occurrence in the smallest
+doc_id (then the first in that document) is kept, of whole lines the first
+whole line. Consecutive repeated units make a run; runs of at least MIN_WORDS
+words are removed, of shorter ones (common phrases) only the repeated whole
+lines. What is removed is given by its positions in the original text.
 
 How it runs: one pass turns texts into digests. A first aggregation (map-side
 combined) finds the digests that occur more than once by half of their bits;
@@ -29,6 +31,8 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -74,19 +78,65 @@ def units(text: str) -> Iterator[tuple[int, int, list[str]]]:
         at = stop
 
 
+def _lined(text: str) -> Iterator[tuple[int, int, list[str], int]]:
+    """The units of ``text`` with the number of their line."""
+    line = at = 0
+    for start, end, words in units(text):
+        first = end - len(text[start:end].lstrip())
+        line += text.count("\n", at, first)
+        at = first
+        yield start, end, words, line
+
+
+def _digest(words: list[str]) -> bytes:
+    return hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Units have a ``unit`` number, whole lines a ``line`` number, units that
+    are a whole line both."""
     for b in slices(batches):
-        source, number, digests = [], [], []
+        source, number, lines, digests = [], [], [], []
         for i, text in enumerate(b.column(2)):
-            for n, (_, _, words) in enumerate(units(text.as_py() or "")):
-                source.append(i)
-                number.append(n)
-                digests.append(hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest())
+            n = 0
+            for at, of_line in groupby(_lined(text.as_py() or ""), itemgetter(3)):
+                parts = [words for _, _, words, _ in of_line]
+                for words in parts:
+                    source.append(i)
+                    number.append(n)
+                    lines.append(at if len(parts) == 1 else None)
+                    digests.append(_digest(words))
+                    n += 1
+                if len(parts) > 1:
+                    source.append(i)
+                    number.append(None)
+                    lines.append(at)
+                    digests.append(_digest([w for words in parts for w in words]))
         d = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
         rows = pa.array(source, pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [b.column(0).take(rows), b.column(1).take(rows), pa.array(number, pa.int32()),
-             pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy())], ["doc_id", "text_key", "unit", "d1", "d2"])
+            [b.column(0).take(rows), b.column(1).take(rows), pa.array(number, pa.int32()), pa.array(lines, pa.int32()),
+             pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy())], ["doc_id", "text_key", "unit", "line", "d1", "d2"])
+
+
+def _removed(text: str, marks: list[dict], min_words: int) -> list[dict]:
+    keeper = {m["unit"]: m["keep_doc_id"] for m in marks if m["unit"] is not None}
+    whole = {m["line"]: m["line_keep_id"] for m in marks if m["line"] is not None}
+    spans: list[dict] = []
+    repeated = lambda u: u[0] in keeper or u[1][3] in whole
+    for again, run in groupby(enumerate(_lined(text)), repeated):
+        if not again:
+            continue
+        run = list(run)
+        if sum(len(words) for _, (_, _, words, _) in run) >= min_words:
+            parts = [run]
+        else:
+            parts = [list(p) for sure, p in groupby(run, lambda u: u[1][3] in whole) if sure]
+        for p in parts:
+            n, (start, _, _, line) = p[0]
+            spans.append({"start": start, "end": p[-1][1][1],
+                          "keep_doc_id": whole[line] if line in whole else keeper[n]})
+    return spans
 
 
 def _cut_runs(min_words: int):
@@ -94,23 +144,9 @@ def _cut_runs(min_words: int):
         for b in batches:
             texts, removed = [], []
             for text, marks in zip(b.column(1), b.column(2), strict=True):
-                text = text.as_py()
-                keeper = {m["unit"]: m["keep_doc_id"] for m in marks.as_py() or ()}
-                spans: list[dict] = []
-                if keeper:
-                    words, last = 0, -2
-                    for n, (start, end, w) in enumerate(units(text)):
-                        if n not in keeper:
-                            continue
-                        if n != last + 1:
-                            if spans and words < min_words:
-                                spans.pop()
-                            words = 0
-                            spans.append({"start": start, "end": end, "keep_doc_id": keeper[n]})
-                        words, last = words + len(w), n
-                        spans[-1]["end"] = end
-                    if words < min_words:
-                        spans.pop()
+                text, marks = text.as_py(), marks.as_py()
+                spans = _removed(text, marks, min_words) if marks else []
+                if spans:
                     at, parts = 0, []
                     for s in spans:
                         parts.append(text[at: s["start"]])
@@ -126,29 +162,37 @@ def _cut_runs(min_words: int):
 
 
 def repeated_units(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key, unit, keep_doc_id of every unit that has an earlier twin."""
+    """doc_id, text_key, unit, keep_doc_id, line, line_keep_id: the units that
+    have an earlier twin and the lines that repeat an earlier whole line."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     all_units = cut(docs.select("doc_id", "text_key", "text").mapInArrow(
-        _digests, f"doc_id {kind}, text_key long, unit int, d1 long, d2 long"), "line-units")
+        _digests, f"doc_id {kind}, text_key long, unit int, line int, d1 long, d2 long"), "line-units")
     often = cut(all_units.groupBy("d1").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("d1"), "line-often")
     occ = cut(all_units.join(often, "d1", "left_semi"), "line-occurrences")
-    first = cut(occ.groupBy("d1", "d2").agg(F.min("doc_id").alias("keep_doc_id"), F.count(F.lit(1)).alias("c"))
-                .where("c > 1").drop("c"), "line-first")
-    both = occ.join(first, ["d1", "d2"]).select("doc_id", "text_key", "unit", "d1", "d2", "keep_doc_id")
+    first = cut(occ.groupBy("d1", "d2").agg(
+        F.min("doc_id").alias("keep_doc_id"), F.min(F.when(F.col("line").isNotNull(), F.col("doc_id"))).alias("line_keep_id"),
+        F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"), "line-first")
+    both = occ.join(first, ["d1", "d2"])
     own = F.col("doc_id").eqNullSafe(F.col("keep_doc_id"))
-    later = both.where(~own).select("doc_id", "text_key", "unit", "keep_doc_id")
-    # inside the document that keeps it, a unit's first place stays
-    rank = F.dense_rank().over(Window.partitionBy("doc_id", "d1", "d2").orderBy("text_key", "unit"))
-    again = both.where(own).withColumn("r", rank).where("r > 1").select("doc_id", "text_key", "unit", "keep_doc_id")
+    own_line = F.col("doc_id").eqNullSafe(F.col("line_keep_id"))
+    marks = lambda df, unit, line: df.select(
+        "doc_id", "text_key", F.when(unit, F.col("unit")).alias("unit"), "keep_doc_id",
+        F.when(line, F.col("line")).alias("line"), "line_keep_id").where("unit is not null or line is not null")
+    later = marks(both, ~own, ~own_line)
+    # inside the document that keeps it, a unit's or a whole line's first place stays
+    rank = lambda *of: F.dense_rank().over(Window.partitionBy("doc_id", "d1", "d2", *of).orderBy("text_key", "unit", "line"))
+    kept = both.where(own | (F.col("line").isNotNull() & own_line)).withColumns(
+        {"r": rank(), "r_line": rank(F.col("line").isNull())})
+    again = marks(kept, own & (F.col("r") > 1), own_line & (F.col("r_line") > 1))
     return later.union(again)
 
 
 def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, text without the repeated runs,
+    """One row per row of ``docs``: doc_id, text without the repeated lines and runs,
     n_removed, removed (array of start, end in the original, keep_doc_id)."""
     rows = docs.select("doc_id", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_key"), "text")
     marks = (repeated_units(rows).groupBy("doc_id", "text_key")
-             .agg(F.collect_set(F.struct("unit", "keep_doc_id")).alias("marks"))
+             .agg(F.collect_set(F.struct("unit", "keep_doc_id", "line", "line_keep_id")).alias("marks"))
              .select(F.col("doc_id").alias("m_id"), F.col("text_key").alias("m_key"), "marks"))
     marks = cut(marks, "line-marks")
     joined = rows.join(marks, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("text_key") == F.col("m_key")), "left")

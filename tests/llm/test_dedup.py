@@ -150,6 +150,24 @@ def test_line_dedup_keeps_the_rest_and_the_first(awkward):
     assert max(len(v) for v in seen.values()) == 1
 
 
+def test_line_dedup_of_short_lines(spark):
+    """With the query's own parameters: a repeated whole line goes whatever its length."""
+    rows = [(1, "Own words.\nSee licence: all, rights.\nShort line here\nlast of one"),
+            (2, "SEE licence:  all, rights.\nof two\nshort line  here\nend of two"),
+            (3, "In a line: Short line here\nand See licence: all, rights. too"), (4, "of four\nof four\nOwn words. and more"),
+            (5, "last of one"), (None, "of four"), (None, "of none\nof none")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = defaultdict(list)
+    for r in line_dedup.line_dedup(docs).collect():
+        got[r.doc_id].append((r.text, [s.keep_doc_id for s in r.removed]))
+    words = {i: sorted((t.split(), k) for t, k in found) for i, found in got.items()}
+    assert words[1] == [(rows[0][1].split(), [])] and words[3] == [(rows[2][1].split(), [])], "clauses of other lines stay"
+    assert words[2] == [("of two end of two".split(), [1, 1])]
+    assert words[4] == [("of four Own words. and more".split(), [4])]
+    assert words[5] == [([], [1])]
+    assert words[None] == [([], [4]), (["of", "none"], [None])]
+
+
 def test_empty_tables(nothing):
     assert exact_dedup.exact_dedup(nothing).count() == 0
     assert exact_dedup.keep_first(nothing).count() == 0
