@@ -1,16 +1,18 @@
 """Substring dedup by hashing lines and units of lines.
 
 A line that is the same as an earlier whole line is removed whatever its
-length. A text's units are its lines, cut further after sentence and clause
-marks, so that a passage pasted into the middle of a line still consists of
-whole units but for its two ends; a clause of more than LONG words is cut after
-words that their own letters and the word before select, about one in STEP,
-wherever the passage stands. Lines and units are normalised (lower case, single
-spaces) and hashed to 128 bits; of each digest the occurrence in the smallest
-doc_id (then the first in that document) is kept, of whole lines the first
-whole line. Consecutive repeated units make a run; runs of at least MIN_WORDS
-words are removed, of shorter ones (common phrases) only the repeated whole
-lines. What is removed is given by its positions in the original text.
+length. So that a passage pasted into the middle of a line is found too, lines
+are cut into units: after sentence and clause marks, and inside clauses after
+the word of the least hash of every WINDOW neighbouring words (winnowing). Where
+a clause is cut depends on WINDOW words only and no unit is longer than WINDOW,
+so of a passage at most 2 * WINDOW - 1 words at each end belong to units that
+hold words of the host: the rest of a passage of 50 words is always a run of
+MIN_WORDS. Lines and units are normalised (lower case, single spaces) and
+hashed to 128 bits; of each digest the occurrence in the smallest doc_id (then
+the first in that document) is kept, of whole lines the first whole line.
+Consecutive repeated units make a run; runs of at least MIN_WORDS words are
+removed, of shorter ones (common phrases) only the repeated whole lines. What
+is removed is given by its positions in the original text.
 
 How it runs: one pass turns texts into digests. A first aggregation (map-side
 combined) finds the digests that occur more than once by half of their bits;
@@ -33,6 +35,7 @@ import re
 from collections.abc import Iterator
 from itertools import groupby
 from operator import itemgetter
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -42,50 +45,52 @@ from pyspark.sql import functions as F
 from hublytics.llm.common import cut, slices
 
 MIN_WORDS = 16
-LONG = 24
-STEP = 8
-_END = re.compile(r"[.!?,;:]+(?=\s)|\n")
+WINDOW = 9
 _WORD = re.compile(r"\S+")
+_ENDS = frozenset(".!?,;:")
 
 
-def _cuts(clause: str) -> Iterator[int]:
-    """Where a long clause is cut: a function of two neighbouring words."""
-    before = ""
-    for m in _WORD.finditer(clause):
-        word = m[0].lower()
-        if word != before and before and (ord(word[0]) * 7 + len(word) * 5 + ord(before[0]) * 3 + len(before)) % STEP == 0:
-            yield m.end()
-        before = word
+def _chosen(words: list[str], clause: np.ndarray) -> np.ndarray:
+    """Numbers of the words with the least hash (the last of equal ones) among
+    any WINDOW neighbouring words of one clause."""
+    n = len(words) - WINDOW + 1
+    inside = np.flatnonzero(clause[:max(n, 0)] == clause[WINDOW - 1:])
+    if not len(inside):
+        return inside
+    h = np.fromiter((crc32(w.encode("utf-8", "surrogatepass")) for w in words), np.uint32, len(words)) * np.uint32(2654435761)
+    best, at = h[:n].copy(), np.zeros(n, np.int64)
+    for k in range(1, WINDOW):
+        less = h[k: k + n] <= best
+        best[less] = h[k: k + n][less]
+        at[less] = k
+    return (at + np.arange(n))[inside]
 
 
-def units(text: str) -> Iterator[tuple[int, int, list[str]]]:
-    """(start, end, words) of the units of ``text`` that have words."""
-    at = 0
-    for stop in (*(m.end() for m in _END.finditer(text)), len(text)):
-        words = text[at:stop].lower().split()
-        if not words:
-            continue
-        if len(words) > LONG:
-            clause, done = text[at:stop], 0
-            for cut_at in _cuts(clause):
-                part = clause[done:cut_at].lower().split()
-                if part:
-                    yield at + done, at + cut_at, part
-                    done = cut_at
-            at, words = at + done, clause[done:].lower().split()
-        if words:
-            yield at, stop, words
-        at = stop
+def _lined(text: str) -> Iterator[tuple[int, int, list[str], int]]:
+    """(start, end, words, line) of the units of ``text`` that have words."""
+    words = text.lower().split()
+    if not words:
+        return
+    spans = np.array([m.span() for m in _WORD.finditer(text)])
+    breaks = np.array([m.start() for m in re.finditer("\n", text)], np.int64)
+    line = np.searchsorted(breaks, spans[:, 0])
+    marked = np.fromiter((w[-1] in _ENDS for w in words), bool, len(words))
+    last = np.append(line[1:] != line[:-1], True)
+    cuts = marked | last
+    cuts[_chosen(words, np.cumsum(cuts) - cuts)] = True
+    stops = np.flatnonzero(cuts)
+    # a line without a closing mark takes its line end along
+    ends = np.where(last & ~marked, np.append(breaks + 1, len(text))[line], spans[:, 1])
+    at = first = 0
+    for stop, end, n in zip(stops.tolist(), ends[stops].tolist(), line[stops].tolist(), strict=True):
+        yield at, end, words[first: stop + 1], n
+        at, first = end, stop + 1
 
 
-def _lined(text: str) -> Iterator[tuple[int, int, list[str], int]]:
-    """The units of ``text`` with the number of their line."""
-    line = at = 0
-    for start, end, words in units(text):
-        first = end - len(text[start:end].lstrip())
-        line += text.count("\n", at, first)
-        at = first
-        yield start, end, words, line
+def units(text: str) -> Iterator[tuple[int, int, list[str]]]:
+    """(start, end, words) of the units of ``text`` that have words."""
+    for start, end, words, _ in _lined(text):
+        yield start, end, words
 
 
 def _digest(words: list[str]) -> bytes:

@@ -168,6 +168,30 @@ def test_line_dedup_of_short_lines(spark):
     assert words[None] == [([], [4]), (["of", "none"], [None])]
 
 
+def test_line_dedup_of_pasted_passages(spark):
+    """With the query's own parameters: 50 words pasted into running lines of two documents."""
+    import random
+    rng = random.Random(11)
+    vocab = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    prose = lambda n: [rng.choice(vocab) for _ in range(n)]
+    rows = []
+    for i in range(300):
+        passage = prose(50)
+        if i % 2:  # clauses of 8 to 22 words
+            for at in range(rng.randint(7, 21), 50, 15):
+                passage[at] += ","
+        rows += [(2 * i + k, " ".join([*prose(rng.randint(5, 60)), *passage, *prose(rng.randint(5, 60))])) for k in (0, 1)]
+    got = line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    texts, gone = dict(rows), []
+    for r in got:
+        if r.doc_id % 2:
+            assert r.n_removed == 1 and r.removed[0].keep_doc_id < r.doc_id
+            gone.append(sum(len(texts[r.doc_id][s.start:s.end].split()) for s in r.removed))
+        else:
+            assert r.n_removed == 0
+    assert min(gone) >= line_dedup.MIN_WORDS and sum(gone) / len(gone) > 0.8 * 50
+
+
 def test_empty_tables(nothing):
     assert exact_dedup.exact_dedup(nothing).count() == 0
     assert exact_dedup.keep_first(nothing).count() == 0
