@@ -37,7 +37,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences: doc_id, start, length, ids_crc32, doc_tokens,
     class, sequence_id, offset."""
-    return packing.pack(docs)
+    return packing.pack(docs, added_tokens=True)
 
 
 STAGES = [

@@ -17,8 +17,10 @@ fewer than k pieces over; these leftovers of all classes number at most
 LEFTOVERS whatever the table's size, and are packed largest first, without
 cuts, into mixed sequences by one small task.
 
-Ids come from the vocabulary file of a byte-level BPE; markers of special
-tokens inside a text are ordinary text. Id END follows each document's ids.
+Ids come from the vocabulary file of a byte-level BPE. With ``added_tokens``
+the file's added tokens inside a text have their own ids, as the file's own
+library gives by default; without it they are ordinary text. Id END follows
+each document's ids.
 Defined cases: null text is empty (its only id is END); repeated rows are
 packed each; further columns are ignored; an empty table gives no rows.
 """
@@ -78,24 +80,36 @@ def ranks(path: str) -> dict[bytes, int]:
     return {bytes(byte_of[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
 
 
+def added_ids(path: str) -> dict[str, int]:
+    """Content -> id of the added tokens of a vocabulary file."""
+    with open(path, encoding="utf-8") as f:
+        tokens = json.load(f).get("added_tokens", [])
+    for t in tokens:
+        if t.get("single_word") or t.get("lstrip") or t.get("rstrip"):
+            raise ValueError(f"added token {t['content']!r} takes text around it into account")
+    return {t["content"]: t["id"] for t in tokens}
+
+
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
 
 
-def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, min_piece: int = MIN_PIECE) -> DataFrame:
+def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, min_piece: int = MIN_PIECE,
+           added_tokens: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, class."""
     spark: SparkSession = docs.sparkSession
     # a vocabulary is one small file, read once by the driver
-    shared = spark.sparkContext.broadcast(ranks(vocabulary))
+    shared = spark.sparkContext.broadcast((ranks(vocabulary), added_ids(vocabulary) if added_tokens else {}))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import tiktoken
-        encode = tiktoken.Encoding("bpe", pat_str=PATTERN, mergeable_ranks=shared.value, special_tokens={}).encode_ordinary
+        known, special = shared.value
+        encoding = tiktoken.Encoding("bpe", pat_str=PATTERN, mergeable_ranks=known, special_tokens=special)
         for b in slices(batches):
             source, rows = [], []
             for i, text in enumerate(b.column(1)):
-                ids = array("I", encode(text.as_py() or ""))
+                ids = array("I", encoding.encode(text.as_py() or "", allowed_special="all"))
                 ids.append(END)
                 raw = memoryview(ids.tobytes())
                 for start, length, k in classes(len(ids), capacity, min_piece):
@@ -134,9 +148,9 @@ def _fill(capacity: int):
 
 
 def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY,
-         min_piece: int = MIN_PIECE, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+         min_piece: int = MIN_PIECE, bucket_rows: int = BUCKET_ROWS, added_tokens: bool = False) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, class, sequence_id, offset."""
-    rows = pieces(docs, vocabulary or vocabulary_path(), capacity, min_piece)
+    rows = pieces(docs, vocabulary or vocabulary_path(), capacity, min_piece, added_tokens)
     rows = cut(rows, "pack-pieces")
     buckets = max(16, rows.count() // bucket_rows)
     own = F.xxhash64("doc_id", "start", "ids_crc32")

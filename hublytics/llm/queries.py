@@ -32,7 +32,7 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(read(spark, sf_dir, "documents"))
+    return packing.pack(read(spark, sf_dir, "documents"), added_tokens=True)
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -105,6 +105,20 @@ def test_packing_is_an_exact_partition(spark, awkward):
     assert padding < 0.03 * sum(map(len, ids.values()))
 
 
+def test_packing_added_tokens(spark, tmp_path):
+    """The query gives the ids of the file's own library with its default setting."""
+    from tokenizers import Tokenizer
+    from hublytics.llm.queries import QUERIES
+    public = Tokenizer.from_file(packing.vocabulary_path())
+    texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", "x  <|endoftext|>  y\n", "<|endoftext", "it's<|endoftext|>'s", "", "é <|endoftext|>" * 900]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = QUERIES["op6_packing"](spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in rows} == set(range(len(texts)))
+    for r in rows:
+        ids = [*public.encode(texts[r.doc_id], add_special_tokens=False).ids, packing.END]
+        assert r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(array("I", ids[r.start: r.start + r.length]).tobytes())
+
+
 def test_harmonic_classes():
     lengths = {}
     for total in range(1, 6000, 7):
