@@ -10,9 +10,10 @@ name-literal pairs (``name = "a" + "b"``, ``name: value``, ``"name": "value"``,
 ``name := other``). Names stand for the literals last assigned to them, so a
 literal reaches a sensitive name through constants and concatenations too. The
 literals that reach a target are scored by how sensitive the target's name is
-and by how random the joined value looks; placeholders score nothing. Literals
-that reach MIN_SCORE are spans of kind ``literal``, where the text stands,
-without its quotes.
+and by how random the joined value looks; white space and placeholder words lower
+the score of a quoted literal, references to values elsewhere score nothing.
+Literals that reach MIN_SCORE are spans of kind ``literal``, where the text
+stands, without its quotes.
 
 How it runs: one pass over the texts without a shuffle; texts are lexed only
 if a sensitive name occurs in them.
@@ -60,8 +61,18 @@ SENSITIVE = {"password": 0.6, "passwd": 0.6, "passphrase": 0.6, "pwd": 0.5, "sec
              "privatekey": 0.6, "accesskey": 0.6, "credential": 0.55, "signingkey": 0.6, "encryptionkey": 0.6,
              "auth": 0.4, "bearer": 0.5, "connectionstring": 0.5, "key": 0.3, "salt": 0.35, "pass": 0.35}
 SENSITIVE_HINT = re.compile(r"pass|pwd|secret|token|key|credential|auth|bearer|connection|salt")
-PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|0+|(?:your|my|the|some|example|sample|dummy|fake|test|change|replace|insert|enter|todo|none|null"
-                         r"|true|false|undefined|default|empty|redacted|hidden|secret|password|token)[\W_a-z]*)$|^\$\{|^\{\{|^<|^%\(|^\$[A-Z_]+$")
+#: what a placeholder consists of; the whole literal, or how it starts
+_FILLER = (r"password|passphrase|passwd|pass|secret|token|please|replace|change|insert|example|sample|default|redacted|undefined|hidden|dummy"
+           r"|empty|enter|none|null|true|false|fake|test|todo|some|your|here|this|that|with|value|the|key|api|my|me|it")
+PLACEHOLDER = re.compile(rf"(?i)(?:x+|0+|[\W_]+|{_FILLER})++")
+PLACEHOLDER_START = re.compile(rf"(?i)<|\$\{{|\{{\{{|%\(|\$[A-Z_]+$|(?:{_FILLER})[\W_a-z]*$")
+#: a literal that only refers to a value kept elsewhere
+REFERENCE = re.compile(r"\$\{[^}]*\}|\{\{[^}]*\}\}|%\([^)]*\)s|\$[A-Z_]+")
+SCHEME = re.compile(r"(?i)(?:bearer|basic|token)\s+(?=\S)")
+#: what a literal's score loses as a whole placeholder, for a start like one, for white space inside
+ALL_FILLER, SOME_FILLER, SPACED = 0.4, 0.1, 0.15
+#: characters of a value's start that are looked at for placeholders
+HEAD = 256
 
 _TOKEN = re.compile(r"""
     (?P<space>[ \t]+)
@@ -87,14 +98,30 @@ def _weight(name: str) -> float:
     return max((w for part, w in SENSITIVE.items() if part in plain), default=0.0)
 
 
-def _randomness(value: str) -> float:
+def _randomness(counts: dict[str, int]) -> float:
     """0 .. 0.4: entropy a character and the mix of character classes."""
-    n = len(value)
-    entropy = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
-    mixed = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+    n = sum(counts.values())
+    entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
+    mixed = sum(any(re.match(p, c) for c in counts) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
     return min(0.25, max(0.0, (entropy - 1.5) * 0.125)) + 0.05 * (mixed - 1)
 
 
+def _penalty(head: str, size: int, counts: dict[str, int]) -> float:
+    scheme = SCHEME.match(head)
+    if scheme:
+        head, size = head[scheme.end():], size - scheme.end()
+    lost = 0.0
+    if size <= HEAD:
+        if REFERENCE.fullmatch(head):
+            return 1.0
+        if PLACEHOLDER.fullmatch(head):
+            lost = ALL_FILLER
+    if not lost and PLACEHOLDER_START.match(head):
+        lost = SOME_FILLER
+    spaces = sum(n for c, n in counts.items() if c.isspace()) - sum(c.isspace() for c in (scheme[0] if scheme else ""))
+    return lost + (SPACED if spaces > 0 else 0.0)
+
+
 Literal = tuple[int, int, bool]  # start, end, quoted
 
 
@@ -189,12 +216,16 @@ def literals(text: str) -> list[tuple[int, int, str, float]]:
         known[name] = parts
         weight = _weight(name)
         joined = "".join(text[a:b] for a, b, _ in parts)
-        if not weight or len(joined) < MIN_LENGTH or PLACEHOLDER.search(joined) or any(c.isspace() for c in joined):
+        if not weight or len(joined) < MIN_LENGTH:
             continue
         quoted = all(q for *_, q in parts)
         if not quoted and (joined.isalpha() or not re.search("[0-9]", joined)):
             continue  # a bare word of prose or a call, not a value
-        score = min(1.0, weight + _randomness(joined))
+        counts = Counter(joined)
+        lost = _penalty(joined[:HEAD], len(joined), counts)
+        if lost and not quoted:
+            continue
+        score = min(1.0, weight + _randomness(counts)) - lost
         if score >= MIN_SCORE:
             for a, b, _ in parts:
                 if b > a and score > found.get((a, b), ("", 0.0))[1]:
