@@ -8,7 +8,8 @@ The method reads a text as source or configuration: lines with an assignment
 mark are lexed into strings, names, marks and comments and parsed into
 name-literal pairs (``name = "a" + "b"``, ``name: value``, ``"name": "value"``,
 ``name := other``). Names stand for the literals last assigned to them, so a
-literal reaches a sensitive name through constants and concatenations too. The
+literal reaches a sensitive name through constants and concatenations too, also
+over line ends after an open bracket, a joining mark or YAML's block mark. The
 literals that reach a target are scored by how sensitive the target's name is
 and by how random the joined value looks; white space and placeholder words lower
 the score of a quoted literal, references to values elsewhere score nothing.
@@ -86,6 +87,13 @@ _TOKEN = re.compile(r"""
 _ASSIGNS = {"=", ":", ":=", "=>"}
 _BARE = re.compile(r"[^\s#,;'\"]+")
 _OPENING = re.compile(r"[a-zA-Z]{0,2}$")
+#: what may stand between the parts of a value: on a line, and where it runs over line ends
+_GAP = re.compile(r"(?:[ \t]|\\\r?\n)*+")
+_WIDE_GAP = re.compile(r"(?:\s|\\\r?\n|(?:\#|//)[^\n]*)*+")
+_NAMED = re.compile(r"[ \t]*(?::=|=>|=(?!=)|:)")
+#: the head of a YAML block value; the indent of a line's key
+_BLOCK = re.compile(r"[ \t]*[|>][-+0-9]{0,2}[ \t]*(?:\#[^\n]*)?\r?\n")
+_INDENT = re.compile(r" *(?:- +)*")
 
 
 def _plain(name: str) -> str:
@@ -150,7 +158,14 @@ def pairs(text: str) -> Iterator[tuple[str, list[Literal | str]]]:
                 typed = m[0] == "=" and len(before) > 2 and before[-2][0] == ":" and before[-3][0] == "name"
                 what, lo, hi = before[-3] if typed else (what, lo, hi)
                 name = text[lo:hi].strip("\"'`")
-                value, at = _value(text, at, line_end, m[0])
+                block = _BLOCK.match(text, at) if m[0] == ":" else None
+                value, end = _block(text, line_start, block.end()) if block else _value(text, at, line_end)
+                typed = _NAMED.match(text, end, line_end) if m[0] == ":" and isinstance(value[:1] and value[0], str) else None
+                if typed and typed[0].strip() == "=":  # "name: type", its value follows
+                    before += [(":", m.start(), m.end()), ("name", m.end(), end)]
+                    at = end
+                    continue
+                at = end
                 if value:
                     yield name, value
                     before = []
@@ -158,18 +173,52 @@ def pairs(text: str) -> Iterator[tuple[str, list[Literal | str]]]:
                     before.append((m[0], m.start(), m.end()))
             elif kind != "space":
                 before.append((m[0] if kind == "mark" else kind, m.start(), m.end()))
-        line_start = max(line_end, at) + 1  # a string may have run over line ends
+        # a value may have run over line ends
+        line_start = line_end + 1 if at <= line_end else at + (text[at: at + 1] == "\n")
 
 
-def _value(text: str, at: int, line_end: int, mark: str) -> tuple[list[Literal | str], int]:
-    """The parts joined by + from ``at`` on, and where they end."""
+def _block(text: str, line_start: int, at: int) -> tuple[list[Literal | str], int]:
+    """The lines from ``at`` on that are indented more than the key of the line."""
+    indent = _INDENT.match(text, line_start).end() - line_start
     parts: list[Literal | str] = []
+    end = at - 1
+    while at < len(text):
+        stop = text.find("\n", at)
+        stop = len(text) if stop < 0 else stop
+        line = text[at:stop]
+        body = line.strip()
+        if body:
+            lead = len(line) - len(line.lstrip())
+            if lead <= indent:
+                break
+            parts.append((at + lead, at + lead + len(body), True))
+            end = stop
+        at = stop + 1
+    return parts, end
+
+
+def _value(text: str, at: int, line_end: int) -> tuple[list[Literal | str], int]:
+    """The parts joined by + from ``at`` on, and where they end. After an open
+    bracket or a joining mark a value goes on over line ends; in a bracket
+    strings are joined without a mark."""
+    parts: list[Literal | str] = []
+    depth, joined = 0, False
     while True:
-        while at < line_end and text[at] in " \t(":
-            at += 1
+        start = at
+        while True:
+            at = (_WIDE_GAP if depth or joined else _GAP).match(text, at).end()
+            if text[at: at + 1] != "(":
+                break
+            depth, at = depth + 1, at + 1
+        if at > line_end:
+            line_end = text.find("\n", at)
+            line_end = len(text) if line_end < 0 else line_end
+            m = _TOKEN.match(text, at)
+            if m is None or m.lastgroup in ("name", "string") and _NAMED.match(text, m.end()):
+                return parts, start  # the next assignment
         m = _TOKEN.match(text, at) if at < line_end else None
         if m is None:
-            return parts, at
+            return parts, min(at, line_end)
         if m.lastgroup == "name" and _OPENING.match(m[0]) and text[m.end(): m.end() + 1] in ("'", '"'):
             m = _TOKEN.match(text, m.end())  # a string's prefix
             if m is None or m.lastgroup != "string":
@@ -188,49 +237,93 @@ def _value(text: str, at: int, line_end: int, mark: str) -> tuple[list[Literal |
             at = bare.end()
         else:
             return parts, at
-        rest = _TOKEN.match(text, at) if at < line_end else None
-        while rest is not None and rest.lastgroup == "space":
-            rest = _TOKEN.match(text, rest.end()) if rest.end() < line_end else None
-        if rest is None or rest.lastgroup != "plus":
+        if at > line_end:  # a string that runs over line ends
+            line_end = text.find("\n", at)
+            line_end = len(text) if line_end < 0 else line_end
+        after, string = at, m.lastgroup == "string"
+        while True:
+            after = (_WIDE_GAP if depth else _GAP).match(text, after).end()
+            if not depth or text[after: after + 1] != ")":
+                break
+            depth, after = depth - 1, after + 1
+        rest = _TOKEN.match(text, after)
+        joined = rest is not None and rest.lastgroup == "plus"
+        if joined:
+            at = rest.end()
+        elif not (depth and string and rest is not None and rest.lastgroup == "string"):
             return parts, at
-        at = rest.end()
+        if at > line_end:
+            line_end = text.find("\n", at)
+            line_end = len(text) if line_end < 0 else line_end
+
+
+class _Value:
+    """What a name stands for: its own literals and the values it is made of,
+    each once. Counts of its characters are sums, so a value costs what is new."""
+
+    __slots__ = ("own", "made_of", "counts", "size", "head", "quoted", "best")
+
+    def __init__(self, text: str, own: list[Literal], made_of: list[_Value], order: list[Literal | _Value]):
+        self.own, self.made_of, self.best = own, made_of, None
+        self.counts: Counter[str] = Counter()
+        for a, b, _ in own:
+            self.counts.update(text[a:b])
+        for v in made_of:
+            self.counts.update(v.counts)
+        self.size = sum(self.counts.values())
+        while self.size > 1 << 40:  # only the proportions count
+            self.counts = Counter({c: max(1, n >> 20) for c, n in self.counts.items()})
+            self.size = sum(self.counts.values())
+        self.head = ""
+        for p in order:
+            if len(self.head) >= HEAD:
+                break
+            self.head = (self.head + (p.head if isinstance(p, _Value) else text[p[0]: min(p[1], p[0] + HEAD)]))[:HEAD]
+        self.quoted = all(q for *_, q in own) and all(v.quoted for v in made_of)
 
 
 def literals(text: str) -> list[tuple[int, int, str, float]]:
     """(start, end, target, score) of the literals that reach a sensitive name."""
-    known: dict[str, list[Literal]] = {}
-    found: dict[tuple[int, int], tuple[str, float]] = {}
+    known: dict[str, _Value] = {}
+    values: list[_Value] = []
     for name, value in pairs(text):
-        parts: list[Literal] = []
+        order: list[Literal | _Value] = []
         refers = False
         for p in value:
             if isinstance(p, str):
                 refers = p in known
                 if refers:
-                    parts += known[p]
+                    order.append(known[p])
             elif refers:
                 refers = False  # the same word, already replaced by what it stands for
             else:
-                parts.append(p)
-        parts = parts[:64]
-        known[name] = parts
+                order.append(p)
+        own = [p for p in order if not isinstance(p, _Value)]
+        made_of = list({id(p): p for p in order if isinstance(p, _Value)}.values())
+        v = known[name] = _Value(text, own, made_of, order)
+        values.append(v)
         weight = _weight(name)
-        joined = "".join(text[a:b] for a, b, _ in parts)
-        if not weight or len(joined) < MIN_LENGTH:
+        if not weight or v.size < MIN_LENGTH:
             continue
-        quoted = all(q for *_, q in parts)
-        if not quoted and (joined.isalpha() or not re.search("[0-9]", joined)):
+        if not v.quoted and (all(c.isalpha() for c in v.counts) or not any(c in "0123456789" for c in v.counts)):
             continue  # a bare word of prose or a call, not a value
-        counts = Counter(joined)
-        lost = _penalty(joined[:HEAD], len(joined), counts)
-        if lost and not quoted:
+        lost = _penalty(v.head, v.size, v.counts)
+        if lost and not v.quoted:
             continue
-        score = min(1.0, weight + _randomness(counts)) - lost
+        score = min(1.0, weight + _randomness(v.counts)) - lost
         if score >= MIN_SCORE:
-            for a, b, _ in parts:
-                if b > a and score > found.get((a, b), ("", 0.0))[1]:
-                    found[a, b] = (name, score)
-    return [(a, b, name, score) for (a, b), (name, score) in sorted(found.items())]
+            v.best = (score, -len(values), name)
+    # a value is made of earlier ones only: from the last to the first, each hands its score down
+    found: dict[tuple[int, int], tuple[float, int, str]] = {}
+    for v in reversed(values):
+        if v.best is None:
+            continue
+        for w in v.made_of:
+            w.best = v.best if w.best is None else max(w.best, v.best)
+        for a, b, _ in v.own:
+            if b > a:
+                found[a, b] = max(found.get((a, b), v.best), v.best)
+    return [(a, b, name, score) for (a, b), (score, _, name) in sorted(found.items())]
 
 
 def spans(text: str) -> list[tuple[int, int, str, str, float]]:

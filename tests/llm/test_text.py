@@ -133,6 +133,30 @@ def test_secrets_with_white_space_and_common_words(text, secrets):
     assert [text[a:b] for a, b, kind, *_ in secret_scan.spans(text) if kind == "literal"] == secrets
 
 
+@pytest.mark.parametrize("text, secrets", [
+    ('password = ("Xk29mmQz7"\n            "Lp41vvRt8")\nuser = "bob"', ["Xk29mmQz7", "Lp41vvRt8"]),
+    ('password = "Xk29mmQz7" +\n   # more\n   "Lp41vvRt8"', ["Xk29mmQz7", "Lp41vvRt8"]),
+    ('password = (\n  "Xk29mmQz7" + "Lp41vvRt8"\n) + "9dk"\ntoken = "Aa1Bb2Cc3Dd4"', ["Xk29mmQz7", "Lp41vvRt8", "9dk", "Aa1Bb2Cc3Dd4"]),
+    ("- private_key: |\n    MIIEvQIBADAN\n\n    BgkqhkiG9w0B\n  user: bob\n", ["MIIEvQIBADAN", "BgkqhkiG9w0B"]),
+    ("token: >-\n  Xk29mmQz7\nuser: Lp41vvRt8", ["Xk29mmQz7"]),
+    ('a = "x" +\npassword = "Xk29mmQz7"', ["Xk29mmQz7"]),
+    ('password = "Xk29mmQz7"\n"Lp41vvRt8"', ["Xk29mmQz7"]),
+])
+def test_secrets_over_line_ends(text, secrets):
+    assert [text[a:b] for a, b, kind, *_ in secret_scan.spans(text) if kind == "literal"] == secrets
+
+
+def test_secrets_of_many_parts():
+    for n in (65, 3000):
+        parts = [f"p{i}Q" for i in range(n)]
+        text = "key = ''\n" + "".join(f"key = key + '{p}'\n" for p in parts) + "password = key"
+        assert [text[a:b] for a, b, kind, *_ in secret_scan.spans(text) if kind == "literal"] == parts
+        text = "password = " + " + ".join(f"'{p}'" for p in parts)
+        assert [text[a:b] for a, b, kind, *_ in secret_scan.spans(text) if kind == "literal"] == parts
+    text = "a = 'Xk29mmQz7'\n" + "a = a + a\n" * 3000 + "password = a"
+    assert [text[a:b] for a, b, kind, *_ in secret_scan.spans(text) if kind == "literal"] == ["Xk29mmQz7"]
+
+
 def test_secret_rows(awkward):
     assert secret_scan.digest(awkward).count() == awkward.count()
 
