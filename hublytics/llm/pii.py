@@ -12,8 +12,10 @@ between them, but no positions. Positions are running sums of the lengths of
 pieces and matches, taken in blocks of BLOCK matches, so a text with very many
 matches costs its number of matches, not its square. Patterns are written
 with possessive repeats where that cannot change a match, which keeps them
-linear and free of recursion on very long texts. Context is cut from the ends
-of the neighbouring pieces. Everything is one pass over the text column.
+linear and free of recursion on very long texts. Context is the CONTEXT
+characters of the text on both sides, put together from the neighbouring pieces
+and matches; in a list (matches with no letter between them) a match's context
+holds for those after it. Everything is one pass over the text column.
 
 Positions are code points, end exclusive. Defined cases: null text is empty
 and has no spans; ties in position keep the order of ``KINDS``; repeated rows
@@ -49,6 +51,7 @@ class Kind:
     context: str      # words, lower case, that raise the score
     base: bool = True
     needs: str = ""   # a character without which there is no match
+    least: int = 1    # characters of the shortest match
 
 
 def _digits(keep: str = "x.m") -> str:
@@ -65,41 +68,54 @@ _MOD97 = (f"aggregate(split(concat(substr({_COMPACT}, 5), left({_COMPACT}, 4)),
 KINDS = [
     # a match starts at a run's first character, or where the match before it ended
     Kind("email", rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@{_LABEL}++(?:\.{_LABEL}++)++", "true", 0.7,
-         "mail|contact|write to|send", needs="@"),
+         "mail|contact|write to|send", needs="@", least=5),
     Kind("ip", r"[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", rf"x.m rlike r'^{_OCTET}(?:\.{_OCTET}){{3}}$'", 0.5,
-         "\\\\bip\\\\b|address|host|server|login", needs="."),
+         "\\\\bip\\\\b|address|host|server|login", needs=".", least=7),
     Kind("card", r"[0-9](?:[\x20-]?[0-9])++",
          f"length(x.m) >= 14 and length({_digits()}) between 14 and 19 and {_LUHN}", 0.7,
-         "card|visa|master|credit|payment|account"),
+         "card|visa|master|credit|payment|account", least=2),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_digits()}) between 10 and 15", 0.5,
-         "phone|\\\\btel|call|mobile|\\\\bfax", needs="+"),
+         "phone|\\\\btel|call|mobile|\\\\bfax", needs="+", least=4),
     Kind("iban", r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)",
-         f"not x.before rlike '[A-Za-z0-9]$' and not coalesce(x.after, '') rlike '^[A-Za-z0-9]' and {_MOD97}", 0.7, "iban|account|bank|\\\\bbic\\\\b|swift", base=False),
+         f"not x.before rlike '[A-Za-z0-9]$' and not coalesce(x.after, '') rlike '^[A-Za-z0-9]' and {_MOD97}", 0.7, "iban|account|bank|\\\\bbic\\\\b|swift", base=False, least=15),
     Kind("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
          "not x.before rlike '[0-9-]$' and not coalesce(x.after, '') rlike '^[0-9-]' and not x.m rlike '^(000|666|9)|-00-|-0000$'", 0.3,
-         "\\\\bssn\\\\b|social security", base=False, needs="-"),
+         "\\\\bssn\\\\b|social security", base=False, needs="-", least=11),
 ]
 
 
+def _in_context(i: int, k: Kind) -> str:
+    """SQL: the ``__z`` array of kind i with ``hit``, whether a context word is
+    near, and ``listed``, whether only separators are before the match."""
+    some = -(-CONTEXT // k.least)  # so many matches fill the context
+    before = (f"if(x.gap < {CONTEXT} and j > 0, right(concat(array_join(flatten(transform(slice(__z{i}, greatest(j - {some - 1}, 1), "
+              f"least(j, {some})), y -> array(y.before, y.m))), ''), x.before), {CONTEXT}), x.before)")
+    after = (f"if(length(x.after) < {CONTEXT}, left(concat(x.after, array_join(flatten(transform(slice(__z{i}, j + 2, {some}), "
+             f"y -> array(y.m, y.after))), '')), {CONTEXT}), coalesce(x.after, ''))")
+    return f"""transform(__z{i}, (x, j) -> struct(x.m as m, x.gap as gap, x.before as before, x.after as after,
+        concat({before}, ' ', {after}) rlike '(?i){k.context}' as hit,
+        x.gap <= {CONTEXT} and not x.before rlike '\\\\p{{L}}' as listed))"""
+
+
 def _located(i: int) -> str:
-    """SQL: array of (start, m, before, after) of kind i from its ``__z`` array."""
-    item = "struct<start:int,m:string,before:string,after:string>"
-    one = "struct(a.pos + x.gap as start, x.m as m, x.before as before, x.after as after)"
+    """SQL: array of (start, m, before, after, near) of kind i from its ``__y`` array."""
+    item = "struct<start:int,m:string,before:string,after:string,near:boolean>"
+    near = "x.hit or (a.near and x.listed)"
+    one = f"struct(a.pos + x.gap as start, x.m as m, x.before as before, x.after as after, {near} as near)"
     return f"""flatten(aggregate(
-        transform(sequence(0, (size(__z{i}) - 1) div {BLOCK}), b -> slice(__z{i}, b * {BLOCK} + 1, {BLOCK})),
-        struct(0 as pos, cast(array() as array<array<{item}>>) as out),
+        transform(sequence(0, (size(__y{i}) - 1) div {BLOCK}), b -> slice(__y{i}, b * {BLOCK} + 1, {BLOCK})),
+        struct(0 as pos, false as near, cast(array() as array<array<{item}>>) as out),
         (acc, block) -> aggregate(
             filter(block, x -> x.m is not null),
-            struct(acc.pos as pos, cast(array() as array<{item}>) as out),
-            (a, x) -> struct(a.pos + x.gap + length(x.m) as pos, concat(a.out, array({one})) as out),
-            a -> struct(a.pos as pos, concat(acc.out, array(a.out)) as out)),
+            struct(acc.pos as pos, acc.near as near, cast(array() as array<{item}>) as out),
+            (a, x) -> struct(a.pos + x.gap + length(x.m) as pos, {near} as near, concat(a.out, array({one})) as out),
+            a -> struct(a.pos as pos, a.near as near, concat(acc.out, array(a.out)) as out)),
         acc -> acc.out))"""
 
 
 def _spans(i: int, k: Kind) -> str:
-    near = f"concat(x.before, ' ', coalesce(x.after, '')) rlike '(?i){k.context}'"
     span = (f"struct(x.start as start, {i} as kind_no, x.start + length(x.m) as end, '{k.name}' as kind, x.m as text, "
-            f"if({near}, {k.score + CONTEXT_BONUS}D, {k.score}D) as score)")
+            f"if(x.near, {k.score + CONTEXT_BONUS}D, {k.score}D) as score)")
     found = f"transform(filter(__at{i}, x -> {k.confirm}), x -> {span})"
     return found if k.base else f"filter({found}, s -> s.score >= {MIN_SCORE}D)"
 
@@ -122,7 +138,9 @@ def find(docs: DataFrame, text: str = "text", out: str = "pii", kinds: list[Kind
               slice(__p{i}, 2, size(__p{i})),
               (a, q) -> struct(a.m as m, a.gap as gap, a.before as before, left(q, {CONTEXT}) as after)), array())""")
         for i in range(len(kinds))})
-    rows = rows.withColumns({f"__at{i}": F.expr(f"if(size(__z{i}) > 0, {_located(i)}, array())")
+    rows = rows.withColumns({f"__y{i}": F.expr(f"if(size(__z{i}) > 0, {_in_context(i, k)}, array())")
+                             for i, k in enumerate(kinds)})
+    rows = rows.withColumns({f"__at{i}": F.expr(f"if(size(__y{i}) > 0, {_located(i)}, array())")
                              for i in range(len(kinds))})
     spans = F.array_sort(F.concat(*[F.expr(_spans(i, k)) for i, k in enumerate(kinds)]))
     return rows.select(*cols, spans.alias(out))

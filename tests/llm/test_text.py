@@ -84,6 +84,17 @@ def test_pii_checksums_and_context(spark):
     assert got[1].pii[0].score == pii.KINDS[4].score + pii.CONTEXT_BONUS
 
 
+def test_pii_context_of_lists(spark):
+    many = ", ".join(f"{n}-45-6789" for n in range(100, 400))
+    rows = [(1, "SSN: 123-45-6789, 234-56-7890; 345-67-8901"), (2, "ssn\n" + many.replace(", ", "\n")),
+            (3, "ssn of 000-45-6789 or 123-45-6789"), (4, "111-22-3333 and 123-45-6789 are my ssn"),
+            (5, many), (6, "SSN 123-45-6789. The order of the new parts of this machine is 234-56-7890")]
+    got = {r.doc_id: [rows[r.doc_id - 1][1][s.start:s.end] for s in r.pii if s.kind == "ssn"]
+           for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: ["123-45-6789", "234-56-7890", "345-67-8901"], 2: many.split(", "), 3: ["123-45-6789"],
+                   4: ["111-22-3333", "123-45-6789"], 5: [], 6: ["123-45-6789"]}
+
+
 def test_pii_redaction(spark):
     docs = spark.createDataFrame([(1, "é a@b.cd, 10.0.0.1!"), (2, "nothing"), (3, None)], "doc_id long, text string")
     assert [r.text for r in pii.redact(docs).orderBy("doc_id").collect()] == ["é <email>, <ip>!", "nothing", None]
