@@ -7,7 +7,8 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from hublytics.llm import exact_dedup, language_id, line_dedup, mixing, near_dedup, packing, pii, secret_scan, sharding, topk_search
+from hublytics.llm import (exact_dedup, hard_negatives, language_id, lexical_search, line_dedup, mixing, near_dedup, packing, pii,
+                           quality_rules, secret_scan, sharding, topk_search)
 from hublytics.llm.common import read
 
 
@@ -52,8 +53,20 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(read(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("item_row")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(hard_negatives.noisy_labels(read(spark, sf_dir, "embeddings")), every=100)
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_pii, op2_line_dedup, op3_topk_search, op4_exact_dedup, op5_secret_scan, op6_packing, op7_sharding, op8_mixing,
-                                op9_near_dedup, op10_language_id)}
+                                op9_near_dedup, op10_language_id, op11_lexical_search, op12_hard_negatives, op13_quality_rules)}
 
 QUERIES["pipeline"] = corpus_pipeline.run
 
@@ -148,6 +161,50 @@ ranked as (select *, row_number() over (partition by query_id order by score des
 select query_id, rank, vec_id, score from ranked where rank <= 5
 """
 
+ORACLE["op11_lexical_search"] = r"""
+with d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as ts
+  from documents),
+i as (
+  select distinct item_id, unnest(
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from benchmark),
+whole as (select count(*) filter (where len(ts) > 0)::bigint as nd, sum(len(ts))::bigint as total from d),
+counts as (
+  select doc_id, n, term, count(*) as tf
+  from (select doc_id, len(ts)::bigint as n, unnest(ts) as term from d) group by all),
+weights as (
+  select term, floor(1000 * ln((2 * max(nd) + 2)::double / (2 * count(*) + 1)::double))::bigint as w from counts, whole group by term),
+scored as (
+  select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * nd) // total))))::bigint as score
+  from i join weights using (term) join counts using (term), whole group by all),
+ranked as (select *, row_number() over (partition by item_id order by score desc, doc_id)::int as rank from scored where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= 50
+"""
+
+ORACLE["op12_hard_negatives"] = r"""
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as q
+  from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same,
+         list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2]))::bigint as score
+  from v a join v b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+positive as (
+  select anchor_id, other_id as positive_id, score as positive_score
+  from scored where same qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5),
+found as (
+  select anchor_id, positive_id, other_id as negative_id, positive_score, score as negative_score,
+         row_number() over (partition by anchor_id, positive_id order by score desc, other_id)::int as rank
+  from positive join scored using (anchor_id)
+  where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from found where rank <= 10
+"""
+
 
 def _pii_sql() -> str:
     octet = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
