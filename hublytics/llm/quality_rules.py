@@ -20,7 +20,8 @@ least distance, its mean and covariance, until no unit's determinant falls. A st
 aggregation: rows are combined map-side into cells of the logarithm of the
 distance, each with its count, sums and sums of products; a running count over a
 unit's cells finds the cell that completes the subset, so that no unit's rows
-are ever gathered or sorted (a subset ends with a whole cell). Components are
+are ever gathered or sorted (a subset ends with a whole cell). Units have numbers, as joins by a whole number take a small
+hash table. Components are
 integers (units of 1/GRAIN), so all sums are exact and the result does not
 depend on partitions or order. A last reweighting uses all rows within the
 97.5 % ellipsoid, scaled by the median distance.
@@ -179,7 +180,7 @@ def _distance(full: bool) -> Column:
     return total if full else F.greatest(total - away[-1] * away[-1] * F.col("prec_length"), F.lit(0.0))
 
 
-_ESTIMATE = "unit string, n long, mean array<double>, prec array<double>, prec_length double, logdet double, scale double"
+_ESTIMATE = "unit long, n long, mean array<double>, prec array<double>, prec_length double, logdet double, scale double"
 
 
 def _invert(mean: np.ndarray, cov: np.ndarray) -> dict:
@@ -218,7 +219,7 @@ def _from_moments(batches):
 
 def _schema() -> pa.Schema:
     doubles = pa.list_(pa.float64())
-    return pa.schema([("unit", pa.string()), ("n", pa.int64()), ("mean", doubles), ("prec", doubles), ("prec_length", pa.float64()),
+    return pa.schema([("unit", pa.int64()), ("n", pa.int64()), ("mean", doubles), ("prec", doubles), ("prec_length", pa.float64()),
                       ("logdet", pa.float64()), ("scale", pa.float64())])
 
 
@@ -238,11 +239,11 @@ def _cell(distance: Column) -> Column:
     return F.floor(F.ln(distance + 1e-6) * CELLS).cast("int")
 
 
-def _cells(rows: DataFrame, units: DataFrame, full: bool = True) -> DataFrame:
+def _cells(rows: DataFrame, units: DataFrame, which: Column | None = None) -> DataFrame:
     """Rows combined by cell of their distance: count, sums, sums of products."""
-    placed = rows.join(units, "unit").withColumn("cell", _cell(_distance(full)))
+    placed = rows.join(units, "unit").where(F.lit(True) if which is None else which).withColumn("cell", _cell(_distance(True)))
     return placed.groupBy("unit", "cell").agg(
-        F.count(F.lit(1)).alias("m"), F.array(*[F.sum(f) for f in FEATURES]).alias("sums"),
+        F.first("n").alias("n"), F.count(F.lit(1)).alias("m"), F.array(*[F.sum(f) for f in FEATURES]).alias("sums"),
         F.array(*[F.sum(F.col(FEATURES[i]) * F.col(FEATURES[j])) for i, j in _PAIRS]).alias("products"))
 
 
@@ -256,7 +257,7 @@ def _moments(cells: DataFrame) -> DataFrame:
 
 def _concentrate(rows: DataFrame, units: DataFrame) -> DataFrame:
     """One concentration step for all units."""
-    cells = _cells(rows, units).join(units.select("unit", "n"), "unit")
+    cells = _cells(rows, units)
     before = Window.partitionBy("unit").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     chosen = cells.withColumn("before", F.coalesce(F.sum("m").over(before), F.lit(0))).where(F.col("before") < F.col("n") * SUBSET)
     return _moments(chosen).mapInArrow(_from_moments, _ESTIMATE)
@@ -264,46 +265,52 @@ def _concentrate(rows: DataFrame, units: DataFrame) -> DataFrame:
 
 def _within(rows: DataFrame, units: DataFrame) -> DataFrame:
     """The reweighting: mean and covariance of all rows inside 97.5 %."""
-    scaled = _scaled(rows, units, full=True)
-    inside = _cell(F.col("scale") * F.lit(chi_square(0.975, _P)))
-    cells = _cells(rows, scaled).join(scaled.select("unit", "n", inside.alias("last")), "unit").where(F.col("cell") <= F.col("last"))
-    return _moments(cells).mapInArrow(_from_moments, _ESTIMATE)
+    scaled = cut(_scaled(rows, units, full=True), "quality-scale")
+    inside = _cell(_distance(True)) <= _cell(F.col("scale") * F.lit(chi_square(0.975, _P)))
+    return _moments(_cells(rows, scaled, inside)).mapInArrow(_from_moments, _ESTIMATE)
 
 
 def _scaled(rows: DataFrame, units: DataFrame, full: bool) -> DataFrame:
     """Units with ``scale``: the factor by which the median distance exceeds
     that of a normal distribution (1 at least)."""
-    counts = rows.join(units, "unit").groupBy("unit", _cell(_distance(full)).alias("cell")).agg(F.count(F.lit(1)).alias("m"))
-    running = counts.withColumn("upto", F.sum("m").over(Window.partitionBy("unit").orderBy("cell"))).join(units.select("unit", "n"), "unit")
+    counts = rows.join(units, "unit").groupBy("unit", _cell(_distance(full)).alias("cell")).agg(
+        F.first("n").alias("n"), F.count(F.lit(1)).alias("m"))
+    running = counts.withColumn("upto", F.sum("m").over(Window.partitionBy("unit").orderBy("cell")))
     middle = running.where(F.col("upto") * 2 >= F.col("n")).groupBy("unit").agg(F.min("cell").alias("cell"))
     median = F.exp((F.col("cell") + 1) / CELLS) / chi_square(0.5, _P if full else _P - 1)
     return units.drop("scale").join(middle.select("unit", F.greatest(median, F.lit(1.0)).alias("scale")), "unit")
 
 
 def _units(counted: DataFrame, min_rows: int) -> DataFrame:
-    """lang, source, unit (the one that judges it), also (further units that it
-    is part of)."""
-    groups = cut(counted.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n")), "quality-groups")
-    small, total = F.col("n") < min_rows, groups.agg(F.sum("n")).first()[0] or 0
-    langs = groups.groupBy("lang").agg(F.sum("n").alias("n_lang"), F.max(small).alias("some_small"))
+    """lang, source, unit (the one that judges it), name, also (all units that
+    it is part of)."""
+    groups = counted.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
+    groups = cut(groups.withColumn("group", F.monotonically_increasing_id()), "quality-groups")
+    small, same = F.col("n") < min_rows, Window.partitionBy("lang")
+    groups = cut(groups.withColumns({"n_lang": F.sum("n").over(same), "some_small": F.max(small).over(same),
+                                     "lang_unit": -2 - F.min("group").over(same)}), "quality-groups")
     few = F.col("n_lang") < min_rows
-    all_needed = bool(langs.agg(F.max(few & F.col("some_small"))).first()[0])
-    of_lang, of_all = F.to_json(F.struct("lang")), F.lit("{}") if total >= min_rows else F.lit(None)
-    unit = F.when(~small, F.to_json(F.struct("lang", "source"))).when(~few, of_lang).otherwise(of_all)
-    parts = F.array(F.when(~small, F.to_json(F.struct("lang", "source"))), F.when(F.col("some_small") & ~few, of_lang),
-                    of_all if all_needed else F.lit(None))
-    return groups.join(langs, "lang").select("lang", "source", unit.alias("unit"), F.filter(parts, lambda x: x.isNotNull()).alias("also"))
+    total, all_needed = groups.agg(F.sum("n"), F.max(few & small)).first()
+    whole = F.lit(-1 if (total or 0) >= min_rows else None).cast("long")
+    pick = lambda own, lang, rest: F.when(~small, own).when(~few, lang).otherwise(rest)
+    also = F.array(F.when(~small, F.col("group")), F.when(F.col("some_small") & ~few, F.col("lang_unit")),
+                   whole if all_needed else F.lit(None).cast("long"))
+    return groups.select("lang", "source", pick(F.col("group"), F.col("lang_unit"), whole).alias("unit"),
+                         pick(F.to_json(F.struct("lang", "source")), F.to_json(F.struct("lang")), F.lit("{}")).alias("name"),
+                         F.filter(also, lambda x: x.isNotNull()).alias("also"))
 
 
 def estimate(counted: DataFrame, min_rows: int = MIN_ROWS, steps: int = STEPS) -> tuple[DataFrame, DataFrame]:
     """(units with mean, prec, scale; lang, source -> unit) from the rows of
     ``counted`` (FEATURES as whole numbers) that pass the fixed rules."""
     groups = cut(_units(counted, min_rows), "quality-units")
-    rows = cut(counted.join(groups.drop("unit"), ["lang", "source"]).select(F.explode("also").alias("unit"), *FEATURES), "quality-rows")
+    members = counted.join(groups.select("lang", "source", "also"), ["lang", "source"])
+    rows = cut(members.select(F.explode("also").alias("unit"), *FEATURES), "quality-rows")
     units = cut(_start(rows), "quality-start")
     for _ in range(steps):
         after = cut(_concentrate(rows, units), "quality-step")
-        falls = after.join(units.select("unit", F.col("logdet").alias("was")), "unit").where(F.col("logdet") < F.col("was") - 1e-9)
+        falls = cut(after.join(units.select("unit", F.col("logdet").alias("was")), "unit").where(F.col("logdet") < F.col("was") - 1e-9),
+                    "quality-falls")
         # a unit whose determinant no longer falls keeps its estimate
         kept = units.join(falls.select("unit"), "unit", "left_anti")
         units = cut(kept.unionByName(falls.drop("was")), "quality-step")
@@ -322,8 +329,8 @@ def judge(docs: DataFrame, min_rows: int = MIN_ROWS, quantile: float = QUANTILE)
     whole = [F.floor(f * GRAIN + 0.5).cast("long").alias(n) for n, f in _features().items()]
     counted = cut(counted.select("doc_id", "lang", "source", *BASE, "base_failed", *whole), "quality-counts")
     units, groups = estimate(counted.where(~F.col("base_failed")), min_rows)
-    near = units.join(groups.select("unit", "lang", "source"), "unit")
-    joined = counted.join(near, ["lang", "source"], "left")
+    named = counted.join(groups.select("lang", "source", F.col("unit"), F.col("name")), ["lang", "source"], "left")
+    joined = named.join(units, "unit", "left").withColumn("unit", F.when(F.col("unit").isNotNull(), F.col("name")))
     distance = F.when(~F.col("base_failed"), _distance(False) / (F.col("scale") * F.lit(chi_square(quantile, _P - 1))))
     return (joined.withColumn("distance", F.round(distance, 6))
             .select("doc_id", *BASE, "base_failed", (~F.col("base_failed") & F.coalesce(F.col("distance") <= 1, F.lit(True))).alias("kept"),
