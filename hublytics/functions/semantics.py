@@ -166,23 +166,48 @@ def action_name(category: ColumnOrName) -> Column:
 
 # ---------------------------------------------------------------- dates
 
-_DATE_PREFIX = r"^\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
+# A day in a text: year, month and day with the same mark between them ('-',
+# '/', '\' or one blank), white space before it allowed.
+_DAY = r"^\s*0*([1-9][0-9]{0,5})([-/\\ ])([0-9]{1,2})\2([0-9]{1,2})"
+# A time of day after it; what follows a 'Z', an offset or white space is not read.
+_TIME = r"(?:T\s*|\s+)0*([0-9]{1,2}):([0-9]{1,2})(?::([0-9]{1,2})?(?:\.([0-9]*))?)?(?:Z|[+-][0-9](?s:.*)|\s(?s:.*))?\z"
+_PLAIN_DAY = r"^[1-9][0-9]{3}-[0-9]{2}-[0-9]{2}\z"
 
 
-def parse_date(x: ColumnOrName) -> Column:
-    """Text -> DATE, unparsable -> NULL.
+def _day(s: Column) -> Column:
+    year = F.regexp_extract(s, _DAY, 1)
+    padded = F.when(F.length(year) < 4, F.lpad(year, 4, "0")).otherwise(year)
+    return F.concat_ws("-", padded, F.regexp_extract(s, _DAY, 3), F.regexp_extract(s, _DAY, 4)).try_cast("date")
 
-    Spark's try_cast accepts a bare year ('2024' -> 2024-01-01); the
-    warehouse rejects it, so require a y-m-d prefix before casting.
-    """
+
+def _day_and_time(s: Column) -> Column:
+    """TIMESTAMP_NTZ of a text that has a day and a valid time, else NULL. Digits
+    beyond microseconds are cut off; 24:00:00 is the next day's start."""
+    whole = _DAY + _TIME
+    part = lambda n: F.coalesce(F.regexp_extract(s, whole, n).try_cast("int"), F.lit(0))
+    hour, minute, second = part(5), part(6), part(7)
+    micros = F.rpad(F.regexp_extract(s, whole, 8), 6, "0").try_cast("int")
+    valid = (hour < 24) | ((hour == 24) & (minute == 0) & (second == 0))
+    clock = F.make_dt_interval(F.lit(0), hour, minute, (second + F.coalesce(micros, F.lit(0)) / 1000000).cast("decimal(18,6)"))
+    return F.when(s.rlike(whole) & valid & (minute < 60) & (second < 60), _day(s).cast("timestamp_ntz") + clock)
+
+
+def parse_date(x: ColumnOrName) -> Column:
+    """Text -> DATE, unparsable -> NULL. The whole text must be a day, or a day
+    and a valid time. Years before 1 (``-44-03-15``, ``(BC)``) and the words
+    ``epoch`` and ``infinity`` are NULL."""
     s = _c(x).cast("string")
-    return F.when(s.rlike(_DATE_PREFIX), s.try_cast("date"))
+    return (F.when(s.rlike(_PLAIN_DAY), s.try_cast("date"))
+            .when(s.rlike(_DAY + r"\s*\z"), _day(s))
+            .when(_day_and_time(s).isNotNull(), _day(s)))
 
 
 def parse_timestamp(x: ColumnOrName) -> Column:
-    """Text -> zone-less TIMESTAMP, unparsable -> NULL."""
+    """Text -> zone-less TIMESTAMP, unparsable -> NULL; as :func:`parse_date`,
+    but a day alone has no white space after it. Offsets and zones are not
+    applied."""
     s = _c(x).cast("string")
-    return F.when(s.rlike(_DATE_PREFIX), s.try_cast("timestamp_ntz"))
+    return F.when(s.rlike(_DAY + r"\z"), _day(s).cast("timestamp_ntz")).otherwise(_day_and_time(s))
 
 
 def seconds_between(start: ColumnOrName, end: ColumnOrName) -> Column:

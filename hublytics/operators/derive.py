@@ -85,16 +85,22 @@ def cod_adjustments(cod: DataFrame, threshold: float = 1000.0, bucket_ids: int =
 
 def trip_rollup(history: DataFrame, prefix: str = "T") -> DataFrame:
     """Truck trips from package export events: one row per trip code with
-    departure = first export time, origin/destination of the first export,
-    and the number of packages. Partial aggregation keeps a hot trip code
-    from landing whole in one task."""
+    departure = first export time, origin and destination, and the number of
+    packages. Origin and destination are those of the first export that knows
+    both (neither NULL nor NaN); where none does, the first known one of each.
+    First is by time, then package code, then the hubs themselves, so the
+    result does not depend on the order of the rows. Partial aggregation keeps
+    a hot trip code from landing whole in one task."""
     ex = history.filter((F.col("action_category") == "export") & F.col("trip_code").isNotNull()
                         & F.col("trip_code").startswith(prefix))
-    return ex.groupBy("trip_code").agg(
-        F.min("action_time").alias("departure_time"),
-        F.min_by("from_warehouse_id", "action_time").alias("from_warehouse_id"),
-        F.min_by("to_warehouse_id", "action_time").alias("to_warehouse_id"),
-        F.count(F.lit(1)).alias("n_packages"))
+    known = lambda c: F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    a, b = "from_warehouse_id", "to_warehouse_id"
+    first = lambda of, *cols: F.min(F.when(of, F.struct("action_time", "package_code", *cols)))
+    trips = ex.groupBy("trip_code").agg(
+        F.min("action_time").alias("departure_time"), first(known(a) & known(b), a, b).alias("both"),
+        first(known(a), a).alias("start"), first(known(b), b).alias("goal"), F.count(F.lit(1)).alias("n_packages"))
+    return trips.select("trip_code", "departure_time", F.coalesce(f"both.{a}", f"start.{a}").alias(a),
+                        F.coalesce(f"both.{b}", f"goal.{b}").alias(b), "n_packages")
 
 
 def trip_batches(history: DataFrame, orders: DataFrame, capacity: int = 20) -> DataFrame:

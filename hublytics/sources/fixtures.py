@@ -29,6 +29,9 @@ TEST_TABLES = ["region", "nation", "customer", "supplier", "orders", "lineitem",
 # Fixed values used by the fixture rules.
 FAILURE_REASONS = ["wrong_address", "not_home", "refused", "damaged", "other"]
 FIXED_HOLIDAYS_MMDD = ["01-01", "04-30", "05-01", "09-02"]
+# Day texts in the order in which they are planted: read or not read by rule.
+DAY_TEXTS = ["1999/1/2 3:04", "1999-01-02 03:04:05 ", " 1999 01 02", "1999-01/02", "1999-01-02Tjunk", "1999-01-02T03:04:05.25Z",
+             "1999-01-02 abc", "1999-01-02 24:00:00"]
 
 
 def load_testdata(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -55,6 +58,14 @@ def _ntz(c: Column) -> Column:
     return c.cast("timestamp_ntz")
 
 
+def _drifted(day: Column, index: Column) -> Column:
+    """A day as text: mostly ISO, for a few values of ``index`` in other forms."""
+    form = lambda f, end="": F.concat(F.date_format(day, f), F.lit(end))
+    return (F.when(index == 1, form("yyyy/MM/dd")).when(index == 2, form("yyyy MM dd")).when(index == 3, form("yyyy\\MM\\dd"))
+            .when(index == 4, form("yyyy-M-d", " ")).when(index == 5, form("yyyy-MM-dd", " abc")).when(index == 6, form("yyyy-MM/dd"))
+            .when(index == 7, form("yyyy-MM-dd HH:mm")).otherwise(form("yyyy-MM-dd")))
+
+
 class Fixture:
     """Lazily derived raw tables for one scale-factor folder."""
 
@@ -228,8 +239,8 @@ class Fixture:
             F.when(k % 71 == 0, F.lit(None).cast("string"))
              .otherwise(F.concat(F.lit("TC"), (F.lit(1) + k % 9).cast("string"))).alias("type_order_code"),
             failure.alias("failure_reason"),
-            F.when(k % 7 == 0, F.lit("bad")).when(k % 5 < 3, F.lit("1999-01-02 03:04:05"))
-             .alias("cod_collect_date"),
+            F.when(k % 7 == 0, F.lit("bad")).when(k % 70 < 8, _pick(k % 70, DAY_TEXTS))
+             .when(k % 5 < 3, F.lit("1999-01-02 03:04:05")).alias("cod_collect_date"),
             (F.col("o_custkey") + 100001).cast("long").alias("shop_id"),
             (F.col("o_custkey") + 1).cast("long").alias("client_id"),
             (F.lit(10001) + k % 100).cast("long").alias("from_district_id"),
@@ -281,18 +292,21 @@ class Fixture:
         cat = (F.when(et == "view", "receive").when(et == "click", "pack")
                .when(et == "purchase", "export").when(et == "signup", "unpack")
                .otherwise(F.lit(None).cast("string")))
-        # three destinations for each hub; some origins are missing, some destinations unknown
-        from_w = F.when(e % 97 == 0, F.lit(None).cast("double")).otherwise((F.lit(2001) + e % self.n_wh).cast("double"))
-        to_w = F.when(e % 89 == 0, F.lit(999999.0)) \
-            .otherwise((F.lit(2001) + (e + 1 + F.floor(e / 7) % 3) % self.n_wh).cast("double"))
-        ts = _ntz(F.col("ts"))
+        # three destinations for each hub; what an event says of its trip's hubs can be
+        # missing, NaN or wrong, and every third event's time is that of its hour
+        route_from = F.lit(2001) + e % self.n_wh
+        route_to = F.when(e % 89 == 0, F.lit(999999)).otherwise(F.lit(2001) + (e + 1 + F.floor(e / 7) % 3) % self.n_wh)
+        from_w = F.when(e % 97 == 0, F.lit(None).cast("double")).when(e % 37 == 0, _nan()).otherwise(route_from.cast("double"))
+        to_w = F.when(e % 41 == 0, _nan()).when(e % 43 == 0, F.lit(None).cast("double")) \
+            .when(e % 13 == 0, F.lit(2001) + e % 5).otherwise(route_to.cast("double"))
+        ts = _ntz(F.when(e % 3 == 0, F.date_trunc("hour", F.col("ts").cast("timestamp"))).otherwise(F.col("ts").cast("timestamp")))
         wh = (F.when(e % 20 == 0, _nan()).when(e % 19 == 0, F.lit(None).cast("double"))
               .when(cat == "receive", to_w).otherwise(from_w))
         names = None
         for key, val in ACTION_NAMES.items():
             names = F.when(cat == key, val) if names is None else names.when(cat == key, val)
         return ev.select(
-            F.when(e % 500 == 0, F.lit("bad-date")).otherwise(F.date_format(ts, "yyyy-MM-dd")).alias("dt"),
+            F.when(e % 500 == 0, F.lit("bad-date")).otherwise(_drifted(ts, e % 100)).alias("dt"),
             ts.alias("action_time"),
             cat.alias("action_category"),
             names.alias("action_name"),
@@ -301,9 +315,8 @@ class Fixture:
             wh.alias("warehouse_id"),
             from_w.alias("from_warehouse_id"),
             to_w.alias("to_warehouse_id"),
-            F.when(cat == "export", F.concat(F.lit("T"), F.date_format(ts, "yyyyMM"), F.lit("-"),
-                                             F.coalesce(from_w, F.lit(0.0)).cast("long").cast("string"), F.lit("-"),
-                                             to_w.cast("long").cast("string"))).alias("trip_code"),
+            F.when(cat == "export", F.concat(F.lit("T"), F.date_format(ts, "yyyyMM"), F.lit("-"), route_from.cast("string"),
+                                             F.lit("-"), route_to.cast("string"))).alias("trip_code"),
             F.lit(None).cast("string").alias("trip_partner"),
             F.lit(None).cast("string").alias("stop_code"),
             F.concat(F.lit("S"), F.col("user_id").cast("string")).alias("session_code"),
@@ -378,7 +391,7 @@ class Fixture:
              .when(m == 16, " Pending ").otherwise("RECONCILED")).alias("reconcile_status"),
             collect.alias("collect_time"),
             F.when(status == "transferred", add_hours(collect, F.lit(24) + k % 48)).alias("transfer_time"),
-            F.date_format(collect, "yyyy-MM-dd").alias("dt"),
+            _drifted(collect, k % 50).alias("dt"),
             F.lit("clean").alias("_data_quality"),
             k.alias("_k"))
         # a few records state a difference that their amounts do not have

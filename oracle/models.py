@@ -29,6 +29,17 @@ def _code(key: str) -> str:
     return f"(' ORD' || lpad(cast({key} as varchar), 8, '0'))"
 
 
+DAY_TEXTS = ["1999/1/2 3:04", "1999-01-02 03:04:05 ", " 1999 01 02", "1999-01/02", "1999-01-02Tjunk", "1999-01-02T03:04:05.25Z",
+             "1999-01-02 abc", "1999-01-02 24:00:00"]
+
+
+def _drifted(day: str, index: str) -> str:
+    return f"""(case {index} when 1 then strftime({day}, '%Y/%m/%d') when 2 then strftime({day}, '%Y %m %d')
+  when 3 then strftime({day}, '%Y\\%m\\%d') when 4 then strftime({day}, '%Y-%-m-%-d') || ' '
+  when 5 then strftime({day}, '%Y-%m-%d') || ' abc' when 6 then strftime({day}, '%Y-%m/%d')
+  when 7 then strftime({day}, '%Y-%m-%d %H:%M') else strftime({day}, '%Y-%m-%d') end)"""
+
+
 CTES: dict[str, str] = {}
 
 # ------------------------------------------------------------------ fixture
@@ -152,7 +163,8 @@ select
   case when k % 71 = 0 then null else 'TC' || cast(1 + k % 9 as varchar) end as type_order_code,
   case when k % 25 in (18, 19) then (case when k % 13 = 0 then null else {_pick('k % 5', REASONS)} end)
        when k % 600 = 4 then ' not_home ' end as failure_reason,
-  case when k % 7 = 0 then 'bad' when k % 5 < 3 then '1999-01-02 03:04:05' end as cod_collect_date,
+  case when k % 7 = 0 then 'bad' when k % 70 < 8 then {_pick('k % 70', DAY_TEXTS)}
+       when k % 5 < 3 then '1999-01-02 03:04:05' end as cod_collect_date,
   cast(o_custkey + 100001 as bigint) as shop_id,
   cast(o_custkey + 1 as bigint) as client_id,
   cast(10001 + k % 100 as bigint) as from_district_id,
@@ -199,7 +211,7 @@ select * exclude (_k) from raw_orders_rows where _k % 400 = 11"""
 
 CTES["raw_data_inside_history"] = f"""
 select
-  case when e % 500 = 0 then 'bad-date' else strftime(ts, '%Y-%m-%d') end as dt,
+  case when e % 500 = 0 then 'bad-date' else {_drifted('ts', 'e % 100')} end as dt,
   ts as action_time,
   cat as action_category,
   case cat when 'receive' then 'receive_package' when 'pack' then 'pack_to_bag' when 'unpack' then 'unpack_bag'
@@ -210,8 +222,8 @@ select
   wh as warehouse_id,
   from_w as from_warehouse_id,
   to_w as to_warehouse_id,
-  case when cat = 'export' then 'T' || strftime(ts, '%Y%m') || '-' || cast(cast(coalesce(from_w, 0) as bigint) as varchar)
-       || '-' || cast(cast(to_w as bigint) as varchar) end as trip_code,
+  case when cat = 'export' then 'T' || strftime(ts, '%Y%m') || '-' || cast(route_from as varchar)
+       || '-' || cast(route_to as varchar) end as trip_code,
   cast(null as varchar) as trip_partner, cast(null as varchar) as stop_code,
   'S' || cast(user_id as varchar) as session_code,
   'U' || cast(user_id as varchar) as user_id,
@@ -223,22 +235,34 @@ from (
     case when e % 20 = 0 then cast('nan' as double) when e % 19 = 0 then null
          when cat = 'receive' then to_w else from_w end as wh
   from (
-    select event_id as e, ts, user_id, (event_id * 3) % {N_ORD} as ok,
-      case when event_id % 97 <> 0 then cast(2001 + event_id % {N_WH} as double) end as from_w,
-      case when event_id % 89 = 0 then 999999.0::double
+    select event_id as e, case when event_id % 3 = 0 then date_trunc('hour', ts) else ts end as ts, user_id,
+      (event_id * 3) % {N_ORD} as ok,
+      2001 + event_id % {N_WH} as route_from,
+      case when event_id % 89 = 0 then 999999 else 2001 + (event_id + 1 + (event_id // 7) % 3) % {N_WH} end as route_to,
+      case when event_id % 97 = 0 then null when event_id % 37 = 0 then cast('nan' as double)
+           else cast(2001 + event_id % {N_WH} as double) end as from_w,
+      case when event_id % 41 = 0 then cast('nan' as double) when event_id % 43 = 0 then null
+           when event_id % 13 = 0 then cast(2001 + event_id % 5 as double) when event_id % 89 = 0 then 999999.0::double
            else cast(2001 + (event_id + 1 + (event_id // 7) % 3) % {N_WH} as double) end as to_w,
       case event_type when 'view' then 'receive' when 'click' then 'pack' when 'purchase' then 'export'
                       when 'signup' then 'unpack' else null end as cat
     from events))"""
 
-CTES["raw_trips"] = """
-select trip_code, min(action_time) as departure_time,
-       arg_min(from_warehouse_id, action_time) as from_warehouse_id,
-       arg_min(to_warehouse_id, action_time) as to_warehouse_id,
-       count(*) as n_packages
+CTES["trip_exports"] = """
+select *, from_warehouse_id is not null and not isnan(from_warehouse_id) as has_from,
+  to_warehouse_id is not null and not isnan(to_warehouse_id) as has_to
 from raw_data_inside_history
-where action_category = 'export' and trip_code is not null and starts_with(trip_code, 'T')
-group by trip_code"""
+where action_category = 'export' and trip_code is not null and starts_with(trip_code, 'T')"""
+
+_BY_TIME = "order by action_time, package_code"
+CTES["raw_trips"] = f"""
+select trip_code, min(action_time) as departure_time,
+  coalesce(first(from_warehouse_id {_BY_TIME}, from_warehouse_id, to_warehouse_id) filter (where has_from and has_to),
+           first(from_warehouse_id {_BY_TIME}, from_warehouse_id) filter (where has_from)) as from_warehouse_id,
+  coalesce(first(to_warehouse_id {_BY_TIME}, from_warehouse_id, to_warehouse_id) filter (where has_from and has_to),
+           first(to_warehouse_id {_BY_TIME}, to_warehouse_id) filter (where has_to)) as to_warehouse_id,
+  count(*) as n_packages
+from trip_exports group by trip_code"""
 
 CTES["raw_data_transportation"] = f"""
 select trip_code, from_warehouse_id, to_warehouse_id, departure_time, arr as arrival_time,
@@ -285,7 +309,7 @@ select cast(k + 1 as bigint) as cod_id, {_code('k')} as order_code, {_DELIVER_WH
        when k % 20 = 16 then ' Pending ' else 'RECONCILED' end as reconcile_status,
   ct as collect_time,
   case when st = 'transferred' then ct + to_hours(cast(24 + k % 48 as bigint)) end as transfer_time,
-  strftime(ct, '%Y-%m-%d') as dt, 'clean' as _data_quality, k as _k,
+  {_drifted('ct', 'k % 50')} as dt, 'clean' as _data_quality, k as _k,
   cod - collected + if(k % 500 = 10, 7.0::double, 0.0::double) as discrepancy_amount
 from (select *, case when st in ('collected', 'transferred') then cod when st = 'failed' then 0.0::double
                      when st = 'pending' then 0.5::double * cod + 0.25::double end as collected

@@ -81,6 +81,33 @@ def test_parse_date_rejects_bare_year(spark):
     assert got[0] is None
 
 
+DAY_FORMS = [
+    "2024-10-05", "2024/10/05", "2024 10 05", "2024\\10\\05", "2024-10/05", "  2024-10-05  ", "2024-1-5", "24-10-05", "02024-10-05",
+    "2024-10-05 abc", "2024-10-05Tjunk", "2024-10-05 ", "2024-10-05 12:00", "2024-10-05T12:00:00", "2024-10-05T12:00:00Z",
+    "2024-10-05 12:00:00+07", "2024-10-05 12:00:00 UTC", "2024-10-05 12", "2024-10-05T", "2024-10-05 1:2:3", "2024-10-05T 03:04",
+    "2024-10-05 12:00:00.123456789", "2024-10-05 25:00:00", "2024-02-30", "2024", "2024-10", "20241005", "\t2024-10-05",
+    "2024-10-05\t", "2024-10-05\r\n", "2024-10-05 12:00:00.", "2024-10-05 12:00:", "2024/10/05 12:00:00", "2024-10-05  12:00:00",
+    "2024 10 05 11:12:13", "2024-10-05 24:00:00", "2024-10-05 24:00:01", "2024-10-05 12:60:00", "2024-10-05 12:00:60", "2024-010-05",
+    "2024-10-005", "9999-12-31", "2024-10-05 12:00:00z", "2024-10-05t12:00:00", "2024-10-05Z", "2024-10-05+07", "2024-10-05 12:0",
+    "2024-10-05 12:00:00 abc", "2024-10-05 001:00", "", " ", "\u00a02024-10-05", "+2024-10-05", "2024-00-05", "2024-13-05",
+    "2024-10-05 12:00:00.1a", "2024-10-05 -1:00", "2024-10-05 12.00.00", "2023-02-29 10:00", "5-5-5", None]
+
+
+def test_day_and_time_texts_are_read_as_the_engine_does(spark):
+    got = spark.createDataFrame(list(enumerate(DAY_FORMS)), "i int, x string").select(
+        "i", S.parse_date("x").alias("d"), S.parse_timestamp("x").alias("t")).orderBy("i").collect()
+    con = duckdb.connect()
+    for text, row in zip(DAY_FORMS, got, strict=True):
+        want = con.execute("select try_cast(? as date), try_cast(? as timestamp)", [text, text]).fetchone()
+        assert (row.d, row.t) == want, text
+
+
+def test_days_that_only_the_engine_knows_are_null(spark):
+    rows = [(x,) for x in ("-2024-10-05", "2024-10-05 (BC)", "epoch", "infinity", "0000-01-01", "0-1-1")]
+    assert one(spark, S.parse_date("x"), "x string", rows) == [None] * 6
+    assert one(spark, S.parse_timestamp("x"), "x string", rows) == [None] * 6
+
+
 def test_seconds_between_counts_boundaries(spark):
     a, b = dt.datetime(2024, 1, 1, 0, 0, 0, 900000), dt.datetime(2024, 1, 1, 0, 0, 1, 100000)
     df = spark.createDataFrame([(a, b), (b, a), (None, b)], "a timestamp_ntz, b timestamp_ntz")
