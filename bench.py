@@ -31,7 +31,7 @@ from hublytics.plans import catalog, pipeline  # noqa: E402
 from hublytics.plans.warehouse import Warehouse  # noqa: E402
 from hublytics.sources.fixtures import fixture_tables  # noqa: E402
 from hublytics.sources.raw import RAW_TABLES  # noqa: E402
-from hublytics.sources.sinks import write_table  # noqa: E402
+from hublytics.sources.sinks import read_table, write_table  # noqa: E402
 
 
 def daily(spark, raw_dir: str, out_dir: str) -> tuple[float, dict]:
@@ -113,7 +113,7 @@ def main() -> None:
 
     # report cards over the written marts
     wh_dir = os.path.join(scratch, "wh")
-    marts = {m: spark.read.parquet(os.path.join(wh_dir, m)) for m in Warehouse.MARTS}
+    marts = {m: read_table(spark, os.path.join(wh_dir, m)) for m in Warehouse.MARTS}
     qtimes = {}
     for name, (mart, fn) in reports.REPORTS.items():
         t = time.perf_counter()

@@ -56,20 +56,20 @@ def collected_amount(status: Column, cod: Column, pending_amount: Column) -> Col
             .when(status == "pending", pending_amount))
 
 
-def cod_adjustments(cod: DataFrame, threshold: float = 1000.0, bucket_ids: int = 100_000) -> DataFrame:
+def cod_adjustments(cod: DataFrame, threshold: float = 1000.0) -> DataFrame:
     """Append one adjustment record per large unreconciled discrepancy.
 
     For ``reconcile_status='discrepancy' and abs(discrepancy)>threshold``:
     a new record, status ``adjustment``, reconcile ``pending``, collected =
     the discrepancy, discrepancy 0, collected one day later. New ids follow
     the largest id without gaps, in the order of the records they adjust;
-    the numbering is a running count over ranges of ``bucket_ids`` ids, so
-    it is not one task.
+    the numbering is a running count over ranges of ids, so it is not one
+    task.
     """
     max_id = cod.select(F.max("cod_id")).scalar()
     large = (cod.filter((F.col("reconcile_status") == "discrepancy")
                         & (F.abs(F.col("discrepancy_amount")) > F.lit(threshold))).withColumn("__all", F.lit(0)))
-    numbered = running_total(large, ["__all"], bucket=F.floor(F.col("cod_id") / F.lit(bucket_ids)),
+    numbered = running_total(large, ["__all"], bucket=F.col("cod_id"),
                              order_cols=[F.col("cod_id")], out="__n").drop("__all")
     adj = numbered.withColumns({
         "cod_id": (F.col("__n") + max_id).cast("long"),
@@ -112,8 +112,7 @@ def trip_batches(history: DataFrame, orders: DataFrame, capacity: int = 20) -> D
     date counts, and exports of unknown orders share the route of day NULL.
     Returns one row per trip: route, batch number (0-based), packages,
     first and last export time. The position inside a route is a running
-    count bucketed by second (see :func:`running_total`), so a hot route
-    does not serialize on one task.
+    count (:func:`running_total`), so a hot route is not one task.
     """
     created = orders.groupBy(F.col("order_code").alias("__oc")).agg(F.min("created_date").alias("__created"))
     ex = history.filter(F.col("action_category") == "export")

@@ -6,12 +6,13 @@ Generic tests follow the usual semantics: ``not_null`` counts NULL rows;
 ``accepted_values`` counts rows outside the list (NULL passes);
 ``relationships`` counts rows whose non-NULL key has no parent.
 
-:func:`run_checks` scans each model once for all its NULL/accepted-value
-tests (one aggregate with a ``count_if`` per test), once more for all its
-unique tests together (values of every tested column are exploded into
-``(check, value)`` pairs and grouped: one shuffle, partial aggregation),
-and runs one anti join per relationship (parent keys broadcast when proven
-small). The per-check counts come back as one small DataFrame.
+:func:`run_checks` is one pass: every model is scanned once and each of its rows
+becomes (check, value) pairs: a failing row for NULL and accepted-value tests, the
+value for unique tests, the key for relationships, as a child's in the child's
+scan and as a parent's in the parent's. Pairs of all models are counted
+together, combined map-side (a hot key or a failing column collapses before it
+travels), so a relationship needs no join: its orphans are the values that no
+parent has. The per-check counts come back as one small DataFrame.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hublytics.functions.semantics import lower_trim, round_like
-from hublytics.operators.joins import BroadcastPolicy, bounded_broadcast
+from hublytics.operators.joins import bounded_broadcast
 
 
 @dataclass(frozen=True)
@@ -120,73 +121,84 @@ def _ident(c: str) -> str:
     return "`" + c.replace("`", "``") + "`"
 
 
-def count_expr(ch: Check) -> str:
-    """SQL aggregate counting the failures of a not_null / accepted_values
-    check (usable in ``agg`` or in ``DataFrame.observe``)."""
+def fail_expr(ch: Check) -> str:
+    """SQL condition: a row fails a not_null / accepted_values check."""
     c = _ident(ch.column)
     if ch.test == "not_null":
-        return f"count_if({c} is null)"
+        return f"{c} is null"
     if ch.test == "accepted_values":
-        return f"count_if({c} is not null and not {c} in ({', '.join(_sql_lit(v) for v in ch.values)}))"
+        return f"{c} is not null and not {c} in ({', '.join(_sql_lit(v) for v in ch.values)})"
     raise ValueError(f"{ch.test} is not a row-local check")
 
 
+def count_expr(ch: Check) -> str:
+    """SQL aggregate counting the failures of a row-local check (usable in
+    ``agg`` or in ``DataFrame.observe``)."""
+    return f"count_if({fail_expr(ch)})"
+
+
 def status_of(failures: int, severity: str) -> str:
     return "PASS" if failures == 0 else ("WARN" if severity == "warn" else "ERROR")
 
 
+_WHOLE = {"tinyint", "smallint", "int", "bigint"}
+
+
+def _pair(check_id: int, side: str, column: str, whole: bool, when: str) -> str:
+    """SQL of the pair that a row gives to a check, NULL where it gives none.
+    Whole numbers travel as they are, other values as text."""
+    c = _ident(column)
+    value = {"row": "cast(null as bigint) as k, cast(null as string) as s",
+             True: f"cast({c} as bigint) as k, cast(null as string) as s",
+             False: f"cast(null as bigint) as k, cast({c} as string) as s"}["row" if side == "row" else whole]
+    return f"case when {when} then struct({check_id} as check_id, {str(side == 'parent').lower()} as parent, {value}) end"
+
+
 def run_checks(spark: SparkSession, resolve: Resolver, checks: list[Check],
                parent_hint: Callable[[str, DataFrame], DataFrame] | None = None) -> DataFrame:
     """One row per check: check_id, layer, model, column_name, test,
-    failures, status (PASS, or ERROR/WARN by severity).
+    failures, status (PASS, or ERROR/WARN by severity). ``parent_hint`` has no
+    effect: parents are not joined.
 
-    Per-check expressions are written as SQL expression strings: one JVM
-    call per expression keeps driver-side plan construction cheap when a
-    catalogue has hundreds of checks.
+    Pairs are written as SQL expression strings: one JVM call per expression
+    keeps driver-side plan construction cheap when a catalogue has hundreds of
+    checks.
     """
-    hint = parent_hint or BroadcastPolicy()
-    parts: list[DataFrame] = []
-    by_model: dict[tuple[str, str], list[tuple[int, Check]]] = {}
-    for i, ch in enumerate(checks):
-        by_model.setdefault((ch.layer, ch.model), []).append((i, ch))
-
-    for (layer, model), items in by_model.items():
-        df = resolve(layer, model)
-        simple = [(i, ch) for i, ch in items if ch.test in ("not_null", "accepted_values")]
-        if simple:
-            aggs = [F.expr(count_expr(ch)).alias(f"c{i}") for i, ch in simple]
-            structs = ", ".join(f"struct({i} as check_id, cast(c{i} as bigint) as failures)" for i, _ in simple)
-            parts.append(df.agg(*aggs).selectExpr(f"inline(array({structs}))"))
-        uniq = [(i, ch) for i, ch in items if ch.test == "unique"]
-        if uniq:
-            # all unique tests of the model in one pass: (check, value) pairs
-            structs = ", ".join(f"struct({i} as check_id, cast({_ident(ch.column)} as string) as v)" for i, ch in uniq)
-            pairs = df.selectExpr(f"inline(array({structs}))").filter("v is not null")
-            parts.append(pairs.groupBy("check_id", "v").agg(F.expr("count(1) as n"))
-                         .filter("n > 1").groupBy("check_id").agg(F.expr("cast(count(1) as bigint) as failures")))
-        for i, ch in items:
-            if ch.test != "relationships":
-                continue
-            keys = resolve(layer, ch.to).selectExpr(f"{_ident(ch.field)} as __p").filter("__p is not null")
-            child = df.selectExpr(f"{_ident(ch.column)} as __c").filter("__c is not null")
-            if isinstance(hint, BroadcastPolicy) and not hint.is_small(ch.to, keys):
-                # big parent: shuffle distinct child keys with their row
-                # counts (map-side combine collapses a hot key), not rows
-                per_key = child.groupBy("__c").agg(F.expr("count(1) as __n"))
-                orphans = per_key.join(keys.distinct(), per_key["__c"] == keys["__p"], "left_anti")
-                parts.append(orphans.selectExpr(f"{i} as check_id",
-                                                "cast(coalesce(sum(__n), 0) as bigint) as failures"))
-                continue
-            parent = hint(ch.to, keys)
-            orphans = child.join(parent, child["__c"] == parent["__p"], "left_anti")
-            parts.append(orphans.selectExpr(f"{i} as check_id", "cast(count(1) as bigint) as failures"))
+    frames: dict[tuple[str, str], DataFrame] = {}
 
-    # at most one row per check: a bounded result, safe to broadcast
-    counts = F.broadcast(union_all(parts))
+    def frame(layer: str, model: str) -> DataFrame:
+        if (layer, model) not in frames:
+            frames[(layer, model)] = resolve(layer, model)
+        return frames[(layer, model)]
+
+    pairs: dict[tuple[str, str], list[str]] = {}
+    for i, ch in enumerate(checks):
+        own = pairs.setdefault((ch.layer, ch.model), [])
+        types = dict(frame(ch.layer, ch.model).dtypes)
+        known = f"{_ident(ch.column)} is not null"
+        if ch.test in ("not_null", "accepted_values"):
+            own.append(_pair(i, "row", ch.column, False, fail_expr(ch)))
+        elif ch.test == "unique":
+            own.append(_pair(i, "child", ch.column, types[ch.column] in _WHOLE, known))
+        elif ch.test == "relationships":
+            whole = types[ch.column] in _WHOLE and dict(frame(ch.layer, ch.to).dtypes)[ch.field] in _WHOLE
+            own.append(_pair(i, "child", ch.column, whole, known))
+            pairs.setdefault((ch.layer, ch.to), []).append(
+                _pair(i, "parent", ch.field, whole, f"{_ident(ch.field)} is not null"))
+        else:
+            raise ValueError(f"unknown test {ch.test}")
+    parts = [frame(*m).selectExpr(f"inline(array({', '.join(p)}))").filter("check_id is not null") for m, p in pairs.items()]
+    of = lambda test: ", ".join(["-1", *(str(i) for i, c in enumerate(checks) if c.test == test)])
+    per_value = union_all(parts).groupBy("check_id", "k", "s").agg(
+        F.expr("count_if(not parent)").alias("n"), F.expr("count_if(parent)").alias("parents"))
+    counts = per_value.groupBy("check_id").agg(F.expr(
+        f"sum(case when check_id in ({of('unique')}) then if(n > 1, 1, 0) "
+        f"when check_id in ({of('relationships')}) then if(parents = 0, n, 0) else n end)").cast("long").alias("failures"))
     meta = spark.createDataFrame(
         [(i, ch.layer, ch.model, ch.column, ch.test, ch.severity) for i, ch in enumerate(checks)],
         "check_id int, layer string, model string, column_name string, test string, severity string")
-    return meta.join(counts, "check_id", "left").selectExpr(
+    # at most one row per check: a bounded result, safe to broadcast
+    return meta.join(F.broadcast(counts), "check_id", "left").selectExpr(
         "check_id", "layer", "model", "column_name", "test", "coalesce(failures, 0) as failures",
         "case when coalesce(failures, 0) = 0 then 'PASS' when severity = 'warn' then 'WARN' "
         "else 'ERROR' end as status")

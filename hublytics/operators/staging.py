@@ -4,18 +4,19 @@ Facts drop quarantined rows (``_data_quality = 'heavy_issue'``) before any
 other step; dimensions keep every key and only clean attributes, so facts
 never lose their parents. Orders are deduplicated on the raw order code,
 keeping the newest row. Everything is a projection/filter (narrow, no
-shuffle) except the order dedup.
+shuffle); the order dedup moves keys only (:mod:`hublytics.operators.dedup`).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hublytics.functions.semantics import (
     clean_text, hours_between, lower_trim, money, normalize_order_status, normalize_plate,
     order_outcome_group, parse_date, parse_timestamp, to_bigint,
 )
+from hublytics.operators.dedup import dedup_latest, first_places, keep_first  # noqa: F401
 
 QUARANTINE_FLAG = "heavy_issue"
 
@@ -144,19 +145,19 @@ def dedup_order() -> list[Column]:
     ]
 
 
-def dedup_latest(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
-    """Keep the first row per ``key`` in ``order``.
+#: the columns that :func:`dedup_order` reads
+DEDUP_COLUMNS = ["created_date", "status", "deliver_warehouse_id", "cod_amount"]
 
-    ``row_number() ... = 1`` is planned as a WindowGroupLimit: a partial
-    per-key limit runs before the shuffle, so each map task ships at most one
-    row per key and a hot key cannot swamp the reducer.
-    """
-    w = Window.partitionBy(key).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
+def newest_orders(raw: DataFrame, flag: str = QUARANTINE_FLAG) -> DataFrame | None:
+    """Where the newest row of every repeated order code lies."""
+    return first_places(keep_non_quarantine(raw, flag), "order_code", dedup_order(), DEDUP_COLUMNS)
 
-def stg_shippingorder(raw: DataFrame, flag: str = QUARANTINE_FLAG) -> DataFrame:
-    src = dedup_latest(keep_non_quarantine(raw, flag), "order_code", dedup_order())
+
+def stg_shippingorder(raw: DataFrame, flag: str = QUARANTINE_FLAG, newest: DataFrame | None = None) -> DataFrame:
+    """``newest``: :func:`newest_orders` of the same ``raw``; without it the
+    rows are deduplicated by a window."""
+    src = keep_first(keep_non_quarantine(raw, flag), "order_code", dedup_order(), newest)
     status = normalize_order_status("status")
     created, first_del = as_ts("created_date"), as_ts("first_delivered_time")
     return src.select(

@@ -22,7 +22,7 @@ from hublytics.plans.warehouse import Warehouse
 from hublytics.session import checkpoint_dir
 from hublytics.sources.fixtures import Fixture
 from hublytics.sources.raw import nanos_to_timestamp, read_raw, read_seed
-from hublytics.sources.sinks import read_history, read_open, write_table, write_version
+from hublytics.sources.sinks import publish_table, read_history, read_open, read_table, write_table, write_version
 
 # Fixed "today" for models that depend on the run date (tenure, future
 # hire dates), so results are repeatable: the last calendar day.
@@ -83,7 +83,6 @@ def warehouse_for(spark: SparkSession, sf_dir: str) -> tuple[Fixture, Warehouse]
 
 
 _BUILT: dict[tuple[str, str], Warehouse] = {}
-_BUILT_AT: dict[tuple[str, str], str] = {}
 
 
 def built_for(spark: SparkSession, sf_dir: str) -> Warehouse:
@@ -94,10 +93,10 @@ def built_for(spark: SparkSession, sf_dir: str) -> Warehouse:
     if key not in _BUILT:
         wh = Warehouse(warehouse_for(spark, sf_dir)[1].raw, as_of=AS_OF, ordered_marts=False)
         out = f"{checkpoint_dir(spark).rstrip('/')}/built-{uuid.uuid4().hex}"
-        write_table(wh["stg_shippingorder"], f"{out}/stg_shippingorder")
-        wh.replace("stg_shippingorder", spark.read.parquet(f"{out}/stg_shippingorder"))
+        publish_table(wh["stg_shippingorder"], f"{out}/stg_shippingorder")
+        wh.replace("stg_shippingorder", read_table(spark, f"{out}/stg_shippingorder"))
         pipeline.build(spark, wh, out)
-        _BUILT[key], _BUILT_AT[key] = wh, out
+        _BUILT[key] = wh
     return _BUILT[key]
 
 
@@ -166,8 +165,9 @@ def q_quarantine_only(spark, sf_dir):
 
 
 def q_order_dedup(spark, sf_dir):
-    raw = staging.keep_non_quarantine(_wh(spark, sf_dir).raw["data_shippingorder_now"])
-    return staging.dedup_latest(raw, "order_code", staging.dedup_order()) \
+    wh = _wh(spark, sf_dir)
+    raw = staging.keep_non_quarantine(wh.raw["data_shippingorder_now"])
+    return staging.keep_first(raw, "order_code", staging.dedup_order(), wh.newest_orders()) \
         .select("order_code", "created_date", "status")
 
 
@@ -278,11 +278,13 @@ def q_seed_lookup(spark, sf_dir):
 
 
 def q_roundtrip_parquet(spark, sf_dir):
-    """Materialize the KPI mart as snappy parquet in the shared checkpoint
-    folder and read it back."""
+    """The KPI mart published twice as snappy parquet in the shared checkpoint
+    folder, first a part of it, and its newest version read back."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/roundtrip-{uuid.uuid4().hex}"
-    write_table(_wh(spark, sf_dir)["mart_daily_kpi"], path)
-    return spark.read.parquet(path)
+    kpi = _wh(spark, sf_dir)["mart_daily_kpi"]
+    publish_table(kpi.filter("region is null"), path)
+    publish_table(kpi, path)
+    return read_table(spark, path)
 
 
 def q_snapshot_on_disk(spark, sf_dir):
@@ -464,9 +466,23 @@ order by gross_vnd desc, year, region"""
 
 
 def q_card_sql_cod(spark, sf_dir):
-    built_for(spark, sf_dir)
-    out = _BUILT_AT[(spark.sparkContext.applicationId, sf_dir)]
-    return views.run_sql(spark, {m: f"{out}/{m}" for m in Warehouse.MARTS}, COD_CARD_SQL)
+    wh = built_for(spark, sf_dir)
+    return views.run_sql(spark, {m: wh[m] for m in Warehouse.MARTS}, COD_CARD_SQL)
+
+
+# Ad-hoc SQL over staging views by their own names.
+LATE_SQL = """
+select s.outcome_group, w.warehouse_type, count(*) as orders,
+  count_if(s.end_delivery_at > s.first_delivered_at) as late
+from stg_shippingorder s left join stg_warehouse w on s.deliver_warehouse_id = w.warehouse_id
+group by s.outcome_group, w.warehouse_type"""
+
+
+def q_view_sql(spark, sf_dir):
+    """Staging models as session views, queried by name."""
+    views.register_views(_wh(spark, sf_dir), ["stg_shippingorder", "stg_warehouse"])
+    return spark.sql(LATE_SQL)
 
 
 QUERIES["card_sql_cod"] = q_card_sql_cod
+QUERIES["view_sql"] = q_view_sql

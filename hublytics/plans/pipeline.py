@@ -1,7 +1,8 @@
 """The daily run: build -> test -> snapshot -> gate.
 
-1. **build**: every core table, then every mart, is written as snappy
-   parquet under ``out_dir`` (full refresh). Each written table replaces
+1. **build**: every core table, then every mart, is published as snappy
+   parquet under ``out_dir`` (full refresh by a new version, see
+   :mod:`hublytics.sources.sinks`). Each published table replaces
    its lineage in the :class:`Warehouse`, so the three marts over the order
    fact read the written fact instead of recomputing staging + dedup, and
    a lost executor only recomputes from the last written table.
@@ -23,14 +24,13 @@ import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from hublytics.operators import history, quality
 from hublytics.plans.warehouse import Warehouse
 from hublytics.sources.raw import SEED_SCHEMAS, read_raw_tables, read_seed
-from hublytics.sources.sinks import current_version, read_open, write_table, write_version
+from hublytics.sources.sinks import current_version, publish_table, read_open, read_table, write_version
 
 SNAPSHOT_KEY = "client_id"
 SNAPSHOT_CHECK = ["tier", "client_channel", "is_b2b"]
@@ -93,7 +93,7 @@ def build(spark: SparkSession, wh: Warehouse, out_dir: str, timer: Timer | None
         paths = {n: os.path.join(out_dir, n) for n in names}
 
         def write(n: str) -> None:
-            timer(f"build.{n}", lambda: write_table(plans[n], paths[n]))
+            timer(f"build.{n}", lambda: publish_table(plans[n], paths[n]))
 
         with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
             list(pool.map(write, names))
@@ -101,22 +101,18 @@ def build(spark: SparkSession, wh: Warehouse, out_dir: str, timer: Timer | None
             got = obs.get
             observed.update({i: int(got[f"c{i}"]) for i, _ in mine})
         for n in names:
-            wh.replace(n, spark.read.parquet(paths[n]))
+            wh.replace(n, read_table(spark, paths[n]))
         timer.steps[f"level.{LEVEL_NAMES[li]}"] = round(time.perf_counter() - t_level, 3)
     return observed
 
 
 def test(spark: SparkSession, wh: Warehouse, out_dir: str, checks: list[quality.Check],
-         delivered_error_after: int | float = 5000, threads: int = 4,
-         observed: dict[int, int] | None = None) -> DataFrame:
+         delivered_error_after: int | float = 5000, observed: dict[int, int] | None = None) -> DataFrame:
     """Run the check catalogue and the two business rules.
 
     Checks already measured during the build (``observed``) are not run
-    again. The rest is split into ``threads`` groups of whole models; each
-    group's plan is built and run from its own driver thread, so plan
-    construction and execution of different models overlap. Each group
-    returns at most one row per check, so collecting the groups is bounded
-    by the size of the catalogue, not by the data.
+    again; all others are one job (:func:`quality.run_checks`) that scans each
+    model once. It returns one row per check.
     """
     observed = observed or {}
 
@@ -127,43 +123,12 @@ def test(spark: SparkSession, wh: Warehouse, out_dir: str, checks: list[quality.
             return read_seed(spark, model)
         return wh[model]
 
-    indexed = [(i, c) for i, c in enumerate(checks) if i not in observed]
-    models = list(dict.fromkeys((c.layer, c.model) for _, c in indexed))
-    # A staging view scanned by more than one kind of check (aggregate,
-    # unique, relationship) is recomputed per scan; keep just its checked
-    # columns for the duration of the step instead.
-    narrow: dict[tuple[str, str], DataFrame] = {}
-    for key in models:
-        mine = [c for _, c in indexed if (c.layer, c.model) == key]
-        kinds = {"row" if c.test in ROW_LOCAL_TESTS else c.test for c in mine}
-        if key[0] == "staging" and len(kinds) > 1:
-            cols = list(dict.fromkeys(c.column for c in mine))
-            narrow[key] = wh[key[1]].select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
-    base_resolve = resolve
-
-    def resolve(layer: str, model: str) -> DataFrame:  # noqa: F811
-        return narrow[(layer, model)] if (layer, model) in narrow else base_resolve(layer, model)
-
-    for (layer, model) in models:  # build (memoise) every model once, on this thread
-        resolve(layer, model)
-    n_groups = max(1, min(threads, len(models)))
-    groups = [set(models[i::n_groups]) for i in range(n_groups)]
-
-    def run_group(g: set) -> list:
-        part = [(i, c) for i, c in indexed if (c.layer, c.model) in g]
-        res = quality.run_checks(spark, resolve, [c for _, c in part], wh.hint)
-        ids = [i for i, _ in part]
-        return [(ids[r["check_id"]],) + tuple(r)[1:] for r in res.collect()]
-
+    rest = [(i, c) for i, c in enumerate(checks) if i not in observed]
     rows = [(i, c.layer, c.model, c.column, c.test, f, quality.status_of(f, c.severity))
             for i, c in enumerate(checks) if i in observed for f in [observed[i]]]
-    try:
-        if groups and indexed:
-            with ThreadPoolExecutor(max_workers=n_groups) as pool:
-                rows += [r for rs in pool.map(run_group, groups) for r in rs]
-    finally:
-        for df in narrow.values():
-            df.unpersist()
+    if rest:
+        found = quality.run_checks(spark, resolve, [c for _, c in rest])
+        rows += [(rest[r["check_id"]][0],) + tuple(r)[1:] for r in found.collect()]
     res = spark.createDataFrame(rows, "check_id int, layer string, model string, column_name string, "
                                       "test string, failures long, status string")
     rules = quality.rule_results(spark, wh["fct_cod"], wh["fct_shipping_order"],
@@ -176,8 +141,8 @@ def test(spark: SparkSession, wh: Warehouse, out_dir: str, checks: list[quality.
          .alias("model"),
         F.lit(None).cast("string").alias("column_name"), F.col("rule").alias("test"), "failures", "status")
     path = os.path.join(out_dir, "_test_results")
-    write_table(res.unionByName(singular).coalesce(1), path)
-    return spark.read.parquet(path)
+    publish_table(res.unionByName(singular).coalesce(1), path)
+    return read_table(spark, path)
 
 
 def snapshot(spark: SparkSession, wh: Warehouse, out_dir: str, run_at: str) -> str:
@@ -191,7 +156,7 @@ def snapshot(spark: SparkSession, wh: Warehouse, out_dir: str, run_at: str) -> s
 def seed(spark: SparkSession, out_dir: str) -> None:
     """Write the seeds as tables, typed as declared."""
     for name in SEED_SCHEMAS:
-        write_table(read_seed(spark, name).coalesce(1), os.path.join(out_dir, name))
+        publish_table(read_seed(spark, name).coalesce(1), os.path.join(out_dir, name))
 
 
 def run(spark: SparkSession, raw_dir: str, out_dir: str, as_of: str | None = None, run_at: str | None = None,
@@ -216,7 +181,7 @@ def run(spark: SparkSession, raw_dir: str, out_dir: str, as_of: str | None = Non
     rules = gate_rules or quality.GATE_RULES
 
     def run_tests() -> DataFrame:
-        return timer("test", lambda: test(spark, wh, out_dir, checks, delivered_error_after, threads, observed))
+        return timer("test", lambda: test(spark, wh, out_dir, checks, delivered_error_after, observed))
 
     def run_gate() -> str | None:
         try:

@@ -1,13 +1,15 @@
-"""SQL access to the warehouse: temp views and partitioned exports."""
+"""SQL access to the warehouse: views, catalog tables and partitioned exports."""
 
 from __future__ import annotations
 
 import os
+import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from hublytics.plans.warehouse import Warehouse
-from hublytics.sources.sinks import write_table
+from hublytics.sources.sinks import TableError, newest_path, parent_path, plain_path, write_table
 
 
 def register_views(wh: Warehouse, models: list[str] | None = None) -> list[str]:
@@ -20,21 +22,54 @@ def register_views(wh: Warehouse, models: list[str] | None = None) -> list[str]:
     return names
 
 
-def register_tables(spark: SparkSession, paths: dict[str, str], schema: str = "main_mart") -> list[str]:
-    """Make written tables known to SQL as tables of ``schema``; the files stay
-    where they are."""
-    spark.sql(f"create schema if not exists {schema}")
+def publish_to_catalog(spark: SparkSession, paths: dict[str, str], schema: str) -> list[str]:
+    """Make published tables known to SQL as tables of ``schema``, or point
+    those made earlier by this function at the newest versions. A table of that
+    name whose files lie elsewhere is somebody else's: it raises, and nothing
+    is ever dropped."""
+    spark.sql(f"create schema if not exists {_name(schema)}")
+    out = []
     for name, path in paths.items():
-        spark.sql(f"drop table if exists {schema}.{name}")
-        spark.sql(f"create table {schema}.{name} using parquet location '{path}'")
-    return [f"{schema}.{n}" for n in paths]
+        table = f"{_name(schema)}.{_name(name)}"
+        current = newest_path(spark, path)
+        if spark.catalog.tableExists(table):
+            rows = spark.sql(f"describe table extended {table}").filter("col_name = 'Location'").collect()
+            at = rows[0]["data_type"] if rows else ""
+            if parent_path(spark, at) != plain_path(spark, path):
+                raise TableError(f"{schema}.{name} exists at {at or 'no path'}, not under {path}")
+            spark.sql(f"alter table {table} set location '{current}'")
+            spark.catalog.refreshTable(table)
+        else:
+            spark.sql(f"create table {table} using parquet location '{current}'")
+        out.append(f"{schema}.{name}")
+    return out
+
+
+def _name(part: str) -> str:
+    return "`" + part.replace("`", "``") + "`"
+
+
+def run_sql(spark: SparkSession, tables: dict[str, DataFrame], sql: str, schema: str = "main_mart") -> DataFrame:
+    """Run SQL written against schema-qualified names (for example
+    ``main_mart.mart_daily_kpi``) on the given ``tables``, without touching the
+    catalog: each qualified name of a given table outside quotes becomes a
+    session view of its own, so a real ``main_mart`` is neither read nor
+    changed."""
+    tag = uuid.uuid4().hex
+    named = re.compile(r"'(?:[^'\\]|\\.|'')*'|\b" + re.escape(schema) + r"\s*\.\s*`?(\w+)`?", re.IGNORECASE)
+    lower = {n.lower(): n for n in tables}
 
+    def view(m: re.Match) -> str:
+        name = lower.get((m[1] or "").lower())
+        return f"`{name}_{tag}`" if name else m[0]
 
-def run_sql(spark: SparkSession, paths: dict[str, str], sql: str, schema: str = "main_mart") -> DataFrame:
-    """Run SQL written against schema-qualified mart names (for example
-    ``main_mart.mart_daily_kpi``) on the written marts in ``paths``."""
-    register_tables(spark, paths, schema)
-    return spark.sql(sql)
+    for name, df in tables.items():
+        df.createOrReplaceTempView(f"{name}_{tag}")
+    try:
+        return spark.sql(named.sub(view, sql))
+    finally:  # the plan holds the tables themselves
+        for name in tables:
+            spark.catalog.dropTempView(f"{name}_{tag}")
 
 
 def export_marts(wh: Warehouse, root: str, partition_by_week: bool = True) -> dict[str, str]:

@@ -35,6 +35,7 @@ class Warehouse:
         self.ordered_marts = ordered_marts  # False when marts are only written (order is not kept)
         self._memo: dict[str, DataFrame] = {}
         self._overrides: dict[str, DataFrame] = {}
+        self._newest: list[DataFrame | None] = []
 
     # ------------------------------------------------------------------ api
 
@@ -52,6 +53,12 @@ class Warehouse:
         # everything downstream must be rebuilt on top of the replacement
         self._memo.clear()
 
+    def newest_orders(self) -> DataFrame | None:
+        """Where the newest rows of repeated order codes lie; found once."""
+        if not self._newest:
+            self._newest.append(staging.newest_orders(self.raw["data_shippingorder_now"], self.flag))
+        return self._newest[0]
+
     MODELS = [
         "stg_province", "stg_district", "stg_date", "stg_warehouse", "stg_client", "stg_shipper",
         "stg_shippingorder", "stg_inside_history", "stg_transportation", "stg_shipment", "stg_cod",
@@ -72,6 +79,8 @@ class Warehouse:
             raw = self.raw[raw_name]
             if name == "stg_shipper":
                 return fn(raw, self.as_of)
+            if name == "stg_shippingorder":
+                return fn(raw, self.flag, self.newest_orders())
             if name.startswith("stg_") and raw_name.startswith("data_"):
                 return fn(raw, self.flag)
             return fn(raw)

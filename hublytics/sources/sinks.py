@@ -1,4 +1,12 @@
-"""Sinks: parquet tables, versioned snapshot folders, exports."""
+"""Sinks: published tables, snapshot versions, exports, scratch tables.
+
+A published table is a folder of versions (``v=000001``, ``v=000002``, ...).
+A refresh writes a folder of its own and renames it to the next version when
+every file is there; readers take the newest complete version. So a reader sees
+the whole old table or the whole new one, a failed refresh leaves the old one,
+and nothing that a reader has open is overwritten: the ``keep`` newest
+versions stay.
+"""
 
 from __future__ import annotations
 
@@ -7,16 +15,92 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hublytics.session import checkpoint_dir
+
+#: versions of a published table that stay readable
+KEEP_VERSIONS = 2
+
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 compression: str = "snappy") -> None:
-    """Full-refresh table materialization (overwrite) as snappy parquet."""
+    """One folder of snappy parquet, written over (exports, files that nobody
+    reads meanwhile)."""
     w = df.write.mode("overwrite").option("compression", compression)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
 
 
+def scratch(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` into the shared checkpoint folder and read it back: its
+    lineage ends and its size is known. The folder's owner expires old files."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/hublytics/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+class TableError(RuntimeError):
+    """A published table could not be read or refreshed."""
+
+
+def publish_table(df: DataFrame, path: str, partition_by: list[str] | None = None, compression: str = "snappy",
+                  keep: int = KEEP_VERSIONS) -> str:
+    """Full refresh of the published table at ``path``; returns the folder of
+    the new version. Of two refreshes at once the later rename is the newer."""
+    spark = df.sparkSession
+    tmp = f"{path.rstrip('/')}/_writing-{uuid.uuid4().hex}"
+    fs, source = _folder(spark, tmp)
+    try:
+        write_table(df, tmp, partition_by, compression)
+        version = _claim(spark, path, tmp)
+    finally:
+        if fs.exists(source):
+            fs.delete(source, True)
+    for old in complete_versions(spark, path)[:-max(keep, 1)]:
+        fs.delete(_folder(spark, version_path(path, old))[1], True)
+    return version_path(path, version)
+
+
+def _claim(spark: SparkSession, path: str, tmp: str, attempts: int = 20) -> int:
+    """Rename ``tmp`` to the next free version of ``path``."""
+    fs, source = _folder(spark, tmp)
+    for _ in range(attempts):
+        version = max(_versions(spark, path), default=0) + 1
+        target = _folder(spark, version_path(path, version))[1]
+        if fs.exists(target) or not fs.rename(source, target):
+            continue  # another refresh took the number
+        nested = _folder(spark, f"{version_path(path, version)}/{tmp.rsplit('/', 1)[1]}")[1]
+        if not fs.exists(nested):
+            return version
+        # the store put this folder inside the one that another refresh had just put there
+        if not fs.rename(nested, source):
+            break
+    raise TableError(f"{path}: no version could be claimed")
+
+
+def newest_path(spark: SparkSession, path: str) -> str:
+    done = complete_versions(spark, path)
+    if not done:
+        raise TableError(f"{path} has no complete version")
+    return version_path(path, done[-1])
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete version of a published table."""
+    return spark.read.parquet(newest_path(spark, path))
+
+
+def plain_path(spark: SparkSession, path: str) -> str:
+    """``path`` as its store names it."""
+    fs, p = _folder(spark, path)
+    return fs.makeQualified(p).toString()
+
+
+def parent_path(spark: SparkSession, path: str) -> str:
+    return plain_path(spark, path.rstrip("/").rsplit("/", 1)[0]) if "/" in path else ""
+
+
 class SnapshotError(RuntimeError):
     """A snapshot folder is not what a run expects to find."""
 
@@ -27,18 +111,19 @@ def _folder(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def complete_versions(spark: SparkSession, base: str) -> list[int]:
-    """Numbers of the finished versions under ``base``, oldest first. A folder
-    that is not there has none; every other failure to read it is raised."""
+def _versions(spark: SparkSession, base: str) -> list[int]:
     fs, root = _folder(spark, base)
     if not fs.exists(root):
         return []
-    out = []
-    for entry in fs.listStatus(root):
-        name = entry.getPath().getName()
-        if name.startswith("v=") and fs.exists(_folder(spark, f"{base}/{name}/_SUCCESS")[1]):
-            out.append(int(name[2:]))
-    return sorted(out)
+    names = [entry.getPath().getName() for entry in fs.listStatus(root)]
+    return sorted(int(n[2:]) for n in names if n.startswith("v="))
+
+
+def complete_versions(spark: SparkSession, base: str) -> list[int]:
+    """Numbers of the finished versions under ``base``, oldest first. A folder
+    that is not there has none; every other failure to read it is raised."""
+    fs, _ = _folder(spark, base)
+    return [v for v in _versions(spark, base) if fs.exists(_folder(spark, f"{version_path(base, v)}/_SUCCESS")[1])]
 
 
 def version_path(base: str, version: int) -> str:

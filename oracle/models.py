@@ -465,6 +465,10 @@ left join (select order_code, min(created_date)::date as route_day from raw_data
 where action_category = 'export'"""
 
 OPS_SQL = {
+    "view_sql": """
+select outcome_group, warehouse_type, count(*) as orders,
+  count(*) filter (where end_delivery_at > first_delivered_at) as late
+from stg_shippingorder left join stg_warehouse on deliver_warehouse_id = warehouse_id group by 1, 2""",
     "scd2_two_runs": "select * from scd_snap2",
     "asof_tier": """
 select f.order_code, f.client_id, f.created_at, h.tier, h.client_channel

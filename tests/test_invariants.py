@@ -105,6 +105,96 @@ def test_running_total_equals_plain_window_with_a_hot_group(spark):
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
 
 
+def test_running_total_cuts_hot_groups(spark):
+    """A hot group in parts equals the plain window; offsets stay few."""
+    from hublytics.operators import windows
+    base = dt.datetime(2024, 1, 1)
+    rows = [("hot", base + dt.timedelta(seconds=(i * i) % 997), i) for i in range(3000)]
+    rows += [("warm", base + dt.timedelta(days=i % 40), i) for i in range(700)] + [("same", base, i) for i in range(400)]
+    rows += [(None, None if i % 9 == 0 else base + dt.timedelta(seconds=i), i) for i in range(600)] + [("g", None, 5), ("h", base, 1)]
+    df = spark.createDataFrame(rows, "g string, t timestamp_ntz, v long").repartition(5)
+    order = [F.col("t"), F.col("v")]
+    at = F.unix_seconds(F.col("t").cast("timestamp"))
+    got = running_total(df, ["g"], at, order, values={"n": None, "s": F.col("v")}, max_rows=100)
+    w = Window.partitionBy("g").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    want = df.select("g", "t", "v", F.count(F.lit(1)).over(w).alias("n"), F.sum("v").over(w).alias("s"))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    data = df.select(F.struct("g").alias("__g"), at.cast("long").alias("__at"))
+    bounds = {r["__bg"]["g"]: r["__bounds"] for r in windows._bounds(data, 100).collect()}
+    assert set(bounds) == {"hot", "warm", "same", None}
+    assert 15 <= len(bounds["hot"]) <= 60 and sum(map(len, bounds.values())) <= 2 * len(rows) / 100
+    assert running_total(df.limit(0), ["g"], at, order).count() == 0
+
+
+def _orders(n):
+    """Codes of which one holds a third of the rows; ties, whole copies, missing codes and times."""
+    out = []
+    for i in range(n):
+        code = "hot" if i % 3 == 0 else None if i % 100 == 1 else f"o{i // 4 if i % 50 == 2 else i}"
+        at = None if i % 11 == 0 else dt.datetime(2024, 1, 1) + dt.timedelta(hours=i % 17)
+        out.append((code, at, ["a", "b", None][i % 3], float(i % 5), i % 4, f"payload {i}"))
+    return out + out[: n // 10]
+
+
+ORDER_SCHEMA = ("order_code string, created_date timestamp_ntz, status string, deliver_warehouse_id double, cod_amount int, "
+                "note string")
+
+
+def test_key_only_dedup_equals_the_window(spark, tmp_root):
+    from hublytics.operators import dedup
+    path = f"{tmp_root}/dedup_orders"
+    spark.createDataFrame(_orders(3000), ORDER_SCHEMA).repartition(6).write.parquet(path)
+    raw = spark.read.parquet(path).filter("cod_amount < 3")
+    order = staging.dedup_order()
+    places = dedup.first_places(raw, "order_code", order, staging.DEDUP_COLUMNS)
+    got = dedup.keep_first(raw, "order_code", order, places)
+    want = dedup.dedup_latest(raw, "order_code", order)
+    cols = ["order_code", *staging.DEDUP_COLUMNS]
+    as_rows = lambda d: sorted(map(tuple, d.select(*cols).collect()), key=str)
+    assert as_rows(got) == as_rows(want)
+    whole = {tuple(r) for r in raw.collect()}
+    kept = [tuple(r) for r in got.collect()]
+    assert len(kept) == len({r[0] for r in whole}) and set(kept) <= whole
+    # one row a repeated code, whatever the code's rows
+    codes = [r[0] for r in raw.select("order_code").collect()]
+    assert places.count() == len({c for c in codes if codes.count(c) > 1})
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Window" not in plan
+    # beyond the bound, and for rows that come from no file, the window does it
+    assert "Window" in dedup.keep_first(raw, "order_code", order, places, max_bytes=0)._jdf.queryExecution().executedPlan().toString()
+    made = spark.createDataFrame(_orders(60), ORDER_SCHEMA)
+    assert dedup.first_places(made, "order_code", order, staging.DEDUP_COLUMNS) is None
+    assert staging.keep_first(made, "order_code", order, None).count() == made.select("order_code").distinct().count()
+
+
+def test_trip_rollup_takes_the_first_known_hubs_in_any_row_order(spark):
+    import itertools
+    nan, t1, t2 = float("nan"), dt.datetime(2024, 1, 1, 8), dt.datetime(2024, 1, 1, 9)
+    rows = [("T1", t1, "p1", None, 7.0), ("T1", t1, "p2", nan, 8.0), ("T1", t2, "p3", 5.0, 6.0), ("T1", t2, "p3", 4.0, 9.0),
+            ("T2", t1, "p1", None, 3.0), ("T2", t2, "p0", 2.0, nan), ("T2", t2, "p0", 1.0, None), ("T3", t1, "p", None, nan)]
+    seen = set()
+    for some in itertools.islice(itertools.permutations(rows), 0, 40320, 8001):
+        h = spark.createDataFrame([("export", *r) for r in some], "action_category string, trip_code string, action_time timestamp_ntz, "
+                                  "package_code string, from_warehouse_id double, to_warehouse_id double")
+        seen.add(str(sorted((r.trip_code, r.from_warehouse_id, r.to_warehouse_id, r.n_packages) for r in derive.trip_rollup(h).collect())))
+    assert seen == {"[('T1', 4.0, 9.0, 4), ('T2', 1.0, 3.0, 3), ('T3', None, None, 1)]"}
+
+
+def test_checks_on_text_keys_mixed_types_and_hot_failures(spark):
+    from hublytics.operators import quality
+    child = spark.createDataFrame([(1, "a", None), (1, "b", "x"), (2, "c", "x"), (9, "c", "y"), (None, None, None)] + [(7, "h", "bad")] * 500,
+                                  "n int, t string, v string")
+    parent = spark.createDataFrame([(1, "a"), (1, "a"), (2, "c"), (None, "b")], "id long, t string")
+    C = quality.Check
+    checks = [C("l", "child", "n", "relationships", to="parent", field="id"), C("l", "child", "t", "relationships", to="parent", field="t"),
+              C("l", "child", "n", "unique"), C("l", "parent", "id", "unique"), C("l", "child", "t", "unique"), C("l", "child", "v", "not_null"),
+              C("l", "child", "v", "accepted_values", values=("x", "y"), severity="warn"), C("l", "parent", "id", "not_null"),
+              C("l", "child", "n", "relationships", to="parent", field="t"), C("l", "parent", "t", "accepted_values", values=("a", "b", "c"))]
+    got = quality.run_checks(spark, lambda layer, m: {"child": child, "parent": parent}[m], checks).orderBy("check_id").collect()
+    assert [r.failures for r in got] == [501, 500, 2, 1, 2, 2, 500, 1, 504, 0]
+    assert [r.status for r in got] == ["ERROR"] * 6 + ["WARN", "ERROR", "ERROR", "PASS"]
+
+
 def test_trip_batches_respect_capacity(spark):
     raw = wh(spark).raw
     b = derive.trip_batches(raw["data_inside_history"], raw["data_shippingorder_now"], capacity=5)

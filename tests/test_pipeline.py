@@ -158,3 +158,62 @@ def test_unreadable_snapshot_folder_is_an_error(spark, tmp_root):
     open(os.path.join(base, "v=broken", "_SUCCESS"), "w").close()
     with pytest.raises(ValueError):
         current_version(spark, base)
+
+
+def test_published_table_is_whole_old_or_whole_new(spark, tmp_root):
+    """A reader during a refresh and a failed refresh both see the old table."""
+    from hublytics.sources.sinks import TableError, complete_versions, publish_table, read_table
+    path = os.path.join(tmp_root, "published")
+    with pytest.raises(TableError):
+        read_table(spark, path)
+    publish_table(spark.range(10), path)
+    old = read_table(spark, path)
+    fails = spark.range(100).select(F.when(F.col("id") == 77, F.raise_error(F.lit("broken row"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="broken row"):
+        publish_table(fails, path)
+    assert read_table(spark, path).count() == 10 and not [f for f in os.listdir(path) if f.startswith("_writing")]
+    # half-written: there, but without its mark
+    spark.range(3).write.parquet(os.path.join(path, "v=000007"))
+    os.remove(os.path.join(path, "v=000007", "_SUCCESS"))
+    assert read_table(spark, path).count() == 10
+    publish_table(spark.range(20), path)
+    assert old.count() == 10 and read_table(spark, path).count() == 20  # the reader's files are still there
+    publish_table(spark.range(30), path)
+    assert read_table(spark, path).count() == 30
+    assert complete_versions(spark, path) == [8, 9]  # older ones go
+    # a table refreshed from itself
+    publish_table(read_table(spark, path).filter("id < 5"), path)
+    assert sorted(r.id for r in read_table(spark, path).collect()) == list(range(5))
+
+
+def test_concurrent_refreshes_all_publish(spark, tmp_root):
+    from concurrent.futures import ThreadPoolExecutor
+    from hublytics.sources.sinks import complete_versions, publish_table, read_table
+    path = os.path.join(tmp_root, "published_by_many")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda n: publish_table(spark.range(n), path, keep=10), [1, 2, 3, 4, 5, 6]))
+    assert complete_versions(spark, path) == [1, 2, 3, 4, 5, 6]
+    assert read_table(spark, path).count() in range(1, 7)
+
+
+def test_report_sql_leaves_the_catalog_alone(spark, tmp_root):
+    from hublytics.plans import views
+    from hublytics.sources.sinks import TableError, publish_table
+    spark.sql("create schema if not exists main_mart")
+    spark.sql("create table main_mart.mart_cod_reconciliation using parquet as select id from range(7)")
+    assert catalog.QUERIES["card_sql_cod"](spark, SF_SMALL).count() > 0
+    assert spark.table("main_mart.mart_cod_reconciliation").count() == 7
+    got = views.run_sql(spark, {"m": spark.range(3)}, "select 'main_mart.m' as t, count(*) as n from MAIN_MART.`m` join main_mart.m using (id)")
+    assert [tuple(r) for r in got.collect()] == [("main_mart.m", 3)]
+    # published tables in the catalog: created, moved to the newest version, never taken from others
+    path = os.path.join(tmp_root, "in_catalog")
+    publish_table(spark.range(4), path)
+    assert views.publish_to_catalog(spark, {"own": path}, "main_mart") == ["main_mart.own"]
+    assert spark.table("main_mart.own").count() == 4
+    publish_table(spark.range(6), path)
+    views.publish_to_catalog(spark, {"own": path}, "main_mart")
+    assert spark.table("main_mart.own").count() == 6
+    with pytest.raises(TableError):
+        views.publish_to_catalog(spark, {"mart_cod_reconciliation": path}, "main_mart")
+    assert spark.table("main_mart.mart_cod_reconciliation").count() == 7
+    spark.sql("drop table main_mart.mart_cod_reconciliation")

@@ -11,13 +11,14 @@ QUERIES = {n: f for n, f in entry.queries().items() if n in catalog.QUERIES}  #
 
 # query -> max shuffles (Exchange nodes) in its physical plan
 SHUFFLE_BUDGET = {
-    "stg_shippingorder": 1,      # the dedup only
-    "fct_shipping_order": 1,     # dims are broadcast
+    "stg_shippingorder": 0,      # the dedup moves keys only, before
+    "fct_shipping_order": 0,     # dims are broadcast
     "fct_shipment": 0, "fct_cod": 0, "fct_transportation": 0, "fct_inside_history": 0,
-    "mart_daily_kpi": 2,         # dedup + one aggregate; calendar broadcast after it
-    "mart_sla_breakdown": 3,     # dedup + leadtime histogram + window over the (small) histogram
+    "mart_daily_kpi": 1,         # one aggregate; calendar broadcast after it
+    "mart_sla_breakdown": 2,     # leadtime histogram + window over the (small) histogram
     "mart_cod_reconciliation": 1,
-    "mart_hub_performance": 3,   # dedup + two-level distinct aggregate
+    "mart_hub_performance": 2,   # two-level distinct aggregate
+    "running_minutes": 1,        # no hot group: the plain window
     "scd2_two_runs": 2,          # one full outer join: one exchange per side
 }
 
@@ -36,10 +37,24 @@ def test_no_python_and_no_nested_loops_anywhere(spark):
 
 
 @pytest.mark.parametrize("name", ["stg_shippingorder", "order_dedup", "mart_daily_kpi"])
-def test_dedup_limits_before_the_shuffle_and_filters_are_pushed(spark, name):
+def test_dedup_moves_no_rows_and_filters_are_pushed(spark, name):
     s = plan_summary(QUERIES[name](spark, SF_CHECK))
-    assert s["partial_group_limits"] >= 1
-    assert s["pushed_filter_scans"] >= 1
+    assert s["windows"] == 0 and s["sort_merge_joins"] == 0 and s["pushed_filter_scans"] >= 1
+
+
+def test_window_dedup_limits_before_the_shuffle(spark):
+    from hublytics.operators import dedup, staging
+    raw = staging.keep_non_quarantine(catalog.warehouse_for(spark, SF_CHECK)[1].raw["data_shippingorder_now"])
+    s = plan_summary(dedup.dedup_latest(raw, "order_code", staging.dedup_order()))
+    assert s["partial_group_limits"] >= 1 and s["shuffles"] == 1 and s["pushed_filter_scans"] >= 1
+
+
+def test_checks_scan_each_model_once(spark):
+    s = plan_summary(QUERIES["dq_checks"](spark, SF_CHECK))
+    models = {(c.layer, c.model) for c in catalog.fixture_checks()} | {(c.layer, c.to) for c in catalog.fixture_checks() if c.to}
+    # staging views of five facts and dims read raw files; the two rules scan two facts, one of them twice
+    assert s["scans"] <= min(40, len(models) + 3)
+    assert s["shuffles"] <= 2 + 3 and s["sort_merge_joins"] == 0
 
 
 def test_checks_read_written_tables(spark):
