@@ -50,6 +50,7 @@ GROWN = {
     "data_shipment": ["order_code", "trip_code"],
     "data_cod": ["order_code"],
 }
+ROW_GROUP_BYTES = 16 * 1024 * 1024
 
 
 def grow(spark, raw_dir: str, out_dir: str, times: int) -> None:
@@ -63,7 +64,9 @@ def grow(spark, raw_dir: str, out_dir: str, times: int) -> None:
             if name == "data_cod":
                 df = df.withColumn("cod_id", F.col("cod_id") * times + F.col("__i"))
             df = df.drop("__i")
-        write_table(df, os.path.join(out_dir, f"{name}.parquet"))
+        # row groups of about a million rows, as the raw layer's writer makes them: a file of
+        # one row group would be one task
+        df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(os.path.join(out_dir, f"{name}.parquet"))
 
 
 def count_rows(spark, raw_dir: str) -> dict[str, int]:

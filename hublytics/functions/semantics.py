@@ -168,46 +168,46 @@ def action_name(category: ColumnOrName) -> Column:
 
 # A day in a text: year, month and day with the same mark between them ('-',
 # '/', '\' or one blank), white space before it allowed.
-_DAY = r"^\s*0*([1-9][0-9]{0,5})([-/\\ ])([0-9]{1,2})\2([0-9]{1,2})"
-# A time of day after it; what follows a 'Z', an offset or white space is not read.
-_TIME = r"(?:T\s*|\s+)0*([0-9]{1,2}):([0-9]{1,2})(?::([0-9]{1,2})?(?:\.([0-9]*))?)?(?:Z|[+-][0-9](?s:.*)|\s(?s:.*))?\z"
+_DAY = r"^\s*0*([1-9][0-9]{0,3})([-/\\ ])([0-9]{1,2})\2([0-9]{1,2})"
+# A valid time of day after it, to the second or to the minute, or the day's end;
+# what follows a 'Z', an offset or white space is not read.
+_REST = r"(?:Z|[+-][0-9](?s:.*)|\s(?s:.*))?\z"
+_HOUR = r"(?:T\s*|\s+)0*([01]?[0-9]|2[0-3]):([0-5]?[0-9])"
+_SECOND = _DAY + _HOUR + r":([0-5]?[0-9])(\.[0-9]+)?\.?" + _REST
+_MINUTE = _DAY + _HOUR + r"(?::(?:\.[0-9]*)?)?" + _REST
+_END = _DAY + r"(?:T\s*|\s+)0*24:0?0(?::(?:0?0)?(?:\.0*)?)?" + _REST
+_ALONE = _DAY + r"\z"
+_ANY = _DAY + rf"(?:\s*\z|{_SECOND[len(_DAY):]}|{_MINUTE[len(_DAY):]}|{_END[len(_DAY):]})"
+# How nearly all texts look; the cast alone reads these.
 _PLAIN_DAY = r"^[1-9][0-9]{3}-[0-9]{2}-[0-9]{2}\z"
+_PLAIN_TIME = r"^[1-9][0-9]{3}-[0-9]{2}-[0-9]{2} (?:[01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]\z"
 
 
-def _day(s: Column) -> Column:
-    year = F.regexp_extract(s, _DAY, 1)
-    padded = F.when(F.length(year) < 4, F.lpad(year, 4, "0")).otherwise(year)
-    return F.concat_ws("-", padded, F.regexp_extract(s, _DAY, 3), F.regexp_extract(s, _DAY, 4)).try_cast("date")
-
-
-def _day_and_time(s: Column) -> Column:
-    """TIMESTAMP_NTZ of a text that has a day and a valid time, else NULL. Digits
-    beyond microseconds are cut off; 24:00:00 is the next day's start."""
-    whole = _DAY + _TIME
-    part = lambda n: F.coalesce(F.regexp_extract(s, whole, n).try_cast("int"), F.lit(0))
-    hour, minute, second = part(5), part(6), part(7)
-    micros = F.rpad(F.regexp_extract(s, whole, 8), 6, "0").try_cast("int")
-    valid = (hour < 24) | ((hour == 24) & (minute == 0) & (second == 0))
-    clock = F.make_dt_interval(F.lit(0), hour, minute, (second + F.coalesce(micros, F.lit(0)) / 1000000).cast("decimal(18,6)"))
-    return F.when(s.rlike(whole) & valid & (minute < 60) & (second < 60), _day(s).cast("timestamp_ntz") + clock)
+def _read(s: Column, pattern: str, kind: str, rest: str = "") -> Column:
+    """A text that matches ``pattern``, rewritten for the cast. Zeros before a
+    year are read over, up to 7 digits in a day and 6 in a time; 4 are needed."""
+    zeros = "000" if kind == "date" else "00"
+    return F.regexp_replace(s, pattern, zeros + "$1-$3-$4" + rest).try_cast(kind)
 
 
 def parse_date(x: ColumnOrName) -> Column:
     """Text -> DATE, unparsable -> NULL. The whole text must be a day, or a day
-    and a valid time. Years before 1 (``-44-03-15``, ``(BC)``) and the words
-    ``epoch`` and ``infinity`` are NULL."""
+    and a valid time. Years before 1 (``-44-03-15``, ``(BC)``) or after 9999
+    and the words ``epoch`` and ``infinity`` are NULL."""
     s = _c(x).cast("string")
-    return (F.when(s.rlike(_PLAIN_DAY), s.try_cast("date"))
-            .when(s.rlike(_DAY + r"\s*\z"), _day(s))
-            .when(_day_and_time(s).isNotNull(), _day(s)))
+    return F.when(s.rlike(_PLAIN_DAY), s.try_cast("date")).when(s.rlike(_ANY), _read(s, _ANY, "date"))
 
 
 def parse_timestamp(x: ColumnOrName) -> Column:
     """Text -> zone-less TIMESTAMP, unparsable -> NULL; as :func:`parse_date`,
-    but a day alone has no white space after it. Offsets and zones are not
-    applied."""
+    but a day alone has no white space after it, and years before 10 are NULL
+    too. Offsets and zones are not applied; 24:00:00 is the next day's start."""
     s = _c(x).cast("string")
-    return F.when(s.rlike(_DAY + r"\z"), _day(s).cast("timestamp_ntz")).otherwise(_day_and_time(s))
+    return (F.when(s.rlike(_PLAIN_TIME), s.try_cast("timestamp_ntz"))
+            .when(s.rlike(_SECOND), _read(s, _SECOND, "timestamp_ntz", " $5:$6:$7$8"))
+            .when(s.rlike(_MINUTE), _read(s, _MINUTE, "timestamp_ntz", " $5:$6:00"))
+            .when(s.rlike(_END), F.date_add(_read(s, _END, "date"), 1).cast("timestamp_ntz"))
+            .when(s.rlike(_ALONE), _read(s, _ALONE, "timestamp_ntz")))
 
 
 def seconds_between(start: ColumnOrName, end: ColumnOrName) -> Column:
