@@ -20,7 +20,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hublytics.operators.joins import bounded_broadcast, estimated_bytes, MAX_BROADCAST_BYTES
+from hublytics.operators.joins import MAX_BROADCAST_BYTES, bounded_broadcast, estimated_bytes
 from hublytics.sources.sinks import scratch
 
 _FILE, _AT, _KEY = "__file", "__at", "__key"
@@ -67,3 +67,19 @@ def keep_first(df: DataFrame, key: str, order: list[Column], places: DataFrame |
     joined = _places(df, [*df.columns]).join(chosen, F.col(key).eqNullSafe(F.col(_KEY)), "left")
     own = (F.col(_FILE) == F.col("__f")) & (F.col(_AT) == F.col("__a"))
     return joined.filter(F.col("__a").isNull() | own).select(*df.columns)
+
+
+def mark_later(df: DataFrame, key: str, order: list[Column], columns: list[str], name: str,
+               max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``df`` with ``name``: whether an earlier row has the same ``key``. A
+    missing key repeats nothing."""
+    known = F.col(key).isNotNull()
+    places = first_places(df.filter(known), key, order, columns)
+    if places is None or estimated_bytes(places) > max_bytes:
+        number = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+        return (df.filter(known).withColumn(name, number > 1)
+                .unionByName(df.filter(~known).withColumn(name, F.lit(False))))
+    chosen = F.broadcast(places.select(F.col(_KEY), F.col(_FILE).alias("__f"), F.col(_AT).alias("__a")))
+    joined = _places(df, [*df.columns]).join(chosen, F.col(key) == F.col(_KEY), "left")
+    own = (F.col(_FILE) == F.col("__f")) & (F.col(_AT) == F.col("__a"))
+    return joined.select(*df.columns, (F.col("__a").isNotNull() & ~own).alias(name))

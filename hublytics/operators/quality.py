@@ -20,11 +20,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hublytics.functions.semantics import lower_trim, round_like
+from hublytics.operators.dedup import mark_later
 from hublytics.operators.joins import bounded_broadcast
 
 
@@ -355,12 +356,8 @@ def quality_rules(raw: dict[str, DataFrame], as_of: Column) -> dict[str, DataFra
     o = raw["data_shippingorder_now"]
     # every row of a code but its first is a repeat, whole-row copies included;
     # a code that is missing repeats nothing
-    code = Window.partitionBy("order_code")
-    by_time = code.orderBy(F.col("created_date").asc_nulls_last(), "status", "deliver_warehouse_id", "cod_amount")
-    coded = o.filter(c("order_code").isNotNull()).withColumns(
-        {"__repeat": F.row_number().over(by_time) > 1, "__created": F.min("created_date").over(code)})
-    oj = coded.unionByName(o.filter(c("order_code").isNull()).withColumns(
-        {"__repeat": F.lit(False), "__created": F.lit(None).cast("timestamp_ntz")}))
+    first = ["created_date", "status", "deliver_warehouse_id", "cod_amount"]
+    oj = mark_later(o, "order_code", [F.col("created_date").asc_nulls_last(), *first[1:]], first, "__repeat")
     st = lower_trim("status")
     orders = oj.select(c("_data_quality").alias("carried"), classify(
         (c("failure_reason").isNull() & (st == "return_to_sender")) | (c("end_delivery_time") < c("created_date"))

@@ -34,8 +34,9 @@ EXPECTED = 1000
 PARTS = 1000
 
 
-def _bounds(data: DataFrame, max_rows: int, seed: int = 1) -> DataFrame:
-    """__bg (group), __bounds (rising numbers): the hot groups, cut."""
+def slices(data: DataFrame, max_rows: int = MAX_GROUP_ROWS, seed: int = 1) -> DataFrame:
+    """__bg (group), __bounds (rising numbers) of the hot groups in ``data``
+    (__g, __at): a row lies in the slice numbered by the bounds below its __at."""
     fraction = min(1.0, EXPECTED / max_rows)
     sample = scratch(data.select("__g", "__at").sample(fraction, seed), "running-sample")
     # half the expected number: a group at the limit is rarely missed, and missing one costs time only
@@ -71,7 +72,7 @@ def running_total(df: DataFrame, group_cols: list[str], bucket: Column, order_co
     for i, (name, v) in enumerate(values.items()):
         vcols[name] = f"__v{i}"
         data = data.withColumn(f"__v{i}", F.lit(1).cast("long") if v is None else v)
-    bounds = _bounds(data, max_rows)
+    bounds = slices(data, max_rows)
     if bounds.isEmpty():
         whole = Window.partitionBy("__g").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
         return data.select(*df.columns, *[F.sum(vc).over(whole).alias(name) for name, vc in vcols.items()])

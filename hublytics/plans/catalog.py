@@ -21,7 +21,7 @@ from hublytics.plans import pipeline, views
 from hublytics.plans.warehouse import Warehouse
 from hublytics.session import checkpoint_dir
 from hublytics.sources.fixtures import Fixture
-from hublytics.sources.raw import nanos_to_timestamp, read_raw, read_seed
+from hublytics.sources.raw import drift, nanos_to_timestamp, read_raw, read_seed
 from hublytics.sources.sinks import publish_table, read_history, read_open, read_table, write_table, write_version
 
 # Fixed "today" for models that depend on the run date (tenure, future
@@ -159,6 +159,13 @@ def q_asof_tier(spark, sf_dir):
                               ["tier", "client_channel"])
 
 
+def q_asof_stream(spark, sf_dir):
+    """As ``asof_tier``, by merging orders and versions into one stream."""
+    facts = _wh(spark, sf_dir)["fct_shipping_order"].select("order_code", "client_id", "created_at")
+    return history.as_of_join(facts, q_scd2_two_runs(spark, sf_dir), SCD_KEY, "created_at",
+                              ["tier", "client_channel"], max_broadcast_bytes=0)
+
+
 def q_quarantine_only(spark, sf_dir):
     raw = _wh(spark, sf_dir).raw["data_shippingorder_now"]
     return staging.only_quarantine(raw).select("order_code", "status", "_data_quality")
@@ -253,7 +260,8 @@ def q_status_share(spark, sf_dir):
 
 
 def q_shipper_pool(spark, sf_dir):
-    s = _wh(spark, sf_dir)["dim_shipper"]
+    # shippers without a hub are in nobody's pool
+    s = _wh(spark, sf_dir)["dim_shipper"].filter("warehouse_id is not null")
     return s.groupBy("warehouse_id").agg(
         F.count(F.lit(1)).alias("n_shippers"),
         F.array_join(F.sort_array(F.collect_list("shipper_id")).cast("array<string>"), ",").alias("shipper_ids"))
@@ -288,15 +296,15 @@ def q_roundtrip_parquet(spark, sf_dir):
 
 
 def q_snapshot_on_disk(spark, sf_dir):
-    """Two snapshot runs written as versions, the whole snapshot read back."""
+    """Two snapshot runs written as versions of changes, then a third on the same
+    rows that changes nothing; the whole history read back."""
     fx, wh = warehouse_for(spark, sf_dir)
     base = f"{checkpoint_dir(spark).rstrip('/')}/snap-{uuid.uuid4().hex}"
     day1 = wh["dim_client"].select(*SCD_PAYLOAD)
     day2 = core.dim_client(staging.stg_client(fx.dim_client_changed()), wh["stg_province"], wh.hint) \
         .select(*SCD_PAYLOAD)
-    for version, (day, at) in enumerate(zip([day1, day2], SCD_RUNS, strict=True), start=1):
-        snap = history.snapshot(day, SCD_KEY, SCD_CHECK, at, prev=read_open(spark, base))
-        write_version(spark, snap, base, version)
+    for version, (day, at) in enumerate(zip([day1, day2, day2], [*SCD_RUNS, "2000-08-01 06:00:00"], strict=True), start=1):
+        write_version(spark, history.changes(day, SCD_KEY, SCD_CHECK, at, read_open(spark, base)), base, version)
     return read_history(spark, base)
 
 
@@ -307,6 +315,18 @@ def q_pruned_scan(spark, sf_dir):
     return read_raw(spark, raw.root, "data_cod", columns=["cod_id", "cod_amount", "collect_time"])
 
 
+def q_declared_read(spark, sf_dir):
+    """A client file that lacks a column, has another too many and one as text,
+    read as declared, with the table's findings."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/drifted-{uuid.uuid4().hex}"
+    clients = _wh(spark, sf_dir).raw["dim_client"]
+    text = F.when(F.col("client_id") % 5 == 0, F.lit("n/a")).otherwise(F.col("shop_id").cast("string"))
+    write_table(clients.drop("tier").withColumn("shop_id", text).withColumn("note", F.lit(1)), f"{root}/dim_client.parquet")
+    found = drift("dim_client", spark.read.parquet(f"{root}/dim_client.parquet"))
+    back = read_raw(spark, root, "dim_client")
+    return back.select("client_id", "shop_id", "tier", "note", F.lit("; ".join(f"{c} {f}" for _, c, f, _, _ in found)).alias("findings"))
+
+
 def q_export_by_week(spark, sf_dir):
     """The KPI mart exported by week, one week's folders read back."""
     root = f"{checkpoint_dir(spark).rstrip('/')}/export-{uuid.uuid4().hex}"
@@ -335,11 +355,13 @@ def q_large_ids(spark, sf_dir):
 QUERIES.update({
     "snapshot_on_disk": q_snapshot_on_disk,
     "pruned_scan": q_pruned_scan,
+    "declared_read": q_declared_read,
     "export_by_week": q_export_by_week,
     "event_nanos": q_event_nanos,
     "large_ids": q_large_ids,
     "scd2_two_runs": q_scd2_two_runs,
     "asof_tier": q_asof_tier,
+    "asof_stream": q_asof_stream,
     "quarantine_only": q_quarantine_only,
     "order_dedup": q_order_dedup,
     "trip_rollup": q_trip_rollup,

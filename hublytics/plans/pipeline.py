@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from hublytics.operators import history, quality
 from hublytics.plans.warehouse import Warehouse
-from hublytics.sources.raw import SEED_SCHEMAS, read_raw_tables, read_seed
+from hublytics.sources.raw import SEED_SCHEMAS, read_raw_tables, read_seed, schema_drift
 from hublytics.sources.sinks import current_version, publish_table, read_open, read_table, write_version
 
 SNAPSHOT_KEY = "client_id"
@@ -153,8 +153,8 @@ def snapshot(spark: SparkSession, wh: Warehouse, out_dir: str, run_at: str) -> s
     base = os.path.join(out_dir, "snap_client_tier")
     version = current_version(spark, base) or 0
     src = wh["dim_client"].select(*SNAPSHOT_PAYLOAD)
-    snap = history.snapshot(src, SNAPSHOT_KEY, SNAPSHOT_CHECK, run_at, prev=read_open(spark, base))
-    return write_version(spark, snap, base, version + 1)
+    delta = history.changes(src, SNAPSHOT_KEY, SNAPSHOT_CHECK, run_at, read_open(spark, base))
+    return write_version(spark, delta, base, version + 1)
 
 
 def seed(spark: SparkSession, out_dir: str) -> None:
@@ -174,6 +174,8 @@ def run(spark: SparkSession, raw_dir: str, out_dir: str, as_of: str | None = Non
     report carries the check outcomes."""
     timer = Timer()
     raw = read_raw_tables(spark, raw_dir)
+    found = schema_drift(spark, raw_dir)
+    publish_table(found.coalesce(1), os.path.join(out_dir, "_schema_drift"))
     wh = Warehouse(raw, as_of=as_of, ordered_marts=False)
     checks = checks or quality.catalogue()
     built = set(Warehouse.CORE + Warehouse.MARTS)
@@ -218,4 +220,5 @@ def run(spark: SparkSession, raw_dir: str, out_dir: str, as_of: str | None = Non
             summary, path, gate_error = summarize(f_test.result()), f_snap.result(), f_gate.result()
     if gate_error and raise_on_gate:
         raise ValueError(gate_error)
-    return {"steps": timer.steps, "tests": summary, "snapshot": path, "gate_error": gate_error}
+    drifted = [f"{r['table_name']}.{r['column_name']}: {r['finding']}" for r in found.collect()]  # columns, not rows
+    return {"steps": timer.steps, "tests": summary, "snapshot": path, "gate_error": gate_error, "schema_drift": drifted}

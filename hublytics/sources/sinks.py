@@ -171,18 +171,27 @@ def current_version(spark: SparkSession, base: str) -> int | None:
     return done[-1] if done else None
 
 
-def read_open(spark: SparkSession, base: str, closed_at: str = "valid_to") -> DataFrame | None:
-    """The open rows of the newest version, None if there is no version."""
-    version = current_version(spark, base)
-    return spark.read.parquet(version_path(base, version)).filter(F.col(closed_at).isNull()) if version else None
-
-
-def read_history(spark: SparkSession, base: str, closed_at: str = "valid_to") -> DataFrame | None:
-    """The whole snapshot: a version holds the rows open after its run and the
-    rows closed by it, so closed rows are written once and a run costs what is
-    open, not what has ever been."""
+def _runs(spark: SparkSession, base: str) -> DataFrame | None:
+    """The rows of all complete versions: every run's changes."""
     done = complete_versions(spark, base)
     if not done:
         return None
-    rows = spark.read.option("basePath", base).parquet(*[version_path(base, v) for v in done])
-    return rows.filter(F.col(closed_at).isNotNull() | (F.col("v").cast("int") == done[-1])).drop("v")
+    return spark.read.option("basePath", base).parquet(*[version_path(base, v) for v in done]).drop("v")
+
+
+def _still_open(rows: DataFrame, closed_at: str, row_id: str) -> DataFrame:
+    closed = rows.filter(F.col(closed_at).isNotNull()).select(F.col(row_id).alias("__closed"))
+    return rows.filter(F.col(closed_at).isNull()).join(closed, F.col(row_id) == F.col("__closed"), "left_anti")
+
+
+def read_open(spark: SparkSession, base: str, closed_at: str = "valid_to", row_id: str = "scd_id") -> DataFrame | None:
+    """The rows that no run has closed; None if there is no version."""
+    rows = _runs(spark, base)
+    return None if rows is None else _still_open(rows, closed_at, row_id)
+
+
+def read_history(spark: SparkSession, base: str, closed_at: str = "valid_to", row_id: str = "scd_id") -> DataFrame | None:
+    """The whole history: every closed row as its run closed it, and the rows
+    still open."""
+    rows = _runs(spark, base)
+    return None if rows is None else rows.filter(F.col(closed_at).isNotNull()).unionByName(_still_open(rows, closed_at, row_id))

@@ -465,6 +465,10 @@ left join (select order_code, min(created_date)::date as route_day from raw_data
 where action_category = 'export'"""
 
 OPS_SQL = {
+    "declared_read": """
+select client_id, case when client_id % 5 <> 0 then shop_id end as shop_id, null::varchar as tier, 1 as note,
+  'tier missing; shop_id type; note extra' as findings
+from raw_dim_client""",
     "view_sql": """
 select outcome_group, warehouse_type, count(*) as orders,
   count(*) filter (where end_delivery_at > first_delivered_at) as late
@@ -473,6 +477,11 @@ from stg_shippingorder left join stg_warehouse on deliver_warehouse_id = warehou
     "asof_tier": """
 select f.order_code, f.client_id, f.created_at, h.tier, h.client_channel
 from (select order_code, client_id, created_at from fct_shipping_order) f
+left join scd_snap2 h on f.client_id = h.client_id and h.valid_from <= f.created_at
+  and (h.valid_to is null or f.created_at < h.valid_to)""",
+    "asof_stream": """
+select f.order_code, f.client_id, f.created_at, h.tier, h.client_channel
+from (select order_code, client_id, created_at from fct_shipping_order) f
 left join scd_snap2 h on f.client_id = h.client_id and h.valid_from <= f.created_at
   and (h.valid_to is null or f.created_at < h.valid_to)""",
     "quarantine_only": """
@@ -533,7 +542,7 @@ select status, n, round(n * 100.0 / sum(n) over (), 4) as pct
 from (select status, count(*) as n from raw_data_shippingorder_now group by 1)""",
     "shipper_pool": """
 select warehouse_id, count(*) as n_shippers, array_to_string(list_sort(list(shipper_id)), ',') as shipper_ids
-from dim_shipper group by 1""",
+from dim_shipper where warehouse_id is not null group by 1""",
     "seed_lookup": """
 select c.status, c.outcome_group, c.n_orders, s.status_label_vn, s.is_terminal,
   (s.seed_outcome = c.outcome_group) as outcome_agrees

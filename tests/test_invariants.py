@@ -120,12 +120,52 @@ def test_running_total_cuts_hot_groups(spark):
     want = df.select("g", "t", "v", F.count(F.lit(1)).over(w).alias("n"), F.sum("v").over(w).alias("s"))
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
     data = df.select(F.struct("g").alias("__g"), at.cast("long").alias("__at"))
-    bounds = {r["__bg"]["g"]: r["__bounds"] for r in windows._bounds(data, 100).collect()}
+    bounds = {r["__bg"]["g"]: r["__bounds"] for r in windows.slices(data, 100).collect()}
     assert set(bounds) == {"hot", "warm", "same", None}
     assert 15 <= len(bounds["hot"]) <= 60 and sum(map(len, bounds.values())) <= 2 * len(rows) / 100
     assert running_total(df.limit(0), ["g"], at, order).count() == 0
 
 
+def test_as_of_stream_equals_the_range_join_with_a_hot_key(spark):
+    base = dt.datetime(2024, 1, 1)
+    at = lambda i: base + dt.timedelta(minutes=i)
+    versions = []
+    for k in ("hot", "cold", "once"):
+        marks = sorted({(i * 37) % 900 for i in range(25 if k != "once" else 1)})
+        for a, b in zip(marks, marks[1:] + [None], strict=True):
+            if a % 5 != 3:  # gaps between versions
+                versions.append((k, at(a), None if b is None else at(b), f"{k}{a}"))
+    versions += [("hot", at(2000), at(2000), "empty"), ("gone", at(5), at(9), "gone"), (None, at(1), None, "none")]
+    h = spark.createDataFrame(versions, "k string, valid_from timestamp_ntz, valid_to timestamp_ntz, tier string")
+    h = h.filter("tier not in ('hot999')")
+    facts = [("hot", at(i % 1100), i) for i in range(2500)] + [("cold", at(i * 9), i) for i in range(120)]
+    facts += [(None, at(3), 1), ("hot", None, 2), ("unknown", at(4), 3), ("gone", at(9), 4), ("gone", at(8), 5), facts[0], ("hot", at(2000), 6)]
+    f = spark.createDataFrame(facts, "k string, t timestamp_ntz, n int").repartition(4)
+    rows = lambda d: sorted(map(tuple, d.collect()), key=str)
+    want = rows(history.as_of_join(f, h, "k", "t", ["tier"]))
+    assert rows(history.as_of_join(f, h, "k", "t", ["tier"], max_broadcast_bytes=0)) == want
+    assert rows(history.as_of_join(f, h, "k", "t", ["tier"], max_broadcast_bytes=0, max_rows=100)) == want
+    assert sum(r[3] is not None for r in want) > 1500 and sum(r[3] is None for r in want) > 5
+
+
+def test_a_run_without_changes_writes_no_row(spark, tmp_root):
+    from hublytics.sources.sinks import read_history, read_open, version_path, write_version
+    base = f"{tmp_root}/snap_delta"
+    check = ["tier", "is_b2b"]
+    days = [[(1, "Gold", None), (2, "Silver", True), (3, None, False)], [(1, "Gold", None), (2, "Silver", True), (3, None, False)],
+            [(1, "Gold", None), (3, None, True), (4, "Bronze", False)], [(1, "Gold", None), (2, "Gold", True), (3, None, False), (4, "Bronze", False)]]
+    whole, sizes = None, []
+    for v, day in enumerate(days, start=1):
+        src = spark.createDataFrame(day, "client_id long, tier string, is_b2b boolean")
+        at = f"2024-0{v}-01 00:00:00"
+        write_version(spark, history.changes(src, "client_id", check, at, read_open(spark, base)), base, v)
+        sizes.append(spark.read.parquet(version_path(base, v)).count())
+        whole = history.snapshot(src, "client_id", check, at, prev=whole)
+    assert sizes == [3, 0, 3, 4]
+    rows = lambda d: sorted((str(r.client_id), r.tier, r.is_b2b, str(r.valid_from), str(r.valid_to), r.scd_id) for r in d.collect())
+    assert rows(read_history(spark, base)) == rows(whole)
+
+
 def _orders(n):
     """Codes of which one holds a third of the rows; ties, whole copies, missing codes and times."""
     out = []
