@@ -2,14 +2,18 @@
 
 Documents fall into cells (source, language, topic). Iterative proportional
 fitting rakes the cells' token weights until the sums by source, by language
-and by topic meet their targets; a cell's weight never exceeds the tokens it
-has, as documents are not repeated. Weight over tokens is the probability with
-which each document of the cell is kept.
+and by topic are in proportion to their targets. Documents are not repeated, so
+the raked weights are then scaled, all alike, until the kept tokens are ``rate``
+of all or the first cell is kept whole, whichever comes first: the shares are
+those of the targets, and only the budget gives way. Weight over tokens is the
+probability with which each document of the cell is kept. :func:`marginals`
+states target and reached share of every value, whatever the data (given
+targets that contradict each other, or that ask for cells without tokens, cannot all be met).
 
 Targets are shares of the kept tokens. Without given shares a dimension's
-targets are in proportion to the square root of its tokens, which raises small
-sources and lowers a dominant one. ``rate`` is the part of all tokens to keep;
-where a target asks for more than a cell has, less is kept.
+targets are in proportion to its tokens to the power TEMPER, which raises small
+sources and lowers a dominant one; the further TEMPER is below 1, the smaller
+the budget that the smallest cell allows.
 
 How it runs: one pass reads the texts (topic and token counts), aggregated
 map-side to cells; raking is windows over the small cell table, whose lineage
@@ -31,6 +35,10 @@ from hublytics.llm.common import WORD, cut, text_or_empty
 
 RATE = 0.8
 ROUNDS = 8
+#: exponent of the default targets: 1 keeps the shares as they are, 0 makes them equal
+TEMPER = 0.9
+#: a share that :func:`marginals` reports as reached differs from its target by at most this
+TOLERANCE = 1e-3
 #: raking rounds between two written tables
 KEEP = 4
 SEED = "mix-1"
@@ -81,17 +89,31 @@ def probabilities(rows: DataFrame, rate: float = RATE, rounds: int = ROUNDS,
         if given:
             share = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in given.items() for x in kv]), F.col(d)), F.lit(0.0))
         else:
-            root = cells.groupBy(d).agg(F.sqrt(F.sum("tokens").cast("double")).alias("r")).agg(F.sum("r")).first()[0] or 1.0
-            share = F.sqrt(F.sum("tokens").over(Window.partitionBy(d)).cast("double")) / F.lit(root)
+            total = cells.groupBy(d).agg(F.pow(F.sum("tokens").cast("double"), F.lit(TEMPER)).alias("r")).agg(F.sum("r")).first()[0] or 1.0
+            share = F.pow(F.sum("tokens").over(Window.partitionBy(d)).cast("double"), F.lit(TEMPER)) / F.lit(total)
         cells = cells.withColumn(f"t_{d}", share * F.lit(budget))
     cells = cells.withColumn("w", F.col("tokens").cast("double"))
     for i in range(rounds):
         for d in DIMS:
-            fitted = F.col("w") * F.col(f"t_{d}") / F.sum("w").over(Window.partitionBy(d))
-            cells = cells.withColumn("w", F.least(fitted, F.col("tokens").cast("double")))
+            whole = F.nullif(F.sum("w").over(Window.partitionBy(d)), F.lit(0.0))  # a value without a target keeps nothing
+            cells = cells.withColumn("w", F.coalesce(F.col("w") * F.col(f"t_{d}") / whole, F.lit(0.0)))
         if i % KEEP == KEEP - 1 or i == rounds - 1:
             cells = cut(cells, "mix-raked")
-    return cells.select(*DIMS, "tokens", F.col("w").alias("weight"), F.round(F.col("w") / F.col("tokens"), 9).alias("probability"))
+    least = cells.agg(F.min(F.when(F.col("w") > 0, F.col("tokens") / F.col("w")))).first()[0]
+    scale = min(1.0, least if least is not None else 1.0)
+    cells = cells.withColumn("w", F.col("w") * F.lit(scale))
+    shares = [(F.col(f"t_{d}") / F.lit(budget or 1.0)).alias(f"target_{d}") for d in DIMS]
+    return cells.select(*DIMS, "tokens", F.col("w").alias("weight"), F.round(F.col("w") / F.col("tokens"), 9).alias("probability"), *shares)
+
+
+def marginals(cells: DataFrame) -> DataFrame:
+    """dimension, value, target and reached share of the weights of
+    :func:`probabilities`, and whether they agree within TOLERANCE."""
+    total = cells.agg(F.sum("weight")).first()[0] or 1.0
+    parts = [cells.groupBy(F.lit(d).alias("dimension"), F.col(d).alias("value"))
+             .agg(F.first(f"target_{d}").alias("target"), (F.sum("weight") / F.lit(total)).alias("reached")) for d in DIMS]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return rows.withColumn("met", F.abs(F.col("target") - F.col("reached")) <= TOLERANCE)
 
 
 def _with_probability(rows: DataFrame, cells: DataFrame) -> DataFrame:

@@ -21,13 +21,15 @@ Ids come from the vocabulary file of a byte-level BPE. With ``added_tokens``
 the file's added tokens inside a text have their own ids, as the file's own
 library gives by default; without it they are ordinary text. Id END follows
 each document's ids.
-Defined cases: null text is empty (its only id is END); repeated rows are
+Defined cases: null text is empty (its only id is END); white space of any
+length is encoded as the library does; repeated rows are
 packed each; further columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -42,8 +44,25 @@ CAPACITY = 2048
 MIN_PIECE = 32
 END = 1
 BUCKET_ROWS = 200_000
-#: the pre-tokenisation of the vocabulary, written without backtracking
+#: the pre-tokenisation of the vocabulary, written without backtracking but for white space before a
+#: word, of which the last character is given back: longer runs than LONG_SPACE are cut there beforehand
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
+LONG_SPACE = 10_000
+_SPACES = "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_LONG_RUN = re.compile(f"{_SPACES}{{{LONG_SPACE},}}+(?={_SPACES.replace('[', '[^', 1)})")
+
+
+def parts(text: str, special: dict[str, int]) -> list[str]:
+    """``text`` cut inside long white space where the tokenizer cuts it too:
+    before the last character of a run, unless an added token follows (the run
+    is then one piece, and nothing is given back)."""
+    out, at = [], 0
+    if len(text) > LONG_SPACE:
+        for m in _LONG_RUN.finditer(text):
+            if not any(text.startswith(t, m.end()) for t in special):
+                out.append(text[at: m.end() - 1])
+                at = m.end() - 1
+    return [*out, text[at:]]
 
 
 def classes(total: int, capacity: int = CAPACITY, min_piece: int = MIN_PIECE) -> list[tuple[int, int, int]]:
@@ -109,7 +128,9 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, min_piece
         for b in slices(batches):
             source, rows = [], []
             for i, text in enumerate(b.column(1)):
-                ids = array("I", encoding.encode(text.as_py() or "", allowed_special="all"))
+                ids = array("I")
+                for part in parts(text.as_py() or "", special):
+                    ids.extend(encoding.encode(part, allowed_special="all"))
                 ids.append(END)
                 raw = memoryview(ids.tobytes())
                 for start, length, k in classes(len(ids), capacity, min_piece):

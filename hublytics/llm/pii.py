@@ -1,7 +1,7 @@
 """Personal data in texts (DataFrame functions only; no shuffle).
 
 Regular expressions propose spans, validators confirm them (Luhn for cards,
-mod-97 for IBANs, ranges and digit counts for the rest) and words near a span
+mod-97 for IBANs of a country's length, ranges and digit counts for the rest) and words near a span
 raise its score. The kinds ``email``, ``ip``, ``card`` and ``phone`` are the
 base: every confirmed one is a span, whatever its score. ``iban`` and ``ssn``
 are spans when their score reaches ``MIN_SCORE``; an ``ssn`` has no checksum,
@@ -65,6 +65,20 @@ _COMPACT = "replace(x.m, ' ', '')"
 _MOD97 = (f"aggregate(split(concat(substr({_COMPACT}, 5), left({_COMPACT}, 4)), ''), 0, "
           "(s, c) -> if(c < 'A', (s * 10 + int(ascii(c)) - 48) % 97, (s * 100 + int(ascii(c)) - 55) % 97)) = 1")
 
+#: fixed values: length of an IBAN by country
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+    27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC"}
+
+
+def iban_pattern() -> str:
+    """Numbers of a known country end where its length ends, so a word behind
+    them is no part; then any two letters and as many as there can be."""
+    known = "|".join(f"(?:{'|'.join(names.split())})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for n, names in IBAN_LENGTHS.items())
+    return f"(?:{known}|[A-Z]{{2}}[0-9]{{2}}(?:[A-Z0-9]{{11,30}}|(?: [A-Z0-9]{{4}}){{2,7}}(?: [A-Z0-9]{{1,3}})?))"
+
+
 KINDS = [
     # a match starts at a run's first character, or where the match before it ended
     Kind("email", rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@{_LABEL}++(?:\.{_LABEL}++)++", "true", 0.7,
@@ -76,7 +90,7 @@ KINDS = [
          "card|visa|master|credit|payment|account", least=2),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_digits()}) between 10 and 15", 0.5,
          "phone|\\\\btel|call|mobile|\\\\bfax", needs="+", least=4),
-    Kind("iban", r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)",
+    Kind("iban", iban_pattern(),
          f"not x.before rlike '[A-Za-z0-9]$' and not coalesce(x.after, '') rlike '^[A-Za-z0-9]' and {_MOD97}", 0.7, "iban|account|bank|\\\\bbic\\\\b|swift", base=False, least=15),
     Kind("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
          "not x.before rlike '[0-9-]$' and not coalesce(x.after, '') rlike '^[0-9-]' and not x.m rlike '^(000|666|9)|-00-|-0000$'", 0.3,
@@ -161,7 +175,8 @@ def redact(docs: DataFrame, text: str = "text", kinds: list[Kind] = KINDS) -> Da
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans."""
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, scores (of the
+    spans, in their order)."""
     rows = find(docs.select("doc_id", "text")).select("doc_id", "pii")
     listed = lambda a: F.array_join(F.transform(a, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     base = [k.name for k in KINDS if k.base]
@@ -169,4 +184,5 @@ def digest(docs: DataFrame) -> DataFrame:
     return rows.select(
         "doc_id", *[count(n) for n in base],
         F.sha2(listed(F.filter("pii", lambda s: s["kind"].isin(base))).cast("binary"), 256).alias("base_sha256"),
-        listed(F.col("pii")).alias("spans"))
+        listed(F.col("pii")).alias("spans"),
+        F.array_join(F.transform("pii", lambda s: F.format_string("%.2f", s["score"])), ",").alias("scores"))

@@ -215,49 +215,64 @@ def _pii_sql() -> str:
     mod97 = (f"list_reduce([0::bigint] || list_transform(string_split(substr({compact}, 5) || left({compact}, 4), ''), "
              "lambda c: ord(c)::bigint), lambda a, c: if(c < 65, (a * 10 + c - 48) % 97, (a * 100 + c - 55) % 97)) = 1")
     outside = "not regexp_matches(before, '[A-Za-z0-9]$') and not regexp_matches(after, '^[A-Za-z0-9]')"
-    kinds = [
-        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
-        ("ip", r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", rf"regexp_full_match(m, '{octet}(?:\.{octet}){{3}}')"),
-        ("card", r"[0-9](?:[\x20-]?[0-9])+", f"length({digits}) between 14 and 19 and {luhn}"),
-        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({digits}) between 10 and 15"),
-        ("iban", "[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)", f"{outside} and {mod97}"),
-        ("ssn", "[0-9]{3}-[0-9]{2}-[0-9]{4}",
-         "not regexp_matches(before, '[0-9-]$') and not regexp_matches(after, '^[0-9-]') "
-         "and not regexp_matches(m, '^(?:000|666|9)|-00-|-0000$') "
-         "and regexp_matches(lower(before || ' ' || after), '\\bssn\\b|social security')"),
-    ]
+    confirm = {
+        "email": "true",
+        "ip": rf"regexp_full_match(m, '{octet}(?:\.{octet}){{3}}')",
+        "card": f"length({digits}) between 14 and 19 and {luhn}",
+        "phone": f"length({digits}) between 10 and 15",
+        "iban": f"{outside} and {mod97}",
+        "ssn": "not regexp_matches(before, '[0-9-]$') and not regexp_matches(after, '^[0-9-]') "
+               "and not regexp_matches(m, '^(?:000|666|9)|-00-|-0000$')",
+    }
+    # the same patterns without the marks that only save one engine work
+    plain = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+",
+             "card": r"[0-9](?:[\x20-]?[0-9])+"}
+    # positions first; then context from the text around a match, which a heading hands on
+    # along a list: matches at most a context apart with no letter between them
     found = "\nunion all\n".join(f"""
-  select rn, {k} as k, '{name}' as kind, start, start + length(m) as stop from (
-    select rn, m, right(p, 40) as before, left(coalesce(q, ''), 40) as after,
-      (sum(length(p)) over w + sum(length(m)) over w - length(m))::bigint as start
-    from (select rn, i, ms[i] as m, ps[i] as p, ps[i + 1] as q
-          from (select rn, ms, ps, unnest(range(1, len(ms) + 1)) as i
-                from (select rn, regexp_extract_all(t, '{pattern}') as ms, string_split_regex(t, '{pattern}') as ps from docs)))
-    window w as (partition by rn order by i))
-  where {confirm}""" for k, (name, pattern, confirm) in enumerate(kinds))
+  select rn, {k} as k, '{kind.name}' as kind, start, start + length(m) as stop, if(near, {kind.score + pii.CONTEXT_BONUS}, {kind.score})::double as score
+  from (
+    select *, bool_or(hit) over (partition by rn, segment order by i rows unbounded preceding) as near from (
+      select *, sum(if(listed, 0, 1)) over (partition by rn order by i rows unbounded preceding) as segment from (
+        select rn, i, m, start, right(p, {c}) as before, left(coalesce(q, ''), {c}) as after,
+          length(p) <= {c} and not regexp_matches(p, '\\p{{L}}') as listed,
+          regexp_matches(substr(t, greatest(start - {c - 1}, 1), least(start, {c})) || ' ' || substr(t, start + length(m) + 1, {c}),
+                         '(?i){kind.context.replace(chr(92) * 2, chr(92))}') as hit
+        from (
+          select rn, t, i, m, p, q, (sum(length(p)) over w + sum(length(m)) over w - length(m))::bigint as start
+          from (select rn, t, i, ms[i] as m, ps[i] as p, ps[i + 1] as q
+                from (select rn, t, ms, ps, unnest(range(1, len(ms) + 1)) as i
+                      from (select rn, t, regexp_extract_all(t, '{plain.get(kind.name, kind.pattern)}') as ms,
+                              string_split_regex(t, '{plain.get(kind.name, kind.pattern)}') as ps from docs)))
+          window w as (partition by rn order by i)))))
+  where {confirm[kind.name]}""" for k, kind in enumerate(pii.KINDS) for c in [pii.CONTEXT])
+    found = f"select * from ({found}) where k < 4 or score >= {pii.MIN_SCORE}"
+    kinds = [(kind.name,) for kind in pii.KINDS]
     listed = "string_agg(kind || ':' || start || ':' || stop, ',' order by start, k)"
     return f"""
 with docs as (select row_number() over () as rn, doc_id, coalesce(text, '') as t from documents),
 found as ({found}),
 listed as (
   select rn, {", ".join(f"count(*) filter (where k = {k}) as n_{kinds[k][0]}" for k in range(4))},
-    {listed} filter (where k < 4) as base, {listed} as spans
+    {listed} filter (where k < 4) as base, {listed} as spans,
+    string_agg(printf('%.2f', score), ',' order by start, k) as scores
   from found group by rn)
 select doc_id, {", ".join(f"coalesce(n_{kinds[k][0]}, 0) as n_{kinds[k][0]}" for k in range(4))},
-  sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+  sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans, coalesce(scores, '') as scores
 from docs left join listed using (rn)"""
 
 
 def _mixing_sql() -> str:
     dims = mixing.DIMS
     topic = " ".join(f"when regexp_matches(coalesce(text, ''), '{p}') then '{n}'" for n, p in mixing.TOPICS)
-    target = ", ".join(f"sqrt(sum(tokens) over (partition by {d})) / (select sum(r) from (select sqrt(sum(tokens)) as r from cells group by {d})) "
+    root = f"pow(sum(tokens){{}}, {mixing.TEMPER}::double)"
+    target = ", ".join(f"{root.format(f' over (partition by {d})')} / (select sum(r) from (select {root.format('')} as r from cells group by {d})) "
                        f"* ({mixing.RATE}::double * (select sum(tokens) from cells)) as t_{d}" for d in dims)
     steps, last = [], "start"
     for i in range(mixing.ROUNDS):
         for d in dims:
             name = f"w_{i}_{d}"
-            steps.append(f"{name} as (select * replace (least(w * t_{d} / sum(w) over (partition by {d}), tokens) as w) from {last})")
+            steps.append(f"{name} as (select * replace (coalesce(w * t_{d} / nullif(sum(w) over (partition by {d}), 0), 0) as w) from {last})")
             last = name
     raked = ",\n".join(steps)
     return f"""
@@ -267,10 +282,11 @@ with facts as (
   from documents),
 cells as (select source, lang, topic, sum(n_tokens)::double as tokens from facts group by all),
 start as (select *, tokens as w, {target} from cells),
-{raked}
-select doc_id, f.source, f.lang, f.topic, n_tokens, round(w / tokens, 9) as probability,
-  ('0x' || left(md5('{mixing.SEED}:' || coalesce(doc_id::varchar, '')), 13))::bigint / 4503599627370496::double < round(w / tokens, 9) as selected
-from facts f join {last} using (source, lang, topic)"""
+{raked},
+scaled as (select *, round(w * (select least(1, min(tokens / w) filter (where w > 0)) from {last}) / tokens, 9) as p from {last})
+select doc_id, f.source, f.lang, f.topic, n_tokens, p as probability,
+  ('0x' || left(md5('{mixing.SEED}:' || coalesce(doc_id::varchar, '')), 13))::bigint / 4503599627370496::double < p as selected
+from facts f join scaled using (source, lang, topic)"""
 
 
 ORACLE["op1_pii"] = _pii_sql()

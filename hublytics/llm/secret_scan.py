@@ -57,10 +57,12 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 # runs of fewer digits are no match of the contract: only runs of enough digits are looked for
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 
-#: how telling a target's name is, by the parts it contains (the largest counts)
-SENSITIVE = {"password": 0.6, "passwd": 0.6, "passphrase": 0.6, "pwd": 0.5, "secret": 0.6, "token": 0.55, "apikey": 0.6,
+#: how telling a target's name is, by its parts (whole words of it, or several in a row; the largest counts)
+SENSITIVE = {"passwords": 0.6, "secrets": 0.6, "credentials": 0.55, "password": 0.6, "passwd": 0.6, "passphrase": 0.6, "pwd": 0.5, "secret": 0.6, "token": 0.55, "apikey": 0.6,
              "privatekey": 0.6, "accesskey": 0.6, "credential": 0.55, "signingkey": 0.6, "encryptionkey": 0.6,
-             "auth": 0.4, "bearer": 0.5, "connectionstring": 0.5, "key": 0.3, "salt": 0.35, "pass": 0.35}
+             "auth": 0.4, "authorization": 0.4, "bearer": 0.5, "connectionstring": 0.5, "key": 0.3, "salt": 0.35, "pass": 0.35}
+#: words that also count at the end of a longer one (``dbpassword``); ordinary words do not end in them
+ENDINGS = ("password", "passwd", "passphrase", "secret", "token", "apikey", "privatekey", "accesskey", "credential", "credentials")
 SENSITIVE_HINT = re.compile(r"pass|pwd|secret|token|key|credential|auth|bearer|connection|salt")
 #: what a placeholder consists of; the whole literal, or how it starts
 _FILLER = (r"password|passphrase|passwd|pass|secret|token|please|replace|change|insert|example|sample|default|redacted|undefined|hidden|dummy"
@@ -72,7 +74,7 @@ REFERENCE = re.compile(r"\$\{[^}]*\}|\{\{[^}]*\}\}|%\([^)]*\)s|\$[A-Z_]+")
 SCHEME = re.compile(r"(?i)(?:bearer|basic|token)\s+(?=\S)")
 #: what a literal's score loses as a whole placeholder, for a start like one, for white space inside
 ALL_FILLER, SOME_FILLER, SPACED = 0.4, 0.1, 0.15
-#: characters of a value's start that are looked at for placeholders
+#: characters of a value's start that are looked at for how it starts, and for filler written in parts
 HEAD = 256
 
 _TOKEN = re.compile(r"""
@@ -96,14 +98,21 @@ _BLOCK = re.compile(r"[ \t]*[|>][-+0-9]{0,2}[ \t]*(?:\#[^\n]*)?\r?\n")
 _INDENT = re.compile(r" *(?:- +)*")
 
 
-def _plain(name: str) -> str:
-    """The last part of a name, without case and separators."""
-    return re.sub(r"[^a-z0-9]", "", re.split(r"[.\[\]]", name)[-1].lower())
+_PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 
 def _weight(name: str) -> float:
-    plain = _plain(name)
-    return max((w for part, w in SENSITIVE.items() if part in plain), default=0.0)
+    """By the words of the name's last part: cut at case and separators and
+    compared whole, alone and joined with those after them."""
+    words = [w.lower() for w in _PART.findall(re.split(r"[.\[\]]", name)[-1])]
+    best = 0.0
+    for i in range(len(words)):
+        joined = ""
+        for w in words[i: i + 3]:
+            joined += w
+            best = max(best, SENSITIVE.get(joined, 0.0))
+        best = max([best, *(SENSITIVE[e] for e in ENDINGS if words[i].endswith(e))])
+    return best
 
 
 def _randomness(counts: dict[str, int]) -> float:
@@ -114,16 +123,18 @@ def _randomness(counts: dict[str, int]) -> float:
     return min(0.25, max(0.0, (entropy - 1.5) * 0.125)) + 0.05 * (mixed - 1)
 
 
-def _penalty(head: str, size: int, counts: dict[str, int]) -> float:
+def _without_scheme(literal: str) -> str:
+    return SCHEME.sub("", literal, count=1) if SCHEME.match(literal) else literal
+
+
+def _penalty(v: _Value) -> float:
+    head, counts = v.head, v.counts
+    if v.reference:
+        return 1.0
     scheme = SCHEME.match(head)
-    if scheme:
-        head, size = head[scheme.end():], size - scheme.end()
-    lost = 0.0
-    if size <= HEAD:
-        if REFERENCE.fullmatch(head):
-            return 1.0
-        if PLACEHOLDER.fullmatch(head):
-            lost = ALL_FILLER
+    head = _without_scheme(head)
+    # a value joined of parts is filler if each part is, or if together they read so
+    lost = ALL_FILLER if v.filler or v.size <= HEAD and PLACEHOLDER.fullmatch(head) else 0.0
     if not lost and PLACEHOLDER_START.match(head):
         lost = SOME_FILLER
     spaces = sum(n for c, n in counts.items() if c.isspace()) - sum(c.isspace() for c in (scheme[0] if scheme else ""))
@@ -261,7 +272,7 @@ class _Value:
     """What a name stands for: its own literals and the values it is made of,
     each once. Counts of its characters are sums, so a value costs what is new."""
 
-    __slots__ = ("own", "made_of", "counts", "size", "head", "quoted", "best")
+    __slots__ = ("own", "made_of", "counts", "size", "head", "quoted", "best", "filler", "reference")
 
     def __init__(self, text: str, own: list[Literal], made_of: list[_Value], order: list[Literal | _Value]):
         self.own, self.made_of, self.best = own, made_of, None
@@ -280,6 +291,10 @@ class _Value:
                 break
             self.head = (self.head + (p.head if isinstance(p, _Value) else text[p[0]: min(p[1], p[0] + HEAD)]))[:HEAD]
         self.quoted = all(q for *_, q in own) and all(v.quoted for v in made_of)
+        # whole literals, whatever their length
+        self.filler = all(PLACEHOLDER.fullmatch(_without_scheme(text[a:b])) for a, b, _ in own) and all(v.filler for v in made_of)
+        self.reference = (len(own) == 1 and not made_of and REFERENCE.fullmatch(_without_scheme(text[own[0][0]: own[0][1]])) is not None
+                          or not own and len(made_of) == 1 and made_of[0].reference)
 
 
 def literals(text: str) -> list[tuple[int, int, str, float]]:
@@ -307,7 +322,7 @@ def literals(text: str) -> list[tuple[int, int, str, float]]:
             continue
         if not v.quoted and (all(c.isalpha() for c in v.counts) or not any(c in "0123456789" for c in v.counts)):
             continue  # a bare word of prose or a call, not a value
-        lost = _penalty(v.head, v.size, v.counts)
+        lost = _penalty(v)
         if lost and not v.quoted:
             continue
         score = min(1.0, weight + _randomness(v.counts)) - lost

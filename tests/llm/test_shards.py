@@ -198,3 +198,40 @@ def test_queries_match_their_sql(spark):
     for name, sql in ORACLE.items():
         left, right = rows_hash(*spark_rows(QUERIES[name](spark, SF))), rows_hash(*duck_rows(con, sql))
         assert left[:2] == right[:2], name
+
+
+@pytest.mark.parametrize("text", [" " * 5_000_000 + "a", "x" + "\t" * 300_000 + "y\n" + "\n" * 20_000 + " <|endoftext|> b", "a" + " " * 50_000,
+                                  "　" * 30_000 + "é" + " " * 10_000 + "<|endoftext|>" + "\r\n" * 9_000 + "z" + " \x1c" * 12_000 + "q"])
+def test_packing_of_long_white_space(spark, text):
+    """The ids are those of the file's own library, whatever the white space."""
+    from tokenizers import Tokenizer
+    import tiktoken
+    public = Tokenizer.from_file(packing.vocabulary_path())
+    special = packing.added_ids(packing.vocabulary_path())
+    encoding = tiktoken.Encoding("bpe", pat_str=packing.PATTERN, mergeable_ranks=packing.ranks(packing.vocabulary_path()), special_tokens=special)
+    got = [i for part in packing.parts(text, special) for i in encoding.encode(part, allowed_special="all")]
+    assert got == public.encode(text, add_special_tokens=False).ids
+
+
+def test_mixing_meets_all_marginals_at_production_parameters(spark):
+    docs = read(spark, "/root/testdata/sf0.01", "documents")
+    cells = mixing.probabilities(mixing.facts(docs)).cache()
+    rows = mixing.marginals(cells).collect()
+    assert {r.dimension for r in rows} == {"source", "lang", "topic"} and all(r.met for r in rows)
+    assert all(abs(sum(r.target for r in rows if r.dimension == d) - 1) < 1e-9 for d in mixing.DIMS)
+    kept, all_ = cells.agg(F.sum("weight"), F.sum("tokens")).first()
+    assert cells.where("probability > 1").count() == 0 and cells.where("probability >= 1 - 1e-8").count() >= 1
+    assert 0.4 < kept / all_ <= mixing.RATE
+    # the sample itself is near: by its tokens
+    out = mixing.decide(docs).where("selected").toPandas()
+    for r in rows:
+        assert abs(out.n_tokens[out[r.dimension] == r.value].sum() / out.n_tokens.sum() - r.target) < 0.06
+
+
+def test_mixing_reports_targets_that_cannot_be_met(spark, nothing):
+    rows = [(i, "w " * 9, "en" if i % 2 else "de", "a" if i % 2 else "b") for i in range(200)]  # language and source are one
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    targets = {"source": {"a": 0.9, "b": 0.1}, "lang": {"en": 0.5, "de": 0.5}, "topic": {"prose": 1.0}}
+    cells = mixing.probabilities(mixing.facts(docs), targets=targets)
+    assert not all(r.met for r in mixing.marginals(cells).collect()) and cells.where("probability > 1").count() == 0
+    assert mixing.marginals(mixing.probabilities(mixing.facts(nothing))).count() == 0

@@ -227,3 +227,86 @@ def test_language_edge_cases(awkward, nothing, spark):
     assert language_id.predict(nothing).count() == 0
     unlabelled = spark.createDataFrame([(1, "words")], "doc_id long, text string").withColumn("lang", F.lit(None).cast("string"))
     assert [r.lang_pred for r in language_id.predict(unlabelled).collect()] == ["und"]
+
+
+def test_pii_ibans_end_with_their_country(spark):
+    rows = ["IBAN BE68 5390 0754 7034 BIC KREDBEBB", "ES91 2100 0418 4502 0005 1332 BANK", "NO9386011117947 A", "DE89370400440532013000X",
+            "GB82 WEST 1234 5698 7654 32 AND MORE", "xDE89370400440532013000", "DE88370400440532013000"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: [rows[r.doc_id][s.start:s.end] for s in r.pii] for r in pii.find(docs, kinds=[pii.KINDS[4]]).collect()}
+    assert got == {0: ["BE68 5390 0754 7034"], 1: ["ES91 2100 0418 4502 0005 1332"], 2: ["NO9386011117947"], 3: [],
+                   4: ["GB82 WEST 1234 5698 7654 32"], 5: [], 6: []}
+
+
+def test_pii_equals_its_sql_on_lists(spark, tmp_path):
+    """Query and SQL state one rule, also where context is handed on."""
+    from hublytics.llm.queries import ORACLE
+    from oracle.compare import duck_rows, rows_hash, spark_rows
+    import duckdb
+    rows = ["SSN: 123-45-6789, 234-56-7890; 345-67-8901", "ssn\n" + "\n".join(f"{n}-45-6789" for n in range(100, 300)),
+            "ssn of 000-45-6789 or 123-45-6789", "111-22-3333 and 123-45-6789 are my ssn", "123-45-6789 " + "x" * 50 + " 234-56-7890",
+            "SSN 123-45-6789. The order of the new parts of this machine is 234-56-7890", "call +1 (415) 555-2671, +44 20 7946 0958; +12 345 678 901",
+            "IBAN BE68 5390 0754 7034 BIC KREDBEBB é😀 host 1.2.3.4 / 5.6.7.8", "mail a@b.cd, c@d.ef", None, "", "4111 1111 1111 1111 (visa) 4111111111111111"]
+    docs = spark.createDataFrame(list(enumerate(rows * 2)), "doc_id long, text string")
+    docs.toPandas().to_parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet')")
+    left, right = rows_hash(*spark_rows(pii.digest(docs))), rows_hash(*duck_rows(con, ORACLE["op1_pii"]))
+    assert left[2] == right[2]
+    assert pii.digest(docs).where("spans like '%ssn%'").count() >= 10 and "0.95" in str(pii.digest(docs).collect())
+
+
+@pytest.mark.parametrize("text, secrets", [
+    ('author = "Smith, J. 2019"\ncompass: "N45E12-x9Q"\ntokenizer = "byte_bpe_50k.json"\nmax_tokens: "2048k9"\nmonkey_id = "Xa81-Qz77p"', []),
+    ('dbpassword = "Xk29!mmQz7"\nuser.authToken = "Aa1Bb2Cc3Dd4"\nAWS_SECRET_ACCESS_KEY="9fK2pLqZ81xx"',
+     ["Xk29!mmQz7", "Aa1Bb2Cc3Dd4", "9fK2pLqZ81xx"]),
+    ('password: "' + "x" * 200 + '"\nsecret = "' + "x" * 300 + '"\ntoken = "' + "your_password_here" * 20 + '"', []),
+    ('password = "${' + "A" * 400 + '}"\na = "xxxx"\nsecret = a + "0000" + a', []),
+])
+def test_secret_names_by_whole_words_and_filler_of_any_length(text, secrets):
+    assert [text[a:b] for a, b, kind, *_ in secret_scan.spans(text) if kind == "literal"] == secrets
+
+
+def _odd_texts():
+    import random
+    rng = random.Random(4)
+    scripts = {"el": "αβγδεζηθικλμνξοπρστυφχψω", "ru": "абвгдежзиклмнопрстуфхцчшщ", "he": "אבגדהוזחטיכלמנסעפצקרשת", "en": "abcdefghijklmnopqrstuvwxyz"}
+    rows = []
+    for lang, letters in scripts.items():
+        words = ["".join(rng.choice(letters) for _ in range(rng.randint(2, 6))) for _ in range(60)]
+        rows += [(lang, " ".join(rng.choice(words) for _ in range(40))) for _ in range(60)]
+    return rows
+
+
+def test_language_scripts_keep_their_bytes(spark):
+    rows = [(i, t, lang) for i, (lang, t) in enumerate(_odd_texts())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    models = language_id.train(docs)
+    used = {b for _, t, _ in rows for b in language_id.FOLD[list(t.encode())]}
+    assert len({int(models.symbol_of[b]) for b in used}) == len(used) > 64 and models.base <= len(used) + 2
+    got = {r.doc_id: r for r in language_id.predict(docs).collect()}
+    assert all(got[i].lang_pred == lang for i, _, lang in rows if got[i].held_out)
+
+
+def test_language_of_300_labels_in_groups(spark):
+    """Any number of labels; groups of models give what one model gives."""
+    rows = _odd_texts()
+    docs = spark.createDataFrame([(i, t if i % 9 else None, lang if i % 3 else f"label {i % 300}", i) for i, (lang, t) in enumerate(rows * 4)],
+                                 "doc_id long, text string, lang string, bits int")
+    one = language_id.train(docs, group_bytes=1 << 40)
+    many = language_id.train(docs, group_bytes=1)
+    assert len(one.groups) == 1 and len(many.groups) > 60
+    some = docs.where("doc_id % 37 = 0 or text is null")
+    as_rows = lambda m: sorted((r.doc_id, r.lang_pred, round(r.score, 9), round(r.bits_per_byte, 9)) for r in language_id.predict(some, m).collect())
+    many.groups = [g for i in range(0, len(one.groups[0]), 13) for g in [one.groups[0][i: i + 13]]]
+    assert as_rows(many) == as_rows(one)
+    labels = spark.createDataFrame([(i, f"text of label {i} abc", f"l{i}") for i in range(400)], "doc_id long, text string, lang string")
+    assert language_id.predict(labels).count() == 400
+
+
+def test_language_stage_fills_lang(spark):
+    rows = [(i, t, lang if i % 4 else None if i % 8 else "en") for i, (lang, t) in enumerate(_odd_texts())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    truth = [lang for lang, _ in _odd_texts()]
+    kept = language_id.keep_languages(docs).collect()
+    assert len(kept) == len(rows) and sum(r.lang == truth[r.doc_id] for r in kept) > 0.97 * len(rows)
