@@ -8,13 +8,14 @@ a clause is cut depends on WINDOW words only and no unit is longer than WINDOW,
 so of a passage at most 2 * WINDOW - 1 words at each end belong to units that
 hold words of the host: the rest of a passage of 50 words is always a run of
 MIN_WORDS. Lines and units are normalised (lower case, single spaces) and
-hashed to 128 bits; of each digest the occurrence in the smallest doc_id (then
+hashed to 128 bits (a polynomial of their words' hashes); of each digest the occurrence in the smallest doc_id (then
 the first in that document) is kept, of whole lines the first whole line.
 Consecutive repeated units make a run; runs of at least MIN_WORDS words are
 removed, of shorter ones (common phrases) only the repeated whole lines. What
 is removed is given by its positions in the original text.
 
-How it runs: one pass turns texts into digests. A first aggregation (map-side
+How it runs: one pass turns texts into digests; texts are lexed many at a time
+as arrays, and each different word of them is hashed once. A first aggregation (map-side
 combined) finds the digests that occur more than once by half of their bits;
 only units of those go further, where the whole digest decides. Both joins
 read written tables, so AQE can split a line that a third of all documents
@@ -31,14 +32,12 @@ text are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
-from itertools import groupby
-from operator import itemgetter
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,18 +45,24 @@ from hublytics.llm.common import cut, slices
 
 MIN_WORDS = 16
 WINDOW = 9
-_WORD = re.compile(r"\S+")
-_ENDS = frozenset(".!?,;:")
+#: characters that are lexed together
+PIECE = 1 << 21
+_ENDS = np.zeros(128, bool)
+_ENDS[[ord(c) for c in ".!?,;:"]] = True
+#: the characters at which ``str.split`` parts words; all beyond the table are none
+_SPACE = np.array([chr(c).isspace() for c in range(0x3001)] + [False])
+#: odd bases of the two polynomials over whole numbers mod 2 ** 64, with their inverses
+_BASES = [0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93]
+_INVERSES = [pow(b, -1, 1 << 64) for b in _BASES]
 
 
-def _chosen(words: list[str], clause: np.ndarray) -> np.ndarray:
+def _chosen(h: np.ndarray, clause: np.ndarray) -> np.ndarray:
     """Numbers of the words with the least hash (the last of equal ones) among
     any WINDOW neighbouring words of one clause."""
-    n = len(words) - WINDOW + 1
+    n = len(h) - WINDOW + 1
     inside = np.flatnonzero(clause[:max(n, 0)] == clause[WINDOW - 1:])
     if not len(inside):
         return inside
-    h = np.fromiter((crc32(w.encode("utf-8", "surrogatepass")) for w in words), np.uint32, len(words)) * np.uint32(2654435761)
     best, at = h[:n].copy(), np.zeros(n, np.int64)
     for k in range(1, WINDOW):
         less = h[k: k + n] <= best
@@ -66,102 +71,160 @@ def _chosen(words: list[str], clause: np.ndarray) -> np.ndarray:
     return (at + np.arange(n))[inside]
 
 
-def _lined(text: str) -> Iterator[tuple[int, int, list[str], int]]:
-    """(start, end, words, line) of the units of ``text`` that have words."""
-    words = text.lower().split()
-    if not words:
-        return
-    spans = np.array([m.span() for m in _WORD.finditer(text)])
-    breaks = np.array([m.start() for m in re.finditer("\n", text)], np.int64)
-    line = np.searchsorted(breaks, spans[:, 0])
-    marked = np.fromiter((w[-1] in _ENDS for w in words), bool, len(words))
-    last = np.append(line[1:] != line[:-1], True)
-    cuts = marked | last
-    cuts[_chosen(words, np.cumsum(cuts) - cuts)] = True
-    stops = np.flatnonzero(cuts)
-    # a line without a closing mark takes its line end along
-    ends = np.where(last & ~marked, np.append(breaks + 1, len(text))[line], spans[:, 1])
-    at = first = 0
-    for stop, end, n in zip(stops.tolist(), ends[stops].tolist(), line[stops].tolist(), strict=True):
-        yield at, end, words[first: stop + 1], n
-        at, first = end, stop + 1
+class _Lexed:
+    """The units of several texts, as arrays: text, number in the text, line
+    (of the text), start and end (code points of the text), and the range
+    first .. last of their words."""
 
+    def __init__(self, texts: list[str]):
+        joined = "\n".join(texts) + "\n"
+        points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        edge = np.diff(_SPACE[np.minimum(points, len(_SPACE) - 1)].astype(np.int8), prepend=1)
+        begins, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+        size = np.array([len(t) + 1 for t in texts])
+        self.text_at = np.cumsum(size) - size
+        breaks = np.flatnonzero(points == 10)
+        closes = np.isin(breaks, self.text_at + size - 1)  # the end of a text, not a line end of it
+        # the words themselves: each different one is hashed once
+        coded = pa.array(joined.lower().split(), pa.string()).dictionary_encode()
+        code, unique = coded.indices.to_numpy(), [w.encode("utf-8") for w in coded.dictionary.to_pylist()]
+        weak = np.array([crc32(w) for w in unique], np.uint32) * np.uint32(2654435761)
+        strong = np.frombuffer(b"".join(hashlib.blake2b(w, digest_size=16).digest() for w in unique), np.uint64).reshape(-1, 2)
+        self.word_hash = strong[code]
+        of_text = np.searchsorted(self.text_at, begins, "right") - 1
+        line = np.searchsorted(breaks, begins)
+        last_char = points[ends - 1]
+        marked = _ENDS[np.minimum(last_char, 127)] & (last_char < 127)
+        last = np.append(line[1:] != line[:-1], True)[:len(line)]
+        cuts = marked | last
+        cuts[_chosen(weak[code], np.cumsum(cuts) - cuts)] = True
+        stops = np.flatnonzero(cuts)
+        # a line without a closing mark takes its line end along
+        stop_at = np.where(last & ~marked, (breaks + 1 - closes)[line], ends)[stops] if len(line) else ends
+        self.text, self.global_line = of_text[stops], line[stops]
+        self.line = self.global_line - np.searchsorted(breaks, self.text_at)[self.text]
+        self.first, self.last = np.append(0, stops[:-1] + 1)[:len(stops)], stops + 1
+        self.first_of_text = np.searchsorted(self.text, np.arange(len(texts)))
+        self.number = np.arange(len(stops)) - self.first_of_text[self.text]
+        before = np.append(0, stop_at[:-1])[:len(stops)]
+        self.start = np.where(self.number == 0, 0, before - self.text_at[self.text])
+        self.end = stop_at - self.text_at[self.text]
 
-def units(text: str) -> Iterator[tuple[int, int, list[str]]]:
-    """(start, end, words) of the units of ``text`` that have words."""
-    for start, end, words, _ in _lined(text):
-        yield start, end, words
+    def digests(self, first: np.ndarray, last: np.ndarray) -> list[np.ndarray]:
+        """Two 64-bit numbers of the words first .. last: polynomials of the
+        words' hashes, taken from running sums, and mixed."""
+        n, out = len(self.word_hash), []
+        for k in range(2):
+            power = np.multiply.accumulate(np.append(np.uint64(1), np.full(n, _BASES[k], np.uint64)))
+            back = np.multiply.accumulate(np.append(np.uint64(1), np.full(n, _INVERSES[k], np.uint64)))
+            sums = np.append(np.uint64(0), np.cumsum(self.word_hash[:, k] * power[:n], dtype=np.uint64))
+            h = (sums[last] - sums[first]) * back[first] + (last - first).astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
+            for shift, by in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+                h = (h ^ (h >> np.uint64(shift))) * np.uint64(by)
+            out.append((h ^ (h >> np.uint64(31))).view(np.int64))
+        return out
+
+
+def _pieces(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of at most PIECE characters together (or one text)."""
+    at = size = 0
+    for i, t in enumerate(texts):
+        if i > at and size + len(t) > PIECE:
+            yield at, i
+            at, size = i, 0
+        size += len(t)
+    if at < len(texts):
+        yield at, len(texts)
 
 
-def _digest(words: list[str]) -> bytes:
-    return hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+def units(text: str) -> Iterator[tuple[int, int, list[str]]]:
+    """(start, end, words) of the units of ``text`` that have words."""
+    words, u = text.lower().split(), _Lexed([text])
+    for i in range(len(u.text)):
+        yield int(u.start[i]), int(u.end[i]), words[u.first[i]: u.last[i]]
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Units have a ``unit`` number, whole lines a ``line`` number, units that
     are a whole line both."""
     for b in slices(batches):
-        source, number, lines, digests = [], [], [], []
-        for i, text in enumerate(b.column(2)):
-            n = 0
-            for at, of_line in groupby(_lined(text.as_py() or ""), itemgetter(3)):
-                parts = [words for _, _, words, _ in of_line]
-                for words in parts:
-                    source.append(i)
-                    number.append(n)
-                    lines.append(at if len(parts) == 1 else None)
-                    digests.append(_digest(words))
-                    n += 1
-                if len(parts) > 1:
-                    source.append(i)
-                    number.append(None)
-                    lines.append(at)
-                    digests.append(_digest([w for words in parts for w in words]))
-        d = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-        rows = pa.array(source, pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [b.column(0).take(rows), b.column(1).take(rows), pa.array(number, pa.int32()), pa.array(lines, pa.int32()),
-             pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy())], ["doc_id", "text_key", "unit", "line", "d1", "d2"])
-
-
-def _removed(text: str, marks: list[dict], min_words: int) -> list[dict]:
-    keeper = {m["unit"]: m["keep_doc_id"] for m in marks if m["unit"] is not None}
-    whole = {m["line"]: m["line_keep_id"] for m in marks if m["line"] is not None}
-    spans: list[dict] = []
-    repeated = lambda u: u[0] in keeper or u[1][3] in whole
-    for again, run in groupby(enumerate(_lined(text)), repeated):
-        if not again:
-            continue
-        run = list(run)
-        if sum(len(words) for _, (_, _, words, _) in run) >= min_words:
-            parts = [run]
-        else:
-            parts = [list(p) for sure, p in groupby(run, lambda u: u[1][3] in whole) if sure]
-        for p in parts:
-            n, (start, _, _, line) = p[0]
-            spans.append({"start": start, "end": p[-1][1][1],
-                          "keep_doc_id": whole[line] if line in whole else keeper[n]})
-    return spans
+        texts = [t or "" for t in b.column(2).to_pylist()]
+        for lo, hi in _pieces(texts):
+            u = _Lexed(texts[lo:hi])
+            n = len(u.text)
+            if not n:
+                continue
+            begins = np.flatnonzero(np.append(True, u.global_line[1:] != u.global_line[:-1]))
+            stops = np.append(begins[1:], n)
+            alone = np.repeat(stops - begins == 1, stops - begins)  # a unit that is a whole line
+            several = stops - begins > 1
+            head, tail = begins[several], stops[several] - 1
+            d1, d2 = u.digests(np.append(u.first, u.first[head]), np.append(u.last, u.last[tail]))
+            none = np.zeros(len(head), bool)
+            rows = pa.array(lo + np.append(u.text, u.text[head]))
+            numbers = pa.array(np.append(u.number, none).astype(np.int32), mask=np.append(np.zeros(n, bool), ~none))
+            lines = pa.array(np.append(u.line, u.line[head]).astype(np.int32), mask=np.append(~alone, none))
+            yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(1).take(rows), numbers, lines, pa.array(d1), pa.array(d2)],
+                                             ["doc_id", "text_key", "unit", "line", "d1", "d2"])
+
+
+def _removed(texts: list[str], marks: list[dict[str, np.ndarray]], min_words: int) -> tuple[np.ndarray, ...]:
+    """(text, start, end, mark whose keeper is meant, whether as a line) of
+    what goes. ``marks``: per text the numbers unit and line (-1: none) and the
+    mark's row ``at``."""
+    u = _Lexed(texts)
+    n = len(u.text)
+    keeper, whole = np.full(n, -1), np.full(n, -1)
+    for i, m in enumerate(marks):
+        lo = u.first_of_text[i]
+        hi = u.first_of_text[i + 1] if i + 1 < len(texts) else n
+        of_unit = m["unit"] >= 0
+        keeper[lo + m["unit"][of_unit]] = m["at"][of_unit]
+        of_line = m["line"] >= 0
+        if of_line.any():
+            by_line = np.full(u.line[lo:hi].max(initial=0) + 1, -1)
+            by_line[m["line"][of_line]] = m["at"][of_line]
+            whole[lo:hi] = by_line[u.line[lo:hi]]
+    repeated, sure = (keeper >= 0) | (whole >= 0), whole >= 0
+    new_text = np.append(True, u.text[1:] != u.text[:-1])[:n]
+    begins = lambda flag: flag & (new_text | ~np.append(False, flag[:-1])[:n])
+    run = np.cumsum(begins(repeated) | (~repeated)) - 1  # every other unit is a run of its own
+    words = np.bincount(run, (u.last - u.first) * repeated, run.max(initial=-1) + 1) if n else np.zeros(0)
+    goes = repeated & ((words[run] >= min_words) | sure) if n else repeated
+    first = np.flatnonzero(begins(goes))
+    last = np.flatnonzero(goes & np.append(begins(goes)[1:] | ~goes[1:] | new_text[1:], True)[:n])
+    of_line = sure[first]
+    return u.text[first], u.start[first], u.end[last], np.where(of_line, whole[first], keeper[first]), of_line
 
 
 def _cut_runs(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts, removed = [], []
-            for text, marks in zip(b.column(1), b.column(2), strict=True):
-                text, marks = text.as_py(), marks.as_py()
-                spans = _removed(text, marks, min_words) if marks else []
-                if spans:
-                    at, parts = 0, []
-                    for s in spans:
-                        parts.append(text[at: s["start"]])
-                        at = s["end"]
-                    text = "".join([*parts, text[at:]])
-                texts.append(text)
-                removed.append(spans)
-            kind = b.schema.field(2).type.value_type.field("keep_doc_id").type
-            span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("keep_doc_id", kind)])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string()), pa.array(removed, pa.list_(span))],
+        for b in slices(batches):
+            texts, listed = b.column(1).to_pylist(), b.column(2)
+            flat = pa.concat_arrays([listed.flatten()])
+            counts = np.array(listed.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), np.int64)
+            at = np.cumsum(counts) - counts
+            number = {c: flat.field(c).fill_null(-1).to_numpy(zero_copy_only=False) for c in ("unit", "line")}
+            some = np.flatnonzero(counts)
+            found = []
+            for lo, hi in _pieces([texts[i] for i in some]):
+                here = some[lo:hi]
+                marks = [{"at": (r := np.arange(at[i], at[i] + counts[i])), "unit": number["unit"][r], "line": number["line"][r]} for i in here]
+                of, *rest = _removed([texts[i] for i in here], marks, min_words)
+                found.append((here[of], *rest))
+            text, start, end, mark, of_line = (np.concatenate(x) for x in zip(*found, strict=True)) if found else [np.zeros(0, np.int64)] * 5
+            offsets = np.searchsorted(text, np.arange(len(texts) + 1)).astype(np.int32)
+            for i in np.unique(text):
+                parts, done = [], 0
+                for s in range(offsets[i], offsets[i + 1]):
+                    parts.append(texts[i][done: start[s]])
+                    done = end[s]
+                texts[i] = "".join([*parts, texts[i][done:]])
+            line_mark, unit_mark = pa.array(mark, pa.int64(), mask=~of_line.astype(bool)), pa.array(mark, pa.int64(), mask=of_line.astype(bool))
+            by_line, by_unit = flat.field("line_keep_id").take(line_mark), flat.field("keep_doc_id").take(unit_mark)
+            keep = pa.compute.if_else(pa.array(of_line.astype(bool)), by_line, by_unit)
+            span = pa.StructArray.from_arrays([pa.array(start, pa.int32()), pa.array(end, pa.int32()), keep], ["start", "end", "keep_doc_id"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string()), pa.ListArray.from_arrays(pa.array(offsets), span)],
                                              ["doc_id", "text", "removed"])
     return run
 

@@ -197,3 +197,99 @@ def test_empty_tables(nothing):
     assert exact_dedup.keep_first(nothing).count() == 0
     assert near_dedup.near_dedup(nothing).count() == 0
     assert line_dedup.line_dedup(nothing).count() == 0
+
+
+def plain_units(text):
+    """(start, end, words, line) of a text's units, word by word."""
+    import re
+    from zlib import crc32
+    words = [(m.start(), m.end(), m[0].lower(), text.count("\n", 0, m.start())) for m in re.finditer(r"\S+", text)]
+    clauses, clause = [], []
+    for i, w in enumerate(words):
+        clause.append(i)
+        if w[2][-1] in ".!?,;:" or i + 1 == len(words) or words[i + 1][3] != w[3]:
+            clauses.append(clause)
+            clause = []
+    out, at = [], 0
+    for clause in clauses:
+        h = [crc32(words[i][2].encode()) * 2654435761 % 2 ** 32 for i in clause]
+        stops = {len(clause) - 1}
+        for k in range(len(clause) - 8):
+            least = min(h[k: k + 9])
+            stops.add(max(j for j in range(k, k + 9) if h[j] == least))
+        first = 0
+        for j in sorted(stops):
+            end, word, line = words[clause[j]][1:]
+            if j == len(clause) - 1 and word[-1] not in ".!?,;:":
+                brk = text.find("\n", end)
+                end = len(text) if brk < 0 else brk + 1
+            out.append((at, end, tuple(words[i][2] for i in clause[first: j + 1]), line))
+            at, first = end, j + 1
+    return out
+
+
+def plain_dedup(docs, min_words):
+    rows = []  # doc, words, unit, line
+    for doc, text in docs:
+        us = plain_units(text or "")
+        of_line = defaultdict(list)
+        for n, u in enumerate(us):
+            of_line[u[3]].append(n)
+        rows += [(doc, u[2], n, u[3] if len(of_line[u[3]]) == 1 else None) for n, u in enumerate(us)]
+        rows += [(doc, sum((us[n][2] for n in ns), ()), None, line) for line, ns in of_line.items() if len(ns) > 1]
+    by_words = defaultdict(list)
+    for r in rows:
+        by_words[r[1]].append(r)
+    unit_marks, line_marks = defaultdict(dict), defaultdict(dict)
+    for same in by_words.values():
+        if len(same) == 1:
+            continue
+        keep, line_keep = min(r[0] for r in same), min((r[0] for r in same if r[3] is not None), default=None)
+        order = lambda r: (r[2] is not None, r[2] or 0, r[3] or 0)
+        kept = sorted((r for r in same if r[0] == keep or r[3] is not None and r[0] == line_keep), key=order)
+        for r in same:
+            earlier = [k for k in kept if k[0] == r[0] and order(k) < order(r)]
+            if r[2] is not None and (r[0] != keep or earlier):
+                unit_marks[r[0]][r[2]] = keep
+            if r[3] is not None and (r[0] != line_keep or any(k[3] is not None for k in earlier)):
+                line_marks[r[0]][r[3]] = line_keep
+    out = {}
+    for doc, text in docs:
+        spans, run = [], []
+        for n, u in [*enumerate(plain_units(text or "")), (None, None)]:
+            if n is not None and (n in unit_marks[doc] or u[3] in line_marks[doc]):
+                run.append((n, u))
+                continue
+            if sum(len(u[2]) for _, u in run) >= min_words:
+                parts = [run]
+            else:
+                parts, last = [], None
+                for n_u in run:
+                    sure = n_u[1][3] in line_marks[doc]
+                    if sure and last:
+                        parts[-1].append(n_u)
+                    elif sure:
+                        parts.append([n_u])
+                    last = sure
+            for p in parts:
+                line = p[0][1][3]
+                spans.append((p[0][1][0], p[-1][1][1], line_marks[doc].get(line, unit_marks[doc].get(p[0][0]))))
+            run = []
+        out[doc] = spans
+    return out
+
+
+def test_line_dedup_equals_a_plain_restatement(spark):
+    """At the query's own parameters, over whole texts."""
+    docs = read(spark, "/root/testdata/sf0.001", "documents")
+    texts = [(r.doc_id, r.text) for r in docs.collect()]
+    texts += [(9000 + i, t) for i, t in enumerate(["é\x1cü. É \n\n", "ΑΣ ας ΑΣ\nας ας ας", "a, b; c\n\na, b; c\nx a, b; c", "\n \n", "no end mark\n" * 3])]
+    made = spark.createDataFrame(texts, "doc_id long, text string")
+    want = plain_dedup(texts, line_dedup.MIN_WORDS)
+    got = line_dedup.line_dedup(made).collect()
+    assert {r.doc_id: [(s.start, s.end, s.keep_doc_id) for s in r.removed] for r in got} == want
+    assert sum(map(len, want.values())) > 100
+    for r in got:
+        own = dict(texts)[r.doc_id]
+        left = "".join(c for i, c in enumerate(own or "") if not any(a <= i < b for a, b, _ in want[r.doc_id]))
+        assert (r.text or "") == left
