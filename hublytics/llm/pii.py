@@ -72,11 +72,12 @@ IBAN_LENGTHS = {
     27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC"}
 
 
-def iban_pattern() -> str:
+def iban_pattern(ahead: str = "(?=[A-Z]{2}[0-9]{2})") -> str:
     """Numbers of a known country end where its length ends, so a word behind
-    them is no part; then any two letters and as many as there can be."""
+    them is no part; then any two letters and as many as there can be.
+    ``ahead`` saves trying every country at every place."""
     known = "|".join(f"(?:{'|'.join(names.split())})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for n, names in IBAN_LENGTHS.items())
-    return f"(?:{known}|[A-Z]{{2}}[0-9]{{2}}(?:[A-Z0-9]{{11,30}}|(?: [A-Z0-9]{{4}}){{2,7}}(?: [A-Z0-9]{{1,3}})?))"
+    return f"{ahead}(?:{known}|[A-Z]{{2}}[0-9]{{2}}(?:[A-Z0-9]{{11,30}}|(?: [A-Z0-9]{{4}}){{2,7}}(?: [A-Z0-9]{{1,3}})?))"
 
 
 KINDS = [

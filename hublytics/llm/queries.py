@@ -226,7 +226,7 @@ def _pii_sql() -> str:
     }
     # the same patterns without the marks that only save one engine work
     plain = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+",
-             "card": r"[0-9](?:[\x20-]?[0-9])+"}
+             "card": r"[0-9](?:[\x20-]?[0-9])+", "iban": pii.iban_pattern("")}
     # positions first; then context from the text around a match, which a heading hands on
     # along a list: matches at most a context apart with no letter between them
     found = "\nunion all\n".join(f"""
