@@ -65,18 +65,17 @@ def _distinct(col: str, approx_rsd: float | None):
     return F.approx_count_distinct(col, approx_rsd) if approx_rsd else F.count_distinct(col)
 
 
-def mart_hub_performance(fct_order: DataFrame, dim_wh: DataFrame, hint: Hint | None = None,
-                         approx_rsd: float | None = None) -> DataFrame:
-    """Per delivering warehouse: volume, rates, active shippers, leadtime."""
-    o = fct_order.filter(F.col("deliver_warehouse_id").isNotNull())
-    agg = o.groupBy(F.col("deliver_warehouse_id").alias("warehouse_id")).agg(
-        F.count(F.lit(1)).alias("total_orders"),
-        _count_if(F.col("is_delivered")).alias("delivered_orders"),
-        _count_if(F.col("is_returned")).alias("returned_orders"),
-        _count_if(F.col("is_sla_breach")).alias("sla_breach_orders"),
-        _distinct("deliver_user_id", approx_rsd).alias("active_shippers"),
-        F.avg(F.when(F.col("is_delivered"), F.col("delivery_hours"))).alias("avg_delivery_hours"),
-        F.sum(F.when(F.col("is_cod"), F.col("cod_amount_vnd"))).alias("cod_amount_vnd"))
+def hub_sums() -> dict[str, F.Column]:
+    """Measures of a hub that add up over its orders."""
+    leadtime = F.when(F.col("is_delivered"), F.col("delivery_hours"))
+    return {"total_orders": F.count(F.lit(1)), "delivered_orders": _count_if(F.col("is_delivered")),
+            "returned_orders": _count_if(F.col("is_returned")), "sla_breach_orders": _count_if(F.col("is_sla_breach")),
+            "cod_amount_vnd": F.sum(F.when(F.col("is_cod"), F.col("cod_amount_vnd"))),
+            "hours_sum": F.sum(leadtime), "hours_count": F.count(leadtime)}
+
+
+def hub_from_sums(agg: DataFrame, dim_wh: DataFrame, hint: Hint | None = None) -> DataFrame:
+    """The mart from a row a hub: :func:`hub_sums` and active_shippers."""
     w = _hint(hint)("dim_warehouse", dim_wh.select(
         "warehouse_id", "warehouse_name", "warehouse_type", "region", "region_shortname", "province_name"))
     return agg.join(w, "warehouse_id", "inner").select(
@@ -86,10 +85,52 @@ def mart_hub_performance(fct_order: DataFrame, dim_wh: DataFrame, hint: Hint | N
         pct("delivered_orders", "total_orders").alias("success_rate_pct"),
         pct("returned_orders", "total_orders").alias("return_rate_pct"),
         pct("sla_breach_orders", "total_orders").alias("sla_breach_rate_pct"),
-        round_like("avg_delivery_hours", 2).alias("avg_delivery_hours"),
+        round_like(F.col("hours_sum") / F.nullif(F.col("hours_count"), F.lit(0)), 2).alias("avg_delivery_hours"),
         ratio("total_orders", "active_shippers", 1).alias("orders_per_shipper"))
 
 
+def mart_hub_performance(fct_order: DataFrame, dim_wh: DataFrame, hint: Hint | None = None,
+                         approx_rsd: float | None = None) -> DataFrame:
+    """Per delivering warehouse: volume, rates, active shippers, leadtime."""
+    o = fct_order.filter(F.col("deliver_warehouse_id").isNotNull())
+    agg = o.groupBy(F.col("deliver_warehouse_id").alias("warehouse_id")).agg(
+        *[f.alias(n) for n, f in hub_sums().items()], _distinct("deliver_user_id", approx_rsd).alias("active_shippers"))
+    return hub_from_sums(agg, dim_wh, hint)
+
+
+SLA_KEYS = ["week_start", "year", "quarter", "region", "service_code"]
+
+
+def calendar(dim_date: DataFrame, hint: Hint | None = None) -> DataFrame:
+    return _hint(hint)("dim_date", dim_date.select("date_id", "week_start", "year", "quarter"))
+
+
+def delivered_leadtimes(fct_order: DataFrame) -> DataFrame:
+    """date_id, region, service_code, is_sla_breach, delivery_hours of delivered orders."""
+    return fct_order.filter(F.col("is_delivered")).select(
+        "date_id", F.coalesce(F.col("deliver_region"), F.lit("unknown")).alias("region"),
+        F.coalesce(F.col("type_order_code"), F.lit("unknown")).alias("service_code"), "is_sla_breach", "delivery_hours")
+
+
+def sla_from_histogram(hist: DataFrame) -> DataFrame:
+    """The mart from leadtime histograms: SLA_KEYS, __x, __c, __cb."""
+    q_aggs, q_finals = quantile_aggs({"_p50": 0.5, "_p90": 0.9})
+    agg = (rank_histogram(hist, SLA_KEYS).groupBy(*SLA_KEYS)
+           .agg(F.sum("__c").alias("delivered_orders"), F.sum("__cb").alias("sla_breach_orders"),
+                (F.sum(F.col("__x") * F.col("__c")) / F.nullif(F.max("__n"), F.lit(0))).alias("_avg"),
+                *q_aggs)
+           .select(*SLA_KEYS, "delivered_orders", "sla_breach_orders", "_avg", *q_finals))
+    return _sla_columns(agg)
+
+
+def _sla_columns(agg: DataFrame) -> DataFrame:
+    return agg.select(*SLA_KEYS, "delivered_orders", "sla_breach_orders",
+                      pct("sla_breach_orders", "delivered_orders").alias("sla_breach_rate_pct"),
+                      round_like("_avg", 2).alias("avg_delivery_hours"),
+                      round_like("_p50", 2).alias("p50_delivery_hours"),
+                      round_like("_p90", 2).alias("p90_delivery_hours"))
+
+
 def mart_sla_breakdown(fct_order: DataFrame, dim_date: DataFrame, hint: Hint | None = None,
                        approx_accuracy: int | None = None, builtin_percentile: bool = False) -> DataFrame:
     """SLA by week x year x quarter x region x service, with exact p50/p90
@@ -102,37 +143,18 @@ def mart_sla_breakdown(fct_order: DataFrame, dim_date: DataFrame, hint: Hint | N
     built-in exact ``percentile`` (value map per group in the aggregation
     buffer) or ``percentile_approx`` with ``approx_accuracy``.
     """
-    o = fct_order.filter(F.col("is_delivered"))
-    d = _hint(hint)("dim_date", dim_date.select("date_id", "week_start", "year", "quarter"))
-    keys = ["week_start", "year", "quarter", "region", "service_code"]
-    rows = o.join(d, "date_id", "inner").select(
-        "week_start", "year", "quarter",
-        F.coalesce(F.col("deliver_region"), F.lit("unknown")).alias("region"),
-        F.coalesce(F.col("type_order_code"), F.lit("unknown")).alias("service_code"),
-        "is_sla_breach", "delivery_hours")
+    rows = delivered_leadtimes(fct_order).join(calendar(dim_date, hint), "date_id", "inner")
     h = F.col("delivery_hours")
-    if approx_accuracy or builtin_percentile:
-        if approx_accuracy:
-            p50, p90 = F.percentile_approx(h, 0.5, approx_accuracy), F.percentile_approx(h, 0.9, approx_accuracy)
-        else:
-            p50, p90 = F.median(h), F.percentile(h, F.lit(0.9))
-        agg = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("delivered_orders"),
-                                      _count_if(F.col("is_sla_breach")).alias("sla_breach_orders"),
-                                      F.avg(h).alias("_avg"), p50.alias("_p50"), p90.alias("_p90"))
+    if not (approx_accuracy or builtin_percentile):
+        return sla_from_histogram(rows.groupBy(*SLA_KEYS, h.alias("__x")).agg(
+            F.count(F.lit(1)).alias("__c"), _count_if(F.col("is_sla_breach")).alias("__cb")))
+    if approx_accuracy:
+        p50, p90 = F.percentile_approx(h, 0.5, approx_accuracy), F.percentile_approx(h, 0.9, approx_accuracy)
     else:
-        hist = rows.groupBy(*keys, h.alias("__x")).agg(F.count(F.lit(1)).alias("__c"),
-                                                         _count_if(F.col("is_sla_breach")).alias("__cb"))
-        q_aggs, q_finals = quantile_aggs({"_p50": 0.5, "_p90": 0.9})
-        agg = (rank_histogram(hist, keys).groupBy(*keys)
-               .agg(F.sum("__c").alias("delivered_orders"), F.sum("__cb").alias("sla_breach_orders"),
-                    (F.sum(F.col("__x") * F.col("__c")) / F.nullif(F.max("__n"), F.lit(0))).alias("_avg"),
-                    *q_aggs)
-               .select(*keys, "delivered_orders", "sla_breach_orders", "_avg", *q_finals))
-    return agg.select(*keys, "delivered_orders", "sla_breach_orders",
-                      pct("sla_breach_orders", "delivered_orders").alias("sla_breach_rate_pct"),
-                      round_like("_avg", 2).alias("avg_delivery_hours"),
-                      round_like("_p50", 2).alias("p50_delivery_hours"),
-                      round_like("_p90", 2).alias("p90_delivery_hours"))
+        p50, p90 = F.median(h), F.percentile(h, F.lit(0.9))
+    return _sla_columns(rows.groupBy(*SLA_KEYS).agg(
+        F.count(F.lit(1)).alias("delivered_orders"), _count_if(F.col("is_sla_breach")).alias("sla_breach_orders"),
+        F.avg(h).alias("_avg"), p50.alias("_p50"), p90.alias("_p90")))
 
 
 def mart_failure_reasons(fct_attempt: DataFrame, approx_rsd: float | None = None,

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hublytics.functions.semantics import action_name, lower_trim, money, round_like, to_bigint, volumetric_weight
-from hublytics.operators import core, derive, history, quality, reports, staging
+from hublytics.operators import core, derive, history, partials, quality, reports, staging
 from hublytics.operators.joins import bounded_broadcast
 from hublytics.plans import pipeline, views
 from hublytics.plans.warehouse import Warehouse
@@ -352,7 +352,39 @@ def q_large_ids(spark, sf_dir):
                     to_bigint(F.col("o_totalprice").cast("double")).alias("rounded"))
 
 
+def _by_steps(spark, sf_dir, states: Callable[[DataFrame], list[DataFrame]]) -> list[DataFrame]:
+    """States of the order fact as three loads leave them: the days up to a
+    middle one with half of that day's orders, the middle day again with all of
+    them, and the days after it. Each load publishes a version."""
+    fct = _wh(spark, sf_dir)["fct_shipping_order"]
+    middle = fct.agg(F.percentile_approx("date_id", 0.5)).scalar()
+    day, half = F.col("date_id"), F.xxhash64("order_code") % 2 == 0
+    loads = [fct.filter((day < middle) | (day == middle) & half), fct.filter(day == middle), fct.filter((day > middle) | day.isNull())]
+    root = f"{checkpoint_dir(spark).rstrip('/')}/states-{uuid.uuid4().hex}"
+    for n, load in enumerate(loads):
+        for i, fresh in enumerate(states(load)):
+            old = read_table(spark, f"{root}/{i}") if n else None
+            publish_table(partials.replace_days(old, fresh, load.select("date_id")), f"{root}/{i}")
+    return [read_table(spark, f"{root}/{i}") for i in range(len(states(fct)))]
+
+
+def q_sla_by_states(spark, sf_dir):
+    """The SLA mart from stored leadtime histograms of days."""
+    states = _by_steps(spark, sf_dir, lambda fct: [partials.leadtime_states(fct)])
+    wh = _wh(spark, sf_dir)
+    return partials.sla_breakdown(states[0], wh["dim_date"], wh.hint)
+
+
+def q_hub_by_states(spark, sf_dir):
+    """The hub mart from stored daily sums and bitmaps of shippers."""
+    measures, bitmaps = _by_steps(spark, sf_dir, lambda fct: list(partials.hub_states(fct)))
+    wh = _wh(spark, sf_dir)
+    return partials.hub_performance(measures, bitmaps, wh["dim_warehouse"], wh.hint)
+
+
 QUERIES.update({
+    "sla_by_states": q_sla_by_states,
+    "hub_by_states": q_hub_by_states,
     "snapshot_on_disk": q_snapshot_on_disk,
     "pruned_scan": q_pruned_scan,
     "declared_read": q_declared_read,

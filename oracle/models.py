@@ -465,6 +465,8 @@ left join (select order_code, min(created_date)::date as route_day from raw_data
 where action_category = 'export'"""
 
 OPS_SQL = {
+    "sla_by_states": "select * from mart_sla_breakdown",
+    "hub_by_states": "select * from mart_hub_performance",
     "declared_read": """
 select client_id, case when client_id % 5 <> 0 then shop_id end as shop_id, null::varchar as tier, 1 as note,
   'tier missing; shop_id type; note extra' as findings

@@ -365,3 +365,21 @@ def test_kpi_drops_orders_without_a_calendar_day(spark):
     ids = {r.date_id for r in days.collect()}
     got = {r.date_id for r in marts.mart_daily_kpi(w["fct_shipping_order"], spark.createDataFrame(days.collect(), days.schema)).collect()}
     assert got and got <= ids
+
+
+def test_states_by_day_merge_to_the_full_marts(spark):
+    """Distinct counts and quantiles from merged states, also for ids beyond one
+    bitmap, hubs without shippers, days without a key and days that shrink."""
+    from hublytics.operators import marts, partials
+    w = wh(spark)
+    fct = w["fct_shipping_order"].withColumn("deliver_user_id", F.col("deliver_user_id") * 40_000 - 7_000_000)
+    fct = fct.withColumn("deliver_user_id", F.when(F.col("deliver_warehouse_id") % 9 != 0, F.col("deliver_user_id")))
+    rows = lambda d: sorted(map(str, d.collect()))
+    measures, bitmaps = partials.hub_states(fct)
+    want = marts.mart_hub_performance(fct, w["dim_warehouse"], w.hint)
+    assert rows(partials.hub_performance(measures, bitmaps, w["dim_warehouse"], w.hint)) == rows(want)
+    assert bitmaps.select("bucket").distinct().count() > 10 and want.filter("active_shippers = 0").count() > 0
+    lost = fct.filter("date_id % 3 = 0").filter("hash(order_code) % 2 = 0")
+    after = fct.filter("date_id % 3 != 0").unionByName(lost)
+    states = partials.replace_days(partials.leadtime_states(fct), partials.leadtime_states(lost), fct.filter("date_id % 3 = 0"))
+    assert rows(partials.sla_breakdown(states, w["dim_date"], w.hint)) == rows(marts.mart_sla_breakdown(after, w["dim_date"], w.hint))
