@@ -20,7 +20,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hublytics.operators.joins import MAX_BROADCAST_BYTES, bounded_broadcast, estimated_bytes
+from hublytics.operators.joins import MAX_BROADCAST_BYTES, bounded_broadcast, fits
 from hublytics.sources.sinks import scratch
 
 _FILE, _AT, _KEY = "__file", "__at", "__key"
@@ -61,7 +61,7 @@ def first_places(df: DataFrame, key: str, order: list[Column], columns: list[str
 def keep_first(df: DataFrame, key: str, order: list[Column], places: DataFrame | None,
                max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """The first row per ``key`` in ``order``, given :func:`first_places`."""
-    if places is None or estimated_bytes(places) > max_bytes:
+    if places is None or not fits(places, max_bytes):
         return dedup_latest(df, key, order)
     chosen = F.broadcast(places.select(F.col(_KEY), F.col(_FILE).alias("__f"), F.col(_AT).alias("__a")))
     joined = _places(df, [*df.columns]).join(chosen, F.col(key).eqNullSafe(F.col(_KEY)), "left")
@@ -75,7 +75,7 @@ def mark_later(df: DataFrame, key: str, order: list[Column], columns: list[str],
     missing key repeats nothing."""
     known = F.col(key).isNotNull()
     places = first_places(df.filter(known), key, order, columns)
-    if places is None or estimated_bytes(places) > max_bytes:
+    if places is None or not fits(places, max_bytes):
         number = F.row_number().over(Window.partitionBy(key).orderBy(*order))
         return (df.filter(known).withColumn(name, number > 1)
                 .unionByName(df.filter(~known).withColumn(name, F.lit(False))))

@@ -30,7 +30,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hublytics.operators.joins import MAX_BROADCAST_BYTES, estimated_bytes
+from hublytics.operators.joins import MAX_BROADCAST_BYTES, fits
 from hublytics.operators.windows import MAX_GROUP_ROWS, slices
 
 META = ["scd_id", "updated_at", "valid_from", "valid_to"]
@@ -136,13 +136,13 @@ def as_of_join(facts: DataFrame, history: DataFrame, key: str, at: str, attrs: l
     ``valid_from <= at < coalesce(valid_to, +inf)``. Left join: facts with no
     version valid at that time get NULLs.
 
-    Versions of a key do not overlap. A history of small estimated size is
+    Versions of a key do not overlap. A history that is small in memory is
     broadcast; otherwise facts and versions are merged into one ordered stream
     per key, which costs one sort whatever the versions of a key.
     """
     h = history.select(F.col(key).alias("__k"), "valid_from", "valid_to",
                        *[F.col(a).alias(f"__{a}") for a in attrs])
-    if estimated_bytes(h) > max_broadcast_bytes:
+    if not fits(h, max_broadcast_bytes):
         return _as_of_stream(facts, h, at, attrs, key, max_rows)
     h = F.broadcast(h)
     cond = ((facts[key] == h["__k"]) & (h["valid_from"] <= facts[at])

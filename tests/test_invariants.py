@@ -383,3 +383,18 @@ def test_states_by_day_merge_to_the_full_marts(spark):
     after = fct.filter("date_id % 3 != 0").unionByName(lost)
     states = partials.replace_days(partials.leadtime_states(fct), partials.leadtime_states(lost), fct.filter("date_id % 3 = 0"))
     assert rows(partials.sla_breakdown(states, w["dim_date"], w.hint)) == rows(marts.mart_sla_breakdown(after, w["dim_date"], w.hint))
+
+
+def test_a_well_compressed_dimension_is_not_broadcast(spark, tmp_root):
+    """Files of a few MB that hold hundreds of MB of rows."""
+    from hublytics.operators import joins
+    path = f"{tmp_root}/compressed_dim"
+    spark.range(1_000_000).select("id", F.repeat(F.lit("x"), 400).alias("a"), F.lit("region").alias("b")).write.parquet(path)
+    dim = spark.read.parquet(path)
+    assert joins.SURE_BYTES < joins.estimated_bytes(dim) < joins.MAX_BROADCAST_BYTES < 300_000_000 < joins.measured_bytes(dim)
+    policy = joins.BroadcastPolicy()
+    assert not policy.is_small("dim", dim) and policy.is_small("dim", dim.select("id", "b").limit(1000))
+    facts = spark.range(10).withColumnRenamed("id", "k")
+    plan = lambda d: facts.join(policy("dim", d), facts["k"] == d["id"])._jdf.queryExecution().logical().toString()
+    assert "ResolvedHint" not in plan(dim) and "Hint" in plan(dim.filter("id < 5").select("id", "b"))
+    assert not joins.fits(dim, 10) and joins.fits(dim.limit(0))
