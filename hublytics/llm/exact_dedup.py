@@ -26,10 +26,11 @@ each group stays. Further columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hublytics.llm.common import cut, text_or_empty, without_space
+from hublytics.operators.joins import bounded_broadcast
 
 BLOCK_BYTES = 4096
 
@@ -113,14 +114,12 @@ def exact_dedup(docs: DataFrame, block_bytes: int = BLOCK_BYTES, key=route) -> D
 
 
 def keep_first(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without the rows that :func:`exact_dedup` drops; all columns stay."""
-    keep = exact_dedup(docs, **options).where("kept").select(
-        F.col("doc_id").alias("__k_id"), F.col("text_sha256").alias("__k_sha"), F.col("n_chars").alias("__k_n"))
-    marked = docs.withColumns({"__sha": F.sha2(without_space(text_or_empty()).cast("binary"), 256),
-                               "__n": F.length(text_or_empty()).cast("long")})
-    same = (F.col("doc_id").eqNullSafe(F.col("__k_id")) & (F.col("__sha") == F.col("__k_sha"))
-            & (F.col("__n") == F.col("__k_n")))
-    left = marked.join(keep, same, "left_semi")
-    # wholly repeated rows (same doc_id, text) all match their kept twin: one of them stays
-    first = F.row_number().over(Window.partitionBy("doc_id", "__sha", "__n").orderBy(F.lit(1)))
-    return left.withColumn("__first", first).where("__first = 1").select(*[F.col(c) for c in docs.columns])
+    """``docs`` without the rows that :func:`exact_dedup` drops; all columns
+    stay. The rows are numbered and written once, so that only the numbers of
+    dropped rows go back to them: texts are not shuffled where these numbers fit
+    a broadcast."""
+    numbered = cut(docs.withColumn("__row", F.monotonically_increasing_id()), "exact-docs")
+    own = numbered.select(F.struct(F.col("doc_id").isNull().alias("u"), "doc_id", "__row").alias("doc_id"), "text")
+    dropped = cut(exact_dedup(own, **options).where(~F.col("kept")).select(F.col("doc_id.__row").alias("__gone")), "exact-dropped")
+    left = numbered.join(bounded_broadcast(dropped), F.col("__row") == F.col("__gone"), "left_anti")
+    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
