@@ -47,7 +47,7 @@ ORDER = 2
 #: size of the tables that are broadcast together
 GROUP_BYTES = 64 << 20
 #: pairs of window and number that a counting task holds before it adds them up
-HELD = 4 << 20
+HELD = 1 << 20
 #: bytes coded at once
 PIECE = 1 << 20
 HELD_OUT = 2
