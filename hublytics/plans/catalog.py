@@ -328,7 +328,7 @@ def q_declared_read(spark, sf_dir):
 
 
 def q_export_by_week(spark, sf_dir):
-    """The KPI mart exported by week, one week's folders read back."""
+    """The KPI mart exported by week, all weeks' folders read back."""
     root = f"{checkpoint_dir(spark).rstrip('/')}/export-{uuid.uuid4().hex}"
     path = f"{root}/mart_daily_kpi"
     write_table(_wh(spark, sf_dir)["mart_daily_kpi"], path, partition_by=["week_start"])
@@ -336,6 +336,18 @@ def q_export_by_week(spark, sf_dir):
             .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("total_orders").alias("total_orders")))
 
 
+WEEK_RANGE = ("1997-01-06", "1997-03-31")
+
+
+def q_export_week_range(spark, sf_dir):
+    """A range of weeks of the exported KPI mart: the scan opens these weeks'
+    folders alone."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/export-{uuid.uuid4().hex}/mart_daily_kpi"
+    write_table(_wh(spark, sf_dir)["mart_daily_kpi"], path, partition_by=["week_start"])
+    weeks = F.col("week_start").between(*[F.lit(d).cast("date") for d in WEEK_RANGE])
+    return spark.read.parquet(path).filter(weeks).select("week_start", "date_id", "region", "total_orders")
+
+
 def q_event_nanos(spark, sf_dir):
     """Event times as whole nanoseconds with a part below the second."""
     ev = spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
@@ -389,6 +401,7 @@ QUERIES.update({
     "pruned_scan": q_pruned_scan,
     "declared_read": q_declared_read,
     "export_by_week": q_export_by_week,
+    "export_week_range": q_export_week_range,
     "event_nanos": q_event_nanos,
     "large_ids": q_large_ids,
     "scd2_two_runs": q_scd2_two_runs,

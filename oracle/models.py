@@ -465,6 +465,9 @@ left join (select order_code, min(created_date)::date as route_day from raw_data
 where action_category = 'export'"""
 
 OPS_SQL = {
+    "export_week_range": """
+select week_start, date_id, region, total_orders from mart_daily_kpi
+where week_start between date '1997-01-06' and date '1997-03-31'""",
     "sla_by_states": "select * from mart_sla_breakdown",
     "hub_by_states": "select * from mart_hub_performance",
     "declared_read": """

@@ -1,6 +1,7 @@
 """Plan-regression checks: the shapes that matter at scale."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from hublytics.plans import catalog
@@ -64,3 +65,13 @@ def test_checks_read_written_tables(spark):
         assert "Window" not in df._jdf.queryExecution().executedPlan().toString(), name
     # eleven raw tables once each, orders and hubs once more for the orphan join
     assert plan_summary(QUERIES["dq_profile"](spark, SF_CHECK))["scans"] <= 13
+
+
+def test_a_week_range_opens_its_own_folders(spark):
+    df = QUERIES["export_week_range"](spark, SF_CHECK)
+    assert df.count() > 0
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(week_start" in plan
+    weeks = {r[0] for r in df.select("week_start").distinct().collect()}
+    read = {f.rsplit("/", 2)[1] for f in df.select(F.input_file_name()).distinct().toPandas().iloc[:, 0]}
+    assert read == {f"week_start={w}" for w in weeks} and len(weeks) == 13
