@@ -310,3 +310,82 @@ def test_language_stage_fills_lang(spark):
     truth = [lang for lang, _ in _odd_texts()]
     kept = language_id.keep_languages(docs).collect()
     assert len(kept) == len(rows) and sum(r.lang == truth[r.doc_id] for r in kept) > 0.97 * len(rows)
+
+
+def plain_literals(lines):
+    """Spans of the literals that reach a sensitive name, restated for lines
+    (name, mark, parts) whose parts are quoted texts or earlier names; values are
+    written out in full."""
+    import math
+    import string
+    from collections import Counter
+
+    def weight(name):
+        words = re.sub(r"([a-z0-9])([A-Z])", r"\1 \2", name.split(".")[-1]).replace("_", " ").replace("-", " ").lower().split()
+        joined = {"".join(words[i:j]) for i in range(len(words)) for j in range(i + 1, min(i + 3, len(words)) + 1)}
+        joined |= {e for w in words for e in secret_scan.ENDINGS if w.endswith(e)}
+        return max((secret_scan.SENSITIVE.get(j, 0) for j in joined), default=0)
+
+    text, values, found = "", {}, set()
+    for name, mark, parts in lines:
+        text += name + mark
+        here, spans = [], []
+        for n, (kind, p) in enumerate(parts):
+            text += " + " if n else ""
+            if kind == "name":
+                here += values[p][0]
+                spans += values[p][1]
+                text += p
+            else:
+                spans.append((len(text) + 1, len(text) + 1 + len(p)))
+                here.append(p)
+                text += f'"{p}"'
+        text += "\n"
+        values[name] = (here, spans)
+        whole, w = "".join(here), weight(name)
+        if not w or len(whole) < secret_scan.MIN_LENGTH:
+            continue
+        n = Counter(whole)
+        entropy = -sum(k / len(whole) * math.log2(k / len(whole)) for k in n.values())
+        kinds = (string.ascii_lowercase, string.ascii_uppercase, string.digits)
+        classes = sum(any(c in k for c in whole) for k in kinds) + any(c not in "".join(kinds) for c in whole)
+        score = min(1.0, w + min(0.25, max(0.0, (entropy - 1.5) / 8)) + 0.05 * (classes - 1))
+        if len(here) == 1 and secret_scan.REFERENCE.fullmatch(whole):
+            score -= 1
+        elif all(map(secret_scan.PLACEHOLDER.fullmatch, here)) or len(whole) <= 256 and secret_scan.PLACEHOLDER.fullmatch(whole):
+            score -= secret_scan.ALL_FILLER
+        elif secret_scan.PLACEHOLDER_START.match(whole[:256]):
+            score -= secret_scan.SOME_FILLER
+        score -= secret_scan.SPACED if " " in whole else 0
+        if score >= secret_scan.MIN_SCORE:
+            found |= {s for s in spans if s[1] > s[0]}
+    return text, found
+
+
+def test_secret_literals_equal_a_plain_restatement():
+    import random
+    rng = random.Random(9)
+    names = ["password", "db_password", "user", "colour", "authToken", "max_tokens", "monkey_id", "api_key", "apiKey", "compass", "author",
+             "client_secret", "secretary", "service.auth", "key", "foreign-key", "PRIVATE_KEY", "passphrase", "salt", "basalt", "dbpassword"]
+    fills = ["your_password_here", "x" * 12, "x" * 400, "changeme", "${SECRET}", "${" + "A" * 300 + "}", "<your token>", "the quick fox", "", "a", "0000"]
+    total = 0
+    for _ in range(400):
+        lines, known = [], []
+        for _ in range(rng.randint(1, 12)):
+            parts = []
+            for _ in range(rng.choice([1, 1, 1, 2, 3])):
+                free = [k for k in known if ("name", k) not in parts]
+                if free and rng.random() < 0.3 and not any(p[0] == "name" for p in parts):
+                    parts.append(("name", rng.choice(free)))
+                else:
+                    made = "".join(rng.choice("abcXYZ0189-/+_ é") for _ in range(rng.randint(1, 30)))
+                    parts.append(("text", rng.choice(fills) if rng.random() < 0.4 else made))
+            name = rng.choice(names)
+            lines.append((name, rng.choice([" = ", ": ", " := ", "="]), parts))
+            known = sorted({*known, name} - {k for k in known if not re.fullmatch(r"[A-Za-z_]+", k)})
+            known = [k for k in known if re.fullmatch(r"[A-Za-z_]+", k)]
+        text, want = plain_literals(lines)
+        got = {(a, b) for a, b, kind, *_ in secret_scan.spans(text) if kind == "literal"}
+        assert got == want, text
+        total += len(want)
+    assert total > 300
