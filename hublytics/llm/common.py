@@ -31,6 +31,16 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete a table of :func:`cut` that has been read for the last time."""
+    files = table.inputFiles()
+    folder = files[0].rsplit("/", 1)[0] if files else ""
+    if "/hublytics-llm/" in folder:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def slices(batches, rows: int = 512):
     """Arrow batches in pieces of at most ``rows`` rows, so that what a task
     makes of a batch stays small."""

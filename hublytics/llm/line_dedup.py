@@ -41,7 +41,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hublytics.llm.common import cut, slices
+from hublytics.llm.common import cut, discard, slices
 
 MIN_WORDS = 16
 WINDOW = 9
@@ -87,17 +87,15 @@ class _Lexed:
         closes = np.isin(breaks, self.text_at + size - 1)  # the end of a text, not a line end of it
         # the words themselves: each different one is hashed once
         coded = pa.array(joined.lower().split(), pa.string()).dictionary_encode()
-        code, unique = coded.indices.to_numpy(), [w.encode("utf-8") for w in coded.dictionary.to_pylist()]
-        weak = np.array([crc32(w) for w in unique], np.uint32) * np.uint32(2654435761)
-        strong = np.frombuffer(b"".join(hashlib.blake2b(w, digest_size=16).digest() for w in unique), np.uint64).reshape(-1, 2)
-        self.word_hash = strong[code]
+        self.code, self.unique = coded.indices.to_numpy(), coded.dictionary.cast(pa.binary()).to_pylist()
+        weak = np.array([crc32(w) for w in self.unique], np.uint32) * np.uint32(2654435761)
         of_text = np.searchsorted(self.text_at, begins, "right") - 1
         line = np.searchsorted(breaks, begins)
         last_char = points[ends - 1]
         marked = _ENDS[np.minimum(last_char, 127)] & (last_char < 127)
         last = np.append(line[1:] != line[:-1], True)[:len(line)]
         cuts = marked | last
-        cuts[_chosen(weak[code], np.cumsum(cuts) - cuts)] = True
+        cuts[_chosen(weak[self.code], np.cumsum(cuts) - cuts)] = True
         stops = np.flatnonzero(cuts)
         # a line without a closing mark takes its line end along
         stop_at = np.where(last & ~marked, (breaks + 1 - closes)[line], ends)[stops] if len(line) else ends
@@ -113,11 +111,12 @@ class _Lexed:
     def digests(self, first: np.ndarray, last: np.ndarray) -> list[np.ndarray]:
         """Two 64-bit numbers of the words first .. last: polynomials of the
         words' hashes, taken from running sums, and mixed."""
-        n, out = len(self.word_hash), []
+        strong = np.frombuffer(b"".join(hashlib.blake2b(w, digest_size=16).digest() for w in self.unique), np.uint64).reshape(-1, 2)
+        n, out = len(self.code), []
         for k in range(2):
             power = np.multiply.accumulate(np.append(np.uint64(1), np.full(n, _BASES[k], np.uint64)))
             back = np.multiply.accumulate(np.append(np.uint64(1), np.full(n, _INVERSES[k], np.uint64)))
-            sums = np.append(np.uint64(0), np.cumsum(self.word_hash[:, k] * power[:n], dtype=np.uint64))
+            sums = np.append(np.uint64(0), np.cumsum(strong[self.code, k] * power[:n], dtype=np.uint64))
             h = (sums[last] - sums[first]) * back[first] + (last - first).astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
             for shift, by in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
                 h = (h ^ (h >> np.uint64(shift))) * np.uint64(by)
@@ -237,6 +236,7 @@ def repeated_units(docs: DataFrame) -> DataFrame:
         _digests, f"doc_id {kind}, text_key long, unit int, line int, d1 long, d2 long"), "line-units")
     often = cut(all_units.groupBy("d1").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("d1"), "line-often")
     occ = cut(all_units.join(often, "d1", "left_semi"), "line-occurrences")
+    discard(all_units)  # the largest table; what is needed of it is written
     first = cut(occ.groupBy("d1", "d2").agg(
         F.min("doc_id").alias("keep_doc_id"), F.min(F.when(F.col("line").isNotNull(), F.col("doc_id"))).alias("line_keep_id"),
         F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"), "line-first")
