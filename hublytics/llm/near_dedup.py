@@ -22,9 +22,15 @@ How it runs, without listing pairs of a group:
 3. A group of up to CHUNK nodes is resolved in one place by a union-find that
    compares only nodes not yet connected.
 4. A larger group is dealt into chunks, twice with different deals; the links
-   found merge most of it. Then only chunks of different components meet, in
-   pairs of chunks, so every pair of nodes that is not connected already has
-   been compared: no link is lost and no chunk exceeds its bound.
+   found merge most of it. What is left to compare are nodes of different
+   components that share a band. So the band buckets that still hold two
+   components meet, registers only: each node whose estimate with another one
+   is high enough is told, in the first band that the two share. Only these
+   nodes' sets travel on, to be compared exactly. A bucket of more than MEET
+   nodes is cut by set size (similar sets are of like size) and dealt into
+   cells that meet in pairs, so no link is lost and no task exceeds its bound.
+   A node has at most one row for each of its bands (and partner cell), however
+   large its candidate group is.
 
 Defined cases: null text or text without a word has the empty set, is linked
 with nothing and stays; a text of fewer words than a shingle has one shingle,
@@ -36,6 +42,7 @@ gives no rows.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,8 +61,12 @@ ERRORS = 6.0
 #: nodes, and shingles, that one task compares at once
 CHUNK = 512
 CHUNK_SHINGLES = 4_000_000
-#: a bound of the filter that is broadcast before texts are shuffled
-SLOTS = 1 << 21
+#: nodes of a band bucket whose registers one task compares with each other
+MEET = 2048
+#: bits of the filter that is broadcast before texts are shuffled: 16 for each wanted text, 32 MB at most
+FILTER_BITS = 28
+#: bits of one row of it
+BITMAP = 8 * 4096
 #: bytes of text turned into words at once
 PIECE = 1 << 20
 #: chance that two unequal minima agree in zeros (1/3) and in all mantissa bits
@@ -277,8 +288,75 @@ def _deal(node, chunks, salt: int) -> F.Column:
     return F.pmod(F.xxhash64(node, F.lit(salt)), chunks)
 
 
-def _slot(doc_id) -> F.Column:
-    return F.pmod(F.xxhash64(doc_id), F.lit(SLOTS))
+def _contenders(percent: int):
+    """Nodes of a meeting that may be similar to a node of another component
+    which shares no earlier band with them."""
+    def run(table: pa.Table) -> pa.Table:
+        cell, comp, node, n = (table.column(c).to_numpy() for c in ("cell", "comp", "node", "n"))
+        band = table.column("band")[0].as_py()
+        regs = np.stack([np.frombuffer(r.as_py(), np.uint16) for r in table.column("regs")])
+        bands = regs.view(np.int64)
+        margin = ERRORS * np.sqrt(0.16 / np.clip(n, 1, REGISTERS))
+        inside = cell.min() == cell.max()
+        marked = np.zeros(len(node), bool)
+        for i in range(len(node)):
+            rest = np.arange(i + 1, len(node))
+            rest = rest[(comp[rest] != comp[i]) & (inside | (cell[rest] != cell[i]))]
+            rest = rest[100 * np.minimum(n[i], n[rest]) >= percent * np.maximum(n[i], n[rest])]
+            if not len(rest):
+                continue
+            estimate = ((regs[rest] == regs[i]).mean(axis=1) - BY_CHANCE) / (1 - BY_CHANCE)
+            rest = rest[estimate >= percent / 100 - np.maximum(margin[i], margin[rest])]
+            rest = rest[(bands[rest] == bands[i]).argmax(axis=1) == band]
+            if len(rest):
+                marked[rest] = marked[i] = True
+        return table.select(["meet", "node", "comp"]).filter(pa.array(marked))
+    return run
+
+
+def contenders(sets: DataFrame, state: DataFrame, keys: DataFrame, percent: int) -> DataFrame:
+    """(meet, node, comp): nodes of large groups to compare exactly with those
+    of the same meeting, such that all pairs of different components that share
+    a band and may be similar meet. ``state``: node, n, comp of the large
+    groups; ``keys``: node, band, key."""
+    at = keys.join(state.select("node", "n", "comp"), "node")
+    mixed = (at.groupBy("band", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("members"))
+             .where("lo < hi").select("band", "key", "members"))
+    # like sizes lie in one class or in two neighbouring ones; a little wider, so that rounding cannot part them
+    step = math.log(max(100 / percent, 1.05)) * (1 + 1e-9)
+    of_size = F.floor(F.log(F.col("n").cast("double")) / step)
+    open_ = at.join(mixed, ["band", "key"]).withColumn("class", F.when(F.col("members") > MEET, of_size).otherwise(0).cast("long"))
+    open_ = cut(open_.select("band", "key", "class", "node", "comp"), "near-open")
+    cells = (open_.groupBy("band", "key", "class").agg(F.count(F.lit(1)).alias("members"))
+             .withColumn("own", F.ceil(F.col("members") / MEET).cast("long")))
+    cells = cut(cells.select("band", "key", "class", "own"), "near-cells")
+    parts = cells.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("own") - 1)))
+    left = parts.select("band", "key", F.col("class").alias("c1"), F.col("part").alias("p1"))
+    right = parts.select("band", "key", F.col("class").alias("c2"), F.col("part").alias("p2"))
+    meet = left.join(right, ["band", "key"]).where("(c1 = c2 and p1 <= p2) or c2 = c1 + 1")
+    meet = cut(meet.withColumn("meet", F.monotonically_increasing_id()), "near-meet")
+    side = lambda k: meet.select("meet", "band", "key", F.col(f"c{k}").alias("class"), F.col(f"p{k}").alias("part"))
+    sides = side(1).union(side(2).join(meet.where("c1 = c2 and p1 = p2").select("meet"), "meet", "left_anti"))
+    dealt = open_.join(cells, ["band", "key", "class"]).withColumn("part", _deal(F.col("node"), F.col("own"), 2))
+    cell = F.xxhash64("class", "part").alias("cell")
+    met = dealt.join(sides, ["band", "key", "class", "part"]).select("meet", "band", cell, "node", "comp")
+    met = met.join(sets.select("node", "n", "regs"), "node")
+    return met.groupBy("meet").applyInArrow(_contenders(percent), "meet long, node long, comp long")
+
+
+def _may_hold(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of ``texts`` whose doc_id may be among ``wanted`` (w_id): a bitmap of
+    hashes, sized by the wanted rows up to a fixed bound, is broadcast, so most
+    of the texts that are not wanted are not shuffled."""
+    bits = 1 << min(FILTER_BITS, max(BITMAP.bit_length() - 1, (16 * wanted.count()).bit_length()))
+    at = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    maps = (wanted.select(at(F.col("w_id")).alias("at")).select(F.floor(F.col("at") / BITMAP).alias("map"), (F.col("at") % BITMAP).alias("bit"))
+            .repartition("map").groupBy("map").agg(F.bitmap_construct_agg("bit").alias("held")))
+    spot = at(texts["doc_id"])
+    byte = F.conv(F.hex(F.substring("held", F.floor(spot % BITMAP / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    held = byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (spot % 8).cast("int"))) != 0
+    near = texts.join(F.broadcast(maps), F.floor(spot / BITMAP) == F.col("map")).where(held)
+    return near.select(*texts.columns)
 
 
 def _relabel(state: DataFrame, edges: DataFrame) -> DataFrame:
@@ -287,46 +365,24 @@ def _relabel(state: DataFrame, edges: DataFrame) -> DataFrame:
     return state.join(found, "comp", "left").withColumn("comp", F.coalesce("__to", "comp")).drop("__to")
 
 
-def _resolve_groups(sets: DataFrame, percent: int) -> DataFrame:
-    """(node, comp) of the nodes of ``sets`` (grp, node, n, chunks, shingles, regs)."""
-    links = lambda d: d.groupBy("grp", "chunk").applyInArrow(_links(percent), "a long, b long")
-    state = sets.select("grp", "node", "n", F.col("node").alias("comp"))
+def _resolve_groups(sets: DataFrame, keys: DataFrame, percent: int) -> DataFrame:
+    """(node, comp) of the nodes of ``sets`` (grp, node, n, chunks, shingles, regs)
+    with the bands ``keys`` (node, band, key)."""
+    links = lambda d, *by: d.groupBy(*by).applyInArrow(_links(percent), "a long, b long")
+    state = sets.select("node", "n", "chunks", F.col("node").alias("comp"))
     first = sets.withColumn("chunk", _deal(F.col("node"), F.col("chunks"), 0)).withColumn("comp", F.col("node"))
-    found = cut(links(first), "near-links")
-    large = sets.where("chunks > 1").select("grp").distinct()
-    if not large.limit(1).count():
+    found = cut(links(first, "grp", "chunk"), "near-links")
+    if not sets.where("chunks > 1").limit(1).count():
         return _relabel(state, found).select("node", "comp")
     state = cut(_relabel(state, found), "near-state")
     # a second deal of the large groups joins the chunks' components
     again = sets.where("chunks > 1").join(state.select("node", "comp"), "node")
     again = again.withColumn("chunk", _deal(F.col("node"), F.col("chunks"), 1))
-    state = cut(_relabel(state, links(again)), "near-state")
-    # now every two components of a large group meet: a large component in
-    # chunks of its own, small ones pooled
-    state_l = state.join(large, "grp", "left_semi")
-    sizes = (state_l.groupBy("grp", "comp").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingle_sum"))
-             .withColumn("own", _chunks()))
-    sizes = cut(sizes.withColumn("alone", (F.col("members") >= CHUNK) | (F.col("own") > 1)), "near-sizes")
-    # a small component has fewer than CHUNK members: pools of whole components hold about CHUNK nodes
-    pools = sizes.where("not alone").groupBy("grp").agg(
-        F.greatest(F.ceil(F.sum("members") / CHUNK), F.ceil(F.sum("shingle_sum") / CHUNK_SHINGLES)).cast("long").alias("pools"))
-    several = sizes.groupBy("grp").agg(F.count(F.lit(1)).alias("comps")).where("comps > 1").select("grp")
-    placed = (sizes.join(several, "grp", "left_semi").join(pools, "grp", "left")
-              .withColumn("owner", F.when(F.col("alone"), F.col("comp")).otherwise(F.lit(-1).cast("long"))))
-    slots = (placed.select("grp", "owner", F.explode(F.when(F.col("alone"), F.sequence(F.lit(0).cast("long"), F.col("own") - 1))
-                           .otherwise(F.array(_deal(F.col("comp"), F.col("pools"), 2)))).alias("slot")).distinct())
-    slots = cut(slots, "near-slots")
-    left = slots.select("grp", F.col("owner").alias("o1"), F.col("slot").alias("s1"))
-    right = slots.select("grp", F.col("owner").alias("o2"), F.col("slot").alias("s2"))
-    meet = left.join(right, "grp").where("o1 < o2 or (o1 = -1 and o2 = -1 and s1 <= s2)")
-    meet = cut(meet.withColumn("chunk", F.monotonically_increasing_id()), "near-meet")
-    sides = (meet.select("grp", "chunk", F.col("o1").alias("owner"), F.col("s1").alias("slot"))
-             .union(meet.select("grp", "chunk", F.col("o2").alias("owner"), F.col("s2").alias("slot"))).distinct())
-    at = (state_l.join(placed.select("grp", "comp", "alone", "own", "pools", "owner"), ["grp", "comp"])
-          .select("grp", "node", "comp", "owner",
-                  F.when(F.col("alone"), _deal(F.col("node"), F.col("own"), 3)).otherwise(_deal(F.col("comp"), F.col("pools"), 2)).alias("slot")))
-    cross = at.join(sides, ["grp", "owner", "slot"]).join(sets.select("node", "shingles", "regs"), "node")
-    return _relabel(state, links(cross)).select("node", "comp")
+    state = cut(_relabel(state, links(again, "grp", "chunk")), "near-state")
+    # what is still apart but shares a band meets
+    left = cut(contenders(sets, state.where("chunks > 1"), keys, percent), "near-contenders")
+    cross = left.join(sets.select("node", "shingles", "regs"), "node")
+    return _relabel(state, links(cross, "meet")).select("node", "comp")
 
 
 def near_dedup(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -352,15 +408,14 @@ def near_dedup(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     members = cut(groups.join(nodes.select("node", "n", "best"), "node"), "near-members")
     chunks = members.groupBy("grp").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingle_sum"))
     wanted = cut(members.join(chunks.select("grp", _chunks().alias("chunks")), "grp")
-                 .select("grp", "node", "n", "chunks", F.col("best.doc_id").alias("w_id"), F.col("best.text_key").alias("w_key"),
-                         _slot(F.col("best.doc_id")).alias("slot")), "near-wanted")
-    # texts that are surely not wanted stay where they are: at most SLOTS numbers are broadcast
-    near = texts.join(F.broadcast(wanted.select("slot").distinct()), _slot(texts["doc_id"]) == F.col("slot"), "left_semi")
+                 .select("grp", "node", "n", "chunks", F.col("best.doc_id").alias("w_id"), F.col("best.text_key").alias("w_key")),
+                 "near-wanted")
+    near = _may_hold(texts, wanted)
     same = near["doc_id"].eqNullSafe(F.col("w_id")) & (near["text_key"] == F.col("w_key"))
     picked = (near.join(wanted.hint("merge"), same).groupBy("w_id", "w_key", "grp", "node", "n", "chunks")
               .agg(F.first("text").alias("text")).select("grp", "node", "n", "chunks", "text"))
     sets = cut(picked.mapInArrow(full_sets(size), "grp long, node long, n long, chunks long, shingles binary, regs binary"), "near-sets")
-    comps = cut(_resolve_groups(sets, percent), "near-comps")
+    comps = cut(_resolve_groups(sets, keys, percent), "near-comps")
 
     own = nodes.join(comps, "node", "left").select("d1", "d2", F.coalesce("comp", "node").alias("comp"), "best.doc_id")
     least = own.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
