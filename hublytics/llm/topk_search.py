@@ -10,9 +10,12 @@ the smaller vec_id wins, so a leaf whose bound equals the k-th score is
 visited only if it has a smaller id.
 
 How it runs: queries are rows of the table, so each is first answered inside
-its own shard. The k-th score found there is shared with every other shard,
-where it prunes from the start. Queries travel in blocks of at most about
-BLOCK_ROWS, one row a block and shard; a task holds one tree and one block.
+its own shard. The k-th score found there is shared with every other shard.
+Before a query travels to a shard, the upper balls of its tree (at most 16, a
+cut through the tree) are bounded: PACK shards' balls meet a block of at most
+about BLOCK_ROWS queries, and only queries that some ball may still serve go on.
+A shard's tree meets them in parts of about a block; shards that no query asks
+are not shuffled at all. The shared score prunes there from the start.
 Only results that beat the shared score come back, and a window with a partial
 group limit ranks them.
 
@@ -40,12 +43,18 @@ SCALE = 256
 SHARD_ROWS = 4096
 BLOCK_ROWS = 8192
 LEAF = 64
+#: a tree's first nodes, of which those without children among them bound the shard (odd: children come in pairs)
+FRONT = 31
+#: shards whose bounds meet a block of queries at once
+PACK = 256
 #: pivots are the rows of smallest hash: a bounded, documented sample that only shapes the shards
 PIVOTS = 64
 EXACT = 2.0 ** 53
 
 _TREE = "shard long, dim int, vecs binary, rows binary, ids binary, lo binary, hi binary, centre binary, radius binary, parent binary"
 _BLOCK = "block long, dim int, vecs binary, rows binary, ids binary, score binary, held binary, home binary"
+_FRONT = "shard long, dim int, centre binary, radius binary"
+_ASKED = "shard long, block long, n long, dim int, vecs binary, rows binary, ids binary, score binary, held binary"
 _HIT = "query_row long, query_id long, score long, vec_id long"
 
 
@@ -135,12 +144,10 @@ def _search(tree: dict, q: np.ndarray, own: np.ndarray, score: np.ndarray, held:
     dim = max(tree["dim"], q.shape[1])
     x, q = _pad(tree["vecs"], dim), _pad(q, dim)
     q_float = q.astype(np.float64)
-    length = np.sqrt((q_float ** 2).sum(axis=1))
     size = float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * max(dim, 1)
     as_float = size < EXACT
     xs, qs = (x.astype(np.float64), q_float) if as_float else (x, q)
-    bound = q_float @ _pad(tree["centre"], dim).T + length[:, None] * tree["radius"]
-    bound += 1e-6 + 1e-9 * np.abs(bound)  # rounding of the bound itself
+    bound = _bound(q, _pad(tree["centre"], dim), tree["radius"])
     parent = tree["parent"]
     for n in range(1, len(parent)):  # breadth first: parents come before children
         np.minimum(bound[:, n], bound[:, parent[n]], out=bound[:, n])
@@ -224,17 +231,55 @@ def _blocks(k: int):
     return run
 
 
+def _front(batches):
+    """The balls that bound each tree: nodes of a cut through it."""
+    for b in batches:
+        out = []
+        for row in b.to_pylist():
+            parent = np.frombuffer(row["parent"], np.int64)[:FRONT]
+            cut_at = np.setdiff1d(np.arange(len(parent)), parent)
+            radius = np.frombuffer(row["radius"], np.float64)
+            centre = np.frombuffer(row["centre"], np.float64).reshape(len(radius), row["dim"])
+            out.append({"shard": row["shard"], "dim": row["dim"], "centre": centre[cut_at].tobytes(), "radius": radius[cut_at].tobytes()})
+        yield pa.RecordBatch.from_pylist(out, pa.schema([("shard", pa.int64()), ("dim", pa.int32()), ("centre", pa.binary()),
+                                                         ("radius", pa.binary())]))
+
+
+def _bound(q: np.ndarray, centre: np.ndarray, radius: np.ndarray) -> np.ndarray:
+    """(queries, balls): no inner product of a query with a vector of the ball is higher."""
+    q = q.astype(np.float64)
+    bound = q @ centre.T + np.sqrt((q ** 2).sum(axis=1))[:, None] * radius
+    return bound + 1e-6 + 1e-9 * np.abs(bound)  # rounding of the bound itself
+
+
+def _ask(fronts: pa.Table, blocks: pa.Table) -> pa.Table:
+    """A block's queries for each shard that may hold one of their results."""
+    schema = pa.schema([(n, pa.int32() if n == "dim" else pa.int64() if n in ("shard", "block", "n") else pa.binary())
+                        for n in (f.split()[0] for f in _ASKED.split(", "))])
+    out = []
+    for b in blocks.to_pylist():
+        block = _load(b)
+        for f in fronts.to_pylist():
+            dim = max(f["dim"], b["dim"])
+            radius = np.frombuffer(f["radius"], np.float64)
+            centre = np.frombuffer(f["centre"], np.float64).reshape(len(radius), f["dim"])
+            bound = _bound(_pad(block["vecs"], dim), _pad(centre, dim), radius).max(axis=1)
+            asks = (bound >= block["score"]) & (block["home"] != f["shard"])
+            if asks.any():
+                out.append({"shard": f["shard"], "block": b["block"], "n": int(asks.sum()), "dim": b["dim"],
+                            **{n: block[n][asks].tobytes() for n in ("vecs", "rows", "ids", "score", "held")}})
+    return pa.Table.from_pylist(out, schema)
+
+
 def _visit(k: int):
-    def run(trees: pa.Table, blocks: pa.Table) -> pa.Table:
+    def run(trees: pa.Table, asked: pa.Table) -> pa.Table:
         out = []
         for t in trees.to_pylist():
             tree = _load(t)
-            for b in blocks.to_pylist():
+            for b in asked.to_pylist():
                 block = _load(b)
-                away = block["home"] != tree["shard"]
-                s, i = _search(tree, block["vecs"][away], block["rows"][away], block["score"][away].copy(),
-                               block["held"][away].copy(), k)
-                out.append(_hits(block["rows"][away], block["ids"][away], s, i))
+                s, i = _search(tree, block["vecs"], block["rows"], block["score"].copy(), block["held"].copy(), k)
+                out.append(_hits(block["rows"], block["ids"], s, i))
         return pa.concat_tables(out) if out else _hits(*[np.zeros(0, np.int64)] * 2, *[np.zeros((0, k), np.int64)] * 2)
     return run
 
@@ -268,6 +313,28 @@ def _trees(vectors: DataFrame, shard_rows: int) -> DataFrame:
     return cut(dealt.withColumn("shard", shard).select("shard", "row", "vec_id", "vec").groupBy("shard").applyInArrow(_build, _TREE), "topk-trees")
 
 
+def asked_shards(trees: DataFrame, packed: DataFrame, shards: int, blocks: int) -> DataFrame:
+    """The queries of each block that each shard has to answer (_ASKED)."""
+    fronts = cut(trees.select("shard", "dim", "centre", "radius", "parent").mapInArrow(_front, _FRONT), "topk-fronts")
+    packs = -(-shards // PACK)
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(n - 1, 0)).cast("long")))
+    some_shards = fronts.withColumn("pack", F.expr(f"shard div {PACK}")).withColumn("block", upto(blocks))
+    some_queries = packed.withColumn("pack", upto(packs))
+    return some_shards.groupBy("pack", "block").cogroup(some_queries.groupBy("pack", "block")).applyInArrow(_ask, _ASKED)
+
+
+def _away(trees: DataFrame, packed: DataFrame, shards: int, blocks: int, k: int, block_rows: int) -> DataFrame:
+    """Results of other shards than the queries' own."""
+    asked = cut(asked_shards(trees, packed, shards, blocks), "topk-asked")
+    # a shard's queries in parts of at most two blocks
+    earlier = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    parts = asked.select("shard", "block", F.floor(F.coalesce(F.sum("n").over(earlier), F.lit(0)) / block_rows).alias("part"))
+    parts = cut(parts, "topk-parts")
+    met = trees.join(parts.select("shard", F.col("part").alias("to")).distinct(), "shard")
+    sent = asked.join(parts, ["shard", "block"])
+    return met.groupBy("shard", "to").cogroup(sent.groupBy("shard", "part")).applyInArrow(_visit(k), _HIT)
+
+
 def top_k(table: DataFrame, every: int, k: int = K, scale: int = SCALE, shard_rows: int = SHARD_ROWS,
           block_rows: int = BLOCK_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` best rows of ``table`` (vec_id,
@@ -285,9 +352,7 @@ def top_k(table: DataFrame, every: int, k: int = K, scale: int = SCALE, shard_ro
     packed = (home.withColumn("block", F.expr(f"shard * {blocks} div {max(shards, 1)}"))
               .groupBy("block").applyInArrow(_blocks(k), _BLOCK))
     packed = cut(packed, "topk-blocks")
-    every_shard = packed.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(shards - 1, 0)).cast("long"))))
-    every_block = trees.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    away = every_block.groupBy("shard", "block").cogroup(every_shard.groupBy("shard", "block")).applyInArrow(_visit(k), _HIT)
+    away = _away(trees, packed, shards, blocks, k, block_rows)
     hits = home.groupBy("shard").applyInArrow(_unpack(k), _HIT).union(away)
     order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return (hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -1,5 +1,7 @@
 """Sharding, mixing, packing, top-k search and the pipeline."""
 
+import math
+import random
 import zlib
 from array import array
 from collections import Counter, defaultdict
@@ -168,6 +170,35 @@ def test_topk_edge_cases(spark, vectors):
     assert got[0, 50] == int(256 * 3e6) * int(256 * 2.9e6) - 256 * 256
 
 
+def test_topk_sends_queries_only_where_a_bound_allows(spark, monkeypatch):
+    """Eight far directions: a query's results lie in its own; most shards are not asked."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(1600):
+        v = [rng.uniform(-0.05, 0.05) for _ in range(8)]
+        v[i % 8] += 1
+        rows.append((i, v))
+    asked = []
+    whole = topk_search.asked_shards
+
+    def counted(trees, packed, shards, blocks):
+        out = topk_search.cut(whole(trees, packed, shards, blocks), "counted")
+        asked.append((shards, out.groupBy().sum("n").first()[0] or 0))
+        return out
+    monkeypatch.setattr(topk_search, "asked_shards", counted)
+    monkeypatch.setattr(topk_search, "PACK", 7)
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, topk_search.top_k(table, every=20, shard_rows=40, block_rows=9).collect()))
+    ints = {i: [math.floor(256 * x) for x in v] for i, v in rows}
+    want = []
+    for q in range(0, 1600, 20):
+        best = sorted((-sum(a * b for a, b in zip(ints[q], v, strict=True)), i) for i, v in ints.items() if i != q)[:5]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    assert got == sorted(want)
+    (shards, sent), = asked
+    assert shards >= 40 and sent < 80 * (shards - 1) / 3
+
+
 def test_pipeline(spark):
     docs = read(spark, SF, "documents")
     names = [n for n, _ in corpus_pipeline.STAGES]
