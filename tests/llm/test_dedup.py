@@ -1,5 +1,4 @@
 import hashlib
-import random
 import re
 from collections import defaultdict
 
@@ -107,37 +106,6 @@ def test_cross_check_finds_what_the_deals_miss(spark, monkeypatch):
     assert len({c for *_, c in want}) < 100
 
 
-def test_buckets_meet_in_cells(awkward, monkeypatch):
-    monkeypatch.setattr(near_dedup, "CHUNK", 3)
-    monkeypatch.setattr(near_dedup, "MEET", 3)
-    got = near_dedup.near_dedup(awkward, size=2).collect()
-    assert order((r.doc_id, r.n_shingles, r.component_id) for r in got) == order(expected_near(awkward.collect(), 2, 80))
-
-
-def test_template_group_compares_few_nodes(spark, monkeypatch):
-    """5,000 texts of one template share bands, not links: few sets travel."""
-    rng = random.Random(5)
-    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(8))
-    template = [word() for _ in range(100)]
-    texts = [" ".join(template + [word() for _ in range(120)]) for _ in range(5000)]
-    for k in range(0, 200, 2):  # near copies: one word apart
-        texts[k + 1] = texts[k] + " " + word()
-    compared = []
-    whole = near_dedup.contenders
-
-    def counted(*args):
-        left = near_dedup.cut(whole(*args), "counted")
-        compared.append(left.count())
-        return left
-    monkeypatch.setattr(near_dedup, "contenders", counted)
-    # the deals alone would leave few pairs apart: small chunks leave more to the meetings
-    monkeypatch.setattr(near_dedup, "CHUNK", 64)
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
-    got = {r.doc_id: r.component_id for r in near_dedup.near_dedup(docs, size=2).collect()}
-    assert got == {i: i - 1 if i < 200 and i % 2 else i for i in range(5000)}
-    assert len(compared) == 1 and 150 < compared[0] < 1000
-
-
 def test_shingles_over_piece_ends(monkeypatch):
     import pyarrow as pa
     texts = ["a bb  ccc dddd " * 30, "x" * 200, None, "", "p q", "é ü\tö\x0b1"]
@@ -203,6 +171,7 @@ def test_line_dedup_of_short_lines(spark):
 
 def test_line_dedup_of_pasted_passages(spark):
     """With the query's own parameters: 50 words pasted into running lines of two documents."""
+    import random
     rng = random.Random(11)
     vocab = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
     prose = lambda n: [rng.choice(vocab) for _ in range(n)]
