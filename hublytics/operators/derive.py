@@ -121,7 +121,7 @@ def trip_batches(history: DataFrame, orders: DataFrame, capacity: int = 20) -> D
                   F.to_date("__created").alias("route_day")))
     ranked = running_total(
         ex, ["from_warehouse_id", "to_warehouse_id", "route_day"],
-        bucket=F.unix_seconds(F.col("action_time").cast("timestamp")),
+        bucket=F.unix_micros(F.col("action_time").cast("timestamp")),
         order_cols=[F.col("action_time"), F.col("package_code")], out="pos")
     batched = ranked.withColumn("batch_no", F.floor((F.col("pos") - 1) / F.lit(capacity)).cast("long"))
     return batched.groupBy("from_warehouse_id", "to_warehouse_id", "route_day", "batch_no").agg(
@@ -135,7 +135,7 @@ def running_minutes(history: DataFrame) -> DataFrame:
     minutes (minute of the event's hour) and the event's sequence number."""
     ev = history.select("package_code", "action_time", "action_category",
                         F.minute("action_time").cast("long").alias("handling_min"))
-    bucket = F.unix_seconds(F.col("action_time").cast("timestamp"))
+    bucket = F.unix_micros(F.col("action_time").cast("timestamp"))
     order = [F.col("action_time"), F.col("action_category").asc_nulls_first()]
     return running_total(ev, ["package_code"], bucket, order,
                          values={"seq_no": None, "cum_minutes": F.col("handling_min")})

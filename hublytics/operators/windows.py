@@ -6,7 +6,7 @@ rows, that task becomes the job. :func:`running_total` cuts such hot groups, and
 only these, into parts:
 
 1. a sample of the groups and of a number ``at`` that never falls in the
-   ordering (for example the second of a timestamp) finds groups of more than
+   ordering (for example the microseconds of a timestamp) finds groups of more than
    ``max_rows`` rows and, from their quantiles of ``at``, bounds between parts of
    about that size. The sample shapes the parts, never the result;
 2. a part's offset is the sum of the totals of the earlier parts of its group:

@@ -126,6 +126,21 @@ def test_running_total_cuts_hot_groups(spark):
     assert running_total(df.limit(0), ["g"], at, order).count() == 0
 
 
+def test_a_hot_group_within_one_second_is_cut(spark):
+    """Events of one second lie in several parts where their microseconds differ."""
+    from hublytics.operators import windows
+    base = dt.datetime(2024, 1, 1)
+    rows = [("hot", base + dt.timedelta(microseconds=(i * 7919) % 999_983), i % 13) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, t timestamp_ntz, v long").repartition(5)
+    at, order = F.unix_micros(F.col("t").cast("timestamp")), [F.col("t"), F.col("v")]
+    data = df.select(F.struct("g").alias("__g"), at.alias("__at"))
+    assert 15 <= len(windows.slices(data, 100).first()["__bounds"]) <= 60
+    got = running_total(df, ["g"], at, order, values={"n": None, "s": F.col("v")}, max_rows=100)
+    w = Window.partitionBy("g").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    want = df.select("g", "t", "v", F.count(F.lit(1)).over(w).alias("n"), F.sum("v").over(w).alias("s"))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
 def test_as_of_stream_equals_the_range_join_with_a_hot_key(spark):
     base = dt.datetime(2024, 1, 1)
     at = lambda i: base + dt.timedelta(minutes=i)
