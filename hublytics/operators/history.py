@@ -105,11 +105,11 @@ def _as_of_stream(facts: DataFrame, versions: DataFrame, at: str, attrs: list[st
     takes the last version before it. A hot key's stream is cut into time slices
     (:mod:`hublytics.operators.windows`), and a version goes to all slices in which
     it is valid, so each slice is complete in itself."""
-    second = lambda c: F.unix_seconds(F.col(c).cast("timestamp"))
-    f = facts.select(F.struct(F.col(key).alias("k")).alias("__g"), second(at).alias("__at"), F.col(at).cast("timestamp_ntz").alias("__t"),
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    f = facts.select(F.struct(F.col(key).alias("k")).alias("__g"), micros(at).alias("__at"), F.col(at).cast("timestamp_ntz").alias("__t"),
                      F.struct(*facts.columns).alias("__f"))
     v = versions.filter(F.col("__k").isNotNull()).select(
-        F.struct(F.col("__k").alias("k")).alias("__g"), second("valid_from").alias("__at"), second("valid_to").alias("__end"),
+        F.struct(F.col("__k").alias("k")).alias("__g"), micros("valid_from").alias("__at"), micros("valid_to").alias("__end"),
         F.col("valid_from").cast("timestamp_ntz").alias("__t"), F.struct("valid_to", *[f"__{a}" for a in attrs]).alias("__v"))
     bounds = slices(f, max_rows)
     part = lambda c, least: F.coalesce(F.size(F.filter("__bounds", lambda x: x < F.col(c))), least)
