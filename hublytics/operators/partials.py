@@ -7,9 +7,11 @@ exactly:
 * leadtimes: a histogram (value -> orders, breaches) for each day, region and
   service; histograms add up, and quantiles are read off the sum as the full
   build reads them (:mod:`hublytics.operators.percentiles`);
-* active shippers: bitmaps of whole-number ids for each day and hub, 32,768 ids
-  a bitmap of 4 KB; bitmaps merge by OR, and their bits are counted. No row
-  of the counted column is kept or shuffled again.
+* active shippers: bitmaps of whole-number ids for each day and hub, 64 ids a
+  bitmap of one LONG; bitmaps merge by OR, and their bits are counted. No row
+  of the counted column is kept or shuffled again. A day and hub has few of all
+  shippers: wide bitmaps (4 KB for 32,768 ids) would be nearly all zeros, one of
+  them for almost every order, and as variable-width buffers they would be sorted.
 
 :func:`replace_days` puts the states of some days in place of those of the same days;
 a table of states grows with days and groups, not with orders.
@@ -22,6 +24,8 @@ from pyspark.sql import functions as F
 
 from hublytics.operators import marts
 
+#: log2 of the ids in a bitmap: one LONG's bits
+WORD_BITS = 6
 LEADTIME_KEYS = ["date_id", "region", "service_code", "__x"]
 HUB_KEYS = ["date_id", "warehouse_id"]
 
@@ -44,20 +48,20 @@ def sla_breakdown(states: DataFrame, dim_date: DataFrame, hint=None) -> DataFram
 
 def hub_states(fct_order: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(measures by date_id and warehouse_id, bitmaps of the shippers by
-    date_id, warehouse_id and bucket of 32,768 ids)."""
+    date_id, warehouse_id and bucket of 64 ids)."""
     o = fct_order.filter(F.col("deliver_warehouse_id").isNotNull()).withColumn("warehouse_id", F.col("deliver_warehouse_id"))
     measures = o.groupBy(*HUB_KEYS).agg(*[f.alias(n) for n, f in marts.hub_sums().items()])
     who = F.col("deliver_user_id")
     ids = o.filter(who.isNotNull())
-    bitmaps = ids.groupBy(*HUB_KEYS, F.bitmap_bucket_number(who).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(who)).alias("shippers"))
+    bit = F.expr(f"shiftleft(1L, cast(deliver_user_id & {2 ** WORD_BITS - 1} as int))")
+    bitmaps = ids.groupBy(*HUB_KEYS, F.shiftright(who, WORD_BITS).alias("bucket")).agg(F.bit_or(bit).alias("shippers"))
     return measures, bitmaps
 
 
 def hub_performance(measures: DataFrame, bitmaps: DataFrame, dim_wh: DataFrame, hint=None) -> DataFrame:
     """``mart_hub_performance`` from :func:`hub_states`."""
     sums = measures.groupBy("warehouse_id").agg(*[F.sum(n).alias(n) for n in marts.hub_sums()])
-    merged = bitmaps.groupBy("warehouse_id", "bucket").agg(F.bitmap_count(F.bitmap_or_agg("shippers")).alias("n"))
+    merged = bitmaps.groupBy("warehouse_id", "bucket").agg(F.bit_count(F.bit_or("shippers")).alias("n"))
     active = merged.groupBy("warehouse_id").agg(F.sum("n").alias("active_shippers"))
     joined = sums.join(active, "warehouse_id", "left").withColumn("active_shippers", F.coalesce("active_shippers", F.lit(0)))
     return marts.hub_from_sums(joined, dim_wh, hint)

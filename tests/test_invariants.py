@@ -400,6 +400,23 @@ def test_states_by_day_merge_to_the_full_marts(spark):
     assert rows(partials.sla_breakdown(states, w["dim_date"], w.hint)) == rows(marts.mart_sla_breakdown(after, w["dim_date"], w.hint))
 
 
+def test_shipper_states_are_as_small_as_their_shippers(spark):
+    """One order a hub and day, shippers far apart: no state is wider than a few
+    numbers, and none needs sorted buffers; ids below 0 and at a word's ends count."""
+    from hublytics.operators import marts, partials
+    ids = [-65, -64, -1, 0, 63, 64, 2 ** 40, 2 ** 62, -2 ** 63]
+    rows = [(20000101 + i % 3, i % 2, ids[i % len(ids)]) for i in range(60)] + [(20000101, 2, None), (None, 1, 63)]
+    fct = spark.createDataFrame(rows, "date_id int, deliver_warehouse_id long, deliver_user_id long").selectExpr(
+        "*", "true is_delivered", "false is_returned", "false is_sla_breach", "false is_cod", "0L cod_amount_vnd", "1.0D delivery_hours")
+    hubs = spark.range(3).selectExpr("id warehouse_id", "'' warehouse_name", "'' warehouse_type", "'' region", "'' region_shortname",
+                                     "'' province_name")
+    measures, bitmaps = partials.hub_states(fct)
+    got = {r.warehouse_id: r.active_shippers for r in partials.hub_performance(measures, bitmaps, hubs).collect()}
+    assert got == {0: 9, 1: 9, 2: 0} == {r.warehouse_id: r.active_shippers for r in marts.mart_hub_performance(fct, hubs).collect()}
+    assert all(f.dataType.typeName() in ("integer", "long") for f in bitmaps.schema.fields)
+    assert "SortAggregate" not in bitmaps._jdf.queryExecution().executedPlan().toString()
+
+
 def test_a_well_compressed_dimension_is_not_broadcast(spark, tmp_root):
     """Files of a few MB that hold hundreds of MB of rows."""
     from hublytics.operators import joins
