@@ -417,6 +417,28 @@ def test_shipper_states_are_as_small_as_their_shippers(spark):
     assert "SortAggregate" not in bitmaps._jdf.queryExecution().executedPlan().toString()
 
 
+def test_attempts_travel_to_their_orders_as_flags(spark):
+    """The classifier's shuffle join of attempts carries no status, reason or hub;
+    attempts without order, time or status are judged as before."""
+    from hublytics.operators import quality
+    w = wh(spark)
+    at = dt.datetime(2000, 1, 2)
+    early = at - dt.timedelta(days=1)
+    rows = [("A", " Failed ", None, at, 1.0), ("A", "failed", "other", at, 1.0), (" A", "success", None, early, 1.0), ("A", None, None, None, None),
+            ("X", "success", None, early, float("nan")), (None, "success", None, early, 1.0), ("A", None, None, early, 1.0)]
+    attempts = spark.createDataFrame(rows, "order_code string, attempt_status string, failure_reason string, deliver_time timestamp_ntz, "
+                                           "deliver_warehouse_id double").withColumn("_data_quality", F.lit("q"))
+    orders = w.raw["data_shippingorder_now"].limit(2).withColumns({"order_code": F.lit(" A "), "created_date": F.lit(at).cast("timestamp_ntz")})
+    raw = {n: w.raw[n] for n in w.raw if n not in ("data_shipment", "data_shippingorder_now")}
+    found = quality.quality_rules(raw | {"data_shipment": attempts, "data_shippingorder_now": orders}, F.lit("2001-01-01").cast("date"))
+    got = sorted(r.derived for r in found["data_shipment"].collect())
+    assert got == sorted(["heavy_issue", "clean", "heavy_issue", "light_issue", "light_issue", "clean", "heavy_issue"])
+    plan = quality.quality_rules(w.raw, F.lit("2001-01-01").cast("date"))["data_shipment"]
+    join = plan._jdf.queryExecution().optimizedPlan().children().head()
+    carried = {a.split("#")[0] for a in str(join.children().head().output().mkString(",")).split(",")}
+    assert carried == {"carried", "__code", "deliver_time", "__heavy", "__light"}
+
+
 def test_a_well_compressed_dimension_is_not_broadcast(spark, tmp_root):
     """Files of a few MB that hold hundreds of MB of rows."""
     from hublytics.operators import joins
