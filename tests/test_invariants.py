@@ -3,6 +3,7 @@ built to stress them (hot groups, ties, NULL keys)."""
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -439,6 +440,26 @@ def test_attempts_travel_to_their_orders_as_flags(spark):
     assert carried == {"carried", "__code", "deliver_time", "__heavy", "__light"}
 
 
+def test_wide_tables_are_written_with_small_methods(spark, monkeypatch):
+    """No generated method beyond what the JVM compiles while wide tables are
+    written; the session's own settings come back, after a failure too."""
+    from hublytics.plans import catalog
+    from hublytics.session import WIDE_CONF, wide_rows
+    kept = {k: spark.conf.get(k, None) for k in WIDE_CONF}
+    seen = []
+    monkeypatch.setattr(catalog, "write_table", lambda df, path: (
+        seen.append({k: spark.conf.get(k) for k in WIDE_CONF}), df.write.mode("overwrite").parquet(path)))
+    fx = wh(spark).raw.fx
+    raw = catalog.MaterializedRaw(spark, fx)
+    rows = sorted(map(str, raw["data_shippingorder_now"].collect()))
+    assert seen == [WIDE_CONF] and int(WIDE_CONF["spark.sql.codegen.hugeMethodLimit"]) <= 8000
+    assert {k: spark.conf.get(k, None) for k in WIDE_CONF} == kept
+    assert rows == sorted(map(str, fx.data_shippingorder_now().collect()))
+    with pytest.raises(ValueError), wide_rows(spark):
+        raise ValueError
+    assert {k: spark.conf.get(k, None) for k in WIDE_CONF} == kept
+
+
 def test_a_well_compressed_dimension_is_not_broadcast(spark, tmp_root):
     """Files of a few MB that hold hundreds of MB of rows."""
     from hublytics.operators import joins
